@@ -90,32 +90,36 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     pts = points.select(F.col(id_col).alias("_id"), ra_u.alias("_ra"), F.col(decl).alias("_dec"),
                         F.floor((F.col(decl) + F.lit(90.0)) / F.lit(height)).alias("_z"))
 
-    def blocks(zone_col: Column):
+    def with_blocks(df: DataFrame, zone_col: Column, nb_name: str, b_name: str) -> DataFrame:
+        # Computed once per row in a projection; generators below only
+        # reference the resulting columns.
         alpha = _zone_alpha(zone_col, height, eps)
         nb = F.floor(F.lit(360.0) / (alpha * F.lit(_SLACK))).cast("bigint")
-        nb = F.when(nb < 3, F.lit(1).cast("bigint")).otherwise(nb)
-        width = F.lit(360.0) / nb.cast("double")
-        b = F.pmod(F.floor(F.col("_ra") / width), nb)
-        return nb, b
+        df = df.withColumn(nb_name, F.when(nb < 3, F.lit(1).cast("bigint")).otherwise(nb))
+        width = F.lit(360.0) / F.col(nb_name).cast("double")
+        return df.withColumn(b_name, F.pmod(F.floor(F.col("_ra") / width), F.col(nb_name)))
 
+    pts = with_blocks(pts, F.col("_z"), "_nb0", "_b0")
+    pts = with_blocks(pts, F.col("_z") - 1, "_nb1", "_b1")
+    nb0, b0, nb1, b1 = F.col("_nb0"), F.col("_b0"), F.col("_nb1"), F.col("_b1")
     # Base rows: the point's own zone pair (z, z+1), block in that pair's width.
-    nb0, b0 = blocks(F.col("_z"))
     base = pts.select("_id", "_ra", "_dec", F.col("_z").alias("_zp"), b0.alias("_b"))
     # Probe rows.  Same zone: own block (offset 0) and the block below
     # (offset +1 seen from the base); one block when the zone pair has a
     # single RA block.  Zone below: offsets -1, 0, +1.
-    own = F.struct(b0.alias("b"), F.lit(True).alias("d0"))
-    prev = F.struct(F.pmod(b0 - 1, nb0).alias("b"), F.lit(False).alias("d0"))
-    same = (pts.select("_id", "_ra", "_dec", F.col("_z").alias("_zp"),
-                       F.explode(F.when(nb0 == 1, F.array(own)).otherwise(F.array(own, prev)))
-                       .alias("_o"))
+    same = (pts.withColumn("_prev", F.when(nb0 == 1, F.lit(None).cast("bigint"))
+                           .otherwise(F.pmod(b0 - 1, nb0)))
+            .select("_id", "_ra", "_dec", F.col("_z").alias("_zp"),
+                    F.explode(F.array(F.struct(b0.alias("b"), F.lit(True).alias("d0")),
+                                      F.struct(F.col("_prev").alias("b"), F.lit(False).alias("d0"))))
+                    .alias("_o"))
+            .where(F.col("_o.b").isNotNull())
             .select("_id", "_ra", "_dec", "_zp", F.col("_o.b").alias("_b"),
                     F.col("_o.d0").alias("_d0")))
-    nb1, b1 = blocks(F.col("_z") - 1)
-    below = pts.select("_id", "_ra", "_dec", (F.col("_z") - 1).alias("_zp"),
-                       F.explode(F.array_distinct(F.array(F.pmod(b1 - 1, nb1), b1,
-                                                          F.pmod(b1 + 1, nb1)))).alias("_b"),
-                       F.lit(False).alias("_d0"))
+    below = (pts.withColumn("_lo", F.pmod(b1 - 1, nb1)).withColumn("_hi", F.pmod(b1 + 1, nb1))
+             .select("_id", "_ra", "_dec", (F.col("_z") - 1).alias("_zp"),
+                     F.explode(F.array_distinct(F.array("_lo", "_b1", "_hi"))).alias("_b"),
+                     F.lit(False).alias("_d0")))
     probe = same.unionByName(below).select(
         F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
         "_zp", "_b", "_d0")
