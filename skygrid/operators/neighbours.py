@@ -6,7 +6,8 @@ that could hold a partner, so every pair is produced exactly once.  The join
 is a hash/sort-merge join on the block key -- never a nested loop or a cross
 join -- and the exact distance test runs on the candidates only.  A block with
 very many points is a skewed join key; adaptive execution splits such
-partitions (``spark.sql.adaptive.skewJoin.enabled``).
+partitions (``spark.sql.adaptive.skewJoin.enabled``), and blocks above
+``hot_rows`` points are salted explicitly (see :func:`_salted_join`).
 """
 
 from __future__ import annotations
@@ -27,13 +28,49 @@ _SLACK = 1.0 + 1e-9
 # exactly one of D and -D is listed.
 _HALF = [(0, 0), (1, -1), (1, 0), (1, 1), (0, 1)]
 
+# Blocks with more points than this are split into salted sub-blocks.
+DEFAULT_HOT_ROWS = 200_000
+# The hot-block table is broadcast only while it has at most this many rows;
+# there can be at most (rows / hot_rows) hot blocks.
+MAX_HOT_BROADCAST = 100_000
+
+
+def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], id_col: str,
+                 hot_rows: int) -> DataFrame:
+    """Equi-join ``base`` and ``probe`` on ``keys``, splitting hot keys.
+
+    Per-key base counts are pre-aggregated (partial aggregation).  A key with
+    ``n > hot_rows`` base rows gets ``s = ceil(n / hot_rows)`` salts: each base
+    row takes one salt from a hash of its id, each probe row of that key is
+    replicated to every salt.  Every (base, probe) pair still meets exactly
+    once, and no task receives more than about ``hot_rows`` base rows of one
+    key.
+    """
+    hot = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows)
+           .select(*keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_s")))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return base.join(probe, keys)
+    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_BROADCAST else hot
+    salted_base = (base.join(hot_side, keys, "left")
+                   .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                               .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int")))
+                   .drop("_s"))
+    salted_probe = (probe.join(hot_side, keys, "left")
+                    .withColumn("_salt", F.explode(F.when(F.col("_s").isNull(), F.array(F.lit(0)))
+                                                   .otherwise(F.sequence(F.lit(0), F.col("_s") - 1))))
+                    .drop("_s"))
+    return salted_base.join(salted_probe, keys + ["_salt"]).drop("_salt")
+
 
 def _pair_columns(a: str, b: str) -> list[Column]:
     return [F.least(F.col(a), F.col(b)).alias("id_a"), F.greatest(F.col(a), F.col(b)).alias("id_b")]
 
 
 def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra: str = RA,
-                    decl: str = DECL, with_distance: bool = True) -> DataFrame:
+                    decl: str = DECL, with_distance: bool = True,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Pairs with planar distance ``sqrt(dra^2 + ddecl^2) < eps`` (``id_a < id_b``).
 
     Coordinates are treated as Cartesian; pass wrapped RA for a footprint
@@ -54,7 +91,7 @@ def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra:
     dx = F.col("_x2") - F.col("_x")
     dy = F.col("_y2") - F.col("_y")
     dist = F.sqrt(dx * dx + dy * dy)
-    joined = (pts.join(probe, ["_bx", "_by"])
+    joined = (_salted_join(pts, probe, ["_bx", "_by"], "_id", hot_rows)
               .where((~F.col("_same") | (F.col("_id") < F.col("_id2"))) & (dist < F.lit(eps))))
     cols = _pair_columns("_id", "_id2")
     if with_distance:
@@ -74,7 +111,7 @@ def _zone_alpha(zone: Column, height: float, eps: float) -> Column:
 
 
 def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra: str = RA,
-                           decl: str = DECL) -> DataFrame:
+                           decl: str = DECL, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Pairs with great-circle separation ``< eps`` degrees (``id_a < id_b``).
 
     Decl is cut into zones of height eps.  A pair lies in one zone or in two
@@ -125,7 +162,7 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
         "_zp", "_b", "_d0")
     # Within one block of one zone each pair meets twice: keep one orientation.
     h = haversine_term("_ra", "_dec", "_ra2", "_dec2")
-    return (base.join(probe, ["_zp", "_b"])
+    return (_salted_join(base, probe, ["_zp", "_b"], "_id", hot_rows)
             .where((~F.col("_d0") | (F.col("_id") < F.col("_id2")))
                    & (h < F.lit(haversine_threshold(eps))))
             .select(*_pair_columns("_id", "_id2")))

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -24,11 +26,12 @@ def _points(n, seed, ra_span=(-0.3, 0.3), dec_span=(-0.3, 0.3)):
     return pts
 
 
-def test_planar_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [200_000, 25])
+def test_planar_pairs_equal_brute_force(spark, hot_rows):
     pts = _points(1500, 1)
     eps = 0.02
     df = spark.createDataFrame(pts, "sourceId long, ra double, decl double")
-    got = sorted((r.id_a, r.id_b) for r in neighbour_pairs(df, eps).collect())
+    got = sorted((r.id_a, r.id_b) for r in neighbour_pairs(df, eps, hot_rows=hot_rows).collect())
     want = sorted((a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:]
                   if math.sqrt((b[1] - a[1]) ** 2 + (b[2] - a[2]) ** 2) < eps)
     assert got == want and len(got) > 150
@@ -40,14 +43,15 @@ def _sep(a, b):
     return math.degrees(2 * math.asin(math.sqrt(min(1.0, h))))
 
 
-def test_sphere_pairs_equal_brute_force_across_ra_zero_and_pole(spark):
+@pytest.mark.parametrize("hot_rows", [200_000, 20])
+def test_sphere_pairs_equal_brute_force_across_ra_zero_and_pole(spark, hot_rows):
     rnd = random.Random(5)
     pts = [(k, rnd.choice([rnd.uniform(359.7, 360.0), rnd.uniform(0.0, 0.3)]), rnd.uniform(-0.2, 0.2))
            for k in range(1200)]
     pts += [(5000 + k, rnd.uniform(0, 360), rnd.uniform(89.9, 90.0)) for k in range(300)]
     eps = 0.03
     df = spark.createDataFrame(pts, "sourceId long, ra double, decl double")
-    got = sorted((r.id_a, r.id_b) for r in neighbour_pairs_sphere(df, eps).collect())
+    got = sorted((r.id_a, r.id_b) for r in neighbour_pairs_sphere(df, eps, hot_rows=hot_rows).collect())
     want = sorted((a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:]
                   if _sep(a, b) < eps)
     # borderline pairs within 1e-12 deg of eps may fall either way
