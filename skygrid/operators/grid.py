@@ -75,9 +75,9 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
     group in earlier partitions.  That table has at most
     ``partitions + groups`` rows, so broadcasting it is bounded.
 
-    The ids are materialised once with a reliable checkpoint in the shared
-    checkpoint folder: both consumers (the offset table and the rows) then
-    read identical ids, also when an executor is lost and work is redone.
+    The ids are materialised once as a table in the shared checkpoint
+    folder: both consumers (the offset table and the rows) then read
+    identical ids, also when an executor is lost and work is redone.
     The explicit partition count keeps adaptive execution from coalescing the
     range shuffle.
     """
@@ -89,7 +89,7 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
                .sortWithinPartitions(*keys, order_col)
                .withColumn("_rid", F.monotonically_increasing_id())
                .withColumn("_pid", F.shiftright("_rid", 33)))
-    ordered = cut_lineage(ordered)
+    ordered = cut_lineage(ordered, "ranked")
     per_part = (ordered.groupBy("_pid", *keys)
                 .agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     w = Window.partitionBy(*keys).orderBy("_pid")
@@ -113,16 +113,21 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     if cap < 1:
         raise ValueError("cap must be positive")
     keys = list(keys)
-    hot_cells = (assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") > cap).select(*keys, F.lit(True).alias("_hot")))
-    marked = assigned.join(F.broadcast(hot_cells), keys, "left")
-    cold = (marked.where(F.col("_hot").isNull()).drop("_hot")
-            .withColumn("segment", F.lit(0)))
-    hot = rank_within(marked.where(F.col("_hot")).drop("_hot"), keys, order_col)
+    # Overfull cells: a grid-bounded list (at most 676 cells), so it is
+    # collected and used as a literal set -- no join against the data.
+    hot_cells = [tuple(r) for r in (assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                                    .where(F.col("_n") > cap).select(*keys).collect())]
+    named = lambda df: df.withColumn(
+        name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
+    if not hot_cells:
+        return named(assigned.withColumn("segment", F.lit(0)))
+    key = F.struct(*[F.col(k) for k in keys])
+    is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
+    cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
+    hot = rank_within(assigned.where(is_hot), keys, order_col)
     hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
            .drop("rank"))
-    both = cold.unionByName(hot)
-    return both.withColumn(name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
+    return named(cold.unionByName(hot))
 
 
 def assign_stripes(positions: DataFrame, ra: str = RA, stripes: int = STRIPES,

@@ -58,7 +58,14 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/skygrid-{tag}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, tag: str = "table"):
+    """Materialise ``df`` as a Parquet table in the shared folder and read it back.
+
+    One job writes it (an RDD checkpoint would recompute its input in a
+    second job); the files survive executor loss, so every later reader sees
+    exactly the same rows and values.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, tag)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
