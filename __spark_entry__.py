@@ -88,7 +88,7 @@ def _sink_by_cell(spark, d):
 def _min_cells(spark, d):
     path = fresh_dir(spark, "catalogue")
     write_source_files(sky(spark, d), path)
-    size = input_size(read_lines(spark, path))
+    size = input_size(spark, path)
     return min_cells_from_size(size.select("total_bytes"), BLOCK_BYTES)
 
 

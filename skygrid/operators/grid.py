@@ -23,6 +23,8 @@ from skygrid.session import cut_lineage
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
 CELL_KEYS = ("cell_i", "cell_j")
+# Target rows per task when ranking the rows of overfull cells.
+ROWS_PER_TASK = 2_000_000
 
 
 def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
@@ -100,7 +102,7 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
 
 
 def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col: str = SOURCE_ID,
-                   keys=CELL_KEYS, name: str = "cell") -> DataFrame:
+                   keys=CELL_KEYS, name: str = "cell", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Cap each cell at ``cap`` rows; later rows go to overflow twins.
 
     Rows are taken in ``order_col`` order: the first ``cap`` keep the cell
@@ -108,15 +110,18 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     Adds ``segment`` (0 for the original cell) and rewrites ``name``.  Cells
     within the cap pass straight through; only rows of overfull cells are
     ranked (see :func:`rank_within`).  The hot-cell list is grid-bounded
-    (at most 676 cells), so it is broadcast.
+    (at most 676 cells), so it is collected with its counts, which also size
+    the range shuffle (``rows_per_task``).
     """
     if cap < 1:
         raise ValueError("cap must be positive")
     keys = list(keys)
     # Overfull cells: a grid-bounded list (at most 676 cells), so it is
     # collected and used as a literal set -- no join against the data.
-    hot_cells = [tuple(r) for r in (assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                                    .where(F.col("_n") > cap).select(*keys).collect())]
+    over = (assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > cap).collect())
+    hot_cells = [tuple(r[k] for k in keys) for r in over]
+    hot_rows = sum(r["_n"] for r in over)
     named = lambda df: df.withColumn(
         name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
     if not hot_cells:
@@ -124,7 +129,8 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     key = F.struct(*[F.col(k) for k in keys])
     is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
     cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
-    hot = rank_within(assigned.where(is_hot), keys, order_col)
+    parts = max(1, -(-hot_rows // rows_per_task))
+    hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts)
     hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
            .drop("rank"))
     return named(cold.unionByName(hot))

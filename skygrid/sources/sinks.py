@@ -19,15 +19,17 @@ def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"),
                   num_partitions: int | None = None, fmt: str = "parquet") -> None:
     """One output directory per cell (``cell_i=<i>/cell_j=<j>``).
 
-    Rows are hash-exchanged on the cell first so each cell is written by one
-    task as few files; with ``num_partitions`` unset, adaptive execution sizes
-    the exchange.  Two integer keys avoid the ``1.1`` / ``1.10`` merge that a
-    single text key suffers when partition values are type-inferred.  For
-    ``fmt='text'`` the frame must hold exactly one non-key string column.
+    Rows are exchanged on the cell so each cell is written as few files.
+    With ``num_partitions`` unset the exchange is a rebalance: adaptive
+    execution coalesces small cells and splits a hot cell over several tasks
+    (still one directory), so no single task writes a third of the data.
+    Two integer keys avoid the ``1.1`` / ``1.10`` merge that a single text key
+    suffers when partition values are type-inferred.  For ``fmt='text'`` the
+    frame must hold exactly one non-key string column.
     """
     keys = list(keys)
     exchanged = (assigned.repartition(num_partitions, *keys) if num_partitions
-                 else assigned.repartition(*keys))
+                 else assigned.hint("rebalance", *keys))
     writer = exchanged.write.mode("errorifexists").partitionBy(*keys)
     if fmt == "parquet":
         writer.parquet(path)
@@ -48,15 +50,15 @@ def read_by_cell(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
             .withColumn("cell_j", F.col("cell_j").cast("int")))
 
 
-def input_size(df: DataFrame) -> DataFrame:
-    """Total bytes and file count of the files behind a file-based frame.
+def input_size(spark: SparkSession, path: str) -> DataFrame:
+    """Total bytes and file count below ``path`` (hidden and ``_`` files skipped).
 
-    Uses the file metadata column, so only file paths and sizes travel;
-    one row per file is deduplicated by a distributed distinct.
+    A distributed file listing: only paths and lengths are read, never the
+    file contents.
     """
-    files = df.select(F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("total_bytes"),
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(path).select("path", "length"))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("total_bytes"),
                      F.count(F.lit(1)).alias("n_files"))
 
 

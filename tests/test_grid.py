@@ -95,8 +95,8 @@ def test_grid_cells_table(spark, sources):
     assert first.ra_lo == g.zone.min_ra and first.decl_lo == g.zone.min_decl
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_capacity_split_matches_row_number(spark, parts):
+@pytest.mark.parametrize("parts,per_task", [(1, 10**6), (3, 300), (8, 97)])
+def test_capacity_split_matches_row_number(spark, parts, per_task):
     rnd = random.Random(parts)
     rows = [(k, rnd.choice([0, 0, 0, 1, 2]), rnd.choice([0, 1])) for k in rnd.sample(range(10**6), 2000)]
     df = spark.createDataFrame(rows, "sourceId long, cell_i int, cell_j int").withColumn(
@@ -104,7 +104,7 @@ def test_capacity_split_matches_row_number(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         got = {(r.sourceId, r.cell_i, r.cell_j): (r.segment, r.cell)
-               for r in capacity_split(df, cap=37).collect()}
+               for r in capacity_split(df, cap=37, rows_per_task=per_task).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert len(got) == len(rows)

@@ -97,8 +97,8 @@ def test_input_size_and_min_cells(spark):
     local = path.replace("file:", "")
     on_disk = sum(os.path.getsize(os.path.join(local, f)) for f in os.listdir(local)
                   if not f.startswith((".", "_")))
-    size = input_size(read_lines(spark, path)).first()
+    size = input_size(spark, path).first()
     assert size.total_bytes == on_disk
-    cells = min_cells_from_size(input_size(read_lines(spark, path)), block_bytes=100_000).first()
+    cells = min_cells_from_size(input_size(spark, path), block_bytes=100_000).first()
     assert cells.min_cells == math.ceil(on_disk / 100_000)
     assert cells.grid_side == math.ceil(math.sqrt(cells.min_cells))
