@@ -62,8 +62,14 @@ def assign_overlap(positions: DataFrame, grid: Grid, halo: float = DEFAULT_HALO,
 
 
 def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> DataFrame:
-    """Rows per cell plus a log10 bar (partial aggregation before the shuffle)."""
-    return (assigned.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows per cell plus a log10 bar (partial aggregation before the shuffle).
+
+    Groups on the integer keys; the cell name (a function of the keys and,
+    for overflow cells, the segment) is carried as ``first`` rather than
+    shuffled as a string key.
+    """
+    return (assigned.groupBy(*keys).agg(F.first(name).alias(name),
+                                        F.count(F.lit(1)).alias("n_rows"))
             .withColumn("bar", log_bar("n_rows")))
 
 

@@ -7,6 +7,8 @@ all rows sends one partial row per map task, never its raw rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,24 @@ def count_by_object(sources: DataFrame, key: str = OBJECT_ID) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
+def text_order_key(id_col) -> "Column":
+    """A fixed-width number ordered like the decimal text of an integer id.
+
+    Text order compares digit by digit and puts a prefix first ("9" > "10",
+    "1" < "10"), with "-" before any digit.  Scaling the digits to 19 places
+    and appending the length gives the same order as a DECIMAL(38,0), so a
+    "latest id" aggregate can stay a hash aggregate (a string maximum would
+    force a sort-based aggregate).
+    """
+    v = F.col(id_col) if isinstance(id_col, str) else id_col
+    digits = F.abs(v.cast("decimal(38,0)"))
+    length = F.length(digits.cast("string"))
+    scaled = digits * F.pow(F.lit(10), F.lit(19) - length).cast("decimal(38,0)")
+    key = (scaled * F.lit(100) + length).cast("decimal(38,0)")
+    below_all = F.lit(Decimal(10) ** 22).cast("decimal(38,0)")
+    return F.when(v < 0, key - below_all).otherwise(key).cast("decimal(38,0)")
+
+
 def object_extent(sources: DataFrame, key: str = OBJECT_ID, source_id: str = SOURCE_ID,
                   ra: str = RA, decl: str = DECL) -> DataFrame:
     """Per object: count, latest source id and the RA/Decl extent.
@@ -31,7 +51,8 @@ def object_extent(sources: DataFrame, key: str = OBJECT_ID, source_id: str = SOU
     return (sources.where(F.col(key).isNotNull())
             .groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_sources"),
-                 F.max(F.col(source_id).cast("string")).alias("last_source_id"),
+                 F.max_by(F.col(source_id), text_order_key(source_id)).cast("string")
+                  .alias("last_source_id"),
                  F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),
                  F.min(decl).alias("min_decl"), F.max(decl).alias("max_decl")))
 
