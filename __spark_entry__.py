@@ -85,6 +85,14 @@ def _sink_by_cell(spark, d):
                  F.max(DECL).alias("max_decl")))
 
 
+def _extent_records(spark, d):
+    path = fresh_dir(spark, "extent")
+    ext = object_extent(sky(spark, d))
+    write_text(ext.select(format_record(OBJECT_ID, "n_sources", "last_source_id", "min_ra", "max_ra",
+                                        "min_decl", "max_decl").alias("value")), path)
+    return read_lines(spark, path).select(F.col("value").alias("record"))
+
+
 def _min_cells(spark, d):
     path = fresh_dir(spark, "catalogue")
     write_source_files(sky(spark, d), path)
@@ -128,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_stripe": lambda s, d: jobs.partition_stripe(sky(s, d)),
         "sink_text": _sink_text,
         "sink_by_cell": _sink_by_cell,
+        "extent_records": _extent_records,
         "neighbour_pairs": lambda s, d: jobs.pairs_planar(sky(s, d), EPS),
         "neighbour_pairs_sphere": lambda s, d: jobs.pairs_sphere(sky(s, d), EPS),
         "grid_metadata": lambda s, d: jobs.grid_metadata(sky(s, d), CAP),
@@ -322,6 +331,13 @@ SELECT cell_i, cell_j, segment, cell, {_jstr('ura')} || ',' || {_jstr('decl')} A
 SELECT stripe, {_jstr('ra')} || ',' || {_jstr('decl')} AS record FROM stripes""",
         "sink_text": f"""WITH {_SKY}
 SELECT "objectId", count(*) AS n_sources FROM sky WHERE "objectId" IS NOT NULL GROUP BY "objectId" """,
+        "extent_records": f"""WITH {_SKY},
+e AS (SELECT "objectId", count(*) AS n, max(CAST("sourceId" AS VARCHAR)) AS last_src,
+             min(ra) AS min_ra, max(ra) AS max_ra, min(decl) AS min_decl, max(decl) AS max_decl
+      FROM sky WHERE "objectId" IS NOT NULL GROUP BY "objectId")
+SELECT CAST("objectId" AS VARCHAR) || ',' || CAST(n AS VARCHAR) || ',' || last_src || ','
+       || {_jstr('min_ra')} || ',' || {_jstr('max_ra')} || ','
+       || {_jstr('min_decl')} || ',' || {_jstr('max_decl')} AS record FROM e""",
         "sink_by_cell": f"""WITH {_SKY}, {_zone('sky')}, {_excl('sky')}
 SELECT cell_i, cell_j, count(*) AS n_rows, min("sourceId") AS min_source_id, max("sourceId") AS max_source_id,
        min(ra) AS min_ra, max(decl) AS max_decl FROM excl GROUP BY cell_i, cell_j""",

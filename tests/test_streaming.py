@@ -44,3 +44,18 @@ def test_stream_running_histogram(spark, sources, tmp_path):
     q.awaitTermination()
     got = sorted((r.cell_i, r.cell_j, r.n_rows) for r in spark.table("cell_counts_test").collect())
     assert got == [(0, 0, 1), (1, 0, 1), (1, 1, 15), (1, 2, 14), (2, 1, 2), (2, 2, 23)]
+
+
+def test_run_partitioning_exclusive_and_overlap(spark, sources):
+    from skygrid.plans.partitioning import run_partitioning
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog"), min_cells=4)
+    got = sorted((r.cell_i, r.cell_j, r.n_rows) for r in res.histogram.collect())
+    assert got == [(0, 0, 1), (1, 0, 1), (1, 1, 15), (1, 2, 14), (2, 1, 2), (2, 2, 23)]
+    assert spark.read.json(res.grid_path).count() == 4
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog2"), min_cells=9,
+                           overlap=True, cap=10)
+    hist = {r.cell: r.n_rows for r in res.histogram.collect()}
+    assert sum(hist.values()) == 3 * (19 + 13 + 37)
+    assert max(hist.values()) <= 10 and hist["0.2bisbisbis"] == 7
+    back = read_by_cell(spark, res.data_path)
+    assert back.where(F.col("ra") < 0).count() == 0   # records keep the original RA
