@@ -19,15 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import BLOCK_BYTES
-from skygrid.functions.coords import format_record, unwrap_ra, wrap_ra
+from skygrid.functions.coords import format_record, unwrap_ra
 from skygrid.operators.summary import (bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
-from skygrid.operators.grid import assign_stripes, cell_histogram
+from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram
 from skygrid.plans import jobs
 from skygrid.plans.text import document_lines
 from skygrid.session import fresh_dir
-from skygrid.sources.catalogue import (read_lines, read_sources, sky, table, write_source_files,
-                                       source_lines)
+from skygrid.sources.catalogue import read_lines, read_sources, sky, table, write_source_files
 from skygrid.sources.sinks import (input_size, min_cells_from_size, read_by_cell, write_by_cell,
                                    write_text)
 from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID
@@ -77,7 +76,6 @@ def _sink_text(spark, d):
 def _sink_by_cell(spark, d):
     path = fresh_dir(spark, "cells")
     pts, grid = jobs.exclusive_grid(sky(spark, d))
-    from skygrid.operators.grid import assign_exclusive
     write_by_cell(assign_exclusive(pts, grid).select(SOURCE_ID, RA, DECL, "cell_i", "cell_j"), path)
     return (read_by_cell(spark, path).groupBy("cell_i", "cell_j")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.min(SOURCE_ID).alias("min_source_id"),

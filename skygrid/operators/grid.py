@@ -25,6 +25,8 @@ from skygrid.sources.schema import DECL, RA, SOURCE_ID
 CELL_KEYS = ("cell_i", "cell_j")
 # Target rows per task when ranking the rows of overfull cells.
 ROWS_PER_TASK = 2_000_000
+# Broadcast the per-(partition, group) offset table up to this many rows.
+MAX_OFFSET_BROADCAST = 1_000_000
 
 
 def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
@@ -73,7 +75,8 @@ def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> D
             .withColumn("bar", log_bar("n_rows")))
 
 
-def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None = None) -> DataFrame:
+def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None = None,
+                max_groups: int = 26 * 26) -> DataFrame:
     """Exact 1-based rank of each row inside its group by a unique ``order_col``.
 
     A group may be any size: rows are range-partitioned on (keys, order_col),
@@ -81,7 +84,8 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
     partition comes from ``monotonically_increasing_id`` after a local sort;
     a small table of per-(partition, group) counts gives the rows of the same
     group in earlier partitions.  That table has at most
-    ``partitions + groups`` rows, so broadcasting it is bounded.
+    ``partitions + groups`` rows; it is broadcast while that bound is small
+    (``max_groups`` is the caller's bound on the number of groups).
 
     The ids are materialised once as a table in the shared checkpoint
     folder: both consumers (the offset table and the rows) then read
@@ -102,7 +106,9 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
                 .agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     w = Window.partitionBy(*keys).orderBy("_pid")
     offsets = per_part.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt")).drop("_cnt")
-    return (ordered.join(F.broadcast(offsets), ["_pid", *keys])
+    if num_partitions + max_groups <= MAX_OFFSET_BROADCAST:
+        offsets = F.broadcast(offsets)
+    return (ordered.join(offsets, ["_pid", *keys])
             .withColumn("rank", F.col("_before") + (F.col("_rid") - F.col("_first")) + 1)
             .drop("_rid", "_pid", "_first", "_before"))
 
@@ -136,7 +142,8 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
     cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
     parts = max(1, -(-hot_rows // rows_per_task))
-    hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts)
+    hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts,
+                      max_groups=len(hot_cells))
     hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
            .drop("rank"))
     return named(cold.unionByName(hot))

@@ -34,8 +34,8 @@ def read_sources(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Da
     """Source catalogue text files with the 107-column schema.
 
     Column pruning reaches the CSV parser, so a 4-column projection parses
-    only those fields.  Rows whose position cannot be read are dropped by
-    :func:`positions_only` callers, never silently padded into results.
+    only those fields.  Short rows are padded with nulls (PERMISSIVE); jobs
+    that need positions filter null RA/Decl explicitly.
     """
     return _csv_reader(spark, source_schema(), mode).csv(path)
 
