@@ -6,6 +6,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 DATA = os.path.join(ROOT, "tests", "data")
 SOURCE_SAMPLE = os.path.join(DATA, "source-sample")
