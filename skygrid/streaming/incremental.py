@@ -61,3 +61,63 @@ def cell_counts(assigned: DataFrame) -> DataFrame:
     State holds one count per cell, bounded by the grid (at most 676 cells).
     """
     return assigned.groupBy("cell_i", "cell_j", "cell").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, checkpoint_dir: str,
+                              cap: int, halo: float = DEFAULT_HALO,
+                              available_now: bool = True) -> StreamingQuery:
+    """Overlapping cells with the per-cell cap, continued across micro-batches.
+
+    Rows fill cells in arrival order (micro-batch, then ``sourceId`` within a
+    batch).  The running count of every cell lives in a small table below
+    ``output_dir/_counts/batch=<id>`` (at most one row per cell); batch ``k``
+    starts from the counts written by the latest earlier batch.  Each batch
+    writes ``output_dir/data/batch=<id>`` with overwrite, so a batch replayed
+    after a failure replaces its own output instead of duplicating it.
+    """
+    from skygrid.operators.grid import rank_within
+
+    counts_root = f"{output_dir.rstrip('/')}/_counts"
+    data_root = f"{output_dir.rstrip('/')}/data"
+
+    def previous_counts(spark: SparkSession, batch_id: int) -> DataFrame | None:
+        try:
+            all_counts = spark.read.parquet(counts_root)
+        except Exception:  # no batch written yet
+            return None
+        done = (all_counts.withColumn("batch", F.col("batch").cast("long"))
+                .where(F.col("batch") < batch_id))
+        last = done.agg(F.max("batch")).first()[0]
+        if last is None:
+            return None
+        return (done.where(F.col("batch") == last).drop("batch")
+                .withColumn("cell_i", F.col("cell_i").cast("int"))
+                .withColumn("cell_j", F.col("cell_j").cast("int")))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        assigned = assigned_stream(batch, grid, overlap=True, halo=halo).select(
+            SOURCE_ID, RA, DECL, "cell_i", "cell_j")
+        prev = previous_counts(spark, batch_id)
+        ranked = rank_within(assigned, ["cell_i", "cell_j"], SOURCE_ID)
+        if prev is not None:
+            ranked = ranked.join(F.broadcast(prev.withColumnRenamed("n_rows", "_before")),
+                                 ["cell_i", "cell_j"], "left")   # at most n*n rows
+        else:
+            ranked = ranked.withColumn("_before", F.lit(None).cast("bigint"))
+        rows = (ranked.withColumn("_rank", F.coalesce(F.col("_before"), F.lit(0)) + F.col("rank"))
+                .withColumn("segment", F.expr(f"CAST((_rank - 1) div {int(cap)} AS INT)"))
+                .select(SOURCE_ID, RA, DECL, "cell_i", "cell_j", "segment"))
+        rows.write.mode("overwrite").partitionBy("cell_i", "cell_j", "segment").parquet(
+            f"{data_root}/batch={batch_id}")
+        batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
+        base = prev if prev is not None else batch_counts.select("cell_i", "cell_j", F.lit(0).cast("bigint").alias("n_rows")).limit(0)
+        new_counts = (base.join(batch_counts, ["cell_i", "cell_j"], "full")
+                      .select("cell_i", "cell_j",
+                              (F.coalesce(F.col("n_rows"), F.lit(0)) + F.coalesce(F.col("_new"), F.lit(0)))
+                              .alias("n_rows")))
+        new_counts.coalesce(1).write.mode("overwrite").parquet(f"{counts_root}/batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

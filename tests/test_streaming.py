@@ -59,3 +59,29 @@ def test_run_partitioning_exclusive_and_overlap(spark, sources):
     assert max(hist.values()) <= 10 and hist["0.2bisbisbis"] == 7
     back = read_by_cell(spark, res.data_path)
     assert back.where(F.col("ra") < 0).count() == 0   # records keep the original RA
+
+
+def test_stream_capped_partition_continues_counts(spark, sources, tmp_path):
+    from skygrid.plans import jobs
+    from skygrid.streaming.incremental import start_capped_partitioning
+    lines = open(SOURCE_SAMPLE).read().splitlines()
+    incoming = tmp_path / "capped-in"
+    incoming.mkdir()
+    # files in sourceId order, so arrival order equals sourceId order
+    rows = sorted(lines, key=lambda l: int(l.split(",")[0]))
+    import os
+    for n, k in enumerate(range(0, len(rows), 20)):
+        f = incoming / f"part-{k:03d}.csv"
+        f.write_text("\n".join(rows[k:k + 20]) + "\n")
+        os.utime(f, (1_700_000_000 + 100 * n, 1_700_000_000 + 100 * n))
+    pts = jobs.wrapped(sources)
+    grid = Grid(zone_of(pts), 3)
+    out, ckpt = fresh_dir(spark, "capped-out"), fresh_dir(spark, "capped-ckpt")
+    q = start_capped_partitioning(read_source_stream(spark, str(incoming), max_files_per_trigger=1),
+                                  grid, out, ckpt, cap=10)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{out}/data")
+    got = sorted((r.sourceId, int(r.cell_i), int(r.cell_j), int(r.segment)) for r in got.collect())
+    want = jobs.capacity_split(jobs.assign_overlap(pts, grid, 0.1), 10)
+    want = sorted((r.sourceId, r.cell_i, r.cell_j, r.segment) for r in want.collect())
+    assert got == want
