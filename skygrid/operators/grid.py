@@ -121,7 +121,8 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     name, the next ``cap`` get ``name + 'bis'``, then ``'bisbis'`` and so on.
     Adds ``segment`` (0 for the original cell) and rewrites ``name``.  Cells
     within the cap pass straight through; only rows of overfull cells are
-    ranked (see :func:`rank_within`).  The hot-cell list is grid-bounded
+    ranked: by a window when they total at most ``rows_per_task`` rows,
+    otherwise by the distributed :func:`rank_within`.  The hot-cell list is grid-bounded
     (at most 676 cells), so it is collected with its counts, which also size
     the range shuffle (``rows_per_task``).
     """
@@ -141,9 +142,14 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     key = F.struct(*[F.col(k) for k in keys])
     is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
     cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
-    parts = max(1, -(-hot_rows // rows_per_task))
-    hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts,
-                      max_groups=len(hot_cells))
+    if hot_rows <= rows_per_task:
+        # All overfull cells together fit one task: a window rank is bounded.
+        w = Window.partitionBy(*keys).orderBy(order_col)
+        hot = assigned.where(is_hot).withColumn("rank", F.row_number().over(w))
+    else:
+        parts = -(-hot_rows // rows_per_task)
+        hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts,
+                          max_groups=len(hot_cells))
     hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
            .drop("rank"))
     return named(cold.unionByName(hot))

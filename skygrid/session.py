@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Inferred IS NOT NULL filters on derived keys (cells, blocks) are pushed
+    # below their projections and re-evaluate the whole key expression per
+    # row; every filter these jobs need is stated explicitly.
+    "spark.sql.constraintPropagation.enabled": "false",
     # Cell directories such as 1.1 and 1.10 must not be read back as doubles.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
