@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import (
@@ -63,16 +63,22 @@ def assign_overlap(positions: DataFrame, grid: Grid, halo: float = DEFAULT_HALO,
             .withColumn("cell", cell_name("cell_i", "cell_j")))
 
 
+def overflow_name(i, j, segment) -> Column:
+    """Cell name ``i.j`` followed by one ``bis`` per overflow generation."""
+    return F.concat(cell_name(i, j), F.repeat(F.lit(OVERFLOW_SUFFIX), segment))
+
+
 def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> DataFrame:
     """Rows per cell plus a log10 bar (partial aggregation before the shuffle).
 
-    Groups on the integer keys; the cell name (a function of the keys and,
-    for overflow cells, the segment) is carried as ``first`` rather than
-    shuffled as a string key.
+    Groups on the integer keys only (fixed-width hash aggregation); the cell
+    name is a function of the keys and is derived after the aggregate.
     """
-    return (assigned.groupBy(*keys).agg(F.first(name).alias(name),
-                                        F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("bar", log_bar("n_rows")))
+    keys = list(keys)
+    counted = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    label = (overflow_name("cell_i", "cell_j", F.col("segment")) if "segment" in keys
+             else cell_name("cell_i", "cell_j"))
+    return counted.withColumn(name, label).withColumn("bar", log_bar("n_rows"))
 
 
 def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None = None,
@@ -136,7 +142,7 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     hot_cells = [tuple(r[k] for k in keys) for r in over]
     hot_rows = sum(r["_n"] for r in over)
     named = lambda df: df.withColumn(
-        name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
+        name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
     if not hot_cells:
         return named(assigned.withColumn("segment", F.lit(0)))
     key = F.struct(*[F.col(k) for k in keys])
