@@ -78,7 +78,7 @@ def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> D
     counted = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     label = (overflow_name("cell_i", "cell_j", F.col("segment")) if "segment" in keys
              else cell_name("cell_i", "cell_j"))
-    return counted.withColumn(name, label).withColumn("bar", log_bar("n_rows"))
+    return counted.select(*keys, label.alias(name), "n_rows", log_bar("n_rows").alias("bar"))
 
 
 def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None = None,

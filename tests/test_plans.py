@@ -25,11 +25,14 @@ def test_plan_properties(spark, name):
         assert len(schema.split(",")) <= 4, schema
 
 
-def test_filters_reach_the_catalogue_scan(spark):
+def test_filters_reach_the_catalogue_scan(spark, tmp_path):
+    import shutil
     from conftest import SOURCE_SAMPLE
     from skygrid.operators.summary import object_extent
     from skygrid.sources.catalogue import read_sources
-    plan = object_extent(read_sources(spark, SOURCE_SAMPLE))._jdf.queryExecution().executedPlan().toString()
+    path = tmp_path / "sources.csv"       # a path no cached frame covers
+    shutil.copy(SOURCE_SAMPLE, path)
+    plan = object_extent(read_sources(spark, str(path)))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(objectId)]" in plan
     assert "ReadSchema: struct<sourceId:bigint,objectId:bigint,ra:double,decl:double>" in plan
     assert "HashAggregate" in plan and "partial_" in plan
