@@ -22,7 +22,7 @@ from skygrid.functions.cells import BLOCK_BYTES
 from skygrid.functions.coords import format_record, unwrap_ra
 from skygrid.operators.summary import (bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
-from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram
+from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram, grid_cells
 from skygrid.plans import jobs
 from skygrid.plans.text import document_lines
 from skygrid.session import fresh_dir
@@ -117,7 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "positions_unwrapped": lambda s, d: jobs.wrapped(sky(s, d)).select(
             SOURCE_ID, unwrap_ra(RA).alias(RA), DECL),
         "format_record": _format_record,
-        "grid_cells": lambda s, d: jobs.grid_for(s, jobs.overlap_grid(sky(s, d))[1]),
+        "grid_cells": lambda s, d: grid_cells(s, jobs.overlap_grid(sky(s, d))[1]),
         "grid_assign": lambda s, d: jobs.grid_assign(sky(s, d)),
         "grid_assign_wrapped": lambda s, d: jobs.grid_assign(sky(s, d), wrap=True),
         "cell_histogram": lambda s, d: jobs.exclusive_histogram(sky(s, d)),

@@ -8,10 +8,10 @@ assignment as a narrow projection with the bounds as literals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.functions.cells import (DEFAULT_CELL_CAP, DEFAULT_HALO, Grid, make_grid)
+from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, make_grid
 from skygrid.functions.coords import format_record, unwrap_ra, wrap_ra
 from skygrid.operators.adaptive import adaptive_split
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes,
@@ -115,6 +115,3 @@ def pairs_planar(sources: DataFrame, eps: float) -> DataFrame:
 def pairs_sphere(sources: DataFrame, eps: float) -> DataFrame:
     return neighbour_pairs_sphere(sources.select(SOURCE_ID, RA, DECL), eps)
 
-
-def grid_for(spark: SparkSession, grid: Grid) -> DataFrame:
-    return grid_cells(spark, grid)

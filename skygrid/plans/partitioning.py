@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, Grid
-from skygrid.functions.coords import log_bar, unwrap_ra
-from skygrid.operators.grid import assign_exclusive
+from skygrid.functions.coords import unwrap_ra
+from skygrid.operators.grid import (assign_exclusive, assign_overlap, capacity_split, cell_histogram,
+                                    grid_cells)
 from skygrid.plans import jobs
 from skygrid.sources.catalogue import read_sources
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
@@ -39,7 +40,7 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str,
     data_path, grid_path = f"{output_path.rstrip('/')}/data", f"{output_path.rstrip('/')}/grid"
     if overlap:
         pts, grid = jobs.overlap_grid(sources, min_cells)
-        rows = jobs.capacity_split(jobs.assign_overlap(pts, grid, halo), cap).select(
+        rows = capacity_split(assign_overlap(pts, grid, halo), cap).select(
             SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment")
         keys = ("cell_i", "cell_j", "segment")
         meta = jobs.grid_metadata(sources, cap, min_cells, halo)
@@ -47,15 +48,11 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str,
         pts, grid = jobs.exclusive_grid(sources, min_cells)
         rows = assign_exclusive(pts, grid).select(SOURCE_ID, RA, DECL, "cell_i", "cell_j")
         keys = ("cell_i", "cell_j")
-        meta = jobs.grid_cells(spark, grid).withColumn("grid_side", F.lit(grid.n))
+        meta = grid_cells(spark, grid).withColumn("grid_side", F.lit(grid.n))
     write_by_cell(rows, data_path, keys=keys)
     meta.coalesce(1).write.mode("errorifexists").json(grid_path)   # at most n*n rows
     written = read_by_cell(spark, data_path)
     if overlap:
         written = written.withColumn("segment", F.col("segment").cast("int"))
-    name = F.concat(F.col("cell_i").cast("string"), F.lit("."), F.col("cell_j").cast("string"))
-    if overlap:
-        name = F.concat(name, F.repeat(F.lit("bis"), F.col("segment")))
-    histogram = (written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-                 .withColumn("cell", name).withColumn("bar", log_bar("n_rows")))
+    histogram = cell_histogram(written, keys)
     return PartitionResult(grid, data_path, grid_path, histogram)
