@@ -102,3 +102,30 @@ def test_input_size_and_min_cells(spark):
     cells = min_cells_from_size(input_size(spark, path), block_bytes=100_000).first()
     assert cells.min_cells == math.ceil(on_disk / 100_000)
     assert cells.grid_side == math.ceil(math.sqrt(cells.min_cells))
+
+
+@pytest.mark.parametrize("seed,eps", [(11, 0.005), (12, 0.05), (13, 0.2)])
+def test_pairs_random_footprints_equal_brute_force(spark, seed, eps):
+    rnd = random.Random(seed)
+    pts = []
+    for k in range(900):
+        kind = rnd.random()
+        if kind < 0.4:      # across RA = 0
+            ra = rnd.choice([rnd.uniform(359.5, 360.0), rnd.uniform(0.0, 0.5)])
+            dec = rnd.uniform(-0.5, 0.5)
+        elif kind < 0.7:    # mid latitude
+            ra, dec = rnd.uniform(100, 101), rnd.uniform(60, 61)
+        else:               # dense clump
+            ra, dec = 200 + rnd.uniform(0, 3 * eps), -30 + rnd.uniform(0, 3 * eps)
+        pts.append((k, ra, dec))
+    df = spark.createDataFrame(pts, "sourceId long, ra double, decl double")
+    got = {(r.id_a, r.id_b) for r in neighbour_pairs_sphere(df, eps).collect()}
+    want = {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:] if _sep(a, b) < eps}
+    border = {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:] if abs(_sep(a, b) - eps) < 1e-12}
+    assert got ^ want <= border and len(want) > 0
+    flat = [(k, ra - 360 if ra > 180 else ra, dec) for k, ra, dec in pts]
+    dfp = spark.createDataFrame(flat, "sourceId long, ra double, decl double")
+    gotp = {(r.id_a, r.id_b) for r in neighbour_pairs(dfp, eps).collect()}
+    wantp = {(a[0], b[0]) for i, a in enumerate(flat) for b in flat[i + 1:]
+             if math.sqrt((b[1] - a[1]) ** 2 + (b[2] - a[2]) ** 2) < eps}
+    assert gotp == wantp
