@@ -104,12 +104,21 @@ def cell_bounds(i, j, grid: Grid) -> dict[str, Column]:
     }
 
 
+# Slack, in cell widths, that absorbs rounding in the candidate bounds; the
+# exact membership test decides, so slack only adds a rare extra candidate.
+_CANDIDATE_SLACK = 1e-6
+
+
 def _candidate_range(x: Column, lo: float, size: float, n: int, halo: float) -> Column:
-    """Superset of the cell indexes whose widened span can hold x."""
+    """Cell indexes whose widened span can hold x.
+
+    ``lo + i*size - halo <= x <= lo + (i+1)*size + halo`` solves to
+    ``ceil((x - halo - lo)/size) - 1 <= i <= floor((x + halo - lo)/size)``.
+    """
     if size <= 0:
         return F.sequence(F.lit(0), F.lit(n - 1))
-    first = F.floor((x - F.lit(halo) - F.lit(lo)) / F.lit(size)).cast("int") - 1
-    last = F.floor((x + F.lit(halo) - F.lit(lo)) / F.lit(size)).cast("int") + 1
+    first = F.ceil((x - F.lit(halo) - F.lit(lo)) / F.lit(size) - F.lit(_CANDIDATE_SLACK)).cast("int") - 1
+    last = F.floor((x + F.lit(halo) - F.lit(lo)) / F.lit(size) + F.lit(_CANDIDATE_SLACK)).cast("int")
     first = F.greatest(F.lit(0), F.least(F.lit(n - 1), first))
     last = F.greatest(F.lit(0), F.least(F.lit(n - 1), last))
     return F.sequence(first, last)
