@@ -102,3 +102,10 @@ def test_short_rows_padded_and_filterable(spark, tmp_path, mode):
     rows = sorted(df.collect())
     assert rows[0].ra == 10.5 and rows[0].decl == -1.25 and rows[0].objectId is None
     assert rows[1].ra is None
+
+
+def test_document_lines_split_on_all_terminators(spark):
+    from skygrid.plans.text import document_lines
+    df = spark.createDataFrame([("a1\r\nb1\rc1\nd1",), ("x\ny\n",), ("",)], "text string")
+    got = sorted(r.value for r in document_lines(df).collect())
+    assert got == sorted(["a1", "b1", "c1", "d1", "x", "y", "", ""])
