@@ -44,7 +44,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide checkpoint folder; set a local one only when unset."""
+    """The cluster-wide checkpoint folder.
+
+    Read from the session; only in local mode (tests) is a temporary folder
+    created when none is set -- on a cluster a missing setting is an error,
+    never a machine-local fallback.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -52,7 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="skygrid-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="skygrid-ckpt-")   # local mode only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
