@@ -180,19 +180,22 @@ def _zone(src: str) -> str:
     return f"""z AS (SELECT min(ra) AS x0, max(ra) AS x1, min(decl) AS y0, max(decl) AS y1 FROM {src})"""
 
 
+def _bp_index(x: str, lo: str, hi: str) -> str:
+    """Breakpoints ``lo + k*step`` (k = 0..n) strictly below x, clamped to n."""
+    step = f"(({hi} - {lo}) / CAST({_N} AS DOUBLE))"
+    bp = lambda k: f"({lo} + CAST({k} AS DOUBLE) * {step})"
+    c0 = f"greatest(0, least({_N + 1}, CAST(ceil(({x} - {lo}) / {step}) AS INTEGER)))"
+    c1 = f"(CASE WHEN {c0} <= {_N} AND {bp(c0)} < {x} THEN {c0} + 1 ELSE {c0} END)"
+    c2 = f"(CASE WHEN {c1} >= 1 AND {bp(f'{c1} - 1')} >= {x} THEN {c1} - 1 ELSE {c1} END)"
+    return f"least({_N}, {c2})"
+
+
 def _excl(src: str) -> str:
     """Exclusive cell assignment of ``src`` (needs CTE z)."""
-    n = f"CAST({_N} AS DOUBLE)"
     return f"""excl AS (
   SELECT p.*, ci AS cell_i,
-         CASE WHEN ci = 0 THEN 0
-              ELSE CASE WHEN decl <= y0 THEN 0
-                        ELSE least({_N}, CAST(ceil((decl - y0) / ((y1 - y0) / {n})) AS INTEGER)) END
-         END AS cell_j
-  FROM (SELECT s.*, z.*,
-               CASE WHEN ra <= x0 THEN 0
-                    ELSE least({_N}, CAST(ceil((ra - x0) / ((x1 - x0) / {n})) AS INTEGER)) END AS ci
-        FROM {src} s, z) p)"""
+         CASE WHEN ci = 0 THEN 0 ELSE {_bp_index('decl', 'y0', 'y1')} END AS cell_j
+  FROM (SELECT s.*, z.*, {_bp_index('ra', 'x0', 'x1')} AS ci FROM {src} s, z) p)"""
 
 
 def _overlap() -> str:

@@ -62,15 +62,25 @@ def _c(x) -> Column:
 
 
 def breakpoint_index(x, lo: float, hi: float, n: int) -> Column:
-    """Number of breakpoints ``lo + k*(hi-lo)/n`` (k = 0..n) strictly below x.
+    """Number of breakpoints ``lo + k*step`` (k = 0..n, ``step = (hi-lo)/n``)
+    strictly below x, clamped to ``n``.
 
     Cells are left-open ``(lo_k, lo_{k+1}]`` numbered from 1; index 0 holds only
-    the minimum edge.  Clamped to ``n`` so the maximum point always lands.
+    the minimum edge, and the clamp lands the maximum point in cell ``n``.
+    ``ceil((x - lo) / step)`` is within one of the count; one exact comparison
+    against the breakpoint values on each side settles points that lie on a
+    breakpoint.
     """
     x = _c(x)
     step = (F.lit(hi) - F.lit(lo)) / F.lit(float(n))
-    return (F.when(x <= F.lit(lo), F.lit(0))
-            .otherwise(F.least(F.lit(n), F.ceil((x - F.lit(lo)) / step).cast("int"))))
+
+    def bp(k: Column) -> Column:
+        return F.lit(lo) + k.cast("double") * step
+
+    c0 = F.greatest(F.lit(0), F.least(F.lit(n + 1), F.ceil((x - F.lit(lo)) / step).cast("int")))
+    c1 = F.when((c0 <= F.lit(n)) & (bp(c0) < x), c0 + 1).otherwise(c0)
+    c2 = F.when((c1 >= F.lit(1)) & (bp(c1 - 1) >= x), c1 - 1).otherwise(c1)
+    return F.least(F.lit(n), c2)
 
 
 def exclusive_cell(ra, decl, grid: Grid) -> tuple[Column, Column]:

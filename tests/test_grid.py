@@ -149,3 +149,24 @@ def test_adaptive_split_invariants(spark):
         for lvl2, i2, j2 in cells:
             if lvl2 > lvl:
                 assert (i2 >> (lvl2 - lvl), j2 >> (lvl2 - lvl)) != (i, j)
+
+
+def test_breakpoint_index_equals_walk_on_breakpoints(spark):
+    from skygrid.functions.cells import breakpoint_index
+    rnd = random.Random(0)
+    rows, want = [], []
+    for t in range(12):
+        x0 = rnd.uniform(-10, 360)
+        x1 = x0 + rnd.choice([rnd.uniform(1e-3, 5), rnd.uniform(1, 400)])
+        n = rnd.randint(1, 26)
+        bps = [x0 + k * ((x1 - x0) / n) for k in range(n + 1)]
+        for x in bps + [rnd.uniform(x0 - 1, x1 + 1) for _ in range(10)] + [x1]:
+            rows.append((t, x0, x1, n, float(x)))
+            want.append(min(n, sum(1 for b in bps if b < x)))
+    got = []
+    for t in range(12):
+        sub = [r for r in rows if r[0] == t]
+        _, x0, x1, n, _ = sub[0]
+        df = spark.createDataFrame([(r[4],) for r in sub], "x double")
+        got += [r.i for r in df.select(breakpoint_index("x", x0, x1, n).alias("i")).collect()]
+    assert got == want
