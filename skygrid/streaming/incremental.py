@@ -111,7 +111,8 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
         rows.write.mode("overwrite").partitionBy("cell_i", "cell_j", "segment").parquet(
             f"{data_root}/batch={batch_id}")
         batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
-        base = prev if prev is not None else batch_counts.select("cell_i", "cell_j", F.lit(0).cast("bigint").alias("n_rows")).limit(0)
+        base = prev if prev is not None else spark.createDataFrame(
+            [], "cell_i int, cell_j int, n_rows bigint")
         new_counts = (base.join(batch_counts, ["cell_i", "cell_j"], "full")
                       .select("cell_i", "cell_j",
                               (F.coalesce(F.col("n_rows"), F.lit(0)) + F.coalesce(F.col("_new"), F.lit(0)))
