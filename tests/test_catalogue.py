@@ -109,3 +109,13 @@ def test_document_lines_split_on_all_terminators(spark):
     df = spark.createDataFrame([("a1\r\nb1\rc1\nd1",), ("x\ny\n",), ("",)], "text string")
     got = sorted(r.value for r in document_lines(df).collect())
     assert got == sorted(["a1", "b1", "c1", "d1", "x", "y", "", ""])
+
+
+def test_failfast_rejects_bad_numbers_in_read_columns(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("1,0,3,NULL,5,6,abc,7,8,-1.25\n")
+    with pytest.raises(Exception):
+        read_sources(spark, str(p), "FAILFAST").select("ra", "decl").collect()
+    # PERMISSIVE keeps the row with a null position instead
+    rows = read_sources(spark, str(p)).select("ra", "decl").collect()
+    assert rows[0].ra is None and rows[0].decl == -1.25
