@@ -43,16 +43,23 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str,
         rows = capacity_split(assign_overlap(pts, grid, halo), cap).select(
             SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment")
         keys = ("cell_i", "cell_j", "segment")
-        meta = jobs.grid_metadata(sources, cap, min_cells, halo)
     else:
         pts, grid = jobs.exclusive_grid(sources, min_cells)
         rows = assign_exclusive(pts, grid).select(SOURCE_ID, RA, DECL, "cell_i", "cell_j")
         keys = ("cell_i", "cell_j")
-        meta = grid_cells(spark, grid).withColumn("grid_side", F.lit(grid.n))
     write_by_cell(rows, data_path, keys=keys)
-    meta.coalesce(1).write.mode("errorifexists").json(grid_path)   # at most n*n rows
     written = read_by_cell(spark, data_path)
     if overlap:
         written = written.withColumn("segment", F.col("segment").cast("int"))
     histogram = cell_histogram(written, keys)
+    # Grid description with members per cell, taken from what was written
+    # (partition columns only) rather than another pass over the input.
+    members = written.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("members"))
+    meta = (grid_cells(spark, grid).join(members, ["cell_i", "cell_j"], "left")   # <= n*n rows each
+            .withColumn("members", F.coalesce(F.col("members"), F.lit(0)))
+            .withColumn("grid_side", F.lit(grid.n)))
+    if overlap:
+        meta = (meta.withColumn("segments", F.expr(f"CAST((members + {cap - 1}) div {cap} AS INT)"))
+                .withColumn("halo", F.lit(float(halo))))
+    meta.coalesce(1).write.mode("errorifexists").json(grid_path)
     return PartitionResult(grid, data_path, grid_path, histogram)

@@ -85,3 +85,13 @@ def test_stream_capped_partition_continues_counts(spark, sources, tmp_path):
     want = jobs.capacity_split(jobs.assign_overlap(pts, grid, 0.1), 10)
     want = sorted((r.sourceId, r.cell_i, r.cell_j, r.segment) for r in want.collect())
     assert got == want
+
+
+def test_run_partitioning_grid_file(spark):
+    from skygrid.plans.partitioning import run_partitioning
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog3"), min_cells=9,
+                           overlap=True, cap=10)
+    meta = {r.cell_i * 10 + r.cell_j: r for r in spark.read.json(res.grid_path).collect()}
+    assert len(meta) == 9
+    assert sum(r.members for r in meta.values()) == 3 * (19 + 13 + 37)
+    assert meta[2].members == 37 and meta[2].segments == 4 and meta[2].grid_side == 3
