@@ -167,6 +167,6 @@ def assign_stripes(positions: DataFrame, ra: str = RA, stripes: int = STRIPES,
     i = stripe_index(ra, stripes)
     with_i = positions.withColumn("_own", i)
     nb = stripe_neighbour(ra, F.col("_own"), stripes, proximity)
-    return (with_i.withColumn("stripe", F.explode(F.filter(F.array(F.col("_own"), nb),
-                                                           lambda s: s.isNotNull())))
+    return (with_i.withColumn("stripe", F.explode(F.array(F.col("_own"), nb)))
+            .where(F.col("stripe").isNotNull())
             .drop("_own"))

@@ -99,11 +99,10 @@ def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra:
         gy = {0: F.lit(0.0), 1: F.col("_gd"), -1: F.col("_gu")}[dy]
         return (gx * gx + gy * gy) < F.lit(eps * eps * _SLACK)
 
-    offsets = F.filter(
-        F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), reach(dx, dy).alias("ok"))
-                  for dx, dy in _HALF]),
-        lambda o: o["ok"])
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), reach(dx, dy).alias("ok"))
+                        for dx, dy in _HALF])
     probe = (gaps.select("*", F.explode(offsets).alias("_o"))
+             .where(F.col("_o.ok"))
              .select(F.col("_id").alias("_id2"), F.col("_x").alias("_x2"), F.col("_y").alias("_y2"),
                      (F.col("_bx") - F.col("_o.dx")).alias("_bx"),
                      (F.col("_by") - F.col("_o.dy")).alias("_by"),
@@ -183,13 +182,17 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     # Zone below, only within eps of this zone's lower edge: own block, and
     # the side blocks within alpha.
     to_lower = F.col("_dec") - (F.col("_z") * F.lit(height) - F.lit(90.0))
-    below_blocks = F.array_distinct(F.filter(F.array(
-        b1,
-        F.when(near(F.col("_gl1"), F.col("_a1")), F.pmod(b1 - 1, nb1)),
-        F.when(near(F.col("_gr1"), F.col("_a1")), F.pmod(b1 + 1, nb1))), lambda x: x.isNotNull()))
+    # With one RA block the side blocks are the block itself; with three or
+    # more the three candidates are distinct.
+    below_blocks = F.array(
+        F.struct(b1.alias("b"), F.lit(True).alias("ok")),
+        F.struct(F.pmod(b1 - 1, nb1).alias("b"), ((nb1 > 1) & near(F.col("_gl1"), F.col("_a1"))).alias("ok")),
+        F.struct(F.pmod(b1 + 1, nb1).alias("b"), ((nb1 > 1) & near(F.col("_gr1"), F.col("_a1"))).alias("ok")))
     below = (pts.where(near(to_lower, F.lit(eps)))
              .select("_id", "_ra", "_dec", (F.col("_z") - 1).alias("_zp"),
-                     F.explode(below_blocks).alias("_b"), F.lit(False).alias("_d0")))
+                     F.explode(below_blocks).alias("_o"))
+             .where(F.col("_o.ok"))
+             .select("_id", "_ra", "_dec", "_zp", F.col("_o.b").alias("_b"), F.lit(False).alias("_d0")))
     probe = same.unionByName(below).select(
         F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
         "_zp", "_b", "_d0")
