@@ -1,7 +1,8 @@
 """Physical-plan properties of every registered query.
 
 No Cartesian product or nested-loop join, no sort-based or object
-aggregation, no Python evaluation, and every file scan reads a pruned schema
+aggregation, no Python evaluation, no interpreted lambda functions, and every
+file scan reads a pruned schema
 (the stand-in catalogue reads two or three of the six ``events`` columns).
 """
 
@@ -13,7 +14,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate",
-             "ObjectHashAggregate", "BatchEvalPython", "ArrowEvalPython")
+             "ObjectHashAggregate", "BatchEvalPython", "ArrowEvalPython", "lambdafunction")
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
