@@ -129,3 +129,12 @@ def test_pairs_random_footprints_equal_brute_force(spark, seed, eps):
     wantp = {(a[0], b[0]) for i, a in enumerate(flat) for b in flat[i + 1:]
              if math.sqrt((b[1] - a[1]) ** 2 + (b[2] - a[2]) ** 2) < eps}
     assert gotp == wantp
+
+
+def test_separation_spot_values(spark):
+    from skygrid.functions.coords import separation_deg
+    rows = [(0.0, 0.0, 0.0, 1.0, 1.0), (10.0, 0.0, 20.0, 0.0, 10.0), (0.0, 89.5, 180.0, 89.5, 1.0),
+            (359.5, 0.0, 0.5, 0.0, 1.0), (0.0, -90.0, 0.0, 90.0, 180.0)]
+    df = spark.createDataFrame(rows, "r1 double, d1 double, r2 double, d2 double, want double")
+    for r in df.select(separation_deg("r1", "d1", "r2", "d2").alias("got"), "want").collect():
+        assert abs(r.got - r.want) < 1e-9
