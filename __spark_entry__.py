@@ -184,10 +184,10 @@ def _bp_index(x: str, lo: str, hi: str) -> str:
     """Breakpoints ``lo + k*step`` (k = 0..n) strictly below x, clamped to n."""
     step = f"(({hi} - {lo}) / CAST({_N} AS DOUBLE))"
     bp = lambda k: f"({lo} + CAST({k} AS DOUBLE) * {step})"
-    c0 = f"greatest(0, least({_N + 1}, CAST(ceil(({x} - {lo}) / {step}) AS INTEGER)))"
-    c1 = f"(CASE WHEN {c0} <= {_N} AND {bp(c0)} < {x} THEN {c0} + 1 ELSE {c0} END)"
-    c2 = f"(CASE WHEN {c1} >= 1 AND {bp(f'{c1} - 1')} >= {x} THEN {c1} - 1 ELSE {c1} END)"
-    return f"least({_N}, {c2})"
+    c = f"greatest(0, least({_N + 1}, CAST(ceil(({x} - {lo}) / {step}) AS INTEGER)))"
+    up = f"(CASE WHEN {bp(c)} < {x} THEN 1 ELSE 0 END)"
+    down = f"(CASE WHEN {bp(f'{c} - 1')} >= {x} THEN 1 ELSE 0 END)"
+    return f"least({_N}, greatest(0, {c} + {up} - {down}))"
 
 
 def _excl(src: str) -> str:

@@ -77,10 +77,12 @@ def breakpoint_index(x, lo: float, hi: float, n: int) -> Column:
     def bp(k: Column) -> Column:
         return F.lit(lo) + k.cast("double") * step
 
-    c0 = F.greatest(F.lit(0), F.least(F.lit(n + 1), F.ceil((x - F.lit(lo)) / step).cast("int")))
-    c1 = F.when((c0 <= F.lit(n)) & (bp(c0) < x), c0 + 1).otherwise(c0)
-    c2 = F.when((c1 >= F.lit(1)) & (bp(c1 - 1) >= x), c1 - 1).otherwise(c1)
-    return F.least(F.lit(n), c2)
+    # c is within one of the count t: c = t-1 has bp(c) < x, c = t+1 has
+    # bp(c-1) >= x, c = t has neither -- one adjustment settles all three.
+    c = F.greatest(F.lit(0), F.least(F.lit(n + 1), F.ceil((x - F.lit(lo)) / step).cast("int")))
+    up = F.when(bp(c) < x, F.lit(1)).otherwise(F.lit(0))
+    down = F.when(bp(c - 1) >= x, F.lit(1)).otherwise(F.lit(0))
+    return F.least(F.lit(n), F.greatest(F.lit(0), c + up - down))
 
 
 def exclusive_cell(ra, decl, grid: Grid) -> tuple[Column, Column]:
@@ -91,9 +93,14 @@ def exclusive_cell(ra, decl, grid: Grid) -> tuple[Column, Column]:
     """
     z = grid.zone
     i = breakpoint_index(ra, z.min_ra, z.max_ra, grid.n)
-    j = F.when(i == 0, F.lit(0)).otherwise(
+    return i, exclusive_cell_j(decl, i, grid)
+
+
+def exclusive_cell_j(decl, i, grid: Grid) -> Column:
+    """Decl index given the RA index ``i`` (a column or expression)."""
+    z = grid.zone
+    return F.when(_c(i) == 0, F.lit(0)).otherwise(
         breakpoint_index(decl, z.min_decl, z.max_decl, grid.n))
-    return i, j
 
 
 def cell_name(i, j) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import (
     DEFAULT_CELL_CAP, DEFAULT_HALO, OVERFLOW_SUFFIX, STRIPE_PROXIMITY, STRIPES, Grid,
-    cell_bounds, cell_name, exclusive_cell, in_widened_cell, overlap_candidates,
+    cell_bounds, cell_name, exclusive_cell, exclusive_cell_j, in_widened_cell, overlap_candidates,
     stripe_index, stripe_neighbour)
 from skygrid.functions.coords import log_bar
 from skygrid.session import cut_lineage
@@ -42,8 +42,9 @@ def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
 
 def assign_exclusive(positions: DataFrame, grid: Grid, ra: str = RA, decl: str = DECL) -> DataFrame:
     """Adds ``cell_i``, ``cell_j``, ``cell``: one cell per row (narrow)."""
-    i, j = exclusive_cell(ra, decl, grid)
-    return (positions.withColumn("cell_i", i).withColumn("cell_j", j)
+    i, _ = exclusive_cell(ra, decl, grid)
+    return (positions.withColumn("cell_i", i)
+            .withColumn("cell_j", exclusive_cell_j(decl, "cell_i", grid))
             .withColumn("cell", cell_name("cell_i", "cell_j")))
 
 
