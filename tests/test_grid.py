@@ -170,3 +170,45 @@ def test_breakpoint_index_equals_walk_on_breakpoints(spark):
         df = spark.createDataFrame([(r[4],) for r in sub], "x double")
         got += [r.i for r in df.select(breakpoint_index("x", x0, x1, n).alias("i")).collect()]
     assert got == want
+
+
+def _stripes_walk(ra, stripes=40, proximity=1):
+    width = 360 // stripes
+    borders = list(range(0, 361, width))
+    i = 0
+    while ra > borders[i]:
+        i += 1
+    out = [i]
+    if i == 1:
+        if ra <= proximity:
+            out.append(stripes)
+        elif ra >= width - proximity:
+            out.append(2)
+    elif i == stripes:
+        if ra <= (i - 1) * width + proximity:
+            out.append(i - 1)
+        elif ra >= 360 - proximity:
+            out.append(1)
+    else:
+        if ra <= (i - 1) * width + proximity:
+            out.append(i - 1)
+        elif ra >= i * width - proximity:
+            out.append(i + 1)
+    return sorted(out)
+
+
+def test_stripes_equal_walk_on_random_and_border_values(spark):
+    from hypothesis import given, settings, strategies as st
+    values = [float(v) for v in range(0, 361)] + [v + d for v in range(0, 361, 9) for d in (-1.0, 1.0, -1e-9, 1e-9)]
+
+    @settings(max_examples=1, deadline=None)
+    @given(st.lists(st.floats(min_value=0.0, max_value=360.0, allow_nan=False), min_size=200, max_size=200))
+    def check(randoms):
+        pts = [v for v in values + randoms if 0.0 <= v <= 360.0]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(pts)], "k long, ra double")
+        got = {}
+        for r in assign_stripes(df).collect():
+            got.setdefault(r.k, []).append(r.stripe)
+        for k, v in enumerate(pts):
+            assert sorted(got[k]) == _stripes_walk(v), v
+    check()
