@@ -30,9 +30,10 @@ _HALF = [(0, 0), (1, -1), (1, 0), (1, 1), (0, 1)]
 
 # Blocks with more points than this are split into salted sub-blocks.
 DEFAULT_HOT_ROWS = 200_000
-# The hot-block table is broadcast only while it has at most this many rows;
-# there can be at most (rows / hot_rows) hot blocks.
-MAX_HOT_BROADCAST = 100_000
+# The hot-block table (two longs and an int per row) is broadcast only while
+# it has at most this many rows; there can be at most (rows / hot_rows) hot
+# blocks.
+MAX_HOT_BROADCAST = 1_000_000
 
 
 def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], id_col: str,
@@ -50,9 +51,13 @@ def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], id_col: str
            .where(F.col("_n") > hot_rows)
            .select(*keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_s")))
     n_hot = hot.count()
-    if n_hot == 0:
+    if n_hot == 0 or n_hot > MAX_HOT_BROADCAST:
+        # No hot block -- or so many that each holds a small share of the
+        # data: a plain join, whose skewed partitions adaptive execution splits.
+        # (Attaching salts through a shuffle join on the hot keys would itself
+        # be skewed.)
         return base.join(probe, keys)
-    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_BROADCAST else hot
+    hot_side = F.broadcast(hot)
     salted_base = (base.join(hot_side, keys, "left")
                    .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
                                .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int")))
