@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import Zone
@@ -23,7 +23,7 @@ def count_by_object(sources: DataFrame, key: str = OBJECT_ID) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
-def text_order_key(id_col) -> "Column":
+def text_order_key(id_col) -> Column:
     """A fixed-width number ordered like the decimal text of an integer id.
 
     Text order compares digit by digit and puts a prefix first ("9" > "10",
@@ -41,20 +41,45 @@ def text_order_key(id_col) -> "Column":
     return F.when(v < 0, key - below_all).otherwise(key).cast("decimal(38,0)")
 
 
+_MAX_DIGITS = 19  # digits of the largest 64-bit id
+
+
+def digit_count(v) -> Column:
+    """Decimal digits of a non-negative integer column (branch-free of strings)."""
+    v = F.col(v) if isinstance(v, str) else v
+    n = F.lit(_MAX_DIGITS)
+    for k in range(_MAX_DIGITS - 1, 0, -1):
+        n = F.when(v < F.lit(10 ** k), F.lit(k)).otherwise(n)
+    return n
+
+
 def object_extent(sources: DataFrame, key: str = OBJECT_ID, source_id: str = SOURCE_ID,
                   ra: str = RA, decl: str = DECL) -> DataFrame:
     """Per object: count, latest source id and the RA/Decl extent.
 
     "Latest" compares source ids as text, as the catalogue tools do; it
-    equals the numeric maximum only for ids of equal length.
+    equals the numeric maximum only for ids of equal length.  Ids with the
+    same number of digits compare as text exactly as they do as numbers, so
+    one pass keeps a plain maximum per digit count (fixed-width, hash
+    aggregation) and the text-greatest of those at most 19 candidates is
+    picked per object after the aggregate.  Negative ids (text "-..." sorts
+    below every digit) use :func:`text_order_key`, evaluated on those rows only.
     """
-    return (sources.where(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n_sources"),
-                 F.max_by(F.col(source_id), text_order_key(source_id)).cast("string")
-                  .alias("last_source_id"),
-                 F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),
-                 F.min(decl).alias("min_decl"), F.max(decl).alias("max_decl")))
+    sid = F.col(source_id)
+    rows = (sources.where(F.col(key).isNotNull())
+            .withColumn("_digits", digit_count(sid)))
+    per_length = [F.max(F.when((sid >= 0) & (F.col("_digits") == n), sid)).alias(f"_t{n}")
+                  for n in range(1, _MAX_DIGITS + 1)]
+    negative = F.max_by(sid, F.when(sid < 0, text_order_key(sid))).alias("_tneg")
+    agg = (rows.groupBy(key)
+           .agg(F.count(F.lit(1)).alias("n_sources"), *per_length, negative,
+                F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),
+                F.min(decl).alias("min_decl"), F.max(decl).alias("max_decl")))
+    latest = F.coalesce(
+        F.greatest(*[F.col(f"_t{n}").cast("string") for n in range(1, _MAX_DIGITS + 1)]),
+        F.col("_tneg").cast("string"))
+    return agg.select(key, "n_sources", latest.alias("last_source_id"),
+                      "min_ra", "max_ra", "min_decl", "max_decl")
 
 
 def bounding_zone(positions: DataFrame, ra: str = RA, decl: str = DECL) -> DataFrame:
