@@ -44,40 +44,72 @@ def text_order_key(id_col) -> Column:
 _MAX_DIGITS = 19  # digits of the largest 64-bit id
 
 
-def digit_count(v) -> Column:
-    """Decimal digits of a non-negative integer column (branch-free of strings)."""
-    v = F.col(v) if isinstance(v, str) else v
+def _digits_below(v: Column, offset: int = 0) -> Column:
+    """Digits of ``v + offset`` for ``v + offset`` >= 0, by comparisons only."""
     n = F.lit(_MAX_DIGITS)
     for k in range(_MAX_DIGITS - 1, 0, -1):
-        n = F.when(v < F.lit(10 ** k), F.lit(k)).otherwise(n)
+        n = F.when(v < F.lit(10 ** k - offset), F.lit(k)).otherwise(n)
     return n
 
 
+def digit_count(v) -> Column:
+    """Decimal digits of a non-negative integer column (no string conversion)."""
+    return _digits_below(F.col(v) if isinstance(v, str) else v)
+
+
+_LONG_MIN = -(2 ** 63)
+
+
+def _with_text_order_columns(df: DataFrame, sid: str) -> DataFrame:
+    """Per-row helper columns for :func:`_latest_text_aggregates`.
+
+    ``_d``: digits of ``|v|``; ``_e``: an order-preserving code -- ``v`` for
+    ``v >= 0`` and ``MIN + (|v| - 1)`` (in ``[MIN, -1]``, no overflow) for
+    ``v < 0`` -- so every non-negative id outranks every negative one, and
+    within one digit count a larger magnitude ranks higher, as in text order.
+    """
+    v = F.col(sid)
+    return (df.withColumn("_e", F.when(v >= 0, v).otherwise(-(v + 1) + F.lit(_LONG_MIN)))
+            .withColumn("_d", F.when(v >= 0, _digits_below(v))
+                        .otherwise(_digits_below(-(v + 1), 1))))
+
+
+def _latest_text_aggregates() -> tuple[list[Column], Column]:
+    """Aggregates and final expression for the text-greatest id.
+
+    Ids with the same number of digits compare as text exactly as they do
+    as numbers, so one pass keeps a plain maximum of the code per digit
+    count -- 19 long buffers, hash aggregation, no per-row strings or
+    decimals -- and the text-greatest candidate is chosen once per group.
+    Negative ids ("-" sorts below every digit) only win in a group without
+    any other id.  Needs the columns of :func:`_with_text_order_columns`.
+    """
+    digits = range(1, _MAX_DIGITS + 1)
+    aggs = [F.max(F.when(F.col("_d") == n, F.col("_e"))).alias(f"_t{n}") for n in digits]
+    pos_text = F.greatest(*[F.when(F.col(f"_t{n}") >= 0, F.col(f"_t{n}").cast("string"))
+                            for n in digits])
+    neg_text = F.greatest(*[
+        F.when(F.col(f"_t{n}") < 0, F.concat(F.lit("-"), (
+            F.col(f"_t{n}").cast("decimal(20,0)") - F.lit(_LONG_MIN).cast("decimal(20,0)") + 1)
+            .cast("decimal(20,0)").cast("string")))
+        for n in digits])
+    return aggs, F.coalesce(pos_text, neg_text)
+
+
 def object_extent(sources: DataFrame, key: str = OBJECT_ID, source_id: str = SOURCE_ID,
                   ra: str = RA, decl: str = DECL) -> DataFrame:
     """Per object: count, latest source id and the RA/Decl extent.
 
     "Latest" compares source ids as text, as the catalogue tools do; it
-    equals the numeric maximum only for ids of equal length.  Ids with the
-    same number of digits compare as text exactly as they do as numbers, so
-    one pass keeps a plain maximum per digit count (fixed-width, hash
-    aggregation) and the text-greatest of those at most 19 candidates is
-    picked per object after the aggregate.  Negative ids (text "-..." sorts
-    below every digit) use :func:`text_order_key`, evaluated on those rows only.
+    equals the numeric maximum only for ids of equal length (see
+    :func:`_latest_text_aggregates`: every aggregate buffer is fixed-width).
     """
-    sid = F.col(source_id)
-    rows = (sources.where(F.col(key).isNotNull())
-            .withColumn("_digits", digit_count(sid)))
-    per_length = [F.max(F.when((sid >= 0) & (F.col("_digits") == n), sid)).alias(f"_t{n}")
-                  for n in range(1, _MAX_DIGITS + 1)]
-    negative = F.max_by(sid, F.when(sid < 0, text_order_key(sid))).alias("_tneg")
+    latest_aggs, latest = _latest_text_aggregates()
+    rows = _with_text_order_columns(sources.where(F.col(key).isNotNull()), source_id)
     agg = (rows.groupBy(key)
-           .agg(F.count(F.lit(1)).alias("n_sources"), *per_length, negative,
+           .agg(F.count(F.lit(1)).alias("n_sources"), *latest_aggs,
                 F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),
                 F.min(decl).alias("min_decl"), F.max(decl).alias("max_decl")))
-    latest = F.coalesce(
-        F.greatest(*[F.col(f"_t{n}").cast("string") for n in range(1, _MAX_DIGITS + 1)]),
-        F.col("_tneg").cast("string"))
     return agg.select(key, "n_sources", latest.alias("last_source_id"),
                       "min_ra", "max_ra", "min_decl", "max_decl")
 

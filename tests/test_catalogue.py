@@ -119,3 +119,12 @@ def test_failfast_rejects_bad_numbers_in_read_columns(spark, tmp_path):
     # PERMISSIVE keeps the row with a null position instead
     rows = read_sources(spark, str(p)).select("ra", "decl").collect()
     assert rows[0].ra is None and rows[0].decl == -1.25
+
+
+def test_latest_source_text_order_edge_ids(spark):
+    groups = {1: [-5, -40, -123], 2: [-(2 ** 63), -9], 3: [0, -1], 4: [9, 10, 1, 100],
+              5: [2 ** 63 - 1, 999999999999999999], 6: [120, 12, 1200]}
+    rows = [(g, v, 0.0, 0.0) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "objectId long, sourceId long, ra double, decl double")
+    got = {r.objectId: r.last_source_id for r in object_extent(df).collect()}
+    assert got == {g: max(str(v) for v in vs) for g, vs in groups.items()}
