@@ -34,39 +34,55 @@ DEFAULT_HOT_ROWS = 200_000
 # it has at most this many rows; there can be at most (rows / hot_rows) hot
 # blocks.
 MAX_HOT_BROADCAST = 1_000_000
+# Rows a join task should sort (base plus probe rows); sets the join's
+# partition count for large inputs.
+ROWS_PER_JOIN_TASK = 1_000_000
 
 
 def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], id_col: str,
-                 hot_rows: int) -> DataFrame:
-    """Equi-join ``base`` and ``probe`` on ``keys``, splitting hot keys.
-
-    Per-key base counts are pre-aggregated (partial aggregation).  A key with
-    ``n > hot_rows`` base rows gets ``s = ceil(n / hot_rows)`` salts: each base
-    row takes one salt from a hash of its id, each probe row of that key is
-    replicated to every salt.  Every (base, probe) pair still meets exactly
-    once, and no task receives more than about ``hot_rows`` base rows of one
-    key.
+                 hot_rows: int, probe_factor: int) -> DataFrame:
+    """Equi-join ``base`` and ``probe`` on ``keys``, sized and with hot keys split.
+
+    One pass over the per-key base counts (partial aggregation) gives the
+    total rows and the hot keys.  The join is hash-partitioned into enough
+    partitions that a task sorts about ``ROWS_PER_JOIN_TASK`` rows (base rows
+    plus at most ``probe_factor`` probe rows each) -- only when that exceeds
+    the session's shuffle partitions, so small inputs keep the planner's
+    choice (e.g. a broadcast join).  A key with ``n > hot_rows`` base rows
+    gets ``s = ceil(n / hot_rows)`` salts: each base row takes one salt from
+    a hash of its id, each probe row of that key is replicated to every salt.
+    Every (base, probe) pair still meets exactly once.
     """
-    hot = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows)
-           .select(*keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_s")))
-    n_hot = hot.count()
+    spark = base.sparkSession
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                       F.count_if(F.col("_n") > hot_rows).alias("hot")).first()
+    parts = -(-int(stats["rows"]) * (1 + probe_factor) // ROWS_PER_JOIN_TASK)
+    sized = parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_hot = int(stats["hot"])
     if n_hot == 0 or n_hot > MAX_HOT_BROADCAST:
         # No hot block -- or so many that each holds a small share of the
         # data: a plain join, whose skewed partitions adaptive execution splits.
         # (Attaching salts through a shuffle join on the hot keys would itself
         # be skewed.)
+        if sized:
+            return base.repartition(parts, *keys).join(probe.repartition(parts, *keys), keys)
         return base.join(probe, keys)
-    hot_side = F.broadcast(hot)
-    salted_base = (base.join(hot_side, keys, "left")
+    hot = F.broadcast(counts.where(F.col("_n") > hot_rows)
+                      .select(*keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_s")))
+    salted_base = (base.join(hot, keys, "left")
                    .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
                                .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int")))
                    .drop("_s"))
-    salted_probe = (probe.join(hot_side, keys, "left")
+    salted_probe = (probe.join(hot, keys, "left")
                     .withColumn("_salt", F.explode(F.when(F.col("_s").isNull(), F.array(F.lit(0)))
                                                    .otherwise(F.sequence(F.lit(0), F.col("_s") - 1))))
                     .drop("_s"))
-    return salted_base.join(salted_probe, keys + ["_salt"]).drop("_salt")
+    join_keys = keys + ["_salt"]
+    if sized:
+        salted_base = salted_base.repartition(parts, *join_keys)
+        salted_probe = salted_probe.repartition(parts, *join_keys)
+    return salted_base.join(salted_probe, join_keys).drop("_salt")
 
 
 def _pair_columns(a: str, b: str) -> list[Column]:
@@ -115,7 +131,7 @@ def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra:
     dx = F.col("_x2") - F.col("_x")
     dy = F.col("_y2") - F.col("_y")
     dist = F.sqrt(dx * dx + dy * dy)
-    joined = (_salted_join(pts, probe, ["_bx", "_by"], "_id", hot_rows)
+    joined = (_salted_join(pts, probe, ["_bx", "_by"], "_id", hot_rows, probe_factor=len(_HALF))
               .where((~F.col("_same") | (F.col("_id") < F.col("_id2"))) & (dist < F.lit(eps))))
     cols = _pair_columns("_id", "_id2")
     if with_distance:
@@ -203,7 +219,7 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
         "_zp", "_b", "_d0")
     # Within one block of one zone each pair meets twice: keep one orientation.
     h = haversine_term("_ra", "_dec", "_ra2", "_dec2")
-    return (_salted_join(base, probe, ["_zp", "_b"], "_id", hot_rows)
+    return (_salted_join(base, probe, ["_zp", "_b"], "_id", hot_rows, probe_factor=5)
             .where((~F.col("_d0") | (F.col("_id") < F.col("_id2")))
                    & (h < F.lit(haversine_threshold(eps))))
             .select(*_pair_columns("_id", "_id2")))

@@ -138,3 +138,20 @@ def test_separation_spot_values(spark):
     df = spark.createDataFrame(rows, "r1 double, d1 double, r2 double, d2 double, want double")
     for r in df.select(separation_deg("r1", "d1", "r2", "d2").alias("got"), "want").collect():
         assert abs(r.got - r.want) < 1e-9
+
+
+@pytest.mark.parametrize("hot_rows", [200_000, 25])
+def test_pairs_with_sized_join_partitions(spark, monkeypatch, hot_rows):
+    import skygrid.operators.neighbours as N
+    monkeypatch.setattr(N, "ROWS_PER_JOIN_TASK", 500)   # forces the sized (repartitioned) join
+    pts = _points(1200, 21)
+    eps = 0.02
+    df = spark.createDataFrame(pts, "sourceId long, ra double, decl double")
+    got = sorted((r.id_a, r.id_b) for r in neighbour_pairs(df, eps, hot_rows=hot_rows).collect())
+    want = sorted((a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:]
+                  if math.sqrt((b[1] - a[1]) ** 2 + (b[2] - a[2]) ** 2) < eps)
+    assert got == want
+    sph = {(r.id_a, r.id_b) for r in neighbour_pairs_sphere(df, eps, hot_rows=hot_rows).collect()}
+    want_s = {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:] if _sep(a, b) < eps}
+    border = {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:] if abs(_sep(a, b) - eps) < 1e-12}
+    assert sph ^ want_s <= border
