@@ -120,6 +120,22 @@ def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None
             .drop("_rid", "_pid", "_first", "_before"))
 
 
+def ranked(df: DataFrame, keys, order_col: str, total_rows: int, groups: int,
+           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Adds the exact 1-based ``rank`` inside each group, sized by known counts.
+
+    When all rows together fit one task a window rank is bounded; otherwise
+    the distributed :func:`rank_within` with about ``rows_per_task`` rows per
+    range partition.
+    """
+    keys = list(keys)
+    if total_rows <= rows_per_task:
+        w = Window.partitionBy(*keys).orderBy(order_col)
+        return df.withColumn("rank", F.row_number().over(w))
+    parts = -(-total_rows // rows_per_task)
+    return rank_within(df, keys, order_col, num_partitions=parts, max_groups=groups)
+
+
 def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col: str = SOURCE_ID,
                    keys=CELL_KEYS, name: str = "cell", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Cap each cell at ``cap`` rows; later rows go to overflow twins.
@@ -149,14 +165,7 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
     key = F.struct(*[F.col(k) for k in keys])
     is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
     cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
-    if hot_rows <= rows_per_task:
-        # All overfull cells together fit one task: a window rank is bounded.
-        w = Window.partitionBy(*keys).orderBy(order_col)
-        hot = assigned.where(is_hot).withColumn("rank", F.row_number().over(w))
-    else:
-        parts = -(-hot_rows // rows_per_task)
-        hot = rank_within(assigned.where(is_hot), keys, order_col, num_partitions=parts,
-                          max_groups=len(hot_cells))
+    hot = ranked(assigned.where(is_hot), keys, order_col, hot_rows, len(hot_cells), rows_per_task)
     hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
            .drop("rank"))
     return named(cold.unionByName(hot))

@@ -75,7 +75,7 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
     writes ``output_dir/data/batch=<id>`` with overwrite, so a batch replayed
     after a failure replaces its own output instead of duplicating it.
     """
-    from skygrid.operators.grid import rank_within
+    from skygrid.operators.grid import ranked as rank_rows
 
     counts_root = f"{output_dir.rstrip('/')}/_counts"
     data_root = f"{output_dir.rstrip('/')}/data"
@@ -99,7 +99,11 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
         assigned = assigned_stream(batch, grid, overlap=True, halo=halo).select(
             SOURCE_ID, RA, DECL, "cell_i", "cell_j")
         prev = previous_counts(spark, batch_id)
-        ranked = rank_within(assigned, ["cell_i", "cell_j"], SOURCE_ID)
+        batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
+        sizes = batch_counts.agg(F.coalesce(F.sum("_new"), F.lit(0)).alias("rows"),
+                                 F.count(F.lit(1)).alias("cells")).first()   # at most n*n cells
+        ranked = rank_rows(assigned, ["cell_i", "cell_j"], SOURCE_ID, int(sizes["rows"]),
+                           int(sizes["cells"]))
         if prev is not None:
             ranked = ranked.join(F.broadcast(prev.withColumnRenamed("n_rows", "_before")),
                                  ["cell_i", "cell_j"], "left")   # at most n*n rows
@@ -110,7 +114,6 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
                 .select(SOURCE_ID, RA, DECL, "cell_i", "cell_j", "segment"))
         rows.write.mode("overwrite").partitionBy("cell_i", "cell_j", "segment").parquet(
             f"{data_root}/batch={batch_id}")
-        batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
         base = prev if prev is not None else spark.createDataFrame(
             [], "cell_i int, cell_j int, n_rows bigint")
         new_counts = (base.join(batch_counts, ["cell_i", "cell_j"], "full")
