@@ -102,7 +102,8 @@ def _format_record(spark, d):
     return sky(spark, d).select(SOURCE_ID, format_record(RA, DECL).alias("record"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The sky-catalogue queries, without those of the optional ``llm`` subpackage."""
     return {
         "text_scan": _text_scan,
         "source_scan": _source_scan,
@@ -264,7 +265,7 @@ leaf AS (SELECT anc.fi, anc.fj,
          FROM anc JOIN ac USING (level, ai, aj) GROUP BY anc.fi, anc.fj)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     n = f"CAST({_N} AS DOUBLE)"
     hist = """SELECT cell_i, cell_j, CAST(cell_i AS VARCHAR) || '.' || CAST(cell_j AS VARCHAR) AS cell,
        count(*) AS n_rows, repeat('*', CAST(ceil(log10(CAST(count(*) AS DOUBLE))) AS INTEGER)) AS bar
@@ -382,3 +383,27 @@ SELECT f."sourceId", l.level, f.fi >> ({ADAPTIVE_LEVELS} - l.level) AS leaf_i,
        || CAST(f.fj >> ({ADAPTIVE_LEVELS} - l.level) AS VARCHAR) AS leaf
 FROM fine f JOIN leaf l ON f.fi = l.fi AND f.fj = l.fj""",
     }
+
+
+# ----------------------------------------------------------------------------
+# Optional training-data subpackage
+
+def _llm():
+    """``skygrid.llm.queries``, or None where the subpackage is not installed."""
+    try:
+        from skygrid.llm import queries as llm_queries
+    except ModuleNotFoundError as e:
+        if e.name in ("skygrid.llm", "skygrid.llm.queries", "corpus_pipeline"):
+            return None
+        raise
+    return llm_queries
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    return core_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    llm = _llm()
+    return core_oracle_sql() | (llm.oracle_sql() if llm else {})

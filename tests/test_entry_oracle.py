@@ -14,7 +14,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.core_queries()) == set(E.core_oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -22,11 +22,11 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.core_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.core_queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(E.core_oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

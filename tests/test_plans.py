@@ -17,9 +17,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate",
              "ObjectHashAggregate", "BatchEvalPython", "ArrowEvalPython", "lambdafunction")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.core_queries()))
 def test_plan_properties(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.core_queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [op for op in FORBIDDEN if op in plan] == []
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
