@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def text_slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[
     its own.
     """
     start, held = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     for i, n in enumerate(sizes):
         n = n or 0
         if held and held + n > max_bytes:

@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import langid
+from skygrid.llm import decontam, embedding_dedup, langid, simhash
 from skygrid.llm.common import fold, table
 
 
+def op1_embedding_dedup(spark, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_simhash_dedup(spark, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -20,11 +28,34 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
     return langid.identify(docs, dictionaries, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op10_decontamination(spark, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {
+        "op1_embedding_dedup": op1_embedding_dedup,
+        "op3_simhash_dedup": op3_simhash_dedup,
         "op5_language_id": op5_language_id,
+        "op10_decontamination": op10_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    shingles = """list_distinct(CASE WHEN len({w}) = 0 THEN [] WHEN len({w}) < 5 THEN [array_to_string({w}, ' ')]
+       ELSE list_transform(range(1, len({w}) - 3), lambda i: array_to_string(list_slice({w}, i, i + 4), ' ')) END)"""
+    return {
+        # Items of fewer than five words are looked up by the run of all their words.
+        "op10_decontamination": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+i AS (SELECT DISTINCT item_id, text, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark),
+it AS (SELECT item_id, text, {shingles.format(w="w")} AS ss, least(5, len(w)) AS k FROM i WHERE len(w) > 0),
+need AS (SELECT item_id, text, len(ss) AS n, unnest(ss) AS s, k FROM it),
+ds AS (SELECT DISTINCT doc_id, k, s FROM (
+  SELECT doc_id, k, unnest(list_transform(range(1, CAST(len(w) - k + 2 AS BIGINT)),
+         lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS s
+  FROM d CROSS JOIN (SELECT DISTINCT k FROM it) ks WHERE len(w) >= k))
+SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found,
+       CAST(count(*) AS DOUBLE) / CAST(n AS DOUBLE) AS containment
+FROM ds JOIN need USING (s, k) GROUP BY doc_id, item_id, text, n HAVING 5 * count(*) >= 4 * n""",
+    }
