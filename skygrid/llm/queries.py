@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import decontam, embedding_dedup, langid, simhash
+from skygrid.llm import bpe, decontam, embedding_dedup, langid, simhash, token_counts
 from skygrid.llm.common import fold, table
 
+RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
@@ -28,6 +31,18 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
     return langid.identify(docs, dictionaries, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
+                                  public_tokenizers.PATTERN, [F.col("doc_id")])
+
+
+def op7_token_counts(spark, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                                     [F.col("doc_id")], limit=512)
+
+
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +52,8 @@ def queries() -> dict:
         "op1_embedding_dedup": op1_embedding_dedup,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op5_language_id": op5_language_id,
+        "op6_byte_bpe": op6_byte_bpe,
+        "op7_token_counts": op7_token_counts,
         "op10_decontamination": op10_decontamination,
     }
 
