@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import bpe, decontam, embedding_dedup, langid, simhash, token_counts
+from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, simhash, token_counts
 from skygrid.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -43,6 +43,14 @@ def op7_token_counts(spark, sf_dir: str) -> DataFrame:
                                      [F.col("doc_id")], limit=512)
 
 
+def op9_chat_format(spark, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    formatted = chat.format_conversations(turns.unionByName(extra))
+    return chat.read_back_digests(formatted, in_order=True)
+
+
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +62,7 @@ def queries() -> dict:
         "op5_language_id": op5_language_id,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_counts": op7_token_counts,
+        "op9_chat_format": op9_chat_format,
         "op10_decontamination": op10_decontamination,
     }
 
@@ -62,6 +71,19 @@ def oracle_sql() -> dict[str, str]:
     shingles = """list_distinct(CASE WHEN len({w}) = 0 THEN [] WHEN len({w}) < 5 THEN [array_to_string({w}, ' ')]
        ELSE list_transform(range(1, len({w}) - 3), lambda i: array_to_string(list_slice({w}, i, i + 4), ' ')) END)"""
     return {
+        # Escaping puts one backslash before every backslash, ### and </turn>.
+        "op9_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, length(regexp_replace(text, '\\|###|</turn>', 'x\0', 'g')) AS escaped,
+             length(regexp_replace(role, '\\|###|</turn>|\n', 'x\0', 'g')) AS escaped_role FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(escaped + escaped_role + 14) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id""",
         # Items of fewer than five words are looked up by the run of all their words.
         "op10_decontamination": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
