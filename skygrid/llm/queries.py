@@ -6,13 +6,16 @@ table and derives the contract's columns from the operator's output.
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, simhash, token_counts
+from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, pii, simhash, token_counts
 from skygrid.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
+# A deployment passes its own secret; a fixed one keeps the query's results comparable.
+PII_KEY = "skygrid-demo-key"
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -43,6 +46,11 @@ def op7_token_counts(spark, sf_dir: str) -> DataFrame:
                                      [F.col("doc_id")], limit=512)
 
 
+def op8_pii_surrogates(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_personal_data(docs, PII_KEY, count_col="n_entities")
+
+
 def op9_chat_format(spark, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -62,8 +70,10 @@ def queries() -> dict:
         "op5_language_id": op5_language_id,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_counts": op7_token_counts,
+        "op8_pii_surrogates": op8_pii_surrogates,
         "op9_chat_format": op9_chat_format,
         "op10_decontamination": op10_decontamination,
+        "pipeline": corpus_pipeline.run,
     }
 
 
