@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, pii, simhash, token_counts
+from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, lm, pii, simhash, token_counts
 from skygrid.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -27,6 +27,12 @@ def op3_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    return lm.score(docs, lm.learn(docs.where(~held_out)), held_out)
+
+
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -67,6 +73,7 @@ def queries() -> dict:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
         "op3_simhash_dedup": op3_simhash_dedup,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_language_id": op5_language_id,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_counts": op7_token_counts,
