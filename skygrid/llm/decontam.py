@@ -90,20 +90,29 @@ class Hasher:
             self.power = _powers(_P, 2 * n)
             self.inverse = _powers(pow(_P, -1, 1 << 64), 2 * n)
 
-    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(hash, text number)`` per word, in order."""
+    @staticmethod
+    def spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(code points, starts, ends, text number)`` of the words, in order."""
         lowered = [t.lower() for t in texts]
         points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
         word = np.zeros(len(points) + 2, np.int8)
         word[1:-1] = _word_points()[points]
         edges = np.flatnonzero(np.diff(word))
         starts, ends = edges[::2], edges[1::2]
+        limits = np.cumsum([len(t) + 1 for t in lowered])
+        return points, starts, ends, np.searchsorted(limits, starts, side="right")
+
+    def hashes(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of each span of code points."""
         self._grow(len(points) + 1)
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum((points + np.uint32(1)).astype(np.uint64) * self.power[:len(points)], out=sums[1:])
-        h = _mix((sums[ends] - sums[starts]) * self.inverse[starts])
-        limits = np.cumsum([len(t) + 1 for t in lowered])
-        return h, np.searchsorted(limits, starts, side="right")
+        return _mix((sums[ends] - sums[starts]) * self.inverse[starts])
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(hash, text number)`` per word, in order."""
+        points, starts, ends, owner = self.spans(texts)
+        return self.hashes(points, starts, ends), owner
 
     @staticmethod
     def shingles(h: np.ndarray, owner: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

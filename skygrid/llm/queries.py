@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, lm, pii, simhash, token_counts
+from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, lm, pii, simhash, token_counts, toxicity
 from skygrid.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -23,6 +23,12 @@ def op1_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_toxicity(spark, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    model = toxicity.learn(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op3_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,6 +78,7 @@ def op10_decontamination(spark, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
+        "op2_toxicity": op2_toxicity,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_language_id": op5_language_id,
