@@ -181,16 +181,30 @@ def _atoms(hits: DataFrame) -> DataFrame:
     return whole.unionByName(names)
 
 
-def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
-    """The canonical form that stands for an entity, at the given attempt."""
-    draws = _draws(key, F.concat_ws("\x03", kind, canonical, attempt), F.length(canonical) + 8)
-    like = _like(canonical, draws)
+def _drawn(entities: DataFrame, key: str) -> DataFrame:
+    """``entities`` with the draws their surrogates are made of.
+
+    The draws are columns of their own projections: inside one expression
+    they would be hashed anew for every character.
+    """
+    domain = F.substring_index("canonical", "@", -1)
+    return (entities
+            .withColumn("_draws", _draws(key, F.concat_ws("\x03", "type", "canonical", "attempt"),
+                                         F.length("canonical") + 8))
+            .withColumn("_domain_draws", F.when(F.col("type") == "email", _draws(
+                key, F.concat_ws("\x03", F.lit("domain"), domain), F.length(domain))))
+            .withColumn("_like", F.when(F.col("type").isin("ssn", "card", "phone", "secret"),
+                                        _like(F.col("canonical"), F.col("_draws")))))
+
+
+def _surrogate(kind: Column, canonical: Column, attempt: Column) -> Column:
+    """The canonical form that stands for an entity, from the columns of :func:`_drawn`."""
+    draws, domain_draws, like = F.col("_draws"), F.col("_domain_draws"), F.col("_like")
     phone = F.concat(_pick(draws[F.length(canonical)], "23456789"), _sub(like, 2, 1 << 20))
     local = F.substring_index(canonical, "@", 1)
     domain = F.substring_index(canonical, "@", -1)
     # A domain keeps its number of labels; its last two become reserved ones.
     depth = F.size(F.split(domain, r"\."))
-    domain_draws = _draws(key, F.concat_ws("\x03", F.lit("domain"), domain), F.length(domain))
     host = F.call_function("substring_index", domain, F.lit("."), depth - 2)
     tld = F.substring_index(domain, ".", -1)
     reserved = F.when(tld.isin("com", "net", "org"), F.concat(F.lit("example."), tld)).otherwise("example.org")
@@ -216,11 +230,14 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``(type, canonical, surrogate)`` for distinct ``(type, canonical)`` rows, without collisions."""
+    spark = entities.sparkSession
     known = cut_lineage(entities.select("type", "canonical").distinct(), "entities")
     pending, settled = known.withColumn("attempt", F.lit(0)), []
     while True:
-        drawn = cut_lineage(pending.withColumn("surrogate", _surrogate(
-            key, F.col("type"), F.col("canonical"), F.col("attempt"))), "drawn")
+        # Few bytes, much work a row: not to be coalesced into a few tasks.
+        spread = pending.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "type", "canonical")
+        drawn = cut_lineage(_drawn(spread, key).select("type", "canonical", "attempt", _surrogate(
+            F.col("type"), F.col("canonical"), F.col("attempt")).alias("surrogate")), "drawn")
         won = drawn.groupBy("type", "surrogate").agg(F.min("canonical").alias("canonical"))
         won = won.join(known.withColumnRenamed("canonical", "surrogate"), ["type", "surrogate"], "left_anti")
         for earlier in settled:
