@@ -1,8 +1,8 @@
 """Language-model scoring: context mixing over bytes, beside a word baseline.
 
 Learning gathers, over all training texts, the counts of every seven-byte window
-(combined in the task, then by a shuffle) and turns them into bit counts of
-hashed contexts; the tables have a fixed size, so they are broadcast.  Gate
+(combined in the task, then shuffled by context) and turns them into bit counts
+of hashed contexts; the tables have a fixed size, so they are broadcast.  Gate
 weights are learned online on a bounded sample of training windows.
 
 Scoring reads each text once: the frozen model gives its bits, and its words
@@ -26,20 +26,23 @@ import secrets
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.llm import mixing
-from skygrid.llm.common import cut_lineage, text_slices
+from skygrid.llm.common import bound_batches, cut_lineage, text_slices
 
 # The sample that gate weights are learned on: about this many training texts,
-# with at most SAMPLE_CHARS characters of each, and SAMPLE_WINDOWS windows.
+# with at most SAMPLE_CHARS characters and WINDOWS_PER_TEXT windows of each.
 SAMPLE_TEXTS = 300
 SAMPLE_CHARS = 1 << 16
-SAMPLE_WINDOWS = 800_000
+WINDOWS_PER_TEXT = 1200
+BUCKETS = 256
 HELD_WINDOWS = 3_000_000      # distinct windows a task holds before it hands them on
 SLICE_BYTES = 16 << 20
-CHUNK = 5 << 20
+CHUNK = 3 << 20
 _P = 0xD1342543DE82EF95
 
 
@@ -47,53 +50,92 @@ def _texts(column: pa.Array) -> list[bytes]:
     return column.fill_null("").cast(pa.binary()).to_pylist()
 
 
+def _packed(windows: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted windows as compressed differences, byte plane by byte plane, and their counts."""
+    steps = np.diff(windows, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(
+        steps.tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, 12 * n), np.uint8)
+    steps = np.ascontiguousarray(raw[:8 * n].reshape(8, n).T).view(np.uint64).ravel()
+    counts = np.ascontiguousarray(raw[8 * n:].reshape(4, n).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint64), counts
+
+
+def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
+    values, back = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+    return values, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+
+
 def window_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(window, n)``: how often each seven-byte window stands in the texts."""
-    def run(batches):
-        held: list = []
+    """``(part, n, windows)``: how often each seven-byte window stands in the texts.
 
-        def merged():
-            values, back = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
-            return values, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+    A task's distinct windows are dealt to BUCKETS parts by the three bytes
+    before the symbol and leave it as one compressed row a part.
+    """
+    bound_batches(texts.sparkSession)
+
+    def rows(held):
+        values, n = _merged(held)
+        part = (((values >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS.bit_length() + 1)
+        order = np.argsort(part, kind="stable")
+        part, values, n = part[order].astype(np.int32), values[order], n[order]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(cuts[1:], len(part))
+        for at in range(0, len(cuts), 32):
+            some = list(zip(cuts[at:at + 32].tolist(), ends[at:at + 32].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(part[a]) for a, _ in some], pa.int32()),
+                 pa.array([b - a for a, b in some], pa.int32()),
+                 pa.array([_packed(values[a:b], n[a:b]) for a, b in some], pa.binary())],
+                names=["part", "n", "windows"])
 
+    def run(batches):
+        held: list = []
         for batch in batches:
             for part in text_slices(batch, 0, SLICE_BYTES):
                 for packed, _ in mixing.windows(_texts(part.column(0)), CHUNK):
                     values, index = mixing.distinct(packed)
                     held.append((values, np.bincount(index, minlength=len(values))))
                     if sum(len(v) for v, _ in held) > HELD_WINDOWS and len(held) > 1:
-                        held[:] = [merged()]
+                        held[:] = [_merged(held)]
                         if len(held[0][0]) > HELD_WINDOWS // 2:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(held[0][0].view(np.int64)), pa.array(held[0][1].astype(np.int64))],
-                                names=["window", "n"])
+                            yield from rows(held)
                             held.clear()
         if held:
-            values, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))],
-                                             names=["window", "n"])
+            yield from rows(held)
 
-    counted = texts.select(F.col(text_col)).mapInArrow(run, "window long, n long")
-    return counted.groupBy("window").agg(F.sum("n").alias("n"))
+    return texts.select(F.col(text_col)).mapInArrow(run, "part int, n int, windows binary")
 
 
 def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
     """A model of all ``texts``."""
     spark = texts.sparkSession
-    counted = window_counts(texts, text_col)
-    # Contexts of two and more bytes stay together, so their slots come once.
-    counted = counted.repartition(F.expr("(window >> 8) & 65535"))
+    # Contexts of three and more bytes stay together, so their slots come once.
+    counted = window_counts(texts, text_col).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
 
     def slots(batches):
-        held = mixing.empty_counts(), mixing.empty_counts()
+        tables, held = (mixing.empty_counts(), mixing.empty_counts()), []
+
+        def add():
+            if held:
+                mixing.add_counts(*tables, *_merged(held))
+                held.clear()
+
         for batch in batches:
-            packed = batch.column(0).to_numpy().view(np.uint64)
-            mixing.add_counts(*held, packed, batch.column(1).to_numpy())
+            for n, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                held.append(_unpacked(blob, n))
+                if sum(len(v) for v, _ in held) > HELD_WINDOWS // 2:
+                    add()
+        add()
         for k in range(len(mixing.ORDERS)):
-            used = np.flatnonzero(held[0][k] + held[1][k]).astype(np.int32)
+            used = np.flatnonzero(tables[0][k] + tables[1][k]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k], pa.int32())] + [pa.array([a.tobytes()], pa.binary())
-                                               for a in (used, held[0][k][used], held[1][k][used])],
+                                               for a in (used, tables[0][k][used], tables[1][k][used])],
                 names=["k", "slots", "zeros", "ones"])
 
     # One row per order and task; all together bounded by the tables' fixed sizes
@@ -111,12 +153,9 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
     draw = F.pmod(F.xxhash64(F.col(text_col), F.lit(11)), F.lit(1 << 32))
     sample = (texts.where(F.col(text_col).isNotNull() & (draw < int(share * (1 << 32))))
               .select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t")).limit(2 * SAMPLE_TEXTS).collect())
-    packed = [p for p, _ in mixing.windows(sorted(r["t"].encode() for r in sample))]
-    if packed:
-        packed = np.concatenate(packed)
-        if len(packed) > SAMPLE_WINDOWS:
-            packed = packed[np.random.default_rng(3).permutation(len(packed))[:SAMPLE_WINDOWS]]
-        model.learn(packed, zeros, ones)
+    own = [np.concatenate([p for p, _ in mixing.windows([t])]) for t in sorted({r["t"].encode() for r in sample})]
+    model.learn(own, zeros, ones, WINDOWS_PER_TEXT)
+    del zeros, ones
     model.shared = spark.sparkContext.broadcast(
         (model.tables, model.weights, model.map))
     return model
@@ -173,19 +212,30 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
     keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                         F.col(text_col).alias("text"))
     kind, shared = keyed.schema["id"].dataType.simpleString(), model.shared
-    schema = (f"slice long, id {kind}, held_out boolean, n_bytes long, bits double, words array<int>, "
-              "distinct array<long>, counts array<long>")
+    bound_batches(docs.sparkSession)
+    schema = (f"slice long, ids array<{kind}>, held_out array<boolean>, n_bytes array<long>, bits array<double>, "
+              "n_words array<int>, words binary, distinct array<long>, counts array<int>")
+    names = ["slice", "ids", "held_out", "n_bytes", "bits", "n_words", "words", "distinct", "counts"]
 
     def run(batches):
         frozen = mixing.Model.frozen(*shared.value)
-        hasher = _Words()
+        hasher, held, size = _Words(), [], 0
         for batch in batches:
             for part in text_slices(batch, 2, SLICE_BYTES):
-                if part.num_rows:
-                    yield from one_slice(part, frozen, hasher)
-
-    def one_slice(part, frozen, hasher):
-        texts, n = _texts(part.column(2)), part.num_rows
+                if size and size + part.get_total_buffer_size() > SLICE_BYTES:
+                    yield one_slice(held, frozen, hasher)
+                    held, size = [], 0
+                held.append(part)
+                size += pc.sum(pc.binary_length(part.column(2))).as_py() or 0
+        if held:
+            yield one_slice(held, frozen, hasher)
+
+    def one_slice(parts, frozen, hasher):
+        """Score some texts, and reduce their words to indices into the distinct ones."""
+        ids = pa.concat_arrays([p.column(0) for p in parts])
+        out_of_training = pa.concat_arrays([p.column(1) for p in parts])
+        texts = [t for p in parts for t in _texts(p.column(2))]
+        n = len(texts)
         bits, hashes, owners = np.zeros(n), [], []
         for packed, owner in mixing.windows(texts, CHUNK):
             values, index = mixing.distinct(packed)
@@ -195,32 +245,34 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
             hashes.append(h), owners.append(owner + a)
         hashes, owners = np.concatenate(hashes), np.concatenate(owners)
         values, index = np.unique(hashes, return_inverse=True)
-        training = ~np.asarray(part.column(1))
-        counts = np.bincount(index[training[owners]], minlength=len(values)).astype(np.int64)
-        offsets = np.concatenate(([0], np.cumsum(np.bincount(owners, minlength=n)))).astype(np.int32)
-        number = secrets.randbits(62)
-        none = pa.nulls(n, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, number)), part.column(0), part.column(1),
-             pa.array([len(t) for t in texts], pa.int64()), pa.array(bits),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(index.astype(np.int32))), none, none],
-            names=names)
-        whole = pa.array([0, len(values)], pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.nulls(1, part.column(0).type), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.int64()),
-             pa.nulls(1, pa.float64()), pa.nulls(1, pa.list_(pa.int32())),
-             pa.ListArray.from_arrays(whole, pa.array(values.view(np.int64))),
-             pa.ListArray.from_arrays(whole, pa.array(counts))], names=names)
-
-    names = ["slice", "id", "held_out", "n_bytes", "bits", "words", "distinct", "counts"]
+        # Frequent words first, and each text's words in order: small differences.
+        often = np.argsort(-np.bincount(index, minlength=len(values)), kind="stable")
+        rank = np.empty(len(values), np.int64)
+        rank[often] = np.arange(len(values))
+        index, values = rank[index], values[often]
+        training = ~np.asarray(out_of_training)
+        counts = np.bincount(index[training[owners]], minlength=len(values)).astype(np.int32)
+        key = np.sort((owners.astype(np.int64) << 32) | index)
+        steps = np.diff(key, prepend=np.int64(0)) & 0xFFFFFFFF
+        blob = zstandard.ZstdCompressor(level=3).compress(
+            steps.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+        def whole(array):
+            return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([secrets.randbits(62)]), whole(ids), whole(out_of_training),
+             whole(pa.array([len(t) for t in texts], pa.int64())), whole(pa.array(bits)),
+             whole(pa.array(np.bincount(owners, minlength=n).astype(np.int32))), pa.array([blob], pa.binary()),
+             whole(pa.array(values.view(np.int64))), whole(pa.array(counts))], names=names)
+
     slices = cut_lineage(keyed.mapInArrow(run, schema), "lmslices")
-    listed = slices.where("distinct IS NOT NULL").select(
+    listed = slices.select(
         "slice", F.posexplode(F.arrays_zip("distinct", "counts")).alias("pos", "w")).select(
         "slice", "pos", F.col("w.distinct").alias("word"), F.col("w.counts").alias("n"))
     counted = cut_lineage(listed.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lmwords")
-    texts = slices.where("distinct IS NULL").drop("distinct", "counts")
+    texts = slices.drop("distinct", "counts")
     words = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    ends = texts.where("NOT held_out").count()
+    ends = texts.select(F.explode("held_out").alias("h")).where("NOT h").count()
     tokens, kinds = int(words[0]) + ends, int(words[1]) + (ends > 0)
     back = listed.join(counted, "word").select(F.col("slice").alias("of"), "pos", "c")
 
@@ -230,19 +282,23 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
             pos = right["pos"].to_numpy()
             known = np.zeros(int(pos.max()) + 1, np.int64)
             known[pos] = right["c"].to_numpy()
-        column = left["words"].combine_chunks()
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        sizes = np.diff(column.offsets.to_numpy())
+        ids = left["ids"].combine_chunks().flatten()
+        sizes = left["n_words"].combine_chunks().flatten().to_numpy()
+        total = int(sizes.sum())
+        raw = zstandard.ZstdDecompressor().decompress(left["words"][0].as_py(), 4 * total)
+        steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, total).T).view(np.uint32).ravel()
+        flat = np.cumsum(steps.astype(np.int64)) & 0xFFFFFFFF
         known = np.concatenate((known, np.zeros(max(0, int(flat.max(initial=-1)) + 1 - len(known)), np.int64)))
         c = known[flat]
-        owner = np.repeat(np.arange(left.num_rows), sizes)
+        n = len(sizes)
+        owner = np.repeat(np.arange(n), sizes)
         n_tokens = sizes.astype(np.int64) + 1
-        n_known = np.bincount(owner, c > 0, left.num_rows).astype(np.int64) + (ends > 0)
-        base = (np.bincount(owner, np.log10(c + 1.0), left.num_rows) + np.log10(ends + 1.0)
+        n_known = np.bincount(owner, c > 0, n).astype(np.int64) + (ends > 0)
+        base = (np.bincount(owner, np.log10(c + 1.0), n) + np.log10(ends + 1.0)
                 - n_tokens * np.log10(tokens + kinds + 1.0))
-        bits, n_bytes = left["bits"].to_numpy(), left["n_bytes"].to_numpy()
+        bits, n_bytes = (left[c].combine_chunks().flatten().to_numpy() for c in ("bits", "n_bytes"))
         return pa.table({
-            "id": left["id"], "held_out": left["held_out"], "n_tokens": n_tokens, "n_known": n_known,
+            "id": ids, "held_out": left["held_out"].combine_chunks().flatten(), "n_tokens": n_tokens, "n_known": n_known,
             "train_tokens": np.full(len(sizes), tokens), "base_score": base, "score": -bits * np.log10(2.0),
             "n_bytes": n_bytes, "bits_per_byte": bits / np.maximum(1, n_bytes)})
 

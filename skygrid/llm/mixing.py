@@ -6,8 +6,8 @@ of the tree of byte values.  For each order ``k`` a predictor looks the last
 the logistic domain is weighted by a gate -- the predictor's own evidence
 there, and the longest order that knows the context -- and summed; an adaptive
 probability map refines the sum by the node.  Weights and map are learned
-online, in small steps over a bounded sample of training texts, each bit's own
-occurrence taken out of the counts first; the counts come from all training
+online, in small steps over a bounded sample of training texts, each text's own
+bits taken out of the counts first; the counts come from all training
 texts.  A trained model is frozen, so a text's probability does not depend on
 which texts were scored before it.
 
@@ -208,33 +208,53 @@ class Model:
             cost -= np.log2(np.where((symbol >> (7 - depth)) & 1, p1, 1 - p1))
         return cost
 
-    def learn(self, packed: np.ndarray, zeros: list[np.ndarray], ones: list[np.ndarray],
-              step: int = 2048, rate: float = 0.4, seed: int = 1) -> None:
-        """Online steps over training windows, each bit's own occurrence left out of the counts."""
-        symbol = (packed & np.uint64(255)).astype(np.int64)
-        hashed = contexts(packed)
-        order = np.random.default_rng(seed).permutation(len(packed))
-        flat, steps = self.weights.ravel(), max(1, len(packed) // step)
-        for done, at in enumerate(range(0, len(packed), step)):
+    def learn(self, texts: list[np.ndarray], zeros: list[np.ndarray], ones: list[np.ndarray],
+              per_text: int = 1500, step: int = 2048, rate: float = 0.8, seed: int = 1) -> None:
+        """Online steps over windows of training texts (all windows of a text in one array).
+
+        A text's own bits are taken out of the counts first, all of them, so
+        that evidence is weighed as it will stand for a text never seen.
+        """
+        rng = np.random.default_rng(seed)
+        parts = [_without_itself(w, np.sort(rng.permutation(len(w))[:per_text]), zeros, ones)
+                 for w in texts if len(w)]
+        if not parts:
+            return
+        symbol, estimates, evidence = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+        order = rng.permutation(len(symbol))
+        flat, steps = self.weights.ravel(), max(1, len(symbol) // step)
+        for done, at in enumerate(range(0, len(symbol), step)):
             pick = order[at:at + step]
             lr = rate * (0.1 + 0.9 * (1 - done / steps))
             for depth in range(8):
                 node = (symbol[pick] | 256) >> (8 - depth)
                 bit = (symbol[pick] >> (7 - depth)) & 1
-                estimates, evidence = [], []
-                for k in range(len(ORDERS)):
-                    slot = _slot(hashed[k][pick], node, SLOT_BITS[k])
-                    st, ev = _estimate(np.maximum(zeros[k][slot] - (1 - bit), 0), np.maximum(ones[k][slot] - bit, 0))
-                    estimates.append(st), evidence.append(ev)
-                estimates, evidence = np.stack(estimates), np.stack(evidence)
-                total, cells = self._mix(estimates, evidence)
+                st = estimates[:, depth, pick].astype(np.float32)
+                total, cells = self._mix(st, evidence[:, depth, pick].astype(np.int64))
                 error = bit - _squash(total)
-                gradient = np.bincount(cells.ravel(), (error * estimates).ravel(), len(flat))
+                gradient = np.bincount(cells.ravel(), (error * st).ravel(), len(flat))
                 weight = np.bincount(cells.ravel(), minlength=len(flat))
-                flat += (lr * 0.05 * gradient / (weight + 8.0)).astype(np.float32) * np.minimum(weight, 8).astype(np.float32) / 2
+                flat += (lr * 0.025 * gradient / (weight + 8.0) * np.minimum(weight, 8)).astype(np.float32)
                 refined, low, part = self._refine(total, node)
                 m = self.map.ravel()
                 for cell, share in ((low, 1 - part), (low + 1, part)):
                     n = np.bincount(cell, share, len(m))
                     hit = np.bincount(cell, share * bit, len(m))
                     m += ((hit - n * m) * (0.02 / (1 + 0.02 * n))).astype(np.float32)
+
+
+def _without_itself(windows: np.ndarray, pick: np.ndarray, zeros: list[np.ndarray], ones: list[np.ndarray]):
+    """``(symbols, estimates, evidence)`` of some windows of a text, its own counts left out."""
+    symbol = (windows & np.uint64(255)).astype(np.int64)
+    bits = np.concatenate([(symbol >> (7 - depth)) & 1 for depth in range(8)])
+    st = np.zeros((len(ORDERS), 8, len(pick)), np.float16)
+    evidence = np.zeros((len(ORDERS), 8, len(pick)), np.uint8)
+    places = np.arange(8)[:, None] * len(windows) + pick
+    for k, context in enumerate(contexts(windows)):
+        slots = np.concatenate([_slot(context, (symbol | 256) >> (8 - depth), SLOT_BITS[k]) for depth in range(8)])
+        distinct_slots, back = np.unique(slots, return_inverse=True)
+        n1 = ones[k][distinct_slots] - np.bincount(back, bits)
+        n0 = zeros[k][distinct_slots] - np.bincount(back, 1 - bits)
+        s, e = _estimate(np.maximum(n0, 0), np.maximum(n1, 0))
+        st[k], evidence[k] = s[back[places]], e[back[places]]
+    return symbol[pick], st, evidence
