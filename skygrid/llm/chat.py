@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skygrid.llm.common import bound_batches
 from skygrid.llm.template import compile_template
 
 TURN_END = "</turn>"
@@ -105,6 +106,7 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE, id_col: str
     rows = turns.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"),
                         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    bound_batches(turns.sparkSession)
     compile_template(template, filters=FILTERS)      # fail here, not in a task
     kind = rows.schema["conv"].dataType.simpleString()
     ordered = (rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")

@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from skygrid.session import cut_lineage, fresh_dir
 
-__all__ = ["cut_lineage", "fresh_dir", "fold", "map_batches", "table", "text_slices"]
+__all__ = ["bound_batches", "cut_lineage", "fresh_dir", "fold", "map_batches", "table", "text_slices"]
+
+# Bytes of an Arrow batch handed to Python: with whole documents in a row, the
+# default of 64 MB costs several times as much in the JVM and the worker.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +27,16 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep this session's Arrow batches within BATCH_BYTES (a single row may be larger)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """``fn`` over each Arrow batch of ``df`` (narrow, streaming, bounded by the batch bytes)."""
+    bound_batches(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             if batch.num_rows:
