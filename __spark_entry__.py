@@ -18,17 +18,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.functions.cells import BLOCK_BYTES
+from skygrid.functions.cells import BLOCK_BYTES, make_grid
 from skygrid.functions.coords import format_record, unwrap_ra
-from skygrid.operators.summary import (bounding_zone, bounding_zone_wrapped, count_by_object,
+from skygrid.operators.summary import (zone_of, bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
 from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram, grid_cells
 from skygrid.plans import jobs
 from skygrid.plans.text import document_lines
 from skygrid.session import fresh_dir
-from skygrid.sources.catalogue import read_lines, read_sources, sky, table, write_source_files
-from skygrid.sources.sinks import (input_size, min_cells_from_size, read_by_cell, write_by_cell,
-                                   write_text)
+from skygrid.sources.catalogue import (read_checked_sources, read_lines, read_sources, sky, source_lines, table,
+                                       write_source_files)
+from skygrid.sources.sinks import (input_size, min_cells_for_input, min_cells_from_size, read_by_cell,
+                                   write_by_cell, write_text)
 from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -36,7 +37,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Query parameters (fixed for the registered queries).
 CAP = 100            # per-cell capacity for the capped-partition queries
 ADAPTIVE_CAP = 100   # leaf capacity of the quad-tree split
-ADAPTIVE_LEVELS = 3
+SIZED_BLOCK = 1 << 16  # bytes per cell of the grid sized from the input
 EPS = 0.02           # neighbour distance, degrees
 
 
@@ -83,6 +84,46 @@ def _sink_by_cell(spark, d):
                  F.max(DECL).alias("max_decl")))
 
 
+def _written_back(spark, rows, keys):
+    path = fresh_dir(spark, "regions")
+    write_by_cell(rows, path, keys=keys)
+    return (read_by_cell(spark, path, keys=keys).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min(SOURCE_ID).alias("min_source_id"),
+                 F.max(SOURCE_ID).alias("max_source_id"), F.min(RA).alias("min_ra"), F.max(DECL).alias("max_decl")))
+
+
+def _sink_by_stripe(spark, d):
+    return _written_back(spark, assign_stripes(sky(spark, d)).select(SOURCE_ID, RA, DECL, "stripe"), ("stripe",))
+
+
+def _sink_by_capped_cell(spark, d):
+    keys = ("cell_i", "cell_j", "segment")
+    rows = jobs.capped_overlap(sky(spark, d), CAP).select(SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, *keys)
+    return _written_back(spark, rows, keys)
+
+
+def _source_rejects(spark, d):
+    """A catalogue with a known share of bad lines, every row read back with its verdict."""
+    path, e = fresh_dir(spark, "dirty"), F.col(SOURCE_ID)
+    dirty = sky(spark, d).select(
+        SOURCE_ID, OBJECT_ID,
+        F.when(e % 10 == 3, "abc").when(e % 10 == 7, F.lit(None)).otherwise(F.col(RA).cast("string")).alias(RA),
+        F.when(e % 10 == 5, "NaN").otherwise(F.col(DECL).cast("string")).alias(DECL))
+    write_text(source_lines(dirty), path)
+    return read_checked_sources(spark, path).select(
+        SOURCE_ID, "reject", F.when(F.col("reject").isNull(), F.col(RA)).alias(RA),
+        F.when(F.col("reject").isNull(), F.col(DECL)).alias(DECL))
+
+
+def _grid_from_size(spark, d):
+    """The grid whose cells hold at most one block of the written catalogue."""
+    path = fresh_dir(spark, "catalogue")
+    write_source_files(sky(spark, d), path)
+    cells = min_cells_for_input(spark, path, SIZED_BLOCK)
+    zone = zone_of(read_sources(spark, path).select(RA, DECL))
+    return grid_cells(spark, make_grid(zone, cells, ceiling=max(cells, 1)))
+
+
 def _extent_records(spark, d):
     path = fresh_dir(spark, "extent")
     ext = object_extent(sky(spark, d))
@@ -126,8 +167,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             SOURCE_ID, "cell_i", "cell_j", "cell"),
         "cell_capacity_split": lambda s, d: jobs.capped_overlap(sky(s, d), CAP).select(
             SOURCE_ID, "cell_i", "cell_j", "segment", "cell"),
-        "capped_histogram": lambda s, d: cell_histogram(
-            jobs.capped_overlap(sky(s, d), CAP), keys=("cell_i", "cell_j", "segment")),
+        "capped_histogram": lambda s, d: jobs.capped_histogram(sky(s, d), CAP),
         "stripe_assign": lambda s, d: assign_stripes(sky(s, d).select(SOURCE_ID, RA)).select(
             SOURCE_ID, "stripe"),
         "partition_exclusive": lambda s, d: jobs.partition_exclusive(sky(s, d)),
@@ -135,12 +175,17 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_stripe": lambda s, d: jobs.partition_stripe(sky(s, d)),
         "sink_text": _sink_text,
         "sink_by_cell": _sink_by_cell,
+        "sink_by_stripe": _sink_by_stripe,
+        "sink_by_capped_cell": _sink_by_capped_cell,
+        "source_rejects": _source_rejects,
         "extent_records": _extent_records,
         "neighbour_pairs": lambda s, d: jobs.pairs_planar(sky(s, d), EPS),
         "neighbour_pairs_sphere": lambda s, d: jobs.pairs_sphere(sky(s, d), EPS),
         "grid_metadata": lambda s, d: jobs.grid_metadata(sky(s, d), CAP),
         "min_cells": _min_cells,
-        "adaptive_split": lambda s, d: jobs.adaptive_cells(sky(s, d), ADAPTIVE_CAP, ADAPTIVE_LEVELS),
+        "grid_from_size": _grid_from_size,
+        "adaptive_split": lambda s, d: jobs.adaptive_assign(sky(s, d), ADAPTIVE_CAP),
+        "adaptive_cells": lambda s, d: jobs.adaptive_cells(sky(s, d), ADAPTIVE_CAP),
     }
 
 
@@ -182,13 +227,9 @@ def _zone(src: str) -> str:
 
 
 def _bp_index(x: str, lo: str, hi: str) -> str:
-    """Breakpoints ``lo + k*step`` (k = 0..n) strictly below x, clamped to n."""
-    step = f"(({hi} - {lo}) / CAST({_N} AS DOUBLE))"
-    bp = lambda k: f"({lo} + CAST({k} AS DOUBLE) * {step})"
-    c = f"greatest(0, least({_N + 1}, CAST(ceil(({x} - {lo}) / {step}) AS INTEGER)))"
-    up = f"(CASE WHEN {bp(c)} < {x} THEN 1 ELSE 0 END)"
-    down = f"(CASE WHEN {bp(f'{c} - 1')} >= {x} THEN 1 ELSE 0 END)"
-    return f"least({_N}, greatest(0, {c} + {up} - {down}))"
+    """Breakpoints below x, counted in their explicit list; at most n."""
+    points = ", ".join(f"{lo} + CAST({k} AS DOUBLE) * (({hi} - {lo}) / CAST({_N} AS DOUBLE))" for k in range(_N + 1))
+    return f"CAST(least({_N}, len(list_filter([{points}], lambda b: b < {x}))) AS INTEGER)"
 
 
 def _excl(src: str) -> str:
@@ -223,22 +264,16 @@ def _capped(cap: int) -> str:
 
 
 def _stripes(src: str) -> str:
-    own = "CASE WHEN ra <= CAST(0 AS DOUBLE) THEN 0 ELSE CAST(ceil(ra / CAST(9 AS DOUBLE)) AS INTEGER) END"
-    return f"""st AS (SELECT s.*, {own} AS own FROM {src} s),
-stn AS (
-  SELECT st.*,
-    CASE WHEN own = 1 THEN (CASE WHEN ra <= CAST(1 AS DOUBLE) THEN 40
-                                 WHEN ra >= CAST(8 AS DOUBLE) THEN 2 END)
-         WHEN own = 40 THEN (CASE WHEN ra <= CAST((own - 1) * 9 AS DOUBLE) + CAST(1 AS DOUBLE) THEN 39
-                                  WHEN ra >= CAST(359 AS DOUBLE) THEN 1 END)
-         ELSE (CASE WHEN ra <= CAST((own - 1) * 9 AS DOUBLE) + CAST(1 AS DOUBLE) THEN own - 1
-                    WHEN ra >= CAST(own * 9 AS DOUBLE) - CAST(1 AS DOUBLE) THEN own + 1 END)
-    END AS nb
-  FROM st),
+    """Points joined with the stripes' arcs, widened by a degree around the circle.
+
+    RA 0 lies before the first border: in stripe 0, and near stripe 1.
+    """
+    return f"""arcs AS (SELECT CAST(k AS INTEGER) AS stripe, (k - 1) * 9 - 1 AS a, k * 9 + 1 AS b FROM range(1, 41) r(k)),
 stripes AS (
-  SELECT stn.*, own AS stripe FROM stn
+  SELECT s.*, stripe FROM {src} s JOIN arcs
+    ON s.ra BETWEEN a AND b OR s.ra - 360 BETWEEN a AND b OR (s.ra > 0 AND s.ra + 360 BETWEEN a AND b)
   UNION ALL
-  SELECT stn.*, nb AS stripe FROM stn WHERE nb IS NOT NULL)"""
+  SELECT s.*, 0 AS stripe FROM {src} s WHERE s.ra = 0)"""
 
 
 def _lines() -> str:
@@ -247,22 +282,29 @@ def _lines() -> str:
   FROM documents WHERE text IS NOT NULL)"""
 
 
-def _adaptive(cap: int, levels: int) -> str:
-    cells = _N << levels
-    return f"""fine AS (
-  SELECT w."sourceId",
-         least({cells - 1}, greatest(0, CAST(floor((w.ra - x0) / ((x1 - x0) / CAST({cells} AS DOUBLE))) AS INTEGER))) AS fi,
-         least({cells - 1}, greatest(0, CAST(floor((w.decl - y0) / ((y1 - y0) / CAST({cells} AS DOUBLE))) AS INTEGER))) AS fj
-  FROM wrapped w, z),
-fc AS (SELECT fi, fj, count(*) AS n FROM fine GROUP BY fi, fj),
-anc AS (SELECT fi, fj, n, CAST(l.level AS INTEGER) AS level,
-               fi >> ({levels} - CAST(l.level AS INTEGER)) AS ai,
-               fj >> ({levels} - CAST(l.level AS INTEGER)) AS aj
-        FROM fc, range(0, {levels + 1}) l(level)),
-ac AS (SELECT level, ai, aj, sum(n) AS an FROM anc GROUP BY level, ai, aj),
-leaf AS (SELECT anc.fi, anc.fj,
-                coalesce(min(CASE WHEN ac.an <= {cap} THEN anc.level END), {levels}) AS level
-         FROM anc JOIN ac USING (level, ai, aj) GROUP BY anc.fi, anc.fj)"""
+def _adaptive(cap: int) -> str:
+    """Each point's coarsest ancestor, of all 31 levels, that the cap (or one single position) allows."""
+    top = 30
+    part = lambda c, lo, hi: (f"least({(_N << top) - 1}, greatest(0, CAST(floor((w.{c} - {lo}) / "
+                              f"(({hi} - {lo}) / CAST({_N << top} AS DOUBLE))) AS BIGINT)))")
+    return f"""fine AS (SELECT w.*, {part('ra', 'x0', 'x1')} AS fi, {part('decl', 'y0', 'y1')} AS fj FROM wrapped w, z),
+anc AS (SELECT "sourceId", ra, decl, CAST(l.level AS INTEGER) AS level,
+               fi >> CAST({top} - l.level AS INTEGER) AS leaf_i, fj >> CAST({top} - l.level AS INTEGER) AS leaf_j
+        FROM fine, range(0, {top + 1}) l(level)),
+ac AS (SELECT level, leaf_i, leaf_j, count(*) AS n_rows, min(ra) = max(ra) AND min(decl) = max(decl) AS single
+       FROM anc GROUP BY level, leaf_i, leaf_j),
+leaf AS (SELECT "sourceId", min(level) AS level FROM anc JOIN ac USING (level, leaf_i, leaf_j)
+         WHERE n_rows <= {cap} OR single OR level = {top} GROUP BY "sourceId"),
+pl AS (SELECT anc.*, CAST(level AS VARCHAR) || '/' || CAST(leaf_i AS VARCHAR) || '.' || CAST(leaf_j AS VARCHAR) AS leaf
+       FROM anc JOIN leaf USING ("sourceId", level))"""
+
+
+def _catalogue_bytes() -> str:
+    """The size of the written catalogue, from its lines."""
+    return f"""t AS (SELECT sum(length(line) + 1) AS total_bytes FROM (
+  SELECT CAST("sourceId" AS VARCHAR) || ',NULL,NULL,' || coalesce(CAST("objectId" AS VARCHAR), 'NULL')
+         || ',NULL,NULL,' || {_jstr('ra')} || ',NULL,NULL,' || {_jstr('decl')}
+         || repeat(',NULL', 97) AS line FROM sky) s)"""
 
 
 def core_oracle_sql() -> dict[str, str]:
@@ -367,21 +409,40 @@ SELECT c.cell_i, c.cell_j, CAST(c.cell_i AS VARCHAR) || '.' || CAST(c.cell_j AS
        CAST((coalesce(m.members, 0) + {CAP - 1}) // {CAP} AS INTEGER) AS segments,
        {_N} AS grid_side, CAST(0.1 AS DOUBLE) AS halo
 FROM cells c CROSS JOIN z LEFT JOIN m ON c.cell_i = m.cell_i AND c.cell_j = m.cell_j""",
-        "min_cells": f"""WITH {_SKY},
-t AS (SELECT sum(length(line) + 1) AS total_bytes FROM (
-  SELECT CAST("sourceId" AS VARCHAR) || ',NULL,NULL,' || coalesce(CAST("objectId" AS VARCHAR), 'NULL')
-         || ',NULL,NULL,' || {_jstr('ra')} || ',NULL,NULL,' || {_jstr('decl')}
-         || repeat(',NULL', 97) AS line FROM sky) s)
+        "min_cells": f"""WITH {_SKY}, {_catalogue_bytes()}
 SELECT CAST(total_bytes AS BIGINT) AS total_bytes,
        greatest(1, CAST(ceil(CAST(total_bytes AS DOUBLE) / CAST({BLOCK_BYTES} AS DOUBLE)) AS INTEGER)) AS min_cells,
        CAST(ceil(sqrt(CAST(greatest(1, CAST(ceil(CAST(total_bytes AS DOUBLE) / CAST({BLOCK_BYTES} AS DOUBLE)) AS INTEGER)) AS DOUBLE))) AS INTEGER) AS grid_side
 FROM t""",
-        "adaptive_split": f"""WITH {_SKY}, {_WRAPPED}, {_zone('wrapped')}, {_adaptive(ADAPTIVE_CAP, ADAPTIVE_LEVELS)}
-SELECT f."sourceId", l.level, f.fi >> ({ADAPTIVE_LEVELS} - l.level) AS leaf_i,
-       f.fj >> ({ADAPTIVE_LEVELS} - l.level) AS leaf_j,
-       CAST(l.level AS VARCHAR) || '/' || CAST(f.fi >> ({ADAPTIVE_LEVELS} - l.level) AS VARCHAR) || '.'
-       || CAST(f.fj >> ({ADAPTIVE_LEVELS} - l.level) AS VARCHAR) AS leaf
-FROM fine f JOIN leaf l ON f.fi = l.fi AND f.fj = l.fj""",
+        "adaptive_split": f"""WITH {_SKY}, {_WRAPPED}, {_zone('wrapped')}, {_adaptive(ADAPTIVE_CAP)}
+SELECT "sourceId", level, leaf_i, leaf_j, leaf FROM pl""",
+        "adaptive_cells": f"""WITH {_SKY}, {_WRAPPED}, {_zone('wrapped')}, {_adaptive(ADAPTIVE_CAP)},
+l AS (SELECT DISTINCT leaf, level, leaf_i, leaf_j FROM pl),
+b AS (SELECT l.*, ac.n_rows, ac.n_rows > {ADAPTIVE_CAP} AS indivisible,
+             (x1 - x0) / (pow(CAST(2 AS DOUBLE), level) * {n}) AS w, (y1 - y0) / (pow(CAST(2 AS DOUBLE), level) * {n}) AS h
+      FROM l JOIN ac USING (level, leaf_i, leaf_j), z)
+SELECT leaf, level, leaf_i, leaf_j, x0 + leaf_i * w AS ra_lo, x0 + (leaf_i + 1) * w AS ra_hi,
+       y0 + leaf_j * h AS decl_lo, y0 + (leaf_j + 1) * h AS decl_hi, n_rows, indivisible FROM b, z""",
+        "sink_by_stripe": f"""WITH {_SKY}, {_stripes('sky')}
+SELECT stripe, count(*) AS n_rows, min("sourceId") AS min_source_id, max("sourceId") AS max_source_id,
+       min(ra) AS min_ra, max(decl) AS max_decl FROM stripes GROUP BY stripe""",
+        "sink_by_capped_cell": f"""WITH {_SKY}, {_WRAPPED}, {_zone('wrapped')}, {_overlap()}, {_capped(CAP)}
+SELECT cell_i, cell_j, segment, count(*) AS n_rows, min("sourceId") AS min_source_id, max("sourceId") AS max_source_id,
+       min(CASE WHEN ra < CAST(0 AS DOUBLE) THEN ra + CAST(360 AS DOUBLE) ELSE ra END) AS min_ra, max(decl) AS max_decl
+FROM capped GROUP BY cell_i, cell_j, segment""",
+        "source_rejects": f"""WITH {_SKY},
+v AS (SELECT *, CASE WHEN "sourceId" % 10 = 3 THEN 'RA malformed' WHEN "sourceId" % 10 = 7 THEN 'RA missing'
+                     WHEN "sourceId" % 10 = 5 THEN 'Decl not finite' END AS reject FROM sky)
+SELECT "sourceId", reject, CASE WHEN reject IS NULL THEN ra END AS ra,
+       CASE WHEN reject IS NULL THEN decl END AS decl FROM v""",
+        "grid_from_size": f"""WITH {_SKY}, {_zone('sky')}, {_catalogue_bytes()},
+g AS (SELECT greatest(1, CAST(ceil(sqrt(ceil(CAST(total_bytes AS DOUBLE) / {SIZED_BLOCK}))) AS INTEGER)) AS n FROM t),
+c AS (SELECT CAST(i AS INTEGER) AS cell_i, CAST(j AS INTEGER) AS cell_j, CAST(n AS DOUBLE) AS n
+      FROM (SELECT n, unnest(range(0, n)) AS i FROM g) a, (SELECT unnest(range(0, n)) AS j FROM g) b)
+SELECT cell_i, cell_j, CAST(cell_i AS VARCHAR) || '.' || CAST(cell_j AS VARCHAR) AS cell,
+       x0 + CAST(cell_i AS DOUBLE) * ((x1 - x0) / n) AS ra_lo, x0 + CAST(cell_i + 1 AS DOUBLE) * ((x1 - x0) / n) AS ra_hi,
+       y0 + CAST(cell_j AS DOUBLE) * ((y1 - y0) / n) AS decl_lo, y0 + CAST(cell_j + 1 AS DOUBLE) * ((y1 - y0) / n) AS decl_hi
+FROM c, z""",
     }
 
 

@@ -46,21 +46,32 @@ class Grid:
         return (self.zone.max_decl - self.zone.min_decl) / self.n
 
 
-def grid_side(min_cells: int) -> int:
-    """Cells per axis for at least ``min_cells`` cells (0 is treated as 1)."""
-    if min_cells < 0 or min_cells > MAX_MIN_CELLS:
-        raise ValueError(f"min_cells must be within [0, {MAX_MIN_CELLS}], got {min_cells}")
+def grid_side(min_cells: int, ceiling: int = MAX_MIN_CELLS) -> int:
+    """Cells per axis for at least ``min_cells`` cells (0 is treated as 1).
+
+    ``ceiling`` is the largest cell count the caller allows; grids for large
+    inputs raise it, nothing is clamped.
+    """
+    if min_cells < 0 or min_cells > ceiling:
+        raise ValueError(f"min_cells must be within [0, {ceiling}], got {min_cells}; "
+                         "pass a higher ceiling for a finer grid")
     return max(1, math.ceil(math.sqrt(min_cells)))
 
 
-def make_grid(zone: Zone, min_cells: int) -> Grid:
-    return Grid(zone, grid_side(min_cells))
+def make_grid(zone: Zone, min_cells: int, ceiling: int = MAX_MIN_CELLS) -> Grid:
+    return Grid(zone, grid_side(min_cells, ceiling))
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def is_position(x) -> Column:
+    """Whether a coordinate is a finite number (false for null)."""
+    x = _c(x)
+    return F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
+
+
 def breakpoint_index(x, lo: float, hi: float, n: int) -> Column:
     """Number of breakpoints ``lo + k*step`` (k = 0..n, ``step = (hi-lo)/n``)
     strictly below x, clamped to ``n``.
@@ -69,9 +80,12 @@ def breakpoint_index(x, lo: float, hi: float, n: int) -> Column:
     the minimum edge, and the clamp lands the maximum point in cell ``n``.
     ``ceil((x - lo) / step)`` is within one of the count; one exact comparison
     against the breakpoint values on each side settles points that lie on a
-    breakpoint.
+    breakpoint.  A coordinate that is null or not finite has no index (null);
+    on an axis without extent every point has index 0.
     """
     x = _c(x)
+    if hi <= lo:
+        return F.when(is_position(x), F.lit(0))
     step = (F.lit(hi) - F.lit(lo)) / F.lit(float(n))
 
     def bp(k: Column) -> Column:
@@ -82,7 +96,7 @@ def breakpoint_index(x, lo: float, hi: float, n: int) -> Column:
     c = F.greatest(F.lit(0), F.least(F.lit(n + 1), F.ceil((x - F.lit(lo)) / step).cast("int")))
     up = F.when(bp(c) < x, F.lit(1)).otherwise(F.lit(0))
     down = F.when(bp(c - 1) >= x, F.lit(1)).otherwise(F.lit(0))
-    return F.least(F.lit(n), F.greatest(F.lit(0), c + up - down))
+    return F.when(is_position(x), F.least(F.lit(n), F.greatest(F.lit(0), c + up - down)))
 
 
 def exclusive_cell(ra, decl, grid: Grid) -> tuple[Column, Column]:
@@ -99,8 +113,8 @@ def exclusive_cell(ra, decl, grid: Grid) -> tuple[Column, Column]:
 def exclusive_cell_j(decl, i, grid: Grid) -> Column:
     """Decl index given the RA index ``i`` (a column or expression)."""
     z = grid.zone
-    return F.when(_c(i) == 0, F.lit(0)).otherwise(
-        breakpoint_index(decl, z.min_decl, z.max_decl, grid.n))
+    j = breakpoint_index(decl, z.min_decl, z.max_decl, grid.n)
+    return F.when(_c(i) == 0, F.when(j.isNotNull(), F.lit(0))).when(_c(i) > 0, j)
 
 
 def cell_name(i, j) -> Column:
@@ -160,35 +174,20 @@ def stripe_width(stripes: int = STRIPES) -> int:
     return 360 // stripes
 
 
-def stripe_index(ra, stripes: int = STRIPES) -> Column:
-    """1-based RA stripe: number of stripe borders ``0, w, 2w, ...`` below ra.
-
-    RA above 360 has no stripe and raises, as the original walk does.
-    """
-    ra = _c(ra)
-    w = float(stripe_width(stripes))
-    return (F.when(ra > F.lit(360.0), F.raise_error(F.lit("ra above 360 has no stripe")).cast("int"))
-            .when(ra <= F.lit(0.0), F.lit(0))
-            .otherwise(F.ceil(ra / F.lit(w)).cast("int")))
-
-
-def stripe_neighbour(ra, i: Column, stripes: int = STRIPES,
-                     proximity: float = STRIPE_PROXIMITY) -> Column:
-    """The neighbouring stripe a point near a border also joins (or null).
+def stripes_of(ra, stripes: int = STRIPES, proximity: float = STRIPE_PROXIMITY) -> Column:
+    """The stripes of a point: its own, and the next one where a border is near.
 
-    Stripes 1 and ``stripes`` are neighbours across RA = 0.
+    Stripe ``k`` of ``stripes`` holds ``((k-1)*w, k*w]`` degrees; RA 0 itself
+    lies before the first border, in stripe 0.  A point within ``proximity``
+    of its stripe's lower or upper border (inclusive) also joins the stripe
+    behind that border, counted around the circle.
     """
     ra = _c(ra)
     w = stripe_width(stripes)
-    p = F.lit(float(proximity))
-    lower_edge = (i - 1) * F.lit(w)
-    upper_edge = i * F.lit(w)
-    first = (F.when(ra <= p, F.lit(stripes))
-             .when(ra >= F.lit(float(w)) - p, F.lit(2)))
-    last = (F.when(ra <= lower_edge + p, F.lit(stripes - 1))
-            .when(ra >= F.lit(360.0) - p, F.lit(1)))
-    middle = (F.when(ra <= lower_edge + p, i - 1)
-              .when(ra >= upper_edge - p, i + 1))
-    return (F.when(i == 1, first)
-            .when(i == F.lit(stripes), last)
-            .otherwise(middle))
+    own = F.ceil(ra / F.lit(float(w))).cast("int")
+    near_lower = ra <= ((own - 1) * F.lit(w)).cast("double") + F.lit(float(proximity))
+    near_upper = ra >= (own * F.lit(w)).cast("double") - F.lit(float(proximity))
+    around = lambda k: F.pmod(k - 1, F.lit(stripes)) + 1
+    also = F.when(near_lower & (own > 0), around(own - 1)).when(near_upper, around(own + 1))
+    outside = F.raise_error(F.lit("ra outside [0, 360] has no stripe")).cast("array<int>")
+    return F.when((ra >= 0) & (ra <= F.lit(360.0)), F.array(own, also)).otherwise(outside)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # RA wraps at 360 degrees; points above 180 are moved to
 # negative RA so a footprint straddling RA = 0 becomes contiguous.
 RA_WRAP_AT = 180.0
+NULL_TOKEN = "NULL"     # how catalogue text writes a missing value
 FULL_CIRCLE = 360.0
 
 
@@ -35,8 +36,12 @@ def log_bar(count) -> Column:
 
 
 def format_record(*cols) -> Column:
-    """Comma-joined text of the values (Java number text, as the catalogue uses)."""
-    return F.concat_ws(",", *[_c(c).cast("string") for c in cols])
+    """Comma-joined text of the values (Java number text, as the catalogue uses).
+
+    A missing value is written as the catalogue's null token, so the fields
+    behind it keep their places.
+    """
+    return F.concat_ws(",", *[F.coalesce(_c(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols])
 
 
 def zone_text(min_ra, max_ra, min_decl, max_decl) -> Column:

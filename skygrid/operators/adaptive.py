@@ -1,63 +1,130 @@
-"""Re-divide overloaded cells: a quad-tree over the grid, built without loops
-over the data.
-
-Each point gets its finest cell at level ``L`` (every grid cell split into
-``2^L x 2^L``).  Counts are pre-aggregated per finest cell, rolled up to each
-coarser level, and every finest cell picks the coarsest ancestor holding at
-most ``cap`` points -- a consistent set of quad-tree leaves.  All of this
-works on the finest-cell count table, whose size is bounded by the
-parameters (``(n * 2^L)^2`` rows at most), never by the data.
+"""Re-divide overloaded cells: a quad-tree over the grid, refined until every leaf obeys the cap.
+
+Each axis of the grid is cut ``2^MAX_LEVEL`` times finer; a point's index at
+level ``l`` is its finest index shifted right, so levels always nest.  A round
+counts the points of the still overfull cells ``STEP`` levels deeper, rolls
+the counts up, and lets every cell pick its coarsest ancestor within the cap;
+cells that are over it even at the round's deepest level go to the next
+round.  Rounds end when no cell is overfull, or its points are one single
+position: such a leaf can't be divided and is flagged.  Only the small count
+tables are looked at between rounds, never the data.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import Grid
+from skygrid.operators.positions import require_positions
+from skygrid.session import cut_lineage
 from skygrid.sources.schema import DECL, RA
 
-# Broadcast the leaf table only while its worst-case size stays small.
-MAX_BROADCAST_FINE_CELLS = 1 << 20
+MAX_LEVEL = 30      # below it, cells are smaller than coordinates resolve
+STEP = 3            # levels counted in one round
 
 
-def fine_index(x, lo: float, hi: float, cells: int):
+def finest_index(x: str, lo: float, hi: float, n: int):
+    """The index of a coordinate among ``n * 2^MAX_LEVEL`` equal parts."""
+    cells = n << MAX_LEVEL
     size = (hi - lo) / cells
     if size <= 0:
-        return F.lit(0)
-    idx = F.floor((F.col(x) - F.lit(lo)) / F.lit(size)).cast("int")
-    return F.least(F.lit(cells - 1), F.greatest(F.lit(0), idx))
+        return F.lit(0).cast("bigint")
+    idx = F.floor((F.col(x) - F.lit(lo)) / F.lit(size)).cast("bigint")
+    return F.least(F.lit(cells - 1).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), idx))
 
 
-def adaptive_split(positions: DataFrame, grid: Grid, cap: int, max_level: int = 3,
-                   ra: str = RA, decl: str = DECL) -> DataFrame:
-    """Adds ``level``, ``leaf_i``, ``leaf_j`` and ``leaf`` (``level/i.j``).
+def _at(col: str, level: int, depth: int = MAX_LEVEL):
+    return F.shiftright(col, depth - level)
 
-    A finest cell still over ``cap`` stays at ``max_level`` (the leaf is then
-    over capacity; combine with :func:`capacity_split` for a hard cap).
-    """
-    if cap < 1 or max_level < 0:
-        raise ValueError("cap must be positive and max_level non-negative")
+
+def _indexed(positions: DataFrame, grid: Grid, ra: str, decl: str) -> DataFrame:
     z = grid.zone
-    cells = grid.n << max_level
-    pts = (positions.withColumn("_fi", fine_index(ra, z.min_ra, z.max_ra, cells))
-           .withColumn("_fj", fine_index(decl, z.min_decl, z.max_decl, cells)))
-    fine = pts.groupBy("_fi", "_fj").agg(F.count(F.lit(1)).alias("_n"))
-    levels = F.sequence(F.lit(0), F.lit(max_level))
-    # (fine cell, level, ancestor) for every level: a bounded expansion.
-    anc = (fine.select("_fi", "_fj", "_n", F.explode(levels).alias("level"))
-           .withColumn("_ai", F.expr(f"shiftright(_fi, {max_level} - level)"))
-           .withColumn("_aj", F.expr(f"shiftright(_fj, {max_level} - level)")))
-    anc_counts = anc.groupBy("level", "_ai", "_aj").agg(F.sum("_n").alias("_an"))
-    leaf = (anc.drop("_n").join(anc_counts, ["level", "_ai", "_aj"])
-            .groupBy("_fi", "_fj")
-            .agg(F.coalesce(F.min(F.when(F.col("_an") <= cap, F.col("level"))),
-                            F.lit(max_level)).alias("level")))
-    leaf = (leaf.withColumn("leaf_i", F.expr(f"shiftright(_fi, {max_level} - level)"))
-            .withColumn("leaf_j", F.expr(f"shiftright(_fj, {max_level} - level)"))
+    return (require_positions(positions, ra, decl)
+            .withColumn("_fi", finest_index(ra, z.min_ra, z.max_ra, grid.n))
+            .withColumn("_fj", finest_index(decl, z.min_decl, z.max_decl, grid.n)))
+
+
+def _rounds(points: DataFrame, cap: int, ra: str, decl: str):
+    """``(depth, cells)`` per round: cells ``_i, _j`` at ``depth`` with ``level, n, indivisible``."""
+    over, depth, first = None, STEP, 0
+    while True:
+        cells = points.select(_at("_fi", depth).alias("_i"), _at("_fj", depth).alias("_j"), ra, decl)
+        if over is not None:        # points of cells that were overfull at the round before
+            cells = cells.join(over.select("_oi", "_oj"), (_at("_i", first - 1, depth) == F.col("_oi"))
+                               & (_at("_j", first - 1, depth) == F.col("_oj")), "left_semi")
+        counted = cut_lineage(cells.groupBy("_i", "_j").agg(
+            F.count(F.lit(1)).alias("_n"), F.min(ra).alias("_x0"), F.max(ra).alias("_x1"),
+            F.min(decl).alias("_y0"), F.max(decl).alias("_y1")), "finecells")
+        levels = F.sequence(F.lit(first), F.lit(depth))
+        up = counted.select("*", F.explode(levels).alias("level"))
+        up = (up.withColumn("_ai", F.expr(f"shiftright(_i, {depth} - level)"))
+              .withColumn("_aj", F.expr(f"shiftright(_j, {depth} - level)")))
+        sums = up.groupBy("level", "_ai", "_aj").agg(
+            F.sum("_n").alias("n"), (F.min("_x0") == F.max("_x1")).alias("_sx"),
+            (F.min("_y0") == F.max("_y1")).alias("_sy"))
+        single = F.col("_sx") & F.col("_sy") if depth < MAX_LEVEL else (F.col("level") == depth)
+        fits = sums.withColumn("indivisible", (F.col("n") > cap) & single).where(
+            (F.col("n") <= cap) | F.col("indivisible"))
+        allowed = up.select("_i", "_j", "level", "_ai", "_aj").join(
+            fits.select("level", "_ai", "_aj", "n", "indivisible"), ["level", "_ai", "_aj"])
+        coarsest = allowed.groupBy("_i", "_j").agg(F.min("level").alias("level"))
+        chosen = allowed.join(coarsest, ["_i", "_j", "level"]).select("_i", "_j", "level", "n", "indivisible")
+        chosen = cut_lineage(chosen, "leafcells")
+        yield depth, chosen
+        rest = counted.join(chosen, ["_i", "_j"], "left_anti").select(
+            F.col("_i").alias("_oi"), F.col("_j").alias("_oj"))
+        if depth >= MAX_LEVEL or rest.isEmpty():
+            return
+        over, first, depth = rest, depth + 1, min(MAX_LEVEL, depth + STEP)
+
+
+def _named(cells: DataFrame, depth: int) -> DataFrame:
+    return (cells.withColumn("leaf_i", F.expr(f"shiftright(_i, {depth} - level)"))
+            .withColumn("leaf_j", F.expr(f"shiftright(_j, {depth} - level)"))
             .withColumn("leaf", F.concat(F.col("level").cast("string"), F.lit("/"),
                                          F.col("leaf_i").cast("string"), F.lit("."),
                                          F.col("leaf_j").cast("string"))))
-    if cells * cells <= MAX_BROADCAST_FINE_CELLS:
-        leaf = F.broadcast(leaf)
-    return pts.join(leaf, ["_fi", "_fj"]).drop("_fi", "_fj")
+
+
+def _check(cap: int) -> None:
+    if cap < 1:
+        raise ValueError("cap must be positive")
+
+
+def adaptive_leaves(positions: DataFrame, grid: Grid, cap: int, ra: str = RA, decl: str = DECL) -> DataFrame:
+    """The leaf table: ``leaf, level, leaf_i, leaf_j``, box, ``n_rows`` and ``indivisible``."""
+    _check(cap)
+    points = _indexed(positions, grid, ra, decl)
+    parts = [_named(cells, depth).select("leaf", "level", "leaf_i", "leaf_j", F.col("n").alias("n_rows"),
+                                         "indivisible").distinct()
+             for depth, cells in _rounds(points, cap, ra, decl)]
+    z, leaves = grid.zone, reduce(DataFrame.unionByName, parts)
+    side = F.pow(F.lit(2.0), F.col("level")) * F.lit(float(grid.n))
+    width, height = F.lit(z.max_ra - z.min_ra) / side, F.lit(z.max_decl - z.min_decl) / side
+    return leaves.select(
+        "leaf", "level", "leaf_i", "leaf_j",
+        (F.lit(z.min_ra) + F.col("leaf_i") * width).alias("ra_lo"),
+        (F.lit(z.min_ra) + (F.col("leaf_i") + 1) * width).alias("ra_hi"),
+        (F.lit(z.min_decl) + F.col("leaf_j") * height).alias("decl_lo"),
+        (F.lit(z.min_decl) + (F.col("leaf_j") + 1) * height).alias("decl_hi"), "n_rows", "indivisible")
+
+
+def adaptive_split(positions: DataFrame, grid: Grid, cap: int, ra: str = RA, decl: str = DECL) -> DataFrame:
+    """Adds ``level``, ``leaf_i``, ``leaf_j`` and ``leaf`` (``level/i.j``).
+
+    Every leaf holds at most ``cap`` points, save one whose points all share
+    one position (``indivisible`` in :func:`adaptive_leaves`).
+    """
+    _check(cap)
+    points = _indexed(positions, grid, ra, decl)
+    out, found = points, []
+    for r, (depth, cells) in enumerate(_rounds(points, cap, ra, decl)):
+        names = _named(cells, depth).select(
+            F.col("_i").alias(f"_i{r}"), F.col("_j").alias(f"_j{r}"),
+            F.struct("level", "leaf_i", "leaf_j", "leaf").alias(f"_leaf{r}"))
+        out = out.join(names, (_at("_fi", depth) == F.col(f"_i{r}")) & (_at("_fj", depth) == F.col(f"_j{r}")), "left")
+        found.append(F.col(f"_leaf{r}"))
+    return out.withColumn("_leaf", F.coalesce(*found)).select(*positions.columns, "_leaf.*")

@@ -11,27 +11,28 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import (
     DEFAULT_CELL_CAP, DEFAULT_HALO, OVERFLOW_SUFFIX, STRIPE_PROXIMITY, STRIPES, Grid,
-    cell_bounds, cell_name, exclusive_cell, exclusive_cell_j, in_widened_cell, overlap_candidates,
-    stripe_index, stripe_neighbour)
+    breakpoint_index, cell_bounds, cell_name, exclusive_cell_j, in_widened_cell, overlap_candidates,
+    stripes_of)
 from skygrid.functions.coords import log_bar
+from skygrid.operators.positions import require_positions
 from skygrid.session import cut_lineage
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
 CELL_KEYS = ("cell_i", "cell_j")
-# Target rows per task when ranking the rows of overfull cells.
+# Rows that a task numbers at most when cells are capped.
 ROWS_PER_TASK = 2_000_000
-# Broadcast the per-(partition, group) offset table up to this many rows.
-MAX_OFFSET_BROADCAST = 1_000_000
 
 
 def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
     """The n x n cell table: indexes, name and box (RA from i, Decl from j)."""
-    ids = spark.range(grid.n * grid.n, numPartitions=1)  # n*n <= 676 rows
+    ids = spark.range(grid.n * grid.n)
     cells = ids.select((F.col("id") / F.lit(grid.n)).cast("int").alias("cell_i"),
                        (F.col("id") % F.lit(grid.n)).cast("int").alias("cell_j"))
     b = cell_bounds("cell_i", "cell_j", grid)
@@ -42,8 +43,9 @@ def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
 
 def assign_exclusive(positions: DataFrame, grid: Grid, ra: str = RA, decl: str = DECL) -> DataFrame:
     """Adds ``cell_i``, ``cell_j``, ``cell``: one cell per row (narrow)."""
-    i, _ = exclusive_cell(ra, decl, grid)
-    return (positions.withColumn("cell_i", i)
+    z = grid.zone
+    return (require_positions(positions, ra, decl)
+            .withColumn("cell_i", breakpoint_index(ra, z.min_ra, z.max_ra, grid.n))
             .withColumn("cell_j", exclusive_cell_j(decl, "cell_i", grid))
             .withColumn("cell", cell_name("cell_i", "cell_j")))
 
@@ -54,16 +56,26 @@ def assign_overlap(positions: DataFrame, grid: Grid, halo: float = DEFAULT_HALO,
 
     Candidates come from the point's own position (a few cells per axis),
     then the exact closed-box test decides; output is 1:n, nothing is lost:
-    every point lies in at least its own cell.
+    every point of the grid's zone lies in at least its own cell (points beyond
+    zone and halo lie in none; :func:`outside_overlap` finds them).
     """
     ci, cj = overlap_candidates(ra, decl, grid, halo)
-    return (positions
+    return (require_positions(positions, ra, decl)
             .withColumn("cell_i", F.explode(ci))
             .withColumn("cell_j", F.explode(cj))
             .where(in_widened_cell(ra, decl, "cell_i", "cell_j", grid, halo))
             .withColumn("cell", cell_name("cell_i", "cell_j")))
 
 
+def outside_overlap(positions: DataFrame, grid: Grid, halo: float = DEFAULT_HALO,
+                    ra: str = RA, decl: str = DECL) -> DataFrame:
+    """The rows beyond the grid's zone and halo, which no overlapping cell holds."""
+    z, h, x, y = grid.zone, F.lit(halo), F.col(ra), F.col(decl)
+    return require_positions(positions, ra, decl).where(
+        (x < F.lit(z.min_ra) - h) | (x > F.lit(z.max_ra) + h)
+        | (y < F.lit(z.min_decl) - h) | (y > F.lit(z.max_decl) + h))
+
+
 def overflow_name(i, j, segment) -> Column:
     """Cell name ``i.j`` followed by one ``bis`` per overflow generation."""
     return F.concat(cell_name(i, j), F.repeat(F.lit(OVERFLOW_SUFFIX), segment))
@@ -82,58 +94,37 @@ def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> D
     return counted.select(*keys, label.alias(name), "n_rows", log_bar("n_rows").alias("bar"))
 
 
-def rank_within(df: DataFrame, keys, order_col: str, num_partitions: int | None = None,
-                max_groups: int = 26 * 26) -> DataFrame:
-    """Exact 1-based rank of each row inside its group by a unique ``order_col``.
-
-    A group may be any size: rows are range-partitioned on (keys, order_col),
-    so one hot group spans many tasks.  Each row's position inside its
-    partition comes from ``monotonically_increasing_id`` after a local sort;
-    a small table of per-(partition, group) counts gives the rows of the same
-    group in earlier partitions.  That table has at most
-    ``partitions + groups`` rows; it is broadcast while that bound is small
-    (``max_groups`` is the caller's bound on the number of groups).
+def rank_rows(rows: DataFrame, keys, order_col: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Adds the exact 1-based ``rank`` of each row inside its group by an integer ``order_col``.
 
-    The ids are materialised once as a table in the shared checkpoint
-    folder: both consumers (the offset table and the rows) then read
-    identical ids, also when an executor is lost and work is redone.
-    The explicit partition count keeps adaptive execution from coalescing the
-    range shuffle.
+    The rows are materialised once in the shared folder.  The range of
+    ``order_col`` is cut into buckets of equal width, as many as it takes
+    until no (group, bucket) holds more than ``rows_per_task`` rows; a prefix
+    sum over the small table of their counts gives the rows before each.
+    Only then are rows shuffled, once, by (group, bucket), and numbered
+    there: a group of any size spans many tasks, and no task sorts more than
+    the bound (save for equal values of ``order_col``, which can't be cut).
     """
-    spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(keys)
-    ordered = (df.repartitionByRange(num_partitions, *keys, order_col)
-               .sortWithinPartitions(*keys, order_col)
-               .withColumn("_rid", F.monotonically_increasing_id())
-               .withColumn("_pid", F.shiftright("_rid", 33)))
-    ordered = cut_lineage(ordered, "ranked")
-    per_part = (ordered.groupBy("_pid", *keys)
-                .agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    w = Window.partitionBy(*keys).orderBy("_pid")
-    offsets = per_part.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt")).drop("_cnt")
-    if num_partitions + max_groups <= MAX_OFFSET_BROADCAST:
-        offsets = F.broadcast(offsets)
-    return (ordered.join(offsets, ["_pid", *keys])
-            .withColumn("rank", F.col("_before") + (F.col("_rid") - F.col("_first")) + 1)
-            .drop("_rid", "_pid", "_first", "_before"))
-
-
-def ranked(df: DataFrame, keys, order_col: str, total_rows: int, groups: int,
-           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Adds the exact 1-based ``rank`` inside each group, sized by known counts.
-
-    When all rows together fit one task a window rank is bounded; otherwise
-    the distributed :func:`rank_within` with about ``rows_per_task`` rows per
-    range partition.
-    """
-    keys = list(keys)
-    if total_rows <= rows_per_task:
-        w = Window.partitionBy(*keys).orderBy(order_col)
-        return df.withColumn("rank", F.row_number().over(w))
-    parts = -(-total_rows // rows_per_task)
-    return rank_within(df, keys, order_col, num_partitions=parts, max_groups=groups)
+    keys, value = list(keys), F.col(order_col)
+    rows = cut_lineage(rows, "torank")
+    low, high, n = rows.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
+    low, span = (0, 0) if low is None else (int(low), int(high) - int(low))
+    buckets = 1 << max(0, math.ceil(math.log2(max(1, n) / rows_per_task)))
+    while True:
+        width = span // buckets + 1
+        exact = value if abs(low) + span < 1 << 62 else value.cast("decimal(20,0)")
+        bucket = F.coalesce(F.call_function("div", exact - F.lit(low), F.lit(width)).cast("bigint"),
+                            F.lit(-1).cast("bigint"))
+        counts = rows.groupBy(*keys, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+        if width == 1 or (counts.agg(F.max("_n")).first()[0] or 0) <= rows_per_task:
+            break
+        buckets *= 8
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
+    return (rows.withColumn("_bucket", bucket).join(offsets, [*keys, "_bucket"])
+            .withColumn("rank", F.col("_before") + F.row_number().over(inside))
+            .drop("_bucket", "_before"))
 
 
 def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col: str = SOURCE_ID,
@@ -142,41 +133,36 @@ def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col:
 
     Rows are taken in ``order_col`` order: the first ``cap`` keep the cell
     name, the next ``cap`` get ``name + 'bis'``, then ``'bisbis'`` and so on.
-    Adds ``segment`` (0 for the original cell) and rewrites ``name``.  Cells
-    within the cap pass straight through; only rows of overfull cells are
-    ranked: by a window when they total at most ``rows_per_task`` rows,
-    otherwise by the distributed :func:`rank_within`.  The hot-cell list is grid-bounded
-    (at most 676 cells), so it is collected with its counts, which also size
-    the range shuffle (``rows_per_task``).
+    Adds ``segment`` (0 for the original cell) and rewrites ``name``.
     """
     if cap < 1:
         raise ValueError("cap must be positive")
-    keys = list(keys)
-    # Overfull cells: a grid-bounded list (at most 676 cells), so it is
-    # collected and used as a literal set -- no join against the data.
-    over = (assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > cap).collect())
-    hot_cells = [tuple(r[k] for k in keys) for r in over]
-    hot_rows = sum(r["_n"] for r in over)
-    named = lambda df: df.withColumn(
-        name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment"))))
-    if not hot_cells:
-        return named(assigned.withColumn("segment", F.lit(0)))
-    key = F.struct(*[F.col(k) for k in keys])
-    is_hot = key.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, cell)]) for cell in hot_cells])
-    cold = assigned.where(~is_hot).withColumn("segment", F.lit(0))
-    hot = ranked(assigned.where(is_hot), keys, order_col, hot_rows, len(hot_cells), rows_per_task)
-    hot = (hot.withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)"))
-           .drop("rank"))
-    return named(cold.unionByName(hot))
+    return (rank_rows(assigned, keys, order_col, rows_per_task)
+            .withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)")).drop("rank")
+            .withColumn(name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment")))))
+
+
+def capped_histogram(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, keys=CELL_KEYS,
+                     name: str = "cell") -> DataFrame:
+    """The histogram of a capacity split, by arithmetic on the cells' counts.
+
+    A cell of ``n`` rows has ``ceil(n / cap)`` segments, all full but the
+    last; no row needs a rank for that.
+    """
+    if cap < 1:
+        raise ValueError("cap must be positive")
+    counted = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    segments = F.sequence(F.lit(0), F.expr(f"CAST((_n - 1) div {int(cap)} AS INT)"))
+    split = counted.select(*keys, "_n", F.explode(segments).alias("segment"))
+    rows = split.withColumn("n_rows", F.least(F.lit(int(cap)).cast("bigint"),
+                                              F.col("_n") - F.col("segment").cast("bigint") * int(cap)))
+    return rows.select(*keys, "segment", overflow_name("cell_i", "cell_j", F.col("segment")).alias(name),
+                       "n_rows", log_bar("n_rows").alias("bar"))
 
 
 def assign_stripes(positions: DataFrame, ra: str = RA, stripes: int = STRIPES,
                    proximity: float = STRIPE_PROXIMITY) -> DataFrame:
-    """RA stripes: each row in its stripe and, near a border, the neighbour too."""
-    i = stripe_index(ra, stripes)
-    with_i = positions.withColumn("_own", i)
-    nb = stripe_neighbour(ra, F.col("_own"), stripes, proximity)
-    return (with_i.withColumn("stripe", F.explode(F.array(F.col("_own"), nb)))
-            .where(F.col("stripe").isNotNull())
-            .drop("_own"))
+    """RA stripes: each row in its stripe and, near a border, the next one too."""
+    rows = require_positions(positions, ra, None)
+    return (rows.withColumn("stripe", F.explode(stripes_of(ra, stripes, proximity)))
+            .where(F.col("stripe").isNotNull()))

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.coords import haversine_term, haversine_threshold
+from skygrid.operators.positions import require_positions
+from skygrid.session import cut_lineage
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
 # Block sides are widened by this relative margin so rounding in ``x / side``
@@ -28,61 +30,50 @@ _SLACK = 1.0 + 1e-9
 # exactly one of D and -D is listed.
 _HALF = [(0, 0), (1, -1), (1, 0), (1, 1), (0, 1)]
 
-# Blocks with more points than this are split into salted sub-blocks.
-DEFAULT_HOT_ROWS = 200_000
-# The hot-block table (two longs and an int per row) is broadcast only while
-# it has at most this many rows; there can be at most (rows / hot_rows) hot
-# blocks.
-MAX_HOT_BROADCAST = 1_000_000
-# Rows a join task should sort (base plus probe rows); sets the join's
-# partition count for large inputs.
-ROWS_PER_JOIN_TASK = 1_000_000
-
-
-def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], id_col: str,
-                 hot_rows: int, probe_factor: int) -> DataFrame:
-    """Equi-join ``base`` and ``probe`` on ``keys``, sized and with hot keys split.
-
-    One pass over the per-key base counts (partial aggregation) gives the
-    total rows and the hot keys.  The join is hash-partitioned into enough
-    partitions that a task sorts about ``ROWS_PER_JOIN_TASK`` rows (base rows
-    plus at most ``probe_factor`` probe rows each) -- only when that exceeds
-    the session's shuffle partitions, so small inputs keep the planner's
-    choice (e.g. a broadcast join).  A key with ``n > hot_rows`` base rows
-    gets ``s = ceil(n / hot_rows)`` salts: each base row takes one salt from
-    a hash of its id, each probe row of that key is replicated to every salt.
-    Every (base, probe) pair still meets exactly once.
+# Candidate pairs that one join key may hold; a block with more is cut into a
+# grid of salted sub-blocks.
+PAIR_BUDGET = 50_000_000
+# The table of such blocks (their key and two small numbers) is broadcast; the
+# budget is raised until it has at most this many rows.
+MAX_HOT_BROADCAST = 500_000
+
+
+def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], base_id: str, probe_id: str,
+                 pair_budget: int) -> DataFrame:
+    """Equi-join ``base`` and ``probe`` on ``keys``, hot keys cut by their candidate pairs.
+
+    Base and probe rows are counted per key (combined before the shuffle).  A
+    key with ``b * p`` candidate pairs above the budget becomes a grid of
+    ``sb x sp`` keys: a base row takes one of ``sb`` rows by a hash of its id
+    and is repeated over the ``sp`` columns, a probe row the other way round.
+    Every (base, probe) pair still meets exactly once, and the work of one
+    key, wherever the points are, is bounded.  The join is an ordinary one on
+    (keys, salts), so adaptive execution sizes it and splits what skew is left.
     """
-    spark = base.sparkSession
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    stats = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                       F.count_if(F.col("_n") > hot_rows).alias("hot")).first()
-    parts = -(-int(stats["rows"]) * (1 + probe_factor) // ROWS_PER_JOIN_TASK)
-    sized = parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_hot = int(stats["hot"])
-    if n_hot == 0 or n_hot > MAX_HOT_BROADCAST:
-        # No hot block -- or so many that each holds a small share of the
-        # data: a plain join, whose skewed partitions adaptive execution splits.
-        # (Attaching salts through a shuffle join on the hot keys would itself
-        # be skewed.)
-        if sized:
-            return base.repartition(parts, *keys).join(probe.repartition(parts, *keys), keys)
+    pairs = cut_lineage(
+        base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nbase"))
+        .join(probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nprobe")), keys)
+        .where(F.col("_nbase").cast("double") * F.col("_nprobe") > pair_budget), "hotblocks")
+    n_hot = pairs.count()
+    while n_hot > MAX_HOT_BROADCAST:
+        pair_budget *= 4
+        pairs = pairs.where(F.col("_nbase").cast("double") * F.col("_nprobe") > pair_budget)
+        n_hot = pairs.count()
+    if n_hot == 0:
         return base.join(probe, keys)
-    hot = F.broadcast(counts.where(F.col("_n") > hot_rows)
-                      .select(*keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_s")))
-    salted_base = (base.join(hot, keys, "left")
-                   .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
-                               .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_s")).cast("int")))
-                   .drop("_s"))
-    salted_probe = (probe.join(hot, keys, "left")
-                    .withColumn("_salt", F.explode(F.when(F.col("_s").isNull(), F.array(F.lit(0)))
-                                                   .otherwise(F.sequence(F.lit(0), F.col("_s") - 1))))
-                    .drop("_s"))
-    join_keys = keys + ["_salt"]
-    if sized:
-        salted_base = salted_base.repartition(parts, *join_keys)
-        salted_probe = salted_probe.repartition(parts, *join_keys)
-    return salted_base.join(salted_probe, join_keys).drop("_salt")
+    # Sub-blocks about as many rows high as wide.
+    side = F.lit(float(pair_budget) ** 0.5)
+    hot = F.broadcast(pairs.select(*keys, F.ceil(F.col("_nbase") / side).cast("int").alias("_sb"),
+                                   F.ceil(F.col("_nprobe") / side).cast("int").alias("_sp")))
+
+    def salted(rows: DataFrame, id_col: str, own: str, other: str, salt: str, spread: str) -> DataFrame:
+        own_n, other_n = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
+        return (rows.join(hot, keys, "left")
+                .withColumn(salt, F.pmod(F.xxhash64(F.col(id_col)), own_n).cast("int"))
+                .withColumn(spread, F.explode(F.sequence(F.lit(0), other_n - 1))).drop("_sb", "_sp"))
+
+    return (salted(base, base_id, "_sb", "_sp", "_u", "_v")
+            .join(salted(probe, probe_id, "_sp", "_sb", "_v", "_u"), [*keys, "_u", "_v"]).drop("_u", "_v"))
 
 
 def _pair_columns(a: str, b: str) -> list[Column]:
@@ -91,7 +82,7 @@ def _pair_columns(a: str, b: str) -> list[Column]:
 
 def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra: str = RA,
                     decl: str = DECL, with_distance: bool = True,
-                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                    pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """Pairs with planar distance ``sqrt(dra^2 + ddecl^2) < eps`` (``id_a < id_b``).
 
     Coordinates are treated as Cartesian; pass wrapped RA for a footprint
@@ -104,7 +95,7 @@ def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra:
     # distance to any partner there), so on average ~2.4 rows per point
     # enter the shuffle instead of 5.
     side = 2.0 * eps * _SLACK
-    pts = points.select(F.col(id_col).alias("_id"), F.col(ra).alias("_x"), F.col(decl).alias("_y"),
+    pts = require_positions(points, ra, decl).select(F.col(id_col).alias("_id"), F.col(ra).alias("_x"), F.col(decl).alias("_y"),
                         F.floor(F.col(ra) / F.lit(side)).alias("_bx"),
                         F.floor(F.col(decl) / F.lit(side)).alias("_by"))
     # Distances from the point to its own block's left/right and lower/upper edges.
@@ -131,7 +122,7 @@ def neighbour_pairs(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra:
     dx = F.col("_x2") - F.col("_x")
     dy = F.col("_y2") - F.col("_y")
     dist = F.sqrt(dx * dx + dy * dy)
-    joined = (_salted_join(pts, probe, ["_bx", "_by"], "_id", hot_rows, probe_factor=len(_HALF))
+    joined = (_salted_join(pts, probe, ["_bx", "_by"], "_id", "_id2", pair_budget)
               .where((~F.col("_same") | (F.col("_id") < F.col("_id2"))) & (dist < F.lit(eps))))
     cols = _pair_columns("_id", "_id2")
     if with_distance:
@@ -151,7 +142,7 @@ def _zone_alpha(zone: Column, height: float, eps: float) -> Column:
 
 
 def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_ID, ra: str = RA,
-                           decl: str = DECL, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                           decl: str = DECL, pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """Pairs with great-circle separation ``< eps`` degrees (``id_a < id_b``).
 
     Decl is cut into zones of height eps.  A pair lies in one zone or in two
@@ -168,7 +159,7 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     # bounds on the separation from any partner there).
     height = 2.0 * eps * _SLACK
     ra_u = F.when(F.col(ra) < 0, F.col(ra) + F.lit(360.0)).otherwise(F.col(ra))
-    pts = points.select(F.col(id_col).alias("_id"), ra_u.alias("_ra"), F.col(decl).alias("_dec"),
+    pts = require_positions(points, ra, decl).select(F.col(id_col).alias("_id"), ra_u.alias("_ra"), F.col(decl).alias("_dec"),
                         F.floor((F.col(decl) + F.lit(90.0)) / F.lit(height)).alias("_z"))
 
     def with_blocks(df: DataFrame, zone_col: Column, tag: str) -> DataFrame:
@@ -190,36 +181,27 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     near = lambda gap, bound: gap < bound * F.lit(_SLACK)
     # Base rows: the point's own zone pair (z, z+1), block in that pair's width.
     base = pts.select("_id", "_ra", "_dec", F.col("_z").alias("_zp"), b0.alias("_b"))
-    # Same zone: own block (offset 0) always; the block to the left when the
-    # point is within alpha of its left edge.
-    same_prev = F.when((nb0 > 1) & near(F.col("_gl0"), F.col("_a0")), F.pmod(b0 - 1, nb0))
-    same = (pts.select("_id", "_ra", "_dec", F.col("_z").alias("_zp"),
-                       F.explode(F.array(F.struct(b0.alias("b"), F.lit(True).alias("d0")),
-                                         F.struct(same_prev.alias("b"), F.lit(False).alias("d0"))))
-                       .alias("_o"))
-            .where(F.col("_o.b").isNotNull())
-            .select("_id", "_ra", "_dec", "_zp", F.col("_o.b").alias("_b"),
-                    F.col("_o.d0").alias("_d0")))
-    # Zone below, only within eps of this zone's lower edge: own block, and
-    # the side blocks within alpha.
+    # Probes, all from one expansion of the point.  Same zone: its own block
+    # always, the block to the left when the point is within alpha of that
+    # edge.  Zone below, only within eps of this zone's lower edge: own block,
+    # and the side blocks within alpha.  With one RA block the side blocks are
+    # the block itself; with three or more the candidates are distinct.
     to_lower = F.col("_dec") - (F.col("_z") * F.lit(height) - F.lit(90.0))
-    # With one RA block the side blocks are the block itself; with three or
-    # more the three candidates are distinct.
-    below_blocks = F.array(
-        F.struct(b1.alias("b"), F.lit(True).alias("ok")),
-        F.struct(F.pmod(b1 - 1, nb1).alias("b"), ((nb1 > 1) & near(F.col("_gl1"), F.col("_a1"))).alias("ok")),
-        F.struct(F.pmod(b1 + 1, nb1).alias("b"), ((nb1 > 1) & near(F.col("_gr1"), F.col("_a1"))).alias("ok")))
-    below = (pts.where(near(to_lower, F.lit(eps)))
-             .select("_id", "_ra", "_dec", (F.col("_z") - 1).alias("_zp"),
-                     F.explode(below_blocks).alias("_o"))
-             .where(F.col("_o.ok"))
-             .select("_id", "_ra", "_dec", "_zp", F.col("_o.b").alias("_b"), F.lit(False).alias("_d0")))
-    probe = same.unionByName(below).select(
-        F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
-        "_zp", "_b", "_d0")
+    low = near(to_lower, F.lit(eps))
+    probes = F.array(*[
+        F.struct(zone.alias("zp"), b.alias("b"), F.lit(own).alias("d0"), ok.alias("ok"))
+        for zone, b, own, ok in (
+            (F.col("_z"), b0, True, F.lit(True)),
+            (F.col("_z"), F.pmod(b0 - 1, nb0), False, (nb0 > 1) & near(F.col("_gl0"), F.col("_a0"))),
+            (F.col("_z") - 1, b1, False, low),
+            (F.col("_z") - 1, F.pmod(b1 - 1, nb1), False, low & (nb1 > 1) & near(F.col("_gl1"), F.col("_a1"))),
+            (F.col("_z") - 1, F.pmod(b1 + 1, nb1), False, low & (nb1 > 1) & near(F.col("_gr1"), F.col("_a1"))))])
+    probe = (pts.select("_id", "_ra", "_dec", F.explode(probes).alias("_o")).where(F.col("_o.ok"))
+             .select(F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
+                     F.col("_o.zp").alias("_zp"), F.col("_o.b").alias("_b"), F.col("_o.d0").alias("_d0")))
     # Within one block of one zone each pair meets twice: keep one orientation.
     h = haversine_term("_ra", "_dec", "_ra2", "_dec2")
-    return (_salted_join(base, probe, ["_zp", "_b"], "_id", hot_rows, probe_factor=5)
+    return (_salted_join(base, probe, ["_zp", "_b"], "_id", "_id2", pair_budget)
             .where((~F.col("_d0") | (F.col("_id") < F.col("_id2")))
                    & (h < F.lit(haversine_threshold(eps))))
             .select(*_pair_columns("_id", "_id2")))

@@ -7,13 +7,12 @@ all rows sends one partial row per map task, never its raw rows.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import Zone
 from skygrid.functions.coords import wrap_ra, zone_text
+from skygrid.operators.positions import require_positions
 from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID
 
 
@@ -23,24 +22,6 @@ def count_by_object(sources: DataFrame, key: str = OBJECT_ID) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_sources")))
 
 
-def text_order_key(id_col) -> Column:
-    """A fixed-width number ordered like the decimal text of an integer id.
-
-    Text order compares digit by digit and puts a prefix first ("9" > "10",
-    "1" < "10"), with "-" before any digit.  Scaling the digits to 19 places
-    and appending the length gives the same order as a DECIMAL(38,0), so a
-    "latest id" aggregate can stay a hash aggregate (a string maximum would
-    force a sort-based aggregate).
-    """
-    v = F.col(id_col) if isinstance(id_col, str) else id_col
-    digits = F.abs(v.cast("decimal(38,0)"))
-    length = F.length(digits.cast("string"))
-    scaled = digits * F.pow(F.lit(10), F.lit(19) - length).cast("decimal(38,0)")
-    key = (scaled * F.lit(100) + length).cast("decimal(38,0)")
-    below_all = F.lit(Decimal(10) ** 22).cast("decimal(38,0)")
-    return F.when(v < 0, key - below_all).otherwise(key).cast("decimal(38,0)")
-
-
 _MAX_DIGITS = 19  # digits of the largest 64-bit id
 
 
@@ -52,11 +33,6 @@ def _digits_below(v: Column, offset: int = 0) -> Column:
     return n
 
 
-def digit_count(v) -> Column:
-    """Decimal digits of a non-negative integer column (no string conversion)."""
-    return _digits_below(F.col(v) if isinstance(v, str) else v)
-
-
 _LONG_MIN = -(2 ** 63)
 
 
@@ -86,13 +62,14 @@ def _latest_text_aggregates() -> tuple[list[Column], Column]:
     """
     digits = range(1, _MAX_DIGITS + 1)
     aggs = [F.max(F.when(F.col("_d") == n, F.col("_e"))).alias(f"_t{n}") for n in digits]
-    pos_text = F.greatest(*[F.when(F.col(f"_t{n}") >= 0, F.col(f"_t{n}").cast("string"))
-                            for n in digits])
-    neg_text = F.greatest(*[
+    # Arrays: their code is split into small methods, which stay compiled.
+    pos_text = F.array_max(F.array(*[F.when(F.col(f"_t{n}") >= 0, F.col(f"_t{n}").cast("string"))
+                                     for n in digits]))
+    neg_text = F.array_max(F.array(*[
         F.when(F.col(f"_t{n}") < 0, F.concat(F.lit("-"), (
             F.col(f"_t{n}").cast("decimal(20,0)") - F.lit(_LONG_MIN).cast("decimal(20,0)") + 1)
             .cast("decimal(20,0)").cast("string")))
-        for n in digits])
+        for n in digits]))
     return aggs, F.coalesce(pos_text, neg_text)
 
 
@@ -127,7 +104,7 @@ def bounding_zone_wrapped(positions: DataFrame, ra: str = RA, decl: str = DECL)
 
 def zone_of(positions: DataFrame, ra: str = RA, decl: str = DECL) -> Zone:
     """Collect the (single-row) bounding box to the driver as grid bounds."""
-    row = bounding_zone(positions, ra, decl).first()
+    row = bounding_zone(require_positions(positions, ra, decl), ra, decl).first()
     if row is None or row["min_ra"] is None:
         raise ValueError("cannot build a grid over an empty input")
     return Zone(float(row["min_ra"]), float(row["max_ra"]),

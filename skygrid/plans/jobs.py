@@ -1,9 +1,11 @@
 """End-to-end jobs over a catalogue frame.
 
 Each job takes a frame with ``sourceId, objectId, ra, decl`` (a catalogue
-scan or the stand-in ``sky`` view) and returns a lazy DataFrame.  Grid jobs
-first collect the one-row bounding box (four doubles) and then run the
-assignment as a narrow projection with the bounds as literals.
+scan or the stand-in ``sky`` view) and returns a DataFrame.  Grid jobs first
+run one job that collects the bounding box (four doubles), then assign by a
+narrow projection with the bounds as literals; capped and adaptive jobs also
+materialise rows or counts in the shared folder while they are built.  All
+positions must be finite numbers (``operators.positions``).
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, make_grid
 from skygrid.functions.coords import format_record, unwrap_ra, wrap_ra
-from skygrid.operators.adaptive import adaptive_split
+from skygrid.operators import grid as grid_ops
+from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes,
                                     capacity_split, cell_histogram, grid_cells)
 from skygrid.operators.neighbours import neighbour_pairs, neighbour_pairs_sphere
@@ -101,11 +104,21 @@ def grid_metadata(sources: DataFrame, cap: int = DEFAULT_CELL_CAP, min_cells: in
             .withColumn("halo", F.lit(float(halo))))
 
 
-def adaptive_cells(sources: DataFrame, cap: int, max_level: int = 3,
-                   min_cells: int = MIN_CELLS) -> DataFrame:
+def capped_histogram(sources: DataFrame, cap: int = DEFAULT_CELL_CAP, min_cells: int = MIN_CELLS,
+                     halo: float = DEFAULT_HALO) -> DataFrame:
+    """Rows per segment of the capped overlapping grid, from the cells' counts."""
+    return grid_ops.capped_histogram(overlap_assign(sources, min_cells, halo), cap)
+
+
+def adaptive_assign(sources: DataFrame, cap: int, min_cells: int = MIN_CELLS) -> DataFrame:
+    pts, grid = overlap_grid(sources, min_cells)
+    return adaptive_split(pts, grid, cap).select(SOURCE_ID, "level", "leaf_i", "leaf_j", "leaf")
+
+
+def adaptive_cells(sources: DataFrame, cap: int, min_cells: int = MIN_CELLS) -> DataFrame:
+    """The quad-tree's leaf table."""
     pts, grid = overlap_grid(sources, min_cells)
-    return adaptive_split(pts, grid, cap, max_level).select(
-        SOURCE_ID, "level", "leaf_i", "leaf_j", "leaf")
+    return adaptive_leaves(pts, grid, cap)
 
 
 def pairs_planar(sources: DataFrame, eps: float) -> DataFrame:

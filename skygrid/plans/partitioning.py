@@ -1,11 +1,13 @@
-"""The partition program: catalogue in, one directory per cell out.
+"""The partition program: catalogue in, one directory per region out.
 
 ``run_partitioning`` scans a Source catalogue, derives the grid from the
-bounding box, assigns every observation (exclusive grid, or overlapping
-grid with a per-cell cap), writes the rows below ``output/data`` with one
-directory per cell, writes the grid description to ``output/grid`` and
-returns the histogram computed from what was written -- the output is read
-back, not recomputed from the input lineage.
+bounding box, assigns every observation by the chosen scheme -- exclusive
+grid, overlapping grid with a per-cell cap, RA stripes, or quad-tree leaves --
+writes the rows below ``output/data`` with one directory per region, writes
+the region table to ``output/grid`` and returns the histogram computed from
+what was written.  Rows without a position fail the run; with
+``on_bad="report"`` they go to ``output/rejects`` with a reason instead, and
+their number is returned.
 """
 
 from __future__ import annotations
@@ -15,51 +17,85 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, Grid
-from skygrid.functions.coords import unwrap_ra
-from skygrid.operators.grid import (assign_exclusive, assign_overlap, capacity_split, cell_histogram,
-                                    grid_cells)
+from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, MAX_MIN_CELLS, Grid, make_grid
+from skygrid.functions.coords import log_bar, unwrap_ra
+from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
+from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes, capacity_split,
+                                    cell_histogram, grid_cells)
+from skygrid.operators.summary import zone_of
 from skygrid.plans import jobs
-from skygrid.sources.catalogue import read_sources
+from skygrid.sources.catalogue import read_checked_sources
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
-from skygrid.sources.sinks import read_by_cell, write_by_cell
+from skygrid.sources.sinks import min_cells_for_input, read_by_cell, write_by_cell
+
+MODES = ("exclusive", "overlap", "stripe", "adaptive")
 
 
 @dataclass(frozen=True)
 class PartitionResult:
-    grid: Grid
+    grid: Grid | None           # stripes have none
     data_path: str
     grid_path: str
     histogram: DataFrame
+    rejects_path: str | None    # written where on_bad is "report"
+    n_rejects: int
+
 
+def run_partitioning(spark: SparkSession, input_path: str, output_path: str, mode: str = "exclusive",
+                     min_cells: int | None = jobs.MIN_CELLS, cap: int = DEFAULT_CELL_CAP,
+                     halo: float = DEFAULT_HALO, on_bad: str = "fail",
+                     ceiling: int = MAX_MIN_CELLS) -> PartitionResult:
+    """Run one scheme; ``min_cells=None`` sizes the grid by the input's bytes."""
+    if mode not in MODES or on_bad not in ("fail", "report"):
+        raise ValueError(f"unknown mode {mode!r} or on_bad {on_bad!r}")
+    out = output_path.rstrip("/")
+    data_path, grid_path, rejects_path, n_rejects = f"{out}/data", f"{out}/grid", None, 0
+    checked = read_checked_sources(spark, input_path).select(
+        SOURCE_ID, RA, DECL, f"{RA}_text", f"{DECL}_text", "reject")
+    sources = checked.select(SOURCE_ID, RA, DECL)       # a bad row fails where it is assigned
+    if on_bad == "report":
+        rejects_path = f"{out}/rejects"
+        checked.where(F.col("reject").isNotNull()).select(
+            SOURCE_ID, f"{RA}_text", f"{DECL}_text", "reject").write.mode("errorifexists").parquet(rejects_path)
+        n_rejects = spark.read.parquet(rejects_path).count()
+        sources = checked.where(F.col("reject").isNull()).select(SOURCE_ID, RA, DECL)
+    if min_cells is None and mode != "stripe":
+        min_cells = min_cells_for_input(spark, input_path)
 
-def run_partitioning(spark: SparkSession, input_path: str, output_path: str,
-                     min_cells: int = jobs.MIN_CELLS, overlap: bool = False,
-                     cap: int = DEFAULT_CELL_CAP, halo: float = DEFAULT_HALO) -> PartitionResult:
-    sources = read_sources(spark, input_path).where(F.col(RA).isNotNull() & F.col(DECL).isNotNull())
-    data_path, grid_path = f"{output_path.rstrip('/')}/data", f"{output_path.rstrip('/')}/grid"
-    if overlap:
-        pts, grid = jobs.overlap_grid(sources, min_cells)
-        rows = capacity_split(assign_overlap(pts, grid, halo), cap).select(
-            SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment")
-        keys = ("cell_i", "cell_j", "segment")
+    grid, keys = None, ("cell_i", "cell_j")
+    if mode == "stripe":
+        keys = ("stripe",)
+        rows = assign_stripes(sources).select(SOURCE_ID, RA, DECL, *keys)
     else:
-        pts, grid = jobs.exclusive_grid(sources, min_cells)
-        rows = assign_exclusive(pts, grid).select(SOURCE_ID, RA, DECL, "cell_i", "cell_j")
-        keys = ("cell_i", "cell_j")
+        pts = sources if mode == "exclusive" else jobs.wrapped(sources)
+        grid = make_grid(zone_of(pts), min_cells, ceiling)
+        if mode == "exclusive":
+            rows = assign_exclusive(pts, grid)
+        elif mode == "overlap":
+            keys = ("cell_i", "cell_j", "segment")
+            rows = capacity_split(assign_overlap(pts, grid, halo), cap)
+        else:
+            keys = ("level", "leaf_i", "leaf_j")
+            rows = adaptive_split(pts, grid, cap).drop("leaf")
+        ra = RA if mode == "exclusive" else unwrap_ra(RA).alias(RA)
+        rows = rows.select(SOURCE_ID, ra, DECL, *keys)
     write_by_cell(rows, data_path, keys=keys)
-    written = read_by_cell(spark, data_path)
-    if overlap:
-        written = written.withColumn("segment", F.col("segment").cast("int"))
-    histogram = cell_histogram(written, keys)
-    # Grid description with members per cell, taken from what was written
-    # (partition columns only) rather than another pass over the input.
-    members = written.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("members"))
-    meta = (grid_cells(spark, grid).join(members, ["cell_i", "cell_j"], "left")   # <= n*n rows each
-            .withColumn("members", F.coalesce(F.col("members"), F.lit(0)))
-            .withColumn("grid_side", F.lit(grid.n)))
-    if overlap:
-        meta = (meta.withColumn("segments", F.expr(f"CAST((members + {cap - 1}) div {cap} AS INT)"))
-                .withColumn("halo", F.lit(float(halo))))
-    meta.coalesce(1).write.mode("errorifexists").json(grid_path)
-    return PartitionResult(grid, data_path, grid_path, histogram)
+    written = read_by_cell(spark, data_path, keys=keys)
+
+    # The region table's counts come from what was written (partition columns
+    # only) rather than from another pass over the input.
+    if mode in ("exclusive", "overlap"):
+        histogram = cell_histogram(written, keys)
+        members = written.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("members"))
+        regions = (grid_cells(spark, grid).join(members, ["cell_i", "cell_j"], "left")
+                   .withColumn("members", F.coalesce(F.col("members"), F.lit(0)))
+                   .withColumn("grid_side", F.lit(grid.n)))
+        if mode == "overlap":
+            regions = (regions.withColumn("segments", F.expr(f"CAST((members + {cap - 1}) div {cap} AS INT)"))
+                       .withColumn("halo", F.lit(float(halo))))
+    else:
+        histogram = (written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+                     .withColumn("bar", log_bar("n_rows")))
+        regions = histogram.drop("bar") if mode == "stripe" else adaptive_leaves(pts, grid, cap)
+    regions.write.mode("errorifexists").json(grid_path)
+    return PartitionResult(grid, data_path, grid_path, histogram, rejects_path, n_rejects)

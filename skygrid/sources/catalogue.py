@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID, object_schema, source_schema
+from skygrid.functions.coords import NULL_TOKEN
+from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID, OBJECT_SCHEMA, SOURCE_SCHEMA
 
 # The catalogue text format (headerless, comma separated, no
 # quoting, fields trimmed, the literal NULL for missing values).
 DELIMITER = ","
-NULL_TOKEN = "NULL"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -30,19 +30,53 @@ def _csv_reader(spark: SparkSession, schema: T.StructType, mode: str):
             .option("mode", mode))
 
 
+def text_positions(schema: T.StructType) -> T.StructType:
+    """The schema with RA and Decl still as text, for a reader that must not hide bad numbers."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True, f.metadata) if f.name in (RA, DECL) else f
+                         for f in schema.fields])
+
+
+def parsed_positions(raw: DataFrame) -> DataFrame:
+    """RA and Decl of a text-position scan as numbers; a malformed number fails.
+
+    A missing value stays null: jobs that need positions refuse it (see
+    ``operators.positions``).
+    """
+    def number(c: str) -> Column:
+        value = F.col(c).try_cast("double")
+        return F.when(F.col(c).isNotNull() & value.isNull(), F.raise_error(
+            F.concat(F.lit(f"{c} is not a number: "), F.col(c))).cast("double")).otherwise(value).alias(c)
+    return raw.select(*[number(c) if c in (RA, DECL) else F.col(c) for c in raw.columns])
+
+
 def read_sources(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """Source catalogue text files with the 107-column schema.
 
     Column pruning reaches the CSV parser, so a 4-column projection parses
-    only those fields.  Short rows are padded with nulls (PERMISSIVE); jobs
-    that need positions filter null RA/Decl explicitly.
+    only those fields.  Short rows are padded with nulls (PERMISSIVE).  RA and
+    Decl are parsed strictly: text that is no number fails when it is read.
+    """
+    return parsed_positions(_csv_reader(spark, text_positions(SOURCE_SCHEMA), mode).csv(path))
+
+
+def read_checked_sources(spark: SparkSession, path: str) -> DataFrame:
+    """Source rows with a ``reject`` column: null, or why the row has no position.
+
+    ``ra_text`` and ``decl_text`` keep what the file says; RA and Decl are null
+    where they can't be parsed.  Nothing fails and nothing is dropped.
     """
-    return _csv_reader(spark, source_schema(), mode).csv(path)
+    from skygrid.operators.positions import reject_reason
+    raw = _csv_reader(spark, text_positions(SOURCE_SCHEMA), "PERMISSIVE").csv(path)
+    rows = raw.select(*[F.col(c).alias(f"{c}_text") if c in (RA, DECL) else F.col(c) for c in raw.columns])
+    rows = (rows.withColumn(RA, F.col(f"{RA}_text").try_cast("double"))
+            .withColumn(DECL, F.col(f"{DECL}_text").try_cast("double")))
+    return rows.withColumn("reject", F.coalesce(reject_reason(f"{RA}_text", RA, "RA"),
+                                                reject_reason(f"{DECL}_text", DECL, "Decl")))
 
 
 def read_objects(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """Object catalogue text files with the 229-column schema."""
-    return _csv_reader(spark, object_schema(), mode).csv(path)
+    return _csv_reader(spark, OBJECT_SCHEMA, mode).csv(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,7 +119,7 @@ def source_lines(sources: DataFrame) -> DataFrame:
     """
     present = set(sources.columns)
     parts: list[Column] = []
-    for field in source_schema().fields:
+    for field in SOURCE_SCHEMA.fields:
         if field.name in present:
             parts.append(F.coalesce(F.col(field.name).cast("string"), F.lit(NULL_TOKEN)))
         else:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.functions.cells import BLOCK_BYTES, grid_side
+from skygrid.functions.cells import BLOCK_BYTES
 
 
 def write_text(lines: DataFrame, path: str, col: str = "value") -> None:
@@ -15,22 +13,19 @@ def write_text(lines: DataFrame, path: str, col: str = "value") -> None:
     lines.select(F.col(col).cast("string").alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"),
-                  num_partitions: int | None = None, fmt: str = "parquet") -> None:
-    """One output directory per cell (``cell_i=<i>/cell_j=<j>``).
+def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"), fmt: str = "parquet") -> None:
+    """One output directory per cell (``cell_i=<i>/cell_j=<j>``), or per other keys.
 
-    Rows are exchanged on the cell so each cell is written as few files.
-    With ``num_partitions`` unset the exchange is a rebalance: adaptive
-    execution coalesces small cells and splits a hot cell over several tasks
-    (still one directory), so no single task writes a third of the data.
-    Two integer keys avoid the ``1.1`` / ``1.10`` merge that a single text key
-    suffers when partition values are type-inferred.  For ``fmt='text'`` the
-    frame must hold exactly one non-key string column.
+    Rows are exchanged on the keys so each cell is written as few files.  The
+    exchange is a rebalance: adaptive execution coalesces small cells and
+    splits a hot cell over several tasks (still one directory), so no single
+    task writes a third of the data.  Two integer keys avoid the ``1.1`` /
+    ``1.10`` merge that a single text key suffers when partition values are
+    type-inferred.  For ``fmt='text'`` the frame must hold exactly one non-key
+    string column.
     """
     keys = list(keys)
-    exchanged = (assigned.repartition(num_partitions, *keys) if num_partitions
-                 else assigned.hint("rebalance", *keys))
-    writer = exchanged.write.mode("errorifexists").partitionBy(*keys)
+    writer = assigned.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "text":
@@ -39,15 +34,14 @@ def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"),
         raise ValueError(f"unsupported format {fmt}")
 
 
-def read_by_cell(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a per-cell layout back; the cell keys become (string) columns.
+def read_by_cell(spark: SparkSession, path: str, fmt: str = "parquet", keys=("cell_i", "cell_j")) -> DataFrame:
+    """Read a per-cell layout back; the integer keys become columns.
 
-    Filters on ``cell_i`` / ``cell_j`` prune whole directories.
+    Filters on the keys prune whole directories.
     """
     reader = spark.read.option("basePath", path)
     df = reader.parquet(path) if fmt == "parquet" else reader.text(path)
-    return (df.withColumn("cell_i", F.col("cell_i").cast("int"))
-            .withColumn("cell_j", F.col("cell_j").cast("int")))
+    return df.select(*[F.col(c).cast("int").alias(c) if c in keys else F.col(c) for c in df.columns])
 
 
 def input_size(spark: SparkSession, path: str) -> DataFrame:
@@ -69,6 +63,6 @@ def min_cells_from_size(size_df: DataFrame, block_bytes: int = BLOCK_BYTES) -> D
             .withColumn("grid_side", F.ceil(F.sqrt(F.col("min_cells").cast("double"))).cast("int")))
 
 
-def grid_side_for_bytes(total_bytes: int, block_bytes: int = BLOCK_BYTES) -> int:
-    """Driver-side helper: grid side for a known input size."""
-    return grid_side(min(max(1, math.ceil(total_bytes / block_bytes)), 26 * 26))
+def min_cells_for_input(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> int:
+    """The least number of cells for the files below ``path``, from their listing."""
+    return int(min_cells_from_size(input_size(spark, path), block_bytes).first()["min_cells"])

@@ -17,48 +17,78 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skygrid.functions.cells import DEFAULT_HALO, Grid
-from skygrid.functions.coords import wrap_ra
-from skygrid.operators.grid import assign_exclusive, assign_overlap
-from skygrid.sources.catalogue import DELIMITER, NULL_TOKEN
-from skygrid.sources.schema import DECL, RA, SOURCE_ID, source_schema
+from skygrid.functions.coords import NULL_TOKEN, unwrap_ra, wrap_ra
+from skygrid.operators.grid import assign_exclusive, assign_overlap, outside_overlap, rank_rows
+from skygrid.sources.catalogue import DELIMITER, parsed_positions, text_positions
+from skygrid.sources.schema import DECL, RA, SOURCE_ID, SOURCE_SCHEMA
 
 
 def read_source_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of catalogue text files (same parsing as the batch scan)."""
-    reader = (spark.readStream.schema(source_schema())
+    reader = (spark.readStream.schema(text_positions(SOURCE_SCHEMA))
               .option("sep", DELIMITER).option("header", False).option("quote", "")
               .option("nullValue", NULL_TOKEN)
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(input_dir)
+    return parsed_positions(reader.csv(input_dir))
+
+
+def _points(stream: DataFrame, wrap: bool) -> DataFrame:
+    return stream.select(SOURCE_ID, (wrap_ra(RA) if wrap else F.col(RA)).alias(RA), F.col(DECL))
 
 
 def assigned_stream(stream: DataFrame, grid: Grid, overlap: bool = False,
                     halo: float = DEFAULT_HALO, wrap: bool = False) -> DataFrame:
-    """Cell assignment of a streaming scan (stateless, row by row)."""
-    ra = wrap_ra(RA) if wrap or overlap else F.col(RA)
-    pts = stream.where(F.col(RA).isNotNull() & F.col(DECL).isNotNull()).select(
-        SOURCE_ID, ra.alias(RA), F.col(DECL))
+    """Cell assignment of a streaming scan (stateless, row by row).
+
+    Rows without a position fail the query.  RA is the wrapped one where the
+    grid is (``wrap`` or ``overlap``); writers turn it back.
+    """
+    pts = _points(stream, wrap or overlap)
     return assign_overlap(pts, grid, halo) if overlap else assign_exclusive(pts, grid)
 
 
 def start_partitioning(stream: DataFrame, grid: Grid, output_dir: str, checkpoint_dir: str,
                        overlap: bool = False, halo: float = DEFAULT_HALO, wrap: bool = False,
                        available_now: bool = True) -> StreamingQuery:
-    """Append assigned rows to ``output_dir/cell_i=../cell_j=..`` (parquet)."""
-    out = assigned_stream(stream, grid, overlap, halo, wrap).select(
-        SOURCE_ID, RA, DECL, "cell_i", "cell_j")
-    writer = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
-              .partitionBy("cell_i", "cell_j").outputMode("append"))
+    """Append assigned rows to ``output_dir/data/batch=../cell_i=../cell_j=..`` (parquet).
+
+    RA is written as it was read.  Points beyond the given grid: the exclusive
+    grid counts them in its border cells; an overlapping cell holds only what
+    lies in its widened box, so points beyond zone and halo go, whole, to
+    ``output_dir/outside/batch=..`` -- no row is dropped.  Each batch is
+    exchanged by cell before it is written, so a cell gets few files, and a
+    batch replayed after a failure replaces its own output.
+    """
+    root = output_dir.rstrip("/")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            ra = unwrap_ra(RA).alias(RA) if wrap or overlap else F.col(RA)
+            rows = assigned_stream(batch, grid, overlap, halo, wrap).select(SOURCE_ID, ra, DECL, "cell_i", "cell_j")
+            (rows.hint("rebalance", "cell_i", "cell_j").write.mode("overwrite").partitionBy("cell_i", "cell_j")
+             .parquet(f"{root}/data/batch={batch_id}"))
+            if overlap:
+                _write_outside(batch, grid, halo, root, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start(output_dir)
+    return writer.start()
+
+
+def _write_outside(batch: DataFrame, grid: Grid, halo: float, root: str, batch_id: int) -> None:
+    outside = outside_overlap(_points(batch, True), grid, halo).select(SOURCE_ID, unwrap_ra(RA).alias(RA), DECL)
+    outside.write.mode("overwrite").parquet(f"{root}/outside/batch={batch_id}")
 
 
 def cell_counts(assigned: DataFrame) -> DataFrame:
     """Running rows per cell (stateful streaming aggregate, ``complete`` mode).
 
-    State holds one count per cell, bounded by the grid (at most 676 cells).
+    State holds one count per cell, bounded by the grid.
     """
     return assigned.groupBy("cell_i", "cell_j", "cell").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -71,56 +101,38 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
     Rows fill cells in arrival order (micro-batch, then ``sourceId`` within a
     batch).  The running count of every cell lives in a small table below
     ``output_dir/_counts/batch=<id>`` (at most one row per cell); batch ``k``
-    starts from the counts written by the latest earlier batch.  Each batch
-    writes ``output_dir/data/batch=<id>`` with overwrite, so a batch replayed
-    after a failure replaces its own output instead of duplicating it.
+    starts from the counts of the batch before it, which must be there: a
+    count table that can't be read fails the batch, it never restarts at 0.
+    Each batch writes ``output_dir/data/batch=<id>`` with overwrite, so a
+    batch replayed after a failure replaces its own output instead of
+    duplicating it.  Points beyond zone and halo go to ``output_dir/outside``.
     """
-    from skygrid.operators.grid import ranked as rank_rows
-
-    counts_root = f"{output_dir.rstrip('/')}/_counts"
-    data_root = f"{output_dir.rstrip('/')}/data"
-
-    def previous_counts(spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            all_counts = spark.read.parquet(counts_root)
-        except Exception:  # no batch written yet
-            return None
-        done = (all_counts.withColumn("batch", F.col("batch").cast("long"))
-                .where(F.col("batch") < batch_id))
-        last = done.agg(F.max("batch")).first()[0]
-        if last is None:
-            return None
-        return (done.where(F.col("batch") == last).drop("batch")
-                .withColumn("cell_i", F.col("cell_i").cast("int"))
-                .withColumn("cell_j", F.col("cell_j").cast("int")))
+    root = output_dir.rstrip("/")
+    counts_schema = "cell_i int, cell_j int, n_rows bigint"
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        assigned = assigned_stream(batch, grid, overlap=True, halo=halo).select(
-            SOURCE_ID, RA, DECL, "cell_i", "cell_j")
-        prev = previous_counts(spark, batch_id)
-        batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
-        sizes = batch_counts.agg(F.coalesce(F.sum("_new"), F.lit(0)).alias("rows"),
-                                 F.count(F.lit(1)).alias("cells")).first()   # at most n*n cells
-        ranked = rank_rows(assigned, ["cell_i", "cell_j"], SOURCE_ID, int(sizes["rows"]),
-                           int(sizes["cells"]))
-        if prev is not None:
-            ranked = ranked.join(F.broadcast(prev.withColumnRenamed("n_rows", "_before")),
-                                 ["cell_i", "cell_j"], "left")   # at most n*n rows
-        else:
-            ranked = ranked.withColumn("_before", F.lit(None).cast("bigint"))
-        rows = (ranked.withColumn("_rank", F.coalesce(F.col("_before"), F.lit(0)) + F.col("rank"))
-                .withColumn("segment", F.expr(f"CAST((_rank - 1) div {int(cap)} AS INT)"))
-                .select(SOURCE_ID, RA, DECL, "cell_i", "cell_j", "segment"))
-        rows.write.mode("overwrite").partitionBy("cell_i", "cell_j", "segment").parquet(
-            f"{data_root}/batch={batch_id}")
-        base = prev if prev is not None else spark.createDataFrame(
-            [], "cell_i int, cell_j int, n_rows bigint")
-        new_counts = (base.join(batch_counts, ["cell_i", "cell_j"], "full")
-                      .select("cell_i", "cell_j",
-                              (F.coalesce(F.col("n_rows"), F.lit(0)) + F.coalesce(F.col("_new"), F.lit(0)))
-                              .alias("n_rows")))
-        new_counts.coalesce(1).write.mode("overwrite").parquet(f"{counts_root}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            # Batch ids are consecutive from 0, so only the first has no counts before it.
+            prev = (spark.read.schema(counts_schema).parquet(f"{root}/_counts/batch={batch_id - 1}") if batch_id
+                    else spark.createDataFrame([], counts_schema))
+            assigned = assigned_stream(batch, grid, overlap=True, halo=halo).select(
+                SOURCE_ID, RA, DECL, "cell_i", "cell_j")
+            batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
+            ranked = rank_rows(assigned, ["cell_i", "cell_j"], SOURCE_ID).join(
+                prev.withColumnRenamed("n_rows", "_before"), ["cell_i", "cell_j"], "left")
+            rows = (ranked.withColumn("_rank", F.coalesce(F.col("_before"), F.lit(0)) + F.col("rank"))
+                    .withColumn("segment", F.expr(f"CAST((_rank - 1) div {int(cap)} AS INT)"))
+                    .select(SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment"))
+            (rows.hint("rebalance", "cell_i", "cell_j", "segment").write.mode("overwrite")
+             .partitionBy("cell_i", "cell_j", "segment").parquet(f"{root}/data/batch={batch_id}"))
+            _write_outside(batch, grid, halo, root, batch_id)
+            total = F.coalesce(F.col("n_rows"), F.lit(0)) + F.coalesce(F.col("_new"), F.lit(0))
+            (prev.join(batch_counts, ["cell_i", "cell_j"], "full").select("cell_i", "cell_j", total.alias("n_rows"))
+             .write.mode("overwrite").parquet(f"{root}/_counts/batch={batch_id}"))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -43,7 +43,7 @@ def build(name: str, spark, pts):
     if name == "sphere":
         return neighbour_pairs_sphere(pts, 0.0005)
     if name == "adaptive":
-        return adaptive_split(pts, grid, cap=50_000, max_level=4)
+        return adaptive_split(pts, grid, cap=50_000)
     if name == "extent":
         return object_extent(pts)
     if name == "write":

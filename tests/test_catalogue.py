@@ -8,12 +8,12 @@ from skygrid.operators.summary import (bounding_zone, bounding_zone_wrapped, cou
                                        count_lines_containing, object_extent, zone_description)
 from skygrid.sources.catalogue import (read_lines, read_objects, read_sources, source_lines,
                                        write_source_files)
-from skygrid.sources.schema import object_schema, position, source_schema
+from skygrid.sources.schema import OBJECT_SCHEMA, position, SOURCE_SCHEMA
 from skygrid.session import fresh_dir
 
 
 def test_schema_positions_and_lengths():
-    s, o = source_schema(), object_schema()
+    s, o = SOURCE_SCHEMA, OBJECT_SCHEMA
     assert len(s) == 107 and len(o) == 229
     assert s.fieldNames()[0] == "sourceId"
     assert s.fieldNames()[3] == "objectId"
@@ -25,10 +25,10 @@ def test_schema_positions_and_lengths():
 
 
 def test_schema_types():
-    s = {f.name: f.dataType.simpleString() for f in source_schema()}
+    s = {f.name: f.dataType.simpleString() for f in SOURCE_SCHEMA}
     assert s["sourceId"] == "bigint" and s["ra"] == "double" and s["filterId"] == "smallint"
     assert s["flagForWcs"] == "int"
-    o = {f.name: f.dataType.simpleString() for f in object_schema()}
+    o = {f.name: f.dataType.simpleString() for f in OBJECT_SCHEMA}
     assert o["iauId"] == "string"
 
 
@@ -116,9 +116,10 @@ def test_failfast_rejects_bad_numbers_in_read_columns(spark, tmp_path):
     p.write_text("1,0,3,NULL,5,6,abc,7,8,-1.25\n")
     with pytest.raises(Exception):
         read_sources(spark, str(p), "FAILFAST").select("ra", "decl").collect()
-    # PERMISSIVE keeps the row with a null position instead
-    rows = read_sources(spark, str(p)).select("ra", "decl").collect()
-    assert rows[0].ra is None and rows[0].decl == -1.25
+    # Other modes don't hide a bad position either; only columns that are read are parsed.
+    with pytest.raises(Exception, match="ra is not a number: abc"):
+        read_sources(spark, str(p)).select("ra", "decl").collect()
+    assert read_sources(spark, str(p)).select("decl").first().decl == -1.25
 
 
 def test_latest_source_text_order_edge_ids(spark):

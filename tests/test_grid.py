@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import Grid, Zone, grid_side, make_grid
 from skygrid.functions.coords import log_bar, unwrap_ra, wrap_ra
-from skygrid.operators.adaptive import adaptive_split
+from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes,
-                                    capacity_split, cell_histogram, grid_cells, rank_within)
+                                    capacity_split, cell_histogram, grid_cells, rank_rows)
 from skygrid.operators.summary import zone_of
 from skygrid.plans import jobs
 
@@ -117,10 +117,18 @@ def test_capacity_split_matches_row_number(spark, parts, per_task):
             assert got[(k, i, j)] == (seg, f"{i}.{j}" + "bis" * seg)
 
 
-def test_rank_within_hot_group_spans_partitions(spark):
-    df = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("g"))
-    ranked = rank_within(df, ["g"], "k", num_partitions=6)
-    assert ranked.where(F.col("rank") != F.col("k") + 1).count() == 0
+def test_rank_of_a_hot_group_is_cut_into_bounded_tasks(spark):
+    # Ids far apart but for a dense run: equal-width buckets must be refined.
+    ids = list(range(0, 10**12, 10**9)) + list(range(7, 4007))
+    df = spark.createDataFrame([(k, 1) for k in ids], "k long, g int")
+    ranked = {r.k: r["rank"] for r in rank_rows(df, ["g"], "k", rows_per_task=300).collect()}
+    assert ranked == {k: n + 1 for n, k in enumerate(sorted(set(ids)))}
+
+
+def test_rank_of_extreme_ids(spark):
+    ids = [-(2**63), -5, 0, 3, 2**63 - 1]
+    df = spark.createDataFrame([(k, 1) for k in ids], "k long, g int")
+    assert [r["rank"] for r in rank_rows(df, ["g"], "k", rows_per_task=1).orderBy("k").collect()] == [1, 2, 3, 4, 5]
 
 
 def test_stripe_goldens(spark, sources):
@@ -135,20 +143,27 @@ def test_stripe_goldens(spark, sources):
 
 def test_adaptive_split_invariants(spark):
     rnd = random.Random(3)
-    rows = [(k, rnd.gauss(0, 0.3), rnd.gauss(0, 1.0)) for k in range(4000)]
+    rows = [(k, rnd.gauss(0, 0.3), rnd.gauss(0, 1.0)) for k in range(3000)]
+    rows += [(3000 + k, 0.001 + rnd.uniform(0, 1e-5), 0.001) for k in range(500)]     # needs many levels
+    rows += [(4000 + k, 0.2, 0.2) for k in range(400)]                                # one single position
     df = spark.createDataFrame(rows, "sourceId long, ra double, decl double")
     g = make_grid(zone_of(df), 4)
-    out = adaptive_split(df, g, cap=150, max_level=4)
-    assert out.count() == 4000
-    leaves = out.groupBy("leaf", "level").count().collect()
-    # Leaves under the finest level respect the cap.
-    assert all(r["count"] <= 150 for r in leaves if r.level < 4)
-    # Leaves never nest: no leaf is an ancestor of another.
-    cells = {(r.level, *map(int, r.leaf.split("/")[1].split("."))) for r in leaves}
+    out = adaptive_split(df, g, cap=150)
+    leaves = {r.leaf: r for r in adaptive_leaves(df, g, cap=150).collect()}
+    counted = {r.leaf: r["count"] for r in out.groupBy("leaf").count().collect()}
+    assert sum(counted.values()) == len(rows)
+    assert counted == {k: r.n_rows for k, r in leaves.items()}
+    # Every leaf obeys the cap, but the one that can't be divided.
+    over = [r for r in leaves.values() if r.n_rows > 150]
+    assert [r.indivisible for r in over] == [True] and over[0].n_rows >= 400
+    # Rows lie in their leaf's box; leaves never nest.
+    for r in out.collect():
+        b = leaves[r.leaf]
+        assert b.ra_lo - 1e-9 <= r.ra <= b.ra_hi + 1e-9 and b.decl_lo - 1e-9 <= r.decl <= b.decl_hi + 1e-9
+    cells = {(r.level, r.leaf_i, r.leaf_j) for r in leaves.values()}
     for lvl, i, j in cells:
-        for lvl2, i2, j2 in cells:
-            if lvl2 > lvl:
-                assert (i2 >> (lvl2 - lvl), j2 >> (lvl2 - lvl)) != (i, j)
+        for up in range(lvl):
+            assert (up, i >> (lvl - up), j >> (lvl - up)) not in cells
 
 
 def test_breakpoint_index_equals_walk_on_breakpoints(spark):
@@ -172,35 +187,13 @@ def test_breakpoint_index_equals_walk_on_breakpoints(spark):
     assert got == want
 
 
-def _stripes_walk(ra, stripes=40, proximity=1):
-    width = 360 // stripes
-    borders = list(range(0, 361, width))
-    i = 0
-    while ra > borders[i]:
-        i += 1
-    out = [i]
-    if i == 1:
-        if ra <= proximity:
-            out.append(stripes)
-        elif ra >= width - proximity:
-            out.append(2)
-    elif i == stripes:
-        if ra <= (i - 1) * width + proximity:
-            out.append(i - 1)
-        elif ra >= 360 - proximity:
-            out.append(1)
-    else:
-        if ra <= (i - 1) * width + proximity:
-            out.append(i - 1)
-        elif ra >= i * width - proximity:
-            out.append(i + 1)
-    return sorted(out)
-
-
-def test_stripes_equal_walk_on_random_and_border_values(spark):
+def test_stripes_hold_the_points_of_their_widened_arcs(spark):
     from hypothesis import given, settings, strategies as st
     values = [float(v) for v in range(0, 361)] + [v + d for v in range(0, 361, 9) for d in (-1.0, 1.0, -1e-9, 1e-9)]
 
+    def on_arc(ra, k):      # the arc of stripe k, a degree wider on both sides, anywhere around the circle
+        return any((k - 1) * 9 - 1 <= ra + turn <= k * 9 + 1 for turn in (-360.0, 0.0, 360.0))
+
     @settings(max_examples=1, deadline=None)
     @given(st.lists(st.floats(min_value=0.0, max_value=360.0, allow_nan=False), min_size=200, max_size=200))
     def check(randoms):
@@ -208,7 +201,57 @@ def test_stripes_equal_walk_on_random_and_border_values(spark):
         df = spark.createDataFrame([(i, v) for i, v in enumerate(pts)], "k long, ra double")
         got = {}
         for r in assign_stripes(df).collect():
-            got.setdefault(r.k, []).append(r.stripe)
+            got.setdefault(r.k, set()).add(r.stripe)
         for k, v in enumerate(pts):
-            assert sorted(got[k]) == _stripes_walk(v), v
+            assert got[k] == ({0, 1} if v == 0.0 else {s for s in range(1, 41) if on_arc(v, s)}), v
     check()
+
+
+def test_capped_histogram_equals_split(spark):
+    from skygrid.operators.grid import capped_histogram
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(k, rnd.choice([0, 0, 1]), rnd.choice([0, 2])) for k in range(1000)],
+                               "sourceId long, cell_i int, cell_j int").withColumn("cell", F.concat_ws(".", "cell_i", "cell_j"))
+    split = cell_histogram(capacity_split(df, cap=100), keys=("cell_i", "cell_j", "segment"))
+    assert sorted(map(tuple, capped_histogram(df, cap=100).collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_points_without_a_position_have_no_cell(spark):
+    from skygrid.functions.cells import exclusive_cell
+    g = Grid(Zone(0.0, 2.0, 0.0, 2.0), 2)
+    rows = [(None, 1.5), (1.5, None), (float("nan"), 1.5), (1.5, float("inf")), (1.5, 1.5), (0.0, 1.5)]
+    df = spark.createDataFrame(rows, "ra double, decl double")
+    i, j = exclusive_cell("ra", "decl", g)
+    got = [tuple(r) for r in df.select(i.alias("i"), j.alias("j")).collect()]
+    assert got == [(None, None), (2, None), (None, None), (2, None), (2, 2), (0, 0)]
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_assignments_fail_on_a_row_without_a_position(spark, bad):
+    g = Grid(Zone(0.0, 2.0, 0.0, 2.0), 2)
+    df = spark.createDataFrame([(1, 1.0, 1.0), (2, bad, 1.0)], "sourceId long, ra double, decl double")
+    for run in (lambda: assign_exclusive(df, g), lambda: assign_overlap(df, g), lambda: assign_stripes(df),
+                lambda: adaptive_split(df, g, 1), lambda: zone_of(df)):
+        with pytest.raises(Exception, match="RA is not a finite number"):
+            out = run()
+            out.collect()
+
+
+def test_flat_extent(spark):
+    df = spark.createDataFrame([(k, 5.0, float(k)) for k in range(4)], "sourceId long, ra double, decl double")
+    g = make_grid(zone_of(df), 4)
+    assert {r.cell_i for r in assign_exclusive(df, g).collect()} == {0}
+    assert assign_overlap(df, g).select("sourceId").distinct().count() == 4
+    assert adaptive_split(df, g, 1).select("leaf").distinct().count() == 4
+
+
+def test_grid_side_ceiling():
+    with pytest.raises(ValueError, match="ceiling"):
+        make_grid(Zone(0, 1, 0, 1), 800_000)
+    assert make_grid(Zone(0, 1, 0, 1), 800_000, ceiling=1_000_000).n == 895
+
+
+def test_format_record_keeps_places(spark):
+    from skygrid.functions.coords import format_record
+    df = spark.createDataFrame([(None, 1.5)], "a double, b double")
+    assert df.select(format_record("a", "b").alias("r")).first().r == "NULL,1.5"

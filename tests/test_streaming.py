@@ -1,11 +1,11 @@
 """The incremental partitioner gives the batch assignment, file batch by file batch."""
 
-import shutil
-
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SOURCE_SAMPLE
-from skygrid.functions.cells import Grid
+from skygrid.functions.cells import Grid, Zone
+from skygrid.functions.coords import unwrap_ra
 from skygrid.operators.grid import assign_exclusive
 from skygrid.operators.summary import zone_of
 from skygrid.session import fresh_dir
@@ -29,7 +29,7 @@ def test_stream_partition_equals_batch(spark, sources, tmp_path):
     out, ckpt = fresh_dir(spark, "stream-out"), fresh_dir(spark, "stream-ckpt")
     q = start_partitioning(read_source_stream(spark, incoming, max_files_per_trigger=1), grid, out, ckpt)
     q.awaitTermination()
-    got = read_by_cell(spark, out).groupBy("cell_i", "cell_j").count()
+    got = read_by_cell(spark, f"{out}/data").groupBy("cell_i", "cell_j").count()
     want = assign_exclusive(sources, grid).groupBy("cell_i", "cell_j").count()
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -52,8 +52,8 @@ def test_run_partitioning_exclusive_and_overlap(spark, sources):
     got = sorted((r.cell_i, r.cell_j, r.n_rows) for r in res.histogram.collect())
     assert got == [(0, 0, 1), (1, 0, 1), (1, 1, 15), (1, 2, 14), (2, 1, 2), (2, 2, 23)]
     assert spark.read.json(res.grid_path).count() == 4
-    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog2"), min_cells=9,
-                           overlap=True, cap=10)
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog2"), mode="overlap",
+                           min_cells=9, cap=10)
     hist = {r.cell: r.n_rows for r in res.histogram.collect()}
     assert sum(hist.values()) == 3 * (19 + 13 + 37)
     assert max(hist.values()) <= 10 and hist["0.2bisbisbis"] == 7
@@ -81,17 +81,87 @@ def test_stream_capped_partition_continues_counts(spark, sources, tmp_path):
                                   grid, out, ckpt, cap=10)
     q.awaitTermination()
     got = spark.read.parquet(f"{out}/data")
-    got = sorted((r.sourceId, int(r.cell_i), int(r.cell_j), int(r.segment)) for r in got.collect())
-    want = jobs.capacity_split(jobs.assign_overlap(pts, grid, 0.1), 10)
-    want = sorted((r.sourceId, r.cell_i, r.cell_j, r.segment) for r in want.collect())
+    got = sorted((r.sourceId, r.ra, int(r.cell_i), int(r.cell_j), int(r.segment)) for r in got.collect())
+    want = jobs.capacity_split(jobs.assign_overlap(pts, grid, 0.1), 10).withColumn("ra", unwrap_ra("ra"))
+    want = sorted((r.sourceId, r.ra, r.cell_i, r.cell_j, r.segment) for r in want.collect())
     assert got == want
 
 
 def test_run_partitioning_grid_file(spark):
     from skygrid.plans.partitioning import run_partitioning
-    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog3"), min_cells=9,
-                           overlap=True, cap=10)
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog3"), mode="overlap",
+                           min_cells=9, cap=10)
     meta = {r.cell_i * 10 + r.cell_j: r for r in spark.read.json(res.grid_path).collect()}
     assert len(meta) == 9
     assert sum(r.members for r in meta.values()) == 3 * (19 + 13 + 37)
     assert meta[2].members == 37 and meta[2].segments == 4 and meta[2].grid_side == 3
+
+
+def _lines(rows):
+    from skygrid.sources.schema import SOURCE_SCHEMA
+    out = []
+    for k, ra, decl in rows:
+        fields = ["NULL"] * len(SOURCE_SCHEMA)
+        fields[0], fields[6], fields[9] = str(k), str(ra), str(decl)
+        out.append(",".join(fields))
+    return "\n".join(out) + "\n"
+
+
+def test_stream_accounts_for_points_beyond_the_grid(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    (incoming / "a.csv").write_text(_lines([(1, 0.5, 0.5), (2, 359.5, 0.0), (3, 5.0, 5.0)]))
+    grid = Grid(Zone(-1.0, 1.0, -1.0, 1.0), 2)
+    out = fresh_dir(spark, "outside")
+    start_partitioning(read_source_stream(spark, str(incoming)), grid, out, fresh_dir(spark, "ck"),
+                       overlap=True).awaitTermination()
+    inside = {(r.sourceId, r.ra) for r in spark.read.parquet(f"{out}/data").collect()}
+    outside = {(r.sourceId, r.ra) for r in spark.read.parquet(f"{out}/outside").collect()}
+    assert inside == {(1, 0.5), (2, 359.5)} and outside == {(3, 5.0)}      # RA as it was read
+
+
+def test_stream_fails_on_damaged_counts(spark, tmp_path):
+    from skygrid.streaming.incremental import start_capped_partitioning
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    grid, out, ckpt = Grid(Zone(-1.0, 1.0, -1.0, 1.0), 1), fresh_dir(spark, "damaged"), fresh_dir(spark, "ck")
+
+    def run():
+        q = start_capped_partitioning(read_source_stream(spark, str(incoming)), grid, out, ckpt, cap=10)
+        q.awaitTermination()
+    (incoming / "a.csv").write_text(_lines([(k, 0.1, 0.1) for k in range(15)]))
+    run()
+    counts = out.replace("file:", "") + "/_counts/batch=0"
+    import glob
+    import os
+    for f in glob.glob(counts + "/*.parquet") + glob.glob(counts + "/.*.crc"):
+        with open(f, "wb") as h:
+            h.write(b"damaged")
+    assert os.path.isdir(counts)
+    (incoming / "b.csv").write_text(_lines([(100 + k, 0.1, 0.1) for k in range(5)]))
+    with pytest.raises(Exception):
+        run()
+
+
+def test_run_partitioning_stripes_and_leaves(spark, sources):
+    from skygrid.plans.partitioning import run_partitioning
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "stripes"), mode="stripe")
+    assert [tuple(r) for r in res.histogram.select("stripe", "n_rows").collect()] == [(40, 56)]
+    res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "leaves"), mode="adaptive", min_cells=None, cap=10)
+    rows = res.histogram.collect()
+    assert sum(r.n_rows for r in rows) == 56 and max(r.n_rows for r in rows) <= 10
+    assert spark.read.json(res.grid_path).count() == len(rows)
+
+
+@pytest.mark.parametrize("mode", ["exclusive", "overlap", "stripe", "adaptive"])
+def test_run_partitioning_bad_lines(spark, tmp_path, mode):
+    from skygrid.plans.partitioning import run_partitioning
+    f = tmp_path / "dirty.csv"
+    f.write_text(_lines([(1, 1.0, 1.0), (2, "abc", 1.0), (3, "NaN", 1.0), (4, "NULL", 2.0), (5, 2.0, 2.0)]))
+    with pytest.raises(Exception):
+        run_partitioning(spark, str(f), fresh_dir(spark, "bad"), mode=mode, min_cells=4)
+    res = run_partitioning(spark, str(f), fresh_dir(spark, "good"), mode=mode, min_cells=4, on_bad="report")
+    back = spark.read.parquet(res.data_path).select("sourceId").distinct().collect()
+    assert res.n_rejects == 3 and {r.sourceId for r in back} == {1, 5}
+    assert sorted(map(tuple, spark.read.parquet(res.rejects_path).select("sourceId", "reject").collect())) == [
+        (2, "RA malformed"), (3, "RA not finite"), (4, "RA missing")]
