@@ -291,15 +291,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Train on a bounded, hash-chosen sample of the labelled rows of ``docs``."""
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
              .where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id")
+    # Choose by id; the texts themselves are not shuffled.
+    known = docs.select(F.col(id_col).alias("id")).join(marks, "id")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Constant(0.0)
     share = F.when(F.col("label") == 1, min(1.0, texts_per_label / counts.get(1, 1))).otherwise(
         min(1.0, texts_per_label / counts.get(0, 1)))
     draw = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(1 << 32)) / float(1 << 32)
-    sample = sorted((r["text"], r["label"]) for r in known.where(draw < share).select(
-        F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"), "label").collect())
+    chosen = F.broadcast(known.where(draw < share).distinct())      # about 2 * texts_per_label rows
+    sample = sorted((r["text"], r["label"]) for r in docs.select(
+        F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+        .join(chosen, "id").select("text", "label").collect())
     return train([t for t, _ in sample], np.array([y for _, y in sample]),
                  counts.get(1, 0) / sum(counts.values()))
 
