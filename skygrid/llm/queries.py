@@ -95,6 +95,17 @@ def oracle_sql() -> dict[str, str]:
     shingles = """list_distinct(CASE WHEN len({w}) = 0 THEN [] WHEN len({w}) < 5 THEN [array_to_string({w}, ' ')]
        ELSE list_transform(range(1, len({w}) - 3), lambda i: array_to_string(list_slice({w}, i, i + 4), ' ')) END)"""
     return {
+        "op1_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id""",
         # Escaping puts one backslash before every backslash, ### and </turn>.
         "op9_chat_format": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
