@@ -41,6 +41,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skygrid.llm.common import map_batches, text_slices
 
@@ -216,7 +217,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     item_type = benchmark.schema[item_id].dataType.simpleString()
     schema = (f"doc {keyed.schema['doc'].dataType.simpleString()}, item {item_type}, "
               "n_shingles long, n_found long, containment double")
-    found = None
+    out_item, found = to_arrow_type(benchmark.schema[item_id].dataType), None
     for items in _blocks(benchmark, item_text, item_id, block_chars):
         index = Index(items, shingle, threshold)
 
@@ -232,8 +233,6 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
                      pa.array([r[2] / len(r[1][2]) for r in rows], pa.float64())],
                     names=["doc", "item", "n_shingles", "n_found", "containment"])
 
-        from pyspark.sql.pandas.types import to_arrow_type
-        out_item = to_arrow_type(benchmark.schema[item_id].dataType)
         pairs = map_batches(keyed, run, schema)
         found = pairs if found is None else found.unionByName(pairs)
     return found.select(F.col("doc").alias(id_col), F.col("item").alias(item_id),

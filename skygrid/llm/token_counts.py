@@ -173,7 +173,7 @@ class Counter:
                 self.known.clear()
             count = self.tokenizer.prefix_counts(piece.encode())
             if len(count) > len(piece) + 1:      # keep the borders of characters
-                ends = accumulate((1 + (c > "\x7f") + (c > "߿") + (c > "￿") for c in piece), initial=0)
+                ends = accumulate((1 + (c > "\x7f") + (c > "\u07ff") + (c > "\uffff") for c in piece), initial=0)
                 count = [count[e] for e in ends]
             table = self.known[piece] = tuple(count)
         return table
