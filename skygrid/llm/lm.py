@@ -61,12 +61,27 @@ def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, 12 * n), np.uint8)
     steps = np.ascontiguousarray(raw[:8 * n].reshape(8, n).T).view(np.uint64).ravel()
     counts = np.ascontiguousarray(raw[8 * n:].reshape(4, n).T).view(np.uint32).ravel()
-    return np.cumsum(steps, dtype=np.uint64), counts
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
 
 
 def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
-    values, back = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
-    return values, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+    """The distinct windows of several lists, in order, and the sums of their counts.
+
+    A window leaves 8 bits of a word free: counts travel there, larger ones in
+    several pieces, so that one plain sort brings equal windows together.
+    """
+    packed = []
+    for values, n in held:
+        pieces = -(-n // 255)
+        last = n - 255 * (pieces - 1)
+        packed.append((values << np.uint64(8)) | last.astype(np.uint64))
+        more = np.flatnonzero(pieces > 1)
+        packed.append(np.repeat((values[more] << np.uint64(8)) | np.uint64(255), pieces[more] - 1))
+    packed = np.concatenate(packed)
+    packed.sort()
+    values = packed >> np.uint64(8)
+    first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+    return values[first], np.add.reduceat((packed & np.uint64(255)).astype(np.int64), first)
 
 
 def window_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -118,11 +133,11 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
         int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
 
     def slots(batches):
-        tables, held = (mixing.empty_counts(), mixing.empty_counts()), []
+        tables, held = mixing.empty_counts(), []
 
         def add():
             if held:
-                mixing.add_counts(*tables, *_merged(held))
+                mixing.add_counts(tables, *_merged(held))
                 held.clear()
 
         for batch in batches:
@@ -131,31 +146,28 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
                 if sum(len(v) for v, _ in held) > HELD_WINDOWS // 2:
                     add()
         add()
-        for k in range(len(mixing.ORDERS)):
-            used = np.flatnonzero(tables[0][k] + tables[1][k]).astype(np.int32)
+        for k, table in enumerate(tables):
+            used = np.flatnonzero(table.any(axis=1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32())] + [pa.array([a.tobytes()], pa.binary())
-                                               for a in (used, tables[0][k][used], tables[1][k][used])],
-                names=["k", "slots", "zeros", "ones"])
+                [pa.array([k], pa.int32()), pa.array([used.tobytes()], pa.binary()),
+                 pa.array([table[used].tobytes()], pa.binary())], names=["k", "slots", "counts"])
 
     # One row per order and task; all together bounded by the tables' fixed sizes
     # (low orders, whose contexts several tasks share, are the small ones).
-    tables = cut_lineage(counted.mapInArrow(slots, "k int, slots binary, zeros binary, ones binary"), "lmslots")
-    zeros, ones = mixing.empty_counts(), mixing.empty_counts()
-    for r in tables.toLocalIterator(prefetchPartitions=True):
-        slot = np.frombuffer(r["slots"], np.int32)
-        zeros[r["k"]][slot] += np.frombuffer(r["zeros"], np.float32)
-        ones[r["k"]][slot] += np.frombuffer(r["ones"], np.float32)
-
-    model = mixing.Model(zeros, ones)
+    rows = cut_lineage(counted.mapInArrow(slots, "k int, slots binary, counts binary"), "lmslots")
+    counts = mixing.empty_counts()
+    for r in rows.toLocalIterator(prefetchPartitions=True):
+        counts[r["k"]][np.frombuffer(r["slots"], np.int32)] += np.frombuffer(r["counts"], np.float32).reshape(-1, 2)
+
+    model = mixing.Model(counts)
     n = texts.count()
     share = min(1.0, SAMPLE_TEXTS / max(1, n))
     draw = F.pmod(F.xxhash64(F.col(text_col), F.lit(11)), F.lit(1 << 32))
     sample = (texts.where(F.col(text_col).isNotNull() & (draw < int(share * (1 << 32))))
               .select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t")).limit(2 * SAMPLE_TEXTS).collect())
     own = [np.concatenate([p for p, _ in mixing.windows([t])]) for t in sorted({r["t"].encode() for r in sample})]
-    model.learn(own, zeros, ones, WINDOWS_PER_TEXT)
-    del zeros, ones
+    model.learn(own, counts, WINDOWS_PER_TEXT)
+    del counts
     model.shared = spark.sparkContext.broadcast(
         (model.tables, model.weights, model.map))
     return model
@@ -222,7 +234,7 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
         hasher, held, size = _Words(), [], 0
         for batch in batches:
             for part in text_slices(batch, 2, SLICE_BYTES):
-                if size and size + part.get_total_buffer_size() > SLICE_BYTES:
+                if size and size + part.nbytes > SLICE_BYTES:
                     yield one_slice(held, frozen, hasher)
                     held, size = [], 0
                 held.append(part)

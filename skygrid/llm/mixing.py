@@ -31,6 +31,7 @@ _LIMIT = 9.0
 _BUCKETS = 33
 _NUMBER = np.arange(1, len(ORDERS) + 1, dtype=np.int32)[:, None]
 _FIRST_CELL = np.arange(len(ORDERS), dtype=np.int32)[:, None] * EVIDENCE
+assert len(ORDERS) * EVIDENCE * (len(ORDERS) + 1) <= 1 << 11
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -120,23 +121,29 @@ def contexts(packed: np.ndarray) -> list[np.ndarray]:
 
 
 def _slot(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    return ((context + node.astype(np.uint64) * _M) * _NODE) >> np.uint64(64 - bits)
+    """The table slot of a context at a node; ``node`` as :func:`_spread` gives it."""
+    return ((context + node) * _NODE) >> np.uint64(64 - bits)
+
+
+def _spread(node: np.ndarray) -> np.ndarray:
+    return node.astype(np.uint64) * _M
 
 
 def empty_counts() -> list[np.ndarray]:
-    return [np.zeros(1 << b, np.float32) for b in SLOT_BITS]
+    """Per order, a table of (zeros, ones) by slot."""
+    return [np.zeros((1 << b, 2), np.float32) for b in SLOT_BITS]
 
 
-def add_counts(zeros: list[np.ndarray], ones: list[np.ndarray], packed: np.ndarray, counts: np.ndarray) -> None:
+def add_counts(tables: list[np.ndarray], packed: np.ndarray, counts: np.ndarray) -> None:
     """Add the bits of windows seen ``counts`` times to the tables."""
     symbol = (packed & np.uint64(255)).astype(np.int64)
     counts = counts.astype(np.float32)
-    for k, (context, bits) in enumerate(zip(contexts(packed), SLOT_BITS, strict=True)):
+    nodes = [_spread((symbol | 256) >> (8 - depth)) for depth in range(8)]
+    bits = [((symbol >> (7 - depth)) & 1).astype(np.uint64) for depth in range(8)]
+    for k, (context, size) in enumerate(zip(contexts(packed), SLOT_BITS, strict=True)):
+        flat = tables[k].ravel()
         for depth in range(8):
-            slot = _slot(context, (symbol | 256) >> (8 - depth), bits)
-            one = ((symbol >> (7 - depth)) & 1) == 1
-            np.add.at(ones[k], slot[one], counts[one])
-            np.add.at(zeros[k], slot[~one], counts[~one])
+            np.add.at(flat, (_slot(context, nodes[depth], size) << np.uint64(1)) | bits[depth], counts)
 
 
 def _stretch(p):
@@ -158,11 +165,17 @@ def _estimate(n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Frozen tables, gate weights and probability map."""
 
-    def __init__(self, zeros: list[np.ndarray], ones: list[np.ndarray]):
-        self.tables = []        # estimate * 3000, and in the low byte the evidence class
-        for n0, n1 in zip(zeros, ones, strict=True):
-            st, evidence = _estimate(n0, n1)
-            self.tables.append(((st * 3000).astype(np.int32) << 8) | evidence.astype(np.int32))
+    def __init__(self, counts: list[np.ndarray]):
+        # An entry: the estimate * 3000, whether the slot was ever seen, and the
+        # first of the weight cells of its evidence class.
+        self.tables = []
+        for k, table in enumerate(counts):
+            out = np.zeros(len(table), np.int32)
+            for at in range(0, len(table), 1 << 18):
+                st, evidence = _estimate(table[at:at + (1 << 18), 0], table[at:at + (1 << 18), 1])
+                cell = (k * EVIDENCE + evidence) * (len(ORDERS) + 1)
+                out[at:at + (1 << 18)] = ((st * 3000).astype(np.int32) << 12) | ((evidence > 0) << 11) | cell
+            self.tables.append(out)
         self.weights = np.full((len(ORDERS), EVIDENCE, len(ORDERS) + 1), 0.25, np.float32)
         centres = np.linspace(-_LIMIT, _LIMIT, _BUCKETS, dtype=np.float32)
         self.map = np.tile(_squash(centres), (256, 1)).astype(np.float32)
@@ -174,17 +187,16 @@ class Model:
         model.tables, model.weights, model.map = tables, weights, probability_map
         return model
 
-    def _mix(self, estimates: np.ndarray, evidence: np.ndarray):
+    def _mix(self, estimates: np.ndarray, seen: np.ndarray, cells: np.ndarray):
         """Sum in the logistic domain; also the cells of the weights used."""
-        longest = np.max((evidence > 0) * _NUMBER, axis=0)
-        cells = (_FIRST_CELL + evidence) * (len(ORDERS) + 1) + longest
-        total = (self.weights.ravel()[cells] * estimates).sum(axis=0)
+        cells = cells + (seen * _NUMBER).max(axis=0)        # by the longest order that knows the context
+        total = np.einsum("ki,ki->i", self.weights.ravel()[cells], estimates)
         return np.clip(total, -_LIMIT, _LIMIT), cells
 
     def _refine(self, total: np.ndarray, node: np.ndarray):
         """The map's probability, between the two nearest centres."""
-        x = (total + _LIMIT) * ((_BUCKETS - 1) / (2 * _LIMIT))
-        low = np.minimum(x.astype(np.int64), _BUCKETS - 2)
+        x = (total + np.float32(_LIMIT)) * np.float32((_BUCKETS - 1) / (2 * _LIMIT))
+        low = np.minimum(x.astype(np.int32), _BUCKETS - 2)
         part = (x - low).astype(np.float32)
         at = node * _BUCKETS + low
         flat = self.map.ravel()
@@ -196,27 +208,30 @@ class Model:
                               or [np.zeros(0)])
 
     def _bits(self, packed: np.ndarray) -> np.ndarray:
-        symbol = (packed & np.uint64(255)).astype(np.int64)
+        symbol = (packed & np.uint64(255)).astype(np.int32)
         hashed = contexts(packed)
-        cost = np.zeros(len(packed))
+        probability = np.ones(len(packed))
+        found = np.empty((len(ORDERS), len(packed)), np.int32)
         for depth in range(8):
             node = (symbol | 256) >> (8 - depth)
-            found = np.stack([t[_slot(c, node, b)] for t, c, b in zip(self.tables, hashed, SLOT_BITS, strict=True)])
-            total, _ = self._mix((found >> 8).astype(np.float32) * np.float32(1 / 3000), found & 255)
+            spread = _spread(node)
+            for k, size in enumerate(SLOT_BITS):
+                found[k] = self.tables[k][_slot(hashed[k], spread, size)]
+            total, _ = self._mix((found >> 12).astype(np.float32) * np.float32(1 / 3000), (found >> 11) & 1,
+                                 found & 2047)
             refined, _, _ = self._refine(total, node)
             p1 = np.clip(0.5 * (_squash(total) + refined), 1e-5, 1 - 1e-5)
-            cost -= np.log2(np.where((symbol >> (7 - depth)) & 1, p1, 1 - p1))
-        return cost
+            probability *= np.where((symbol >> (7 - depth)) & 1, p1, 1 - p1)
+        return -np.log2(probability)
 
-    def learn(self, texts: list[np.ndarray], zeros: list[np.ndarray], ones: list[np.ndarray],
-              per_text: int = 1500, step: int = 2048, rate: float = 0.8, seed: int = 1) -> None:
+    def learn(self, texts: list[np.ndarray], counts: list[np.ndarray], per_text: int = 1500, step: int = 2048, rate: float = 0.8, seed: int = 1) -> None:
         """Online steps over windows of training texts (all windows of a text in one array).
 
         A text's own bits are taken out of the counts first, all of them, so
         that evidence is weighed as it will stand for a text never seen.
         """
         rng = np.random.default_rng(seed)
-        parts = [_without_itself(w, np.sort(rng.permutation(len(w))[:per_text]), zeros, ones)
+        parts = [_without_itself(w, np.sort(rng.permutation(len(w))[:per_text]), counts)
                  for w in texts if len(w)]
         if not parts:
             return
@@ -230,7 +245,8 @@ class Model:
                 node = (symbol[pick] | 256) >> (8 - depth)
                 bit = (symbol[pick] >> (7 - depth)) & 1
                 st = estimates[:, depth, pick].astype(np.float32)
-                total, cells = self._mix(st, evidence[:, depth, pick].astype(np.int64))
+                classes = evidence[:, depth, pick].astype(np.int32)
+                total, cells = self._mix(st, classes > 0, (_FIRST_CELL + classes) * (len(ORDERS) + 1))
                 error = bit - _squash(total)
                 gradient = np.bincount(cells.ravel(), (error * st).ravel(), len(flat))
                 weight = np.bincount(cells.ravel(), minlength=len(flat))
@@ -243,7 +259,7 @@ class Model:
                     m += ((hit - n * m) * (0.02 / (1 + 0.02 * n))).astype(np.float32)
 
 
-def _without_itself(windows: np.ndarray, pick: np.ndarray, zeros: list[np.ndarray], ones: list[np.ndarray]):
+def _without_itself(windows: np.ndarray, pick: np.ndarray, counts: list[np.ndarray]):
     """``(symbols, estimates, evidence)`` of some windows of a text, its own counts left out."""
     symbol = (windows & np.uint64(255)).astype(np.int64)
     bits = np.concatenate([(symbol >> (7 - depth)) & 1 for depth in range(8)])
@@ -251,10 +267,11 @@ def _without_itself(windows: np.ndarray, pick: np.ndarray, zeros: list[np.ndarra
     evidence = np.zeros((len(ORDERS), 8, len(pick)), np.uint8)
     places = np.arange(8)[:, None] * len(windows) + pick
     for k, context in enumerate(contexts(windows)):
-        slots = np.concatenate([_slot(context, (symbol | 256) >> (8 - depth), SLOT_BITS[k]) for depth in range(8)])
+        slots = np.concatenate([_slot(context, _spread((symbol | 256) >> (8 - depth)), SLOT_BITS[k])
+                                for depth in range(8)])
         distinct_slots, back = np.unique(slots, return_inverse=True)
-        n1 = ones[k][distinct_slots] - np.bincount(back, bits)
-        n0 = zeros[k][distinct_slots] - np.bincount(back, 1 - bits)
+        n1 = counts[k][distinct_slots, 1] - np.bincount(back, bits)
+        n0 = counts[k][distinct_slots, 0] - np.bincount(back, 1 - bits)
         s, e = _estimate(np.maximum(n0, 0), np.maximum(n1, 0))
         st[k], evidence[k] = s[back[places]], e[back[places]]
     return symbol[pick], st, evidence

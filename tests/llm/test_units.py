@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from skygrid.llm import bpe, chat, decontam, mixing, recurrent, simhash, template, token_counts, toxicity
+from skygrid.llm import bpe, chat, decontam, lm, mixing, recurrent, simhash, template, token_counts, toxicity
 
 
 def _texts(n, seed):
@@ -223,10 +223,10 @@ def test_byte_model_is_a_distribution_and_learns():
     assert np.array_equal(np.concatenate(long), packed)       # cut texts give the same windows
     values, index = mixing.distinct(packed)
     assert np.array_equal(values[index], packed) and len(values) == len(np.unique(packed))
-    zeros, ones = mixing.empty_counts(), mixing.empty_counts()
-    mixing.add_counts(zeros, ones, values, np.bincount(index))
-    model = mixing.Model(zeros, ones)
-    model.learn([p for p, _ in mixing.windows(texts[:2])], zeros, ones, per_text=40)
+    counts = mixing.empty_counts()
+    mixing.add_counts(counts, values, np.bincount(index))
+    model = mixing.Model(counts)
+    model.learn([p for p, _ in mixing.windows(texts[:2])], counts, per_text=40)
     after = (packed[30] & ~np.uint64(255)) | np.arange(256, dtype=np.uint64)
     assert abs((2.0 ** -model.bits(after)).sum() - 1) < 1e-5      # probabilities of all next bytes
     seen, unseen = (model.bits(np.concatenate([p for p, _ in mixing.windows([t])])).mean()
@@ -234,6 +234,20 @@ def test_byte_model_is_a_distribution_and_learns():
     assert seen < 2 < unseen
 
 
+def test_merged_windows():
+    rng = np.random.default_rng(10)
+    held = [(np.unique(rng.integers(0, 300, 200)).astype(np.uint64) << np.uint64(40),) for _ in range(3)]
+    held = [(v, rng.choice([1, 2, 255, 256, 70000], len(v)).astype(np.int64)) for v, in held]
+    values, n = lm._merged(held)
+    want = {}
+    for v, c in held:
+        for a, b in zip(v.tolist(), c.tolist()):
+            want[a] = want.get(a, 0) + b
+    assert dict(zip(values.tolist(), n.tolist())) == want and (np.diff(values.astype(np.int64)) > 0).all()
+    back, m = lm._unpacked(lm._packed(values, n), len(n))
+    assert np.array_equal(back, values) and np.array_equal(m, n)
+
+
 def test_recurrent_gradients():
     rng = np.random.default_rng(9)
     p = {k: v.astype(np.float64) for k, v in recurrent.init_layer(rng, 3, 2, 2).items()}
