@@ -38,7 +38,7 @@ from skygrid.llm.common import bound_batches, cut_lineage, text_slices
 # with at most SAMPLE_CHARS characters and WINDOWS_PER_TEXT windows of each.
 SAMPLE_TEXTS = 300
 SAMPLE_CHARS = 1 << 16
-WINDOWS_PER_TEXT = 1200
+WINDOWS_PER_TEXT = 800
 BUCKETS = 256
 HELD_WINDOWS = 3_000_000      # distinct windows a task holds before it hands them on
 SLICE_BYTES = 16 << 20
@@ -159,7 +159,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
     for r in rows.toLocalIterator(prefetchPartitions=True):
         counts[r["k"]][np.frombuffer(r["slots"], np.int32)] += np.frombuffer(r["counts"], np.float32).reshape(-1, 2)
 
-    model = mixing.Model(counts)
+    model = mixing.Model()
     n = texts.count()
     share = min(1.0, SAMPLE_TEXTS / max(1, n))
     draw = F.pmod(F.xxhash64(F.col(text_col), F.lit(11)), F.lit(1 << 32))
@@ -167,7 +167,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
               .select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t")).limit(2 * SAMPLE_TEXTS).collect())
     own = [np.concatenate([p for p, _ in mixing.windows([t])]) for t in sorted({r["t"].encode() for r in sample})]
     model.learn(own, counts, WINDOWS_PER_TEXT)
-    del counts
+    model.freeze(counts)
     model.shared = spark.sparkContext.broadcast(
         (model.tables, model.weights, model.map))
     return model

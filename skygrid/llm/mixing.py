@@ -165,20 +165,29 @@ def _estimate(n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Frozen tables, gate weights and probability map."""
 
-    def __init__(self, counts: list[np.ndarray]):
-        # An entry: the estimate * 3000, whether the slot was ever seen, and the
-        # first of the weight cells of its evidence class.
+    def __init__(self, counts: list[np.ndarray] | None = None):
+        self.weights = np.full((len(ORDERS), EVIDENCE, len(ORDERS) + 1), 0.25, np.float32)
+        centres = np.linspace(-_LIMIT, _LIMIT, _BUCKETS, dtype=np.float32)
+        self.map = np.tile(_squash(centres), (256, 1)).astype(np.float32)
+        self.tables = []
+        if counts:
+            self.freeze(list(counts))
+
+    def freeze(self, counts: list[np.ndarray]) -> None:
+        """Turn the counts into the tables that scoring reads; empties the list on the way.
+
+        An entry: the estimate * 3000, whether the slot was ever seen, and the
+        first of the weight cells of its evidence class.
+        """
         self.tables = []
-        for k, table in enumerate(counts):
+        for k in range(len(ORDERS)):
+            table = counts.pop(0)
             out = np.zeros(len(table), np.int32)
             for at in range(0, len(table), 1 << 18):
                 st, evidence = _estimate(table[at:at + (1 << 18), 0], table[at:at + (1 << 18), 1])
                 cell = (k * EVIDENCE + evidence) * (len(ORDERS) + 1)
                 out[at:at + (1 << 18)] = ((st * 3000).astype(np.int32) << 12) | ((evidence > 0) << 11) | cell
             self.tables.append(out)
-        self.weights = np.full((len(ORDERS), EVIDENCE, len(ORDERS) + 1), 0.25, np.float32)
-        centres = np.linspace(-_LIMIT, _LIMIT, _BUCKETS, dtype=np.float32)
-        self.map = np.tile(_squash(centres), (256, 1)).astype(np.float32)
 
     @classmethod
     def frozen(cls, tables, weights, probability_map) -> Model:
