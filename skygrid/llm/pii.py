@@ -15,7 +15,8 @@
     its domain, which ends in a reserved name.
 4.  Collision checks: two entities of a type never share a surrogate, and no
     surrogate equals a detected entity; the losers draw again until none is
-    left.
+    left, longer ones after a few failures (an address its local part, a
+    number more digits, an IPv4 address a fifth part), so the draws end.
 5.  Surrogates go back into the text in the mention's own format.
 
 The distinct entities are aggregated before anything else is done with them;
@@ -25,6 +26,7 @@ is a hot key of one inner join, which adaptive execution splits.
 Cases
 -----
 * null, empty and clean texts are returned as they are;
+* a secret or local part without a letter or digit becomes small letters;
 * numbers that only look like cards (bad check digit) are left alone;
 * repeated rows and equal ids: each row is treated by itself, alike;
 * empty table: empty result; other columns are kept, whatever their names.
@@ -65,6 +67,10 @@ _ADDRESS = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _COUNTRY = r"^\+\d{1,3}(?=[ .\-(])"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api_?key)"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# Surrogates of an entity's own length may run out: after WIDEN_AFTER draws
+# each further one is a character longer, up to WIDEN_MOST.
+WIDEN_AFTER, WIDEN_MOST = 2, 24
 _NAME_WORD = r"\p{Lu}[\p{L}'’\-]*\p{L}"
 # Alternatives in order; each starts at the border of a word, so that long
 # words are not searched from every letter.
@@ -124,6 +130,12 @@ def _like(text: Column, draws: Column) -> Column:
         F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), ""))
 
 
+def _veiled(text: Column, draws: Column) -> Column:
+    """:func:`_like`, or small letters for a text without a letter or digit."""
+    return F.when(text.rlike(r"[\p{L}\p{N}]"), _like(text, draws)).otherwise(
+        F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _pick(draws[i - 1], _LETTERS)), ""))
+
+
 def _check_sum(digits: Column, double_last: bool) -> Column:
     """The check sum of card digits; ``double_last`` for digits without their check digit."""
     n = F.length(digits)
@@ -190,17 +202,21 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     domain = F.substring_index("canonical", "@", -1)
     return (entities
             .withColumn("_draws", _draws(key, F.concat_ws("\x03", "type", "canonical", "attempt"),
-                                         F.length("canonical") + 8))
+                                         F.length("canonical") + 8 + WIDEN_MOST))
             .withColumn("_domain_draws", F.when(F.col("type") == "email", _draws(
                 key, F.concat_ws("\x03", F.lit("domain"), domain), F.length(domain))))
             .withColumn("_like", F.when(F.col("type").isin("ssn", "card", "phone", "secret"),
-                                        _like(F.col("canonical"), F.col("_draws")))))
+                                        _veiled(F.col("canonical"), F.col("_draws")))))
 
 
 def _surrogate(kind: Column, canonical: Column, attempt: Column) -> Column:
     """The canonical form that stands for an entity, from the columns of :func:`_drawn`."""
     draws, domain_draws, like = F.col("_draws"), F.col("_domain_draws"), F.col("_like")
-    phone = F.concat(_pick(draws[F.length(canonical)], "23456789"), _sub(like, 2, 1 << 20))
+    extra = F.least(F.greatest(attempt - WIDEN_AFTER, F.lit(0)), F.lit(WIDEN_MOST)).cast("int")
+    wider = lambda letters: F.when(extra == 0, "").otherwise(F.array_join(F.transform(
+        F.sequence(F.lit(1), extra), lambda i: _pick(draws[F.length(canonical) + i], letters)), ""))
+    digits, letters = wider("0123456789"), wider(_LETTERS)
+    phone = F.concat(_pick(draws[F.length(canonical)], "23456789"), _sub(like, 2, 1 << 20), digits)
     local = F.substring_index(canonical, "@", 1)
     domain = F.substring_index(canonical, "@", -1)
     # A domain keeps its number of labels; its last two become reserved ones.
@@ -210,13 +226,14 @@ def _surrogate(kind: Column, canonical: Column, attempt: Column) -> Column:
     reserved = F.when(tld.isin("com", "net", "org"), F.concat(F.lit("example."), tld)).otherwise("example.org")
     new_domain = F.when(depth > 2, F.concat(_like(host, domain_draws), F.lit("."), reserved)).otherwise(reserved)
     octet = lambda i, low, n: (F.lit(low) + draws[i] % n).cast("string")
-    card = F.concat(_sub(canonical, 1, 1), _sub(like, F.lit(2), F.length(canonical) - 2))
-    out = (F.when(kind == "email", F.concat(_like(local, draws), F.lit("@"), new_domain))
-           .when(kind == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)))
-           .when(kind == "ssn", F.concat(F.lit("9"), _sub(like, 2, 8)))
+    card = F.concat(_sub(canonical, 1, 1), _sub(like, F.lit(2), F.length(canonical) - 2), digits)
+    ip = F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))
+    out = (F.when(kind == "email", F.concat(_veiled(local, draws), letters, F.lit("@"), new_domain))
+           .when(kind == "ip", F.when(extra == 0, ip).otherwise(F.concat(ip, F.lit("."), digits)))
+           .when(kind == "ssn", F.concat(F.lit("9"), _sub(like, 2, 8), digits))
            .when(kind == "card", F.concat(card, ((F.lit(10) - _check_sum(card, True)) % 10).cast("string")))
            .when(kind == "phone", phone)
-           .when(kind == "secret", like))
+           .when(kind == "secret", F.concat(like, letters)))
     for script, syllables in SYLLABLES.items():
         join = lambda first, n: F.array_join(F.transform(
             F.sequence(F.lit(0), n - 1), lambda i, first=first: _pick(draws[first + i], syllables)), "")

@@ -198,6 +198,21 @@ def test_surrogates_stay_distinct(spark):
     assert not {r.surrogate for r in out} & {r.canonical for r in out}
 
 
+def test_surrogates_never_run_out(spark):
+    addresses = [f"{c}@{d}.com" for c in "abcdef" for d in ("x", "y", "z", "v", "w")]
+    rows = [("email", a) for a in addresses] + [("email", f"{c}@example.com") for c in "abcdef"]
+    rows += [("secret", "____________"), ("secret", "--------")] + [("secret", f"{c}-------") for c in "abcdef"]
+    rows += [("phone", f"{k:04d}") for k in range(2000, 10000, 1)]
+    df = spark.createDataFrame(rows, "type string, canonical string")
+    out = pii.surrogates(df, "k").collect()
+    assert len(out) == len(rows) == len({(r.type, r.surrogate) for r in out})
+    assert not {(r.type, r.surrogate) for r in out} & set(rows)
+    assert all(r.surrogate.endswith("@example.com") for r in out if r.type == "email")
+    text = "Password: ____________ token=-------- 415, +1 23 45"
+    got = pii.replace_personal_data(spark.createDataFrame([(text,)], "text string"), "k").first().text
+    assert re.fullmatch(r"Password: [a-z]{12,} token=[a-z]{8,} 415, \+1 \d\d \d\d", got)
+
+
 def test_chat(spark):
     rows = [(1, 2, "assistant", "b\\### </turn>"), (1, 1, "user", None), (1, None, None, "s"), (2, 1, "assistant", ""),
             (None, 1, "a:\nb", "x"), (1, 2, "assistant", "b\\### </turn>")]
