@@ -28,6 +28,11 @@ Cases
 * null, empty and clean texts are returned as they are;
 * a secret or local part without a letter or digit becomes small letters;
 * numbers that only look like cards (bad check digit) are left alone;
+* a telephone number is found with a country code (``+``, with or without
+  separators), with its area code in brackets, as three, three and four digits
+  (space, dot or hyphen between), or as ten digits that are valid in North
+  America; national numbers grouped otherwise, quoted local parts and names
+  without a form of address are not found;
 * repeated rows and equal ids: each row is treated by itself, alike;
 * empty table: empty result; other columns are kept, whatever their names.
 """
@@ -65,7 +70,11 @@ SYLLABLES = {
 
 _ADDRESS = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_COUNTRY = r"^\+\d{1,3}(?=[ .\-(])"
+# A country code, before a separator or, by the plan of the codes, in a run of digits.
+_CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+_COUNTRY = rf"^\+(?:\d{{1,3}}(?=[ .\-(])|{_CODE}(?=\d{{4,}}$))"
+# What stands before an address without belonging to it: Markdown emphasis, dots, dashes.
+_LEAD = r"^[._%+\-]+(?=[\p{L}\p{N}])"
 _SECRET = r"(?i:password|passwd|pwd|token|secret|api_?key)"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Surrogates of an entity's own length may run out: after WIDEN_AFTER draws
@@ -73,14 +82,17 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 WIDEN_AFTER, WIDEN_MOST = 2, 24
 _NAME_WORD = r"\p{Lu}[\p{L}'’\-]*\p{L}"
 # Alternatives in order; each starts at the border of a word, so that long
-# words are not searched from every letter.
+# words are not searched from every letter.  An address is searched from the
+# first of the characters it may hold; _LEAD is set apart later.
 PATTERN = "|".join((
     rf"(?<![\p{{L}}\p{{N}}_]){_SECRET} {{0,2}}[=:] {{0,2}}[\"']?[A-Za-z0-9_+/=.\-]{{8,}}",
-    r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
     r"(?<![\p{L}\p{N}])(?:\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}([ \-])\d{6}\2\d{5}|\d{13,19})(?![\p{L}\p{N}])",
     r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
     r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .\-]\d{2,4}(?:[ .\-]\d{2,4}){1,4}(?!\d)",
-    r"(?<![\p{L}\p{N}.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\p{L}\p{N}])",
+    r"(?<![\p{L}\p{N}+])\+\d{7,15}(?!\d)",
+    r"(?<![\p{L}\p{N}.\-])\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\p{L}\p{N}])",
+    r"(?<![\p{L}\p{N}+\-])(?<!\d[.,])[2-9]\d{2}[2-9]\d{6}(?![\p{L}\p{N}]|[.,]\d)",
     r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
     rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
     rf"(?<!\p{{L}})(?:{_ADDRESS})\.? {_NAME_WORD}(?: {_NAME_WORD})?",
@@ -175,7 +187,7 @@ def _atoms(hits: DataFrame) -> DataFrame:
     typed = hits.withColumn("type", _type(F.col("hit")))
     whole = typed.where("type IS NULL OR type <> 'name'").select(
         "row", "pos", F.lit(0).alias("sub"), "type",
-        F.when(F.col("type") == "email", F.lower("hit"))
+        F.when(F.col("type") == "email", F.lower(F.regexp_replace("hit", _LEAD, "")))
         .when(F.col("type") == "secret", F.regexp_extract("hit", r"[=:] {0,2}[\"']?(.*)$", 1))
         .when(F.col("type") == "phone", _digits(F.regexp_replace("hit", _COUNTRY, "")))
         .when(F.col("type").isin("card", "ssn"), _digits(F.col("hit")))
@@ -281,7 +293,8 @@ def _in_format(kind: Column, surface: Column, canonical: Column, surrogate: Colu
             .when(kind.isin("card", "ssn"), number)
             .when(kind == "secret", F.concat(_sub(
                 surface, F.lit(1), F.length(surface) - F.length(canonical)), surrogate))
-            .when(kind == "email", F.when(surface == F.upper(surface), F.upper(surrogate)).otherwise(surrogate))
+            .when(kind == "email", F.concat(F.regexp_extract(surface, _LEAD, 0), F.when(
+                surface == F.upper(surface), F.upper(surrogate)).otherwise(surrogate)))
             .when(kind == "ip", surrogate)
             .otherwise(cased))
 

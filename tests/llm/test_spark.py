@@ -213,6 +213,21 @@ def test_surrogates_never_run_out(spark):
     assert re.fullmatch(r"Password: [a-z]{12,} token=[a-z]{8,} 415, \+1 \d\d \d\d", got)
 
 
+def test_personal_data_beside_other_characters(spark):
+    texts = ["_bob@example.com_", "-bob@x.org", "...bob@x.org", "_@x.org", "+14155550123", "415 555 0123", "4155550123",
+             "+1 415 555 0123"]
+    kept = ["0.4155550123 and 1600000000", "a 41555501234 b", "-- @ __", "1 415 55"]
+    df = spark.createDataFrame(list(enumerate(texts + kept)), "doc_id long, text string")
+    out = [r.text for r in pii.replace_personal_data(df, "k").orderBy("doc_id").collect()]
+    assert out[len(texts):] == kept
+    a, b, c, d = (re.fullmatch(rf"{lead}([a-z]+@example\.(?:com|org)){tail}", x)[1] for x, lead, tail in zip(
+        out, ("_", "-", r"\.\.\.", ""), ("_", "", "", "")))
+    assert b == c and "bob" not in a + b and d
+    assert re.fullmatch(r"\+1\d{10}", out[4]) and re.fullmatch(r"\d{3} \d{3} \d{4}", out[5])
+    number = out[6]
+    assert number != "4155550123" and out[4] == "+1" + number and re.sub(r"\D", "", out[5]) == number == re.sub(r"\D", "", out[7])[1:]
+
+
 def test_chat(spark):
     rows = [(1, 2, "assistant", "b\\### </turn>"), (1, 1, "user", None), (1, None, None, "s"), (2, 1, "assistant", ""),
             (None, 1, "a:\nb", "x"), (1, 2, "assistant", "b\\### </turn>")]
