@@ -36,10 +36,10 @@ from skygrid.llm import recurrent
 from skygrid.llm.common import map_batches, text_slices
 from skygrid.llm.decontam import Hasher
 
-# The training sample: about this many texts of either label, at most this
-# many characters of each.
+# The training sample: about this many whole texts of either label; fewer where
+# they would hold more than about this many characters of a label.
 TEXTS_PER_LABEL = 1200
-SAMPLE_CHARS = 1 << 14
+SAMPLE_CHARS = 12 << 20
 WINDOW, STRIDE = 16, 8
 WORD_CHARS = 24
 HIDDEN, CHAR_DIM, WORD_DIM = 8, 8, 8
@@ -288,20 +288,26 @@ def train(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOC
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", texts_per_label: int = TEXTS_PER_LABEL):
-    """Train on a bounded, hash-chosen sample of the labelled rows of ``docs``."""
+    """Train on a bounded, hash-chosen sample of the labelled rows of ``docs``.
+
+    The bound is one of rows: a chosen text is learned whole, as its label is
+    the whole text's.
+    """
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
              .where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
     # Choose by id; the texts themselves are not shuffled.
-    known = docs.select(F.col(id_col).alias("id")).join(marks, "id")
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    known = docs.select(F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).alias("chars")).join(marks, "id")
+    sizes = {r["label"]: (r["n"], r["chars"]) for r in known.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum(F.col("chars").cast("long")).alias("chars")).collect()}
+    counts = {label: n for label, (n, _) in sizes.items()}
     if not counts:
         return Constant(0.0)
-    share = F.when(F.col("label") == 1, min(1.0, texts_per_label / counts.get(1, 1))).otherwise(
-        min(1.0, texts_per_label / counts.get(0, 1)))
+    share = {label: min(1.0, texts_per_label / n, SAMPLE_CHARS / max(1, chars)) for label, (n, chars) in sizes.items()}
+    share = F.when(F.col("label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
     draw = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(1 << 32)) / float(1 << 32)
-    chosen = F.broadcast(known.where(draw < share).distinct())      # about 2 * texts_per_label rows
+    chosen = F.broadcast(known.where(draw < share).select("id", "label").distinct())      # about 2 * texts_per_label rows
     sample = sorted((r["text"], r["label"]) for r in docs.select(
-        F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .join(chosen, "id").select("text", "label").collect())
     return train([t for t, _ in sample], np.array([y for _, y in sample]),
                  counts.get(1, 0) / sum(counts.values()))

@@ -288,6 +288,18 @@ def test_toxicity(spark, docs, empty, monkeypatch):
     assert {r.score for r in toxicity.score(docs, none, [F.col("doc_id")]).collect()} == {0.0}
 
 
+def test_toxicity_learns_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, share: list(zip(texts, labels)))
+    rows = [(k, "plain " * 4000 + ("zorg" if k % 2 else "word"), k % 2) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert len(sample) == 60 and all(t.endswith("zorg" if y else "word") for t, y in sample)
+    # Where texts are too long for the sample there are fewer of them, each whole.
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 10 * 24004)
+    fewer = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert 0 < len(fewer) < 40 and {len(t) for t, _ in fewer} == {24004}
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     done = docs
