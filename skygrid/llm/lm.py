@@ -1,12 +1,16 @@
 """Language-model scoring: context mixing over bytes, beside a word baseline.
 
-Learning gathers, over all training texts, the counts of every seven-byte window
-(combined in the task, then shuffled by context) and turns them into bit counts
-of hashed contexts; the tables have a fixed size, so they are broadcast.  Gate
-weights are learned online on a bounded sample of training windows.
-
-Scoring reads each text once: the frozen model gives its bits, and its words
-become indices into the distinct words of a slice of texts.  Words are counted
+Learning gathers, over all training texts, the exact counts of every seven-byte
+window as a table dealt to parts by the three bytes before the symbol; a part
+has all counts of its contexts of three and more bytes.  Those of one and two
+bytes, at most 2^24 whatever the corpus, are broadcast.  Gate weights are learned
+from all training windows: texts are dealt to folds by a hash (copies to the
+same), and a fold's windows are evaluated by the counts of the others; each task
+returns its weights and how often it met their cells, which are averaged.
+
+Scoring cuts the texts into slices.  A slice's distinct windows are joined with
+the table by part, which gives their bits, and the bits go back to the slice; its
+words become indices into the distinct words of the slice.  Words are counted
 by a shuffle of the slices' distinct words (64-bit hashes), and the counts go
 back to the slices by a join, so no word table is held anywhere as a whole.
 
@@ -34,11 +38,8 @@ from pyspark.sql import functions as F
 from skygrid.llm import mixing
 from skygrid.llm.common import bound_batches, cut_lineage, text_slices
 
-# The sample that gate weights are learned on: about this many training texts,
-# with at most SAMPLE_CHARS characters and WINDOWS_PER_TEXT windows of each.
-SAMPLE_TEXTS = 300
-SAMPLE_CHARS = 1 << 16
-WINDOWS_PER_TEXT = 800
+FOLDS = 4
+TASK_WINDOWS = 1_000_000     # about as many windows of folds in a learning task
 BUCKETS = 256
 HELD_WINDOWS = 3_000_000      # distinct windows a task holds before it hands them on
 SLICE_BYTES = 16 << 20
@@ -54,14 +55,29 @@ def _packed(windows: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted windows as compressed differences, byte plane by byte plane, and their counts."""
     steps = np.diff(windows, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(level=1).compress(
-        steps.tobytes() + counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+        steps.tobytes() + counts.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, 12 * n), np.uint8)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, 16 * n), np.uint8)
     steps = np.ascontiguousarray(raw[:8 * n].reshape(8, n).T).view(np.uint64).ravel()
-    counts = np.ascontiguousarray(raw[8 * n:].reshape(4, n).T).view(np.uint32).ravel()
-    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+    counts = np.ascontiguousarray(raw[8 * n:].reshape(8, n).T).view(np.int64).ravel()
+    return np.cumsum(steps, dtype=np.uint64), counts
+
+
+def _part(values: np.ndarray) -> np.ndarray:
+    """The part of each window, by the three bytes before the symbol."""
+    h = ((values >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
+
+
+def _dealt(values: np.ndarray):
+    """``(order, [(part, start, end)])``: sorted windows by part."""
+    part = _part(values)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    return order, list(zip(part[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=True))
 
 
 def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +86,11 @@ def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
     A window leaves 8 bits of a word free: counts travel there, larger ones in
     several pieces, so that one plain sort brings equal windows together.
     """
+    if max((int(n.max(initial=0)) for _, n in held), default=0) > 1 << 20:
+        values, back = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+        sums = np.zeros(len(values), np.int64)
+        np.add.at(sums, back, np.concatenate([n for _, n in held]))
+        return values, sums
     packed = []
     for values, n in held:
         pieces = -(-n // 255)
@@ -85,91 +106,120 @@ def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(part, n, windows)``: how often each seven-byte window stands in the texts.
+    """``(part, fold, n, windows)``: how often each seven-byte window stands in the texts of a fold.
 
-    A task's distinct windows are dealt to BUCKETS parts by the three bytes
-    before the symbol and leave it as one compressed row a part.
+    A task's distinct windows leave it as one compressed row a part, and are
+    merged there.
     """
     bound_batches(texts.sparkSession)
+    schema = "part int, fold int, n int, windows binary"
 
-    def rows(held):
+    def rows(fold, held):
         values, n = _merged(held)
-        part = (((values >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS.bit_length() + 1)
-        order = np.argsort(part, kind="stable")
-        part, values, n = part[order].astype(np.int32), values[order], n[order]
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        ends = np.append(cuts[1:], len(part))
-        for at in range(0, len(cuts), 32):
-            some = list(zip(cuts[at:at + 32].tolist(), ends[at:at + 32].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(part[a]) for a, _ in some], pa.int32()),
-                 pa.array([b - a for a, b in some], pa.int32()),
-                 pa.array([_packed(values[a:b], n[a:b]) for a, b in some], pa.binary())],
-                names=["part", "n", "windows"])
+        order, parts = _dealt(values)
+        values, n = values[order], n[order]
+        for at in range(0, len(parts), 32):
+            yield batch_of([(p, fold, values[a:b], n[a:b]) for p, a, b in parts[at:at + 32]])
+
+    def batch_of(some):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in some], pa.int32()), pa.array([x[1] for x in some], pa.int32()),
+             pa.array([len(x[2]) for x in some], pa.int32()),
+             pa.array([_packed(v, n) for _, _, v, n in some], pa.binary())], names=["part", "fold", "n", "windows"])
 
     def run(batches):
-        held: list = []
+        held: list[list] = [[] for _ in range(FOLDS)]
         for batch in batches:
             for part in text_slices(batch, 0, SLICE_BYTES):
-                for packed, _ in mixing.windows(_texts(part.column(0)), CHUNK):
-                    values, index = mixing.distinct(packed)
-                    held.append((values, np.bincount(index, minlength=len(values))))
-                    if sum(len(v) for v, _ in held) > HELD_WINDOWS and len(held) > 1:
-                        held[:] = [_merged(held)]
-                        if len(held[0][0]) > HELD_WINDOWS // 2:
-                            yield from rows(held)
-                            held.clear()
-        if held:
-            yield from rows(held)
-
-    return texts.select(F.col(text_col)).mapInArrow(run, "part int, n int, windows binary")
+                texts, fold = _texts(part.column(0)), part.column(1).to_pylist()
+                for f in range(FOLDS):
+                    for packed, _ in mixing.windows([t for t, g in zip(texts, fold, strict=True) if g == f], CHUNK):
+                        values, index = mixing.distinct(packed)
+                        held[f].append((values, np.bincount(index, minlength=len(values))))
+                if sum(len(v) for h in held for v, _ in h) > HELD_WINDOWS:
+                    held = [[_merged(h)] if h else [] for h in held]
+                    if sum(len(v) for h in held for v, _ in h) > HELD_WINDOWS // 2:
+                        for f, h in enumerate(held):
+                            if h:
+                                yield from rows(f, h)
+                        held = [[] for _ in range(FOLDS)]
+        for f, h in enumerate(held):
+            if h:
+                yield from rows(f, h)
+
+    def merge(key, table):
+        values, n = _merged([_unpacked(b, k) for k, b in zip(
+            table["n"].to_pylist(), table["windows"].to_pylist(), strict=True)])
+        return pa.Table.from_batches([batch_of([(key[0].as_py(), key[1].as_py(), values, n)])])
+
+    text = F.col(text_col)
+    fold = F.pmod(F.xxhash64(F.coalesce(text, F.lit("")), F.lit(11)), F.lit(FOLDS)).cast("int")
+    return texts.select(text, fold.alias("fold")).mapInArrow(run, schema).groupBy("part", "fold").applyInArrow(merge, schema)
 
 
 def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
     """A model of all ``texts``."""
     spark = texts.sparkSession
-    # Contexts of three and more bytes stay together, so their slots come once.
-    counted = window_counts(texts, text_col).repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
-
-    def slots(batches):
-        tables, held = mixing.empty_counts(), []
-
-        def add():
-            if held:
-                mixing.add_counts(tables, *_merged(held))
-                held.clear()
+    model = mixing.Model()
+    model.windows = cut_lineage(window_counts(texts, text_col), "lmwindows")
 
+    def ends(batches):
         for batch in batches:
-            for n, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                held.append(_unpacked(blob, n))
-                if sum(len(v) for v, _ in held) > HELD_WINDOWS // 2:
-                    add()
-        add()
-        for k, table in enumerate(tables):
-            used = np.flatnonzero(table.any(axis=1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([used.tobytes()], pa.binary()),
-                 pa.array([table[used].tobytes()], pa.binary())], names=["k", "slots", "counts"])
-
-    # One row per order and task; all together bounded by the tables' fixed sizes
-    # (low orders, whose contexts several tasks share, are the small ones).
-    rows = cut_lineage(counted.mapInArrow(slots, "k int, slots binary, counts binary"), "lmslots")
-    counts = mixing.empty_counts()
-    for r in rows.toLocalIterator(prefetchPartitions=True):
-        counts[r["k"]][np.frombuffer(r["slots"], np.int32)] += np.frombuffer(r["counts"], np.float32).reshape(-1, 2)
-
-    model = mixing.Model()
-    n = texts.count()
-    share = min(1.0, SAMPLE_TEXTS / max(1, n))
-    draw = F.pmod(F.xxhash64(F.col(text_col), F.lit(11)), F.lit(1 << 32))
-    sample = (texts.where(F.col(text_col).isNotNull() & (draw < int(share * (1 << 32))))
-              .select(F.substring(text_col, 1, SAMPLE_CHARS).alias("t")).limit(2 * SAMPLE_TEXTS).collect())
-    own = [np.concatenate([p for p, _ in mixing.windows([t])]) for t in sorted({r["t"].encode() for r in sample})]
-    model.learn(own, counts, WINDOWS_PER_TEXT)
-    model.freeze(counts)
-    model.shared = spark.sparkContext.broadcast(
-        (model.tables, model.weights, model.map))
+            for fold, n, blob in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+                values, counts = _unpacked(blob, n)
+                some, back = np.unique(values & np.uint64(0xFFFFFF), return_inverse=True)
+                sums = np.zeros(len(some), np.int64)
+                np.add.at(sums, back, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), fold, np.int32)), pa.array(sums)],
+                    names=["ends", "fold", "n"])
+
+    # Contexts of one and two bytes: not more than the triples of bytes there are.
+    short = model.windows.mapInArrow(ends, "ends int, fold int, n long").groupBy("ends", "fold").agg(
+        F.sum("n").alias("n")).toArrow()
+    triples, fold, n = (short[c].to_numpy() for c in ("ends", "fold", "n"))
+    low, low_folds = mixing.Counts((1, 2)), [mixing.Counts((1, 2)) for _ in range(FOLDS)]
+    low.add(triples.astype(np.uint64), n)
+    for f in range(FOLDS):
+        low_folds[f].add(triples[fold == f].astype(np.uint64), n[fold == f])
+
+    total = model.windows.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
+    groups = max(1, min(BUCKETS, -(-total // TASK_WINDOWS)))
+    folds = spark.sparkContext.broadcast((low, low_folds))
+
+    def one_group(table):
+        low, low_folds = folds.value
+        high, own, windows = mixing.Counts((3, 4, 5, 6)), [], []
+        for f in range(FOLDS):
+            some = table.filter(pc.equal(table["fold"], f))
+            held = [_unpacked(b, k) for k, b in zip(some["n"].to_pylist(), some["windows"].to_pylist(), strict=True)]
+            values, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (
+                np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            high.add(values, n)
+            own.append(mixing.Counts((3, 4, 5, 6)))
+            own[f].add(values, n)
+            windows.append((values, n))
+        learned, rng = mixing.Model(), np.random.default_rng(1)
+        met, met_map = np.zeros(learned.weights.size), np.zeros(learned.map.size)
+        for f, (values, n) in enumerate(windows):
+            order = rng.permutation(len(values))
+            a, b = learned.steps(values[order], n[order], [low, high], (low_folds[f], own[f]))
+            met, met_map = met + a, met_map + b
+        return pa.table({"weights": [(learned.weights.ravel() * met).tobytes()], "met": [met.tobytes()],
+                         "map": [(learned.map.ravel() * met_map).tobytes()], "met_map": [met_map.tobytes()],
+                         "windows": [int(sum(n.sum() for _, n in windows))]})
+
+    sums, model.learned = {}, 0
+    for r in model.windows.groupBy((F.col("part") % groups).alias("g")).applyInArrow(
+            one_group, "weights binary, met binary, map binary, met_map binary, windows long").toLocalIterator():
+        model.learned += r["windows"]
+        for name in ("weights", "met", "map", "met_map"):
+            sums[name] = sums.get(name, 0.0) + np.frombuffer(r[name], np.float64)
+    if sums:
+        for name, met in (("weights", "met"), ("map", "met_map")):
+            own = getattr(model, name)
+            own.ravel()[:] = np.where(sums[met] > 0, sums[name] / np.maximum(sums[met], 1e-9), own.ravel())
+    model.shared = spark.sparkContext.broadcast((model.weights, model.map, low))
     return model
 
 
@@ -215,6 +265,27 @@ def _chunks(texts: list[bytes], size: int):
         yield start, len(texts)
 
 
+def _slice_windows(texts: list[bytes]) -> np.ndarray:
+    """The distinct windows of a slice, sorted."""
+    held = [mixing.distinct(packed)[0] for packed, _ in mixing.windows(texts, CHUNK)]
+    return np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+
+
+def _text_bits(blob: bytes, n_bytes: np.ndarray, found: list[bytes]) -> np.ndarray:
+    """The bits of each text of a slice, from those of its distinct windows by part."""
+    data, ends = zstandard.ZstdDecompressor().decompress(blob), np.cumsum(n_bytes).tolist()
+    texts = [data[e - n:e] for e, n in zip(ends, n_bytes.tolist(), strict=True)]
+    values = _slice_windows(texts)
+    bits = np.empty(len(values), np.float32)
+    bits[_dealt(values)[0]] = np.concatenate([np.frombuffer(
+        zstandard.ZstdDecompressor().decompress(b), np.float32) for b in found])
+    out = np.zeros(len(texts))
+    for packed, owner in mixing.windows(texts, CHUNK):
+        some, index = mixing.distinct(packed)
+        out += np.bincount(owner, bits[np.searchsorted(values, some)][index], len(texts))
+    return out
+
+
 def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte)``.
@@ -225,33 +296,33 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
                         F.col(text_col).alias("text"))
     kind, shared = keyed.schema["id"].dataType.simpleString(), model.shared
     bound_batches(docs.sparkSession)
-    schema = (f"slice long, ids array<{kind}>, held_out array<boolean>, n_bytes array<long>, bits array<double>, "
-              "n_words array<int>, words binary, distinct array<long>, counts array<int>")
-    names = ["slice", "ids", "held_out", "n_bytes", "bits", "n_words", "words", "distinct", "counts"]
+    schema = (f"slice long, ids array<{kind}>, held_out array<boolean>, n_bytes array<long>, "
+              "n_words array<int>, words binary, distinct array<long>, counts array<int>, texts binary, "
+              "asked array<struct<part:int,n:int,windows:binary>>")
+    names = ["slice", "ids", "held_out", "n_bytes", "n_words", "words", "distinct", "counts", "texts", "asked"]
 
     def run(batches):
-        frozen = mixing.Model.frozen(*shared.value)
         hasher, held, size = _Words(), [], 0
         for batch in batches:
             for part in text_slices(batch, 2, SLICE_BYTES):
                 if size and size + part.nbytes > SLICE_BYTES:
-                    yield one_slice(held, frozen, hasher)
+                    yield one_slice(held, hasher)
                     held, size = [], 0
                 held.append(part)
                 size += pc.sum(pc.binary_length(part.column(2))).as_py() or 0
         if held:
-            yield one_slice(held, frozen, hasher)
+            yield one_slice(held, hasher)
 
-    def one_slice(parts, frozen, hasher):
-        """Score some texts, and reduce their words to indices into the distinct ones."""
+    def one_slice(parts, hasher):
+        """Some texts with their distinct windows, and their words as indices into the distinct ones."""
         ids = pa.concat_arrays([p.column(0) for p in parts])
         out_of_training = pa.concat_arrays([p.column(1) for p in parts])
         texts = [t for p in parts for t in _texts(p.column(2))]
         n = len(texts)
-        bits, hashes, owners = np.zeros(n), [], []
-        for packed, owner in mixing.windows(texts, CHUNK):
-            values, index = mixing.distinct(packed)
-            bits += np.bincount(owner, frozen.bits(values)[index], n)
+        hashes, owners = [], []
+        asked = _slice_windows(texts)
+        order, dealt = _dealt(asked)
+        asked = asked[order]
         for a, b in _chunks(texts, CHUNK):
             h, owner = hasher.hashes(texts[a:b])
             hashes.append(h), owners.append(owner + a)
@@ -273,23 +344,53 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
             return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
         return pa.RecordBatch.from_arrays(
             [pa.array([secrets.randbits(62)]), whole(ids), whole(out_of_training),
-             whole(pa.array([len(t) for t in texts], pa.int64())), whole(pa.array(bits)),
+             whole(pa.array([len(t) for t in texts], pa.int64())),
              whole(pa.array(np.bincount(owners, minlength=n).astype(np.int32))), pa.array([blob], pa.binary()),
-             whole(pa.array(values.view(np.int64))), whole(pa.array(counts))], names=names)
+             whole(pa.array(values.view(np.int64))), whole(pa.array(counts)),
+             pa.array([zstandard.ZstdCompressor(level=1).compress(b"".join(texts))], pa.binary()),
+             whole(pa.array([{"part": p, "n": b - a, "windows": _packed(asked[a:b], np.zeros(b - a, np.int64))}
+                             for p, a, b in dealt], pa.struct([("part", pa.int32()), ("n", pa.int32()),
+                                                               ("windows", pa.binary())])))], names=names)
+
+    def window_bits(key, left, right):
+        """The bits of the windows that slices ask for, by the counts of their part."""
+        slices, sizes = right["slice"].to_pylist(), right["n"].to_pylist()
+        if not slices:
+            return pa.table({"slice": pa.array([], pa.int64()), "part": pa.array([], pa.int32()),
+                             "bits": pa.array([], pa.binary())})
+        weights, probability_map, low = shared.value
+        high = mixing.Counts((3, 4, 5, 6))
+        held = [_unpacked(b, k) for k, b in zip(left["n"].to_pylist(), left["windows"].to_pylist(), strict=True)]
+        if held:
+            high.add(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        values, back = np.unique(np.concatenate([_unpacked(b, k)[0] for k, b in zip(
+            sizes, right["windows"].to_pylist(), strict=True)]), return_inverse=True)
+        bits = mixing.Model.frozen(weights, probability_map, [low, high]).bits(values).astype(np.float32)[back]
+        ends = np.cumsum(sizes)
+        return pa.table({
+            "slice": pa.array(slices, pa.int64()), "part": pa.array([key[0].as_py()] * len(slices), pa.int32()),
+            "bits": pa.array([zstandard.ZstdCompressor(level=1).compress(bits[e - k:e].tobytes())
+                              for e, k in zip(ends.tolist(), sizes, strict=True)], pa.binary())})
 
     slices = cut_lineage(keyed.mapInArrow(run, schema), "lmslices")
     listed = slices.select(
         "slice", F.posexplode(F.arrays_zip("distinct", "counts")).alias("pos", "w")).select(
         "slice", "pos", F.col("w.distinct").alias("word"), F.col("w.counts").alias("n"))
     counted = cut_lineage(listed.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lmwords")
-    texts = slices.drop("distinct", "counts")
+    asked = slices.select("slice", F.explode("asked").alias("a")).select("slice", "a.part", "a.n", "a.windows")
+    scored = model.windows.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(
+        window_bits, "slice long, part int, bits binary")
+    texts = slices.drop("distinct", "counts", "asked")
     words = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = texts.select(F.explode("held_out").alias("h")).where("NOT h").count()
     tokens, kinds = int(words[0]) + ends, int(words[1]) + (ends > 0)
-    back = listed.join(counted, "word").select(F.col("slice").alias("of"), "pos", "c")
+    back = listed.join(counted, "word").select(F.col("slice").alias("of"), "pos", "c", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("bits"))
+    back = back.unionByName(scored.withColumnRenamed("slice", "of"), allowMissingColumns=True)
 
     def finish(key, left, right):
         known = np.zeros(0, np.int64)
+        found = right.filter(pc.is_valid(right["part"])).sort_by("part")
+        right = right.filter(pc.is_null(right["part"]))
         if right.num_rows:
             pos = right["pos"].to_numpy()
             known = np.zeros(int(pos.max()) + 1, np.int64)
@@ -308,7 +409,8 @@ def score(docs: DataFrame, model: mixing.Model, held_out: Column, id_col: str =
         n_known = np.bincount(owner, c > 0, n).astype(np.int64) + (ends > 0)
         base = (np.bincount(owner, np.log10(c + 1.0), n) + np.log10(ends + 1.0)
                 - n_tokens * np.log10(tokens + kinds + 1.0))
-        bits, n_bytes = (left[c].combine_chunks().flatten().to_numpy() for c in ("bits", "n_bytes"))
+        n_bytes = left["n_bytes"].combine_chunks().flatten().to_numpy()
+        bits = _text_bits(left["texts"][0].as_py(), n_bytes, found["bits"].to_pylist())
         return pa.table({
             "id": ids, "held_out": left["held_out"].combine_chunks().flatten(), "n_tokens": n_tokens, "n_known": n_known,
             "train_tokens": np.full(len(sizes), tokens), "base_score": base, "score": -bits * np.log10(2.0),

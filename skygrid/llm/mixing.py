@@ -1,15 +1,14 @@
-"""A byte model by logistic mixing of hashed-context bit predictors.
+"""A byte model by logistic mixing of context bit predictors.
 
 Bytes are coded bit by bit, most significant first, along the 255 inner nodes
-of the tree of byte values.  For each order ``k`` a predictor looks the last
-``k`` bytes and the node up in a hashed table of bit counts.  Its estimate in
+of the tree of byte values.  For each order ``k`` a predictor has the exact
+counts of the bits seen at the node after the last ``k`` bytes.  Its estimate in
 the logistic domain is weighted by a gate -- the predictor's own evidence
 there, and the longest order that knows the context -- and summed; an adaptive
 probability map refines the sum by the node.  Weights and map are learned
-online, in small steps over a bounded sample of training texts, each text's own
-bits taken out of the counts first; the counts come from all training
-texts.  A trained model is frozen, so a text's probability does not depend on
-which texts were scored before it.
+online, in small steps over training windows, the bits of the texts they come
+from taken out of the counts first.  A trained model is frozen, so a text's
+probability does not depend on which texts were scored before it.
 
 A text is followed by an end symbol (byte 0) and preceded by six of them.
 """
@@ -20,13 +19,11 @@ import numpy as np
 
 ORDERS = (1, 2, 3, 4, 5, 6)
 SPAN = 7                               # bytes of the longest context and its symbol
-SLOT_BITS = (16, 18, 20, 21, 22, 23)   # size of each order's table
 BLOCK = 1 << 14                        # windows evaluated together, to stay in cache
 DELTA = 0.04
 EVIDENCE = 32
 LOG2 = np.log(2.0)
 _M = np.uint64(0x9E3779B97F4A7C15)
-_NODE = np.uint64(0xD6E8FEB86659FD93)
 _LIMIT = 9.0
 _BUCKETS = 33
 _NUMBER = np.arange(1, len(ORDERS) + 1, dtype=np.int32)[:, None]
@@ -110,40 +107,78 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((values[kept], more)), index
 
 
-def contexts(packed: np.ndarray) -> list[np.ndarray]:
-    """The hash of each order's context of a window."""
-    out = []
-    for k in ORDERS:
-        last = (packed >> np.uint64(8)) & np.uint64((1 << 8 * k) - 1)
-        h = (last + np.uint64(k)) * _M
-        out.append((h ^ (h >> np.uint64(29))) * _NODE)
-    return out
+class Counts:
+    """Exact counts of the symbols after each context, for some orders.
 
+    Per order, the sorted distinct window ends (context and symbol) and the
+    running sums of their counts: a context's symbols, and those below a node
+    of the tree, are neighbours there.
+    """
 
-def _slot(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    """The table slot of a context at a node; ``node`` as :func:`_spread` gives it."""
-    return ((context + node) * _NODE) >> np.uint64(64 - bits)
+    def __init__(self, orders=ORDERS):
+        self.orders = orders
+        self.keys = {k: np.zeros(0, np.uint64) for k in orders}
+        self.sums = {k: np.zeros(1, np.int64) for k in orders}
 
+    def add(self, packed: np.ndarray, counts: np.ndarray) -> None:
+        """Add windows seen ``counts`` times."""
+        if not len(packed):
+            return
+        for k in self.orders:
+            keys = np.concatenate((self.keys[k], _end(packed, k)))
+            n = np.concatenate((np.diff(self.sums[k]), counts.astype(np.int64)))
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+            self.keys[k] = keys[first]
+            self.sums[k] = np.concatenate(([0], np.cumsum(np.add.reduceat(n[order], first))))
+
+    def bits(self, k: int, ends: np.ndarray) -> np.ndarray:
+        """``(2, 8, windows)``: zeros and ones at each node on the way to the symbols, after the last ``k`` bytes."""
+        symbol = ends & np.uint64(255)
+        base = ends - symbol
+
+        def below(at):
+            return self.sums[k][np.searchsorted(self.keys[k], at)]
+        out = np.empty((2, 8, len(ends)), np.int64)
+        low, high = below(base), below(base + np.uint64(256))
+        for depth in range(8):
+            start = base + ((symbol >> np.uint64(8 - depth)) << np.uint64(8 - depth))
+            middle = below(start + np.uint64(128 >> depth))
+            out[0, depth], out[1, depth] = middle - low, high - middle
+            one = ((symbol >> np.uint64(7 - depth)) & np.uint64(1)).astype(bool)
+            low, high = np.where(one, middle, low), np.where(one, high, middle)
+        return out
 
-def _spread(node: np.ndarray) -> np.ndarray:
-    return node.astype(np.uint64) * _M
 
+def _end(packed: np.ndarray, k: int) -> np.ndarray:
+    """The last ``k`` bytes before the symbol, and the symbol."""
+    return packed & np.uint64((1 << 8 * (k + 1)) - 1)
 
-def empty_counts() -> list[np.ndarray]:
-    """Per order, a table of (zeros, ones) by slot."""
-    return [np.zeros((1 << b, 2), np.float32) for b in SLOT_BITS]
 
+def empty_counts() -> Counts:
+    return Counts()
 
-def add_counts(tables: list[np.ndarray], packed: np.ndarray, counts: np.ndarray) -> None:
-    """Add the bits of windows seen ``counts`` times to the tables."""
-    symbol = (packed & np.uint64(255)).astype(np.int64)
-    counts = counts.astype(np.float32)
-    nodes = [_spread((symbol | 256) >> (8 - depth)) for depth in range(8)]
-    bits = [((symbol >> (7 - depth)) & 1).astype(np.uint64) for depth in range(8)]
-    for k, (context, size) in enumerate(zip(contexts(packed), SLOT_BITS, strict=True)):
-        flat = tables[k].ravel()
-        for depth in range(8):
-            np.add.at(flat, (_slot(context, nodes[depth], size) << np.uint64(1)) | bits[depth], counts)
+
+def add_counts(counts: Counts, packed: np.ndarray, n: np.ndarray) -> None:
+    """Add windows seen ``n`` times to the counts."""
+    counts.add(packed, n)
+
+
+def gather(packed: np.ndarray, counts: list[Counts], without: tuple[Counts, ...] = ()):
+    """``(symbols, estimates, evidence)`` of windows, from counts that have each order once."""
+    st = np.empty((len(ORDERS), 8, len(packed)), np.float32)
+    evidence = np.empty((len(ORDERS), 8, len(packed)), np.uint8)
+    for held in counts:
+        for k in held.orders:
+            ends, back = np.unique(_end(packed, k), return_inverse=True)
+            n = held.bits(k, ends)
+            for other in without:
+                if k in other.orders:
+                    n -= other.bits(k, ends)
+            s, e = _estimate(n[0], n[1])
+            st[k - 1], evidence[k - 1] = s[:, back], e[:, back]
+    return (packed & np.uint64(255)).astype(np.int32), st, evidence
 
 
 def _stretch(p):
@@ -163,37 +198,19 @@ def _estimate(n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Frozen tables, gate weights and probability map."""
+    """Gate weights and probability map, beside the counts where one process holds them."""
 
-    def __init__(self, counts: list[np.ndarray] | None = None):
+    def __init__(self, counts: Counts | None = None):
         self.weights = np.full((len(ORDERS), EVIDENCE, len(ORDERS) + 1), 0.25, np.float32)
         centres = np.linspace(-_LIMIT, _LIMIT, _BUCKETS, dtype=np.float32)
         self.map = np.tile(_squash(centres), (256, 1)).astype(np.float32)
-        self.tables = []
-        if counts:
-            self.freeze(list(counts))
-
-    def freeze(self, counts: list[np.ndarray]) -> None:
-        """Turn the counts into the tables that scoring reads; empties the list on the way.
-
-        An entry: the estimate * 3000, whether the slot was ever seen, and the
-        first of the weight cells of its evidence class.
-        """
-        self.tables = []
-        for k in range(len(ORDERS)):
-            table = counts.pop(0)
-            out = np.zeros(len(table), np.int32)
-            for at in range(0, len(table), 1 << 18):
-                st, evidence = _estimate(table[at:at + (1 << 18), 0], table[at:at + (1 << 18), 1])
-                cell = (k * EVIDENCE + evidence) * (len(ORDERS) + 1)
-                out[at:at + (1 << 18)] = ((st * 3000).astype(np.int32) << 12) | ((evidence > 0) << 11) | cell
-            self.tables.append(out)
+        self.counts = [counts] if counts else []
 
     @classmethod
-    def frozen(cls, tables, weights, probability_map) -> Model:
+    def frozen(cls, weights, probability_map, counts: list[Counts]) -> Model:
         """A model for scoring, from the parts of a trained one."""
         model = cls.__new__(cls)
-        model.tables, model.weights, model.map = tables, weights, probability_map
+        model.weights, model.map, model.counts = weights, probability_map, counts
         return model
 
     def _mix(self, estimates: np.ndarray, seen: np.ndarray, cells: np.ndarray):
@@ -217,70 +234,50 @@ class Model:
                               or [np.zeros(0)])
 
     def _bits(self, packed: np.ndarray) -> np.ndarray:
-        symbol = (packed & np.uint64(255)).astype(np.int32)
-        hashed = contexts(packed)
+        symbol, estimates, evidence = gather(packed, self.counts)
         probability = np.ones(len(packed))
-        found = np.empty((len(ORDERS), len(packed)), np.int32)
         for depth in range(8):
             node = (symbol | 256) >> (8 - depth)
-            spread = _spread(node)
-            for k, size in enumerate(SLOT_BITS):
-                found[k] = self.tables[k][_slot(hashed[k], spread, size)]
-            total, _ = self._mix((found >> 12).astype(np.float32) * np.float32(1 / 3000), (found >> 11) & 1,
-                                 found & 2047)
+            classes = evidence[:, depth].astype(np.int32)
+            total, _ = self._mix(estimates[:, depth], classes > 0, (_FIRST_CELL + classes) * (len(ORDERS) + 1))
             refined, _, _ = self._refine(total, node)
             p1 = np.clip(0.5 * (_squash(total) + refined), 1e-5, 1 - 1e-5)
             probability *= np.where((symbol >> (7 - depth)) & 1, p1, 1 - p1)
         return -np.log2(probability)
 
-    def learn(self, texts: list[np.ndarray], counts: list[np.ndarray], per_text: int = 1500, step: int = 2048, rate: float = 0.8, seed: int = 1) -> None:
-        """Online steps over windows of training texts (all windows of a text in one array).
-
-        A text's own bits are taken out of the counts first, all of them, so
-        that evidence is weighed as it will stand for a text never seen.
-        """
+    def learn(self, texts: list[np.ndarray], counts: Counts, per_text: int | None = None, seed: int = 1) -> None:
+        """Steps over windows of training texts (all windows of a text in one array), each text's own bits left out."""
         rng = np.random.default_rng(seed)
-        parts = [_without_itself(w, np.sort(rng.permutation(len(w))[:per_text]), counts)
-                 for w in texts if len(w)]
-        if not parts:
-            return
-        symbol, estimates, evidence = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-        order = rng.permutation(len(symbol))
-        flat, steps = self.weights.ravel(), max(1, len(symbol) // step)
-        for done, at in enumerate(range(0, len(symbol), step)):
-            pick = order[at:at + step]
-            lr = rate * (0.1 + 0.9 * (1 - done / steps))
-            for depth in range(8):
-                node = (symbol[pick] | 256) >> (8 - depth)
-                bit = (symbol[pick] >> (7 - depth)) & 1
-                st = estimates[:, depth, pick].astype(np.float32)
-                classes = evidence[:, depth, pick].astype(np.int32)
-                total, cells = self._mix(st, classes > 0, (_FIRST_CELL + classes) * (len(ORDERS) + 1))
-                error = bit - _squash(total)
-                gradient = np.bincount(cells.ravel(), (error * st).ravel(), len(flat))
-                weight = np.bincount(cells.ravel(), minlength=len(flat))
-                flat += (lr * 0.025 * gradient / (weight + 8.0) * np.minimum(weight, 8)).astype(np.float32)
-                refined, low, part = self._refine(total, node)
-                m = self.map.ravel()
-                for cell, share in ((low, 1 - part), (low + 1, part)):
-                    n = np.bincount(cell, share, len(m))
-                    hit = np.bincount(cell, share * bit, len(m))
-                    m += ((hit - n * m) * (0.02 / (1 + 0.02 * n))).astype(np.float32)
-
-
-def _without_itself(windows: np.ndarray, pick: np.ndarray, counts: list[np.ndarray]):
-    """``(symbols, estimates, evidence)`` of some windows of a text, its own counts left out."""
-    symbol = (windows & np.uint64(255)).astype(np.int64)
-    bits = np.concatenate([(symbol >> (7 - depth)) & 1 for depth in range(8)])
-    st = np.zeros((len(ORDERS), 8, len(pick)), np.float16)
-    evidence = np.zeros((len(ORDERS), 8, len(pick)), np.uint8)
-    places = np.arange(8)[:, None] * len(windows) + pick
-    for k, context in enumerate(contexts(windows)):
-        slots = np.concatenate([_slot(context, _spread((symbol | 256) >> (8 - depth)), SLOT_BITS[k])
-                                for depth in range(8)])
-        distinct_slots, back = np.unique(slots, return_inverse=True)
-        n1 = counts[k][distinct_slots, 1] - np.bincount(back, bits)
-        n0 = counts[k][distinct_slots, 0] - np.bincount(back, 1 - bits)
-        s, e = _estimate(np.maximum(n0, 0), np.maximum(n1, 0))
-        st[k], evidence[k] = s[back[places]], e[back[places]]
-    return symbol[pick], st, evidence
+        for windows_ in texts:
+            own = Counts()
+            own.add(windows_, np.ones(len(windows_), np.int64))
+            self.steps(rng.permutation(windows_)[:per_text], None, [counts], (own,))
+
+    def steps(self, packed: np.ndarray, often: np.ndarray | None, counts: list[Counts],
+              without: tuple[Counts, ...], rate: float = 0.8, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+        """Online steps over windows seen ``often`` times; returns how often each weight and map cell was met."""
+        flat, m = self.weights.ravel(), self.map.ravel()
+        met, met_map = np.zeros(len(flat)), np.zeros(len(m))
+        often = np.ones(len(packed)) if often is None else often.astype(np.float64)
+        for first in range(0, len(packed), BLOCK):
+            symbol, estimates, evidence = gather(packed[first:first + BLOCK], counts, without)
+            for at in range(0, len(symbol), step):
+                lr = rate * (0.1 + 0.9 * (1 - (first + at) / len(packed)))
+                some = slice(at, at + step)
+                n = often[first + at:first + at + len(symbol[some])]
+                for depth in range(8):
+                    node, bit = (symbol[some] | 256) >> (8 - depth), (symbol[some] >> (7 - depth)) & 1
+                    st, classes = estimates[:, depth, some], evidence[:, depth, some].astype(np.int32)
+                    total, cells = self._mix(st, classes > 0, (_FIRST_CELL + classes) * (len(ORDERS) + 1))
+                    error = (bit - _squash(total)) * n
+                    gradient = np.bincount(cells.ravel(), (error * st).ravel(), len(flat))
+                    weight = np.bincount(cells.ravel(), np.broadcast_to(n, cells.shape).ravel(), len(flat))
+                    flat += (lr * 0.025 * gradient / (weight + 8.0) * np.minimum(weight, 8)).astype(np.float32)
+                    met += weight
+                    refined, low, part = self._refine(total, node)
+                    for cell, share in ((low, (1 - part) * n), (low + 1, part * n)):
+                        seen = np.bincount(cell, share, len(m))
+                        hit = np.bincount(cell, share * bit, len(m))
+                        m += ((hit - seen * m) * (0.02 / (1 + 0.02 * seen))).astype(np.float32)
+                        met_map += seen
+        return met, met_map

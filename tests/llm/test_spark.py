@@ -267,6 +267,23 @@ def test_lm_scoring(docs, empty):
     assert lm.score(empty, lm.learn(empty), held).count() == 0
 
 
+def test_lm_learns_from_every_window_and_scores_by_exact_counts(spark):
+    rnd = np.random.default_rng(4)
+    texts = [" ".join(rnd.choice(["ab", "cd", "the", "of"], 30)) for _ in range(40)] + ["copy of it"] * 30
+    texts += ["long text " * 9000 + "with an end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.learn(df)
+    assert model.learned == sum(len(t) + 1 for t in texts)
+    counts = lm.mixing.empty_counts()
+    for t in texts:
+        for w, _ in lm.mixing.windows([t.encode()]):
+            counts.add(w, np.ones(len(w), np.int64))
+    whole = lm.mixing.Model.frozen(model.weights, model.map, [counts])
+    for r in lm.score(df, model, F.lit(False)).collect():
+        bits = sum(whole.bits(w).sum() for w, _ in lm.mixing.windows([texts[r.doc_id].encode()]))
+        assert abs(r.score + bits * np.log10(2.0)) < 1e-5 * abs(r.score)
+
+
 def test_toxicity(spark, docs, empty, monkeypatch):
     rnd = np.random.default_rng(3)
     plain = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu") for b in ("na", "ri", "so", "le")]

@@ -234,6 +234,21 @@ def test_byte_model_is_a_distribution_and_learns():
     assert seen < 2 < unseen
 
 
+def test_counts_of_contexts_are_exact():
+    rng = np.random.default_rng(12)
+    packed = np.unique(rng.integers(0, 1 << 56, 200_000).astype(np.uint64))      # far more contexts than fixed tables held
+    counts = mixing.empty_counts()
+    mixing.add_counts(counts, packed, np.full(len(packed), 1 << 24))
+    mixing.add_counts(counts, packed[:1], np.array([1]))
+    known = counts.bits(6, packed[:3])
+    assert known.max(axis=0).tolist() == [[(1 << 24) + 1, 1 << 24, 1 << 24]] * 8 and not known.min(axis=0).any()
+    unknown = np.setdiff1d(rng.integers(0, 1 << 56, 50_000).astype(np.uint64) | np.uint64(255), packed | np.uint64(255))
+    assert not counts.bits(6, unknown).any()                  # no context is taken for another
+    symbols = (packed & np.uint64(255))[(packed >> np.uint64(8)) & np.uint64(255) == 7].astype(int)
+    zeros, ones = counts.bits(1, np.array([7 << 8 | 200], np.uint64))[:, 0, 0] >> 24
+    assert (zeros, ones) == ((symbols < 128).sum(), (symbols >= 128).sum())
+
+
 def test_merged_windows():
     rng = np.random.default_rng(10)
     held = [(np.unique(rng.integers(0, 300, 200)).astype(np.uint64) << np.uint64(40),) for _ in range(3)]
