@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding by corpus-level merge replay.
+"""Byte-level BPE encoding and decoding by merge replay over each batch's distinct pieces.
 
 All distinct pieces of a batch of texts (the matches of the split pattern)
 are laid out as one sequence of byte tokens with links to their neighbours.
