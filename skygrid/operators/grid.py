@@ -11,9 +11,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.functions.cells import (
@@ -22,12 +20,10 @@ from skygrid.functions.cells import (
     stripes_of)
 from skygrid.functions.coords import log_bar
 from skygrid.operators.positions import require_positions
-from skygrid.session import cut_lineage
+from skygrid.operators.ranks import ROWS_PER_TASK, rank_rows
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
 CELL_KEYS = ("cell_i", "cell_j")
-# Rows that a task numbers at most when cells are capped.
-ROWS_PER_TASK = 2_000_000
 
 
 def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
@@ -94,50 +90,18 @@ def cell_histogram(assigned: DataFrame, keys=CELL_KEYS, name: str = "cell") -> D
     return counted.select(*keys, label.alias(name), "n_rows", log_bar("n_rows").alias("bar"))
 
 
-def rank_rows(rows: DataFrame, keys, order_col: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Adds the exact 1-based ``rank`` of each row inside its group by an integer ``order_col``.
-
-    The rows are materialised once in the shared folder.  The range of
-    ``order_col`` is cut into buckets of equal width, as many as it takes
-    until no (group, bucket) holds more than ``rows_per_task`` rows; a prefix
-    sum over the small table of their counts gives the rows before each.
-    Only then are rows shuffled, once, by (group, bucket), and numbered
-    there: a group of any size spans many tasks, and no task sorts more than
-    the bound (save for equal values of ``order_col``, which can't be cut).
-    """
-    keys, value = list(keys), F.col(order_col)
-    rows = cut_lineage(rows, "torank")
-    low, high, n = rows.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
-    low, span = (0, 0) if low is None else (int(low), int(high) - int(low))
-    buckets = 1 << max(0, math.ceil(math.log2(max(1, n) / rows_per_task)))
-    while True:
-        width = span // buckets + 1
-        exact = value if abs(low) + span < 1 << 62 else value.cast("decimal(20,0)")
-        bucket = F.coalesce(F.call_function("div", exact - F.lit(low), F.lit(width)).cast("bigint"),
-                            F.lit(-1).cast("bigint"))
-        counts = rows.groupBy(*keys, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-        if width == 1 or (counts.agg(F.max("_n")).first()[0] or 0) <= rows_per_task:
-            break
-        buckets *= 8
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order_col)
-    return (rows.withColumn("_bucket", bucket).join(offsets, [*keys, "_bucket"])
-            .withColumn("rank", F.col("_before") + F.row_number().over(inside))
-            .drop("_bucket", "_before"))
-
-
 def capacity_split(assigned: DataFrame, cap: int = DEFAULT_CELL_CAP, order_col: str = SOURCE_ID,
                    keys=CELL_KEYS, name: str = "cell", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Cap each cell at ``cap`` rows; later rows go to overflow twins.
 
-    Rows are taken in ``order_col`` order: the first ``cap`` keep the cell
-    name, the next ``cap`` get ``name + 'bis'``, then ``'bisbis'`` and so on.
-    Adds ``segment`` (0 for the original cell) and rewrites ``name``.
+    Rows are taken in ``order_col`` order, equal ones by position and then by
+    their other columns: the first ``cap`` keep the cell name, the next
+    ``cap`` get ``name + 'bis'``, then ``'bisbis'`` and so on.  Adds ``segment`` (0 for the original cell) and rewrites ``name``.
     """
     if cap < 1:
         raise ValueError("cap must be positive")
-    return (rank_rows(assigned, keys, order_col, rows_per_task)
+    order = [order_col, *[c for c in (RA, DECL) if c in assigned.columns and c != order_col]]
+    return (rank_rows(assigned, keys, order, rows_per_task)
             .withColumn("segment", F.expr(f"CAST((rank - 1) div {int(cap)} AS INT)")).drop("rank")
             .withColumn(name, F.concat(F.col(name), F.repeat(F.lit(OVERFLOW_SUFFIX), F.col("segment")))))
 

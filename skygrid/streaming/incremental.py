@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skygrid.functions.cells import DEFAULT_HALO, Grid
 from skygrid.functions.coords import NULL_TOKEN, unwrap_ra, wrap_ra
-from skygrid.operators.grid import assign_exclusive, assign_overlap, outside_overlap, rank_rows
+from skygrid.operators.grid import assign_exclusive, assign_overlap, outside_overlap
+from skygrid.operators.ranks import rank_rows
 from skygrid.sources.catalogue import DELIMITER, parsed_positions, text_positions
 from skygrid.sources.schema import DECL, RA, SOURCE_ID, SOURCE_SCHEMA
 
@@ -120,7 +121,7 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
             assigned = assigned_stream(batch, grid, overlap=True, halo=halo).select(
                 SOURCE_ID, RA, DECL, "cell_i", "cell_j")
             batch_counts = assigned.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("_new"))
-            ranked = rank_rows(assigned, ["cell_i", "cell_j"], SOURCE_ID).join(
+            ranked = rank_rows(assigned, ["cell_i", "cell_j"], [SOURCE_ID, RA, DECL]).join(
                 prev.withColumnRenamed("n_rows", "_before"), ["cell_i", "cell_j"], "left")
             rows = (ranked.withColumn("_rank", F.coalesce(F.col("_before"), F.lit(0)) + F.col("rank"))
                     .withColumn("segment", F.expr(f"CAST((_rank - 1) div {int(cap)} AS INT)"))

@@ -10,7 +10,8 @@ from skygrid.functions.cells import Grid, Zone, grid_side, make_grid
 from skygrid.functions.coords import log_bar, unwrap_ra, wrap_ra
 from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes,
-                                    capacity_split, cell_histogram, grid_cells, rank_rows)
+                                    capacity_split, cell_histogram, grid_cells)
+from skygrid.operators.ranks import rank_rows
 from skygrid.operators.summary import zone_of
 from skygrid.plans import jobs
 
@@ -117,18 +118,62 @@ def test_capacity_split_matches_row_number(spark, parts, per_task):
             assert got[(k, i, j)] == (seg, f"{i}.{j}" + "bis" * seg)
 
 
-def test_rank_of_a_hot_group_is_cut_into_bounded_tasks(spark):
-    # Ids far apart but for a dense run: equal-width buckets must be refined.
-    ids = list(range(0, 10**12, 10**9)) + list(range(7, 4007))
-    df = spark.createDataFrame([(k, 1) for k in ids], "k long, g int")
-    ranked = {r.k: r["rank"] for r in rank_rows(df, ["g"], "k", rows_per_task=300).collect()}
-    assert ranked == {k: n + 1 for n, k in enumerate(sorted(set(ids)))}
+def _evaluations(spark, rows, column):
+    """``rows`` with a counter of how often the column was evaluated."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(v):
+        seen.add(1)
+        return v
+    return rows.withColumn(column, counted.asNondeterministic()(F.col(column))), seen
 
 
-def test_rank_of_extreme_ids(spark):
-    ids = [-(2**63), -5, 0, 3, 2**63 - 1]
-    df = spark.createDataFrame([(k, 1) for k in ids], "k long, g int")
-    assert [r["rank"] for r in rank_rows(df, ["g"], "k", rows_per_task=1).orderBy("k").collect()] == [1, 2, 3, 4, 5]
+@pytest.mark.parametrize("ids", [list(range(0, 10**12, 10**9)) + list(range(7, 4007)),
+                                 [*range(5000), 2**61], [-(2**63), -5, 0, 3, 2**63 - 1]])
+def test_ranks_are_exact_in_few_passes_whatever_the_ids(spark, ids):
+    """Dense runs, far outliers, the ends of the type; every row is evaluated for the sample and the shuffle only."""
+    df, seen = _evaluations(spark, spark.createDataFrame([(k, 1) for k in ids], "k long, g int"), "k")
+    ranked = {r.k: r["rank"] for r in rank_rows(df, ["g"], "k", rows_per_task=300).collect()}
+    assert ranked == {k: n + 1 for n, k in enumerate(sorted(set(ids)))}
+    assert seen.value <= 2 * len(ids)
+
+
+def test_ranks_of_a_hot_group_span_many_tasks(spark):
+    df = spark.range(0, 20000, 1, 3).select(F.lit(1).alias("g"), F.lit(7).alias("k"), F.lit("x").alias("same"))
+    out = rank_rows(df, ["g"], "k", rows_per_task=1000)
+    assert sorted(r["rank"] for r in out.collect()) == list(range(1, 20001))
+    import glob
+    import re
+    scan = re.search(r"(/[^\s,\]]*skygrid-ranked-\w+)", out._jdf.queryExecution().optimizedPlan().toString()
+                     + " ".join(out.inputFiles())).group(1)
+    sizes = [spark.read.parquet(f).count() for f in glob.glob(f"{scan}/*.parquet")]
+    assert len(sizes) >= 15 and max(sizes) < 4000, sizes
+
+
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_ranks_of_ties_do_not_depend_on_the_partitioning(spark, parts):
+    rows = [(1, 4, 2.0, 1.0, "a"), (1, 4, 1.0, 2.0, "b"), (1, 4, 1.0, 1.0, "c"), (1, 4, 1.0, 1.0, "d"),
+            (1, 4, 3.0, 0.0, "e"), (1, 4, 3.0, 0.0, "e"), (None, 4, 0.0, 0.0, "f"), (1, None, 9.0, 9.0, "g")] * 3
+    schema = "cell_i int, sourceId long, ra double, decl double, t string"
+    want = sorted(map(tuple, rank_rows(spark.createDataFrame(rows, schema).coalesce(1), ["cell_i"],
+                                       ["sourceId", "ra", "decl"]).collect()), key=repr)
+    df = spark.createDataFrame(rows[::-1], schema).repartition(parts)
+    got = sorted(map(tuple, rank_rows(df, ["cell_i"], ["sourceId", "ra", "decl"], rows_per_task=2).collect()), key=repr)
+    assert got == want
+    ranks = [r[-1] for r in got if r[0] == 1]
+    assert sorted(ranks) == list(range(1, 22))
+    capped = [sorted(map(tuple, capacity_split(d.withColumn("cell_j", F.lit(0)).withColumn("cell", F.lit("1.0")), cap=2)
+                         .collect()), key=repr) for d in (df, spark.createDataFrame(rows, schema).coalesce(1))]
+    assert capped[0] == capped[1]
+
+
+def test_ranks_keep_columns_of_any_name(spark):
+    names = ["row", "tie", "nth", "at", "part", "inside", "key0", "of", "of_key0", "shift", "first", "n"]
+    df = spark.range(5).select("id", *[F.lit(c).alias(c) for c in names])
+    out = rank_rows(df, ["row"], "id").orderBy("id").collect()
+    assert [r["rank"] for r in out] == [1, 2, 3, 4, 5] and all(out[0][c] == c for c in names)
+    assert rank_rows(df.limit(0), ["row"], "id").count() == 0
 
 
 def test_stripe_goldens(spark, sources):

@@ -29,12 +29,12 @@ def _check(plan: str) -> None:
 def test_plan_properties(spark, monkeypatch, name):
     """The plan as it ran, and the plans of the tables written while the query is built."""
     import skygrid.session as session
-    from skygrid.operators import adaptive, grid, neighbours
+    from skygrid.operators import adaptive, neighbours, ranks
 
     def watched(df, *args, **kwargs):
         _check(df._jdf.queryExecution().executedPlan().toString())
         return session.cut_lineage(df, *args, **kwargs)
-    for module in (adaptive, grid, neighbours):
+    for module in (adaptive, neighbours, ranks):
         monkeypatch.setattr(module, "cut_lineage", watched)
     df = E.core_queries()[name](spark, SF_SMALL)
     df.collect()
