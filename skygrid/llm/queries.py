@@ -10,7 +10,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm import bpe, chat, decontam, embedding_dedup, langid, lm, pii, simhash, token_counts, toxicity
+from skygrid.llm import (bpe, centroids, chat, decontam, embedding_dedup, exact_dedup, langid, lm, merkle, pii,
+                         simhash, token_counts, toxicity)
 from skygrid.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -75,6 +76,26 @@ def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_centroid_clustering(spark, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(*fields)
+    columns = [F.col(c) for c in fields]
+    tampered = merkle.leaf_digest([*columns[:-1], F.replace(F.col("text"), F.lit("\n"), F.lit(""))])
+    leaf = merkle.leaf_digest(columns)
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"),
+                         F.when(fold("doc_id", 2) == 0, tampered).otherwise(leaf).alias("presented"))
+    proved = merkle.prove(leaves, keep=["presented"])
+    return merkle.folded(proved, "presented", ["doc_id", "leaf", "subroot", "root"])
+
+
+def op13_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    return exact_dedup.equal_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_embedding_dedup": op1_embedding_dedup,
@@ -87,10 +108,87 @@ def queries() -> dict:
         "op8_pii_surrogates": op8_pii_surrogates,
         "op9_chat_format": op9_chat_format,
         "op10_decontamination": op10_decontamination,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_exact_dedup": op13_exact_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
 
+def _clustering_sql() -> str:
+    """Ten rounds of plain k-means: every vector against every centroid."""
+    parts = ["""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, q FROM v
+  ORDER BY sha256('3:' || vec_id) LIMIT 8)"""]
+    for r in range(11):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, q, k, d FROM (
+  SELECT vec_id, v.q, k, d, row_number() OVER (PARTITION BY vec_id ORDER BY d, k) AS place FROM (
+    SELECT v.vec_id, v.q, c.k, CAST(list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM v, c{r} c) v) WHERE place = 1)""")
+        if r < 10:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN (
+  SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS q FROM (
+    SELECT k, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+      SELECT k, unnest(q) AS x, unnest(range(64)) AS pos FROM a{r}) GROUP BY k, pos) GROUP BY k) m ON c.k = m.k)""")
+    return "WITH " + ",\n".join(parts) + """
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.q, ',')) AS centroid_sha256 FROM a10 a JOIN c10 c ON a.k = c.k"""
+
+
+def _manifest_sql(levels: int = 12) -> str:
+    """The tree level by level, every proof from the nodes of all levels; for up to 3^levels rows or sources."""
+    def part(column: str) -> str:
+        text = f"CAST({column} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    def tree(name: str, lowest: str) -> list[str]:
+        """``{name}(grp, lvl, i, d)``: the nodes of all levels below the top, and the top itself."""
+        out = [f"{name}0 AS MATERIALIZED ({lowest})"]
+        out += [f"""{name}{k + 1} AS MATERIALIZED (SELECT grp, i // 3 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d
+  FROM {name}{k} WHERE grp IN (SELECT grp FROM {name}{k} GROUP BY grp HAVING count(*) > 1) GROUP BY grp, i // 3)"""
+                for k in range(levels)]
+        every = " UNION ALL ".join(f"SELECT grp, {k} AS lvl, i, d FROM {name}{k}" for k in range(levels + 1))
+        return [*out, f"{name} AS MATERIALIZED ({every})",
+                f"{name}_top AS MATERIALIZED (SELECT grp, max(lvl) AS height, arg_max(d, lvl) AS d FROM {name} GROUP BY grp)"]
+
+    def steps(name: str) -> str:
+        """For every lowest node and level: the digests left and right of its path."""
+        power = "CAST(pow(3, l.lvl) AS BIGINT)"
+        return f"""{name}_s AS MATERIALIZED (SELECT b.grp, b.i, l.lvl,
+    coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i < b.i // {power}), '') AS lft,
+    coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i > b.i // {power}), '') AS rgt
+  FROM {name}0 b JOIN {name}_top t ON t.grp = b.grp CROSS JOIN (SELECT unnest(range({levels})) AS lvl) l
+  JOIN {name} s ON s.grp = b.grp AND s.lvl = l.lvl AND s.i // 3 = b.i // ({power} * 3)
+  WHERE l.lvl < t.height GROUP BY b.grp, b.i, l.lvl)"""
+    crc = """list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+    first = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    plain, cut = part("text"), part("replace(text, chr(10), '')")
+    chain = ["f0 AS (SELECT l.doc_id, n0.grp, n0.i AS pos, g, presented AS d FROM l JOIN n0 ON n0.doc_id = l.doc_id JOIN gr ON gr.grp_name = n0.grp)"]
+    for k in range(2 * levels):
+        tree_name, lvl, keys = ("n", k, "s.grp = f.grp AND s.i = f.pos") if k < levels else ("m", k - levels, "s.i = f.g")
+        chain.append(f"""f{k + 1} AS MATERIALIZED (SELECT f.doc_id, f.grp, f.pos, f.g,
+  CASE WHEN s.lvl IS NULL THEN f.d ELSE sha256(s.lft || f.d || s.rgt) END AS d
+  FROM f{k} f LEFT JOIN {tree_name}_s s ON {keys} AND s.lvl = {lvl})""")
+    parts = [f"""l AS MATERIALIZED (SELECT doc_id, source, sha256({first} || {plain}) AS leaf,
+  CASE WHEN {crc} & 1 = 1 THEN sha256({first} || {cut}) ELSE sha256({first} || {plain}) END AS presented FROM documents)""",
+             *tree("n", """SELECT doc_id, coalesce('=' || source, '-') AS grp, leaf AS d,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i FROM l""")]
+    parts += [*tree("m", "SELECT '' AS grp, grp AS grp_name, row_number() OVER (ORDER BY encode(grp)) - 1 AS i, d FROM n_top"),
+              "gr AS MATERIALIZED (SELECT grp_name, i AS g FROM m0)", steps("n"), steps("m"), *chain,
+              """p AS MATERIALIZED (SELECT grp, i, string_agg(lft || rgt, '' ORDER BY lvl) AS p FROM n_s GROUP BY grp, i),
+q AS MATERIALIZED (SELECT i, string_agg(lft || rgt, '' ORDER BY lvl) AS q FROM m_s GROUP BY i)"""]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT l.doc_id, l.leaf, t.d AS subroot, r.d AS root, sha256(coalesce(p, '') || coalesce(q, '')) AS proof_sha256,
+       f.d AS folded_root, f.d = r.d AS verified
+FROM f{2 * levels} f JOIN l ON l.doc_id = f.doc_id JOIN n_top t ON t.grp = f.grp CROSS JOIN m_top r
+LEFT JOIN p ON p.grp = f.grp AND p.i = f.pos LEFT JOIN q ON q.i = f.g"""
+
+
 def oracle_sql() -> dict[str, str]:
     shingles = """list_distinct(CASE WHEN len({w}) = 0 THEN [] WHEN len({w}) < 5 THEN [array_to_string({w}, ' ')]
        ELSE list_transform(range(1, len({w}) - 3), lambda i: array_to_string(list_slice({w}, i, i + 4), ' ')) END)"""
@@ -132,4 +230,11 @@ ds AS (SELECT DISTINCT doc_id, k, s FROM (
 SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found,
        CAST(count(*) AS DOUBLE) / CAST(n AS DOUBLE) AS containment
 FROM ds JOIN need USING (s, k) GROUP BY doc_id, item_id, text, n HAVING 5 * count(*) >= 4 * n""",
+        "op11_centroid_clustering": _clustering_sql(),
+        "op12_merkle_manifest": _manifest_sql(),
+        "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     }
