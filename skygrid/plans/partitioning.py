@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, MAX_MIN_CELLS, Grid, make_grid
 from skygrid.functions.coords import log_bar, unwrap_ra
-from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
+from skygrid.operators.adaptive import LEAF_KEYS, adaptive_split, leaf_table
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes, capacity_split,
                                     cell_histogram, grid_cells)
 from skygrid.operators.summary import zone_of
@@ -75,7 +75,7 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str, mod
             keys = ("cell_i", "cell_j", "segment")
             rows = capacity_split(assign_overlap(pts, grid, halo), cap)
         else:
-            keys = ("level", "leaf_i", "leaf_j")
+            keys = LEAF_KEYS
             rows = adaptive_split(pts, grid, cap).drop("leaf")
         ra = RA if mode == "exclusive" else unwrap_ra(RA).alias(RA)
         rows = rows.select(SOURCE_ID, ra, DECL, *keys)
@@ -96,6 +96,8 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str, mod
     else:
         histogram = (written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
                      .withColumn("bar", log_bar("n_rows")))
-        regions = histogram.drop("bar") if mode == "stripe" else adaptive_leaves(pts, grid, cap)
+        regions = histogram.drop("bar")
+        if mode == "adaptive":
+            regions = leaf_table(regions, grid, cap)
     regions.write.mode("errorifexists").json(grid_path)
     return PartitionResult(grid, data_path, grid_path, histogram, rejects_path, n_rejects)

@@ -186,6 +186,55 @@ def test_stripe_goldens(spark, sources):
     assert sorted(tuple(r) for r in assign_stripes(sources.select("ra")).groupBy("stripe").count().collect()) == [(40, 56)]
 
 
+def _recursive_leaves(points, n, zone, cap):
+    """Each point's leaf by plain recursion: coarsest node within the cap, of one position, or at the last level."""
+    x0, x1, y0, y1 = zone
+    top = (n << 30) - 1
+    fine = {k: (min(top, max(0, int((x - x0) // ((x1 - x0) / (n << 30))))),
+                min(top, max(0, int((y - y0) // ((y1 - y0) / (n << 30)))))) for k, x, y in points}
+    at, leaves = {k: (x, y) for k, x, y in points}, {}
+
+    def divide(level, ids):
+        nodes = {}
+        for k in ids:
+            nodes.setdefault((fine[k][0] >> 30 - level, fine[k][1] >> 30 - level), []).append(k)
+        for (i, j), own in nodes.items():
+            if len(own) <= cap or level == 30 or len({at[k] for k in own}) == 1:
+                leaves.update({k: (level, i, j) for k in own})
+            else:
+                divide(level + 1, own)
+    divide(0, list(at))
+    return leaves
+
+
+@pytest.mark.parametrize("cap", [1, 2, 7, 60])
+def test_adaptive_split_equals_recursion_at_every_depth(spark, cap):
+    rnd = random.Random(cap)
+    pts = [(rnd.uniform(0, 1), rnd.uniform(0, 1)) for _ in range(150)]
+    pts += [(2.0 ** -k, 2.0 ** -(k + 1)) for k in range(40)]                # one step deeper each: 30 levels of skew
+    pts += [(2.0 ** -33, 0.0)] * 5 + [(2.0 ** -34, 0.0)] * 5                # apart, but not at the last level
+    pts += [(0.7, 0.7)] * 90 + [(0.7 + 1e-7, 0.7)] * 30                     # heavy single positions, side by side
+    pts += [(0.0, 0.0), (1.0, 1.0)]
+    rows = [(k, x, y) for k, (x, y) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "sourceId long, ra double, decl double").repartition(4)
+    g = make_grid(Zone(0.0, 1.0, 0.0, 1.0), 4)
+    split, seen = _evaluations(spark, df, "sourceId")
+    got = {r.sourceId: (r.level, r.leaf_i, r.leaf_j) for r in adaptive_split(split, g, cap, rows_per_task=50).collect()}
+    assert got == _recursive_leaves(rows, 2, (0.0, 1.0, 0.0, 1.0), cap)
+    assert max(lv for lv, _, _ in got.values()) == (30 if cap < 60 else max(lv for lv, _, _ in got.values()))
+    assert seen.value <= 2 * len(rows)          # the sample and the shuffle, whatever the depth
+
+
+def test_zorder_codes(spark):
+    from skygrid.operators.adaptive import common_level, zorder
+    pairs = [(0, 0), (1, 0), (0, 1), (2**30 - 1, 0), (0, 2**30 - 1), (2**30 - 1, 2**30 - 1), (123456789, 987654321)]
+    df = spark.createDataFrame(pairs, "i long, j long")
+    got = [r.z for r in df.select(zorder(F.col("i"), F.col("j")).alias("z")).collect()]
+    assert got == [sum((i >> k & 1) << 2 * k + 1 | (j >> k & 1) << 2 * k for k in range(30)) for i, j in pairs]
+    codes = spark.createDataFrame([(0, 0), (0, 1), (0, 3), (0, 4), (0, 2**59), (0, 2**60 - 1)], "a long, b long")
+    assert [r.v for r in codes.select(common_level(F.col("a"), F.col("b")).alias("v")).collect()] == [30, 29, 29, 28, 0, 0]
+
+
 def test_adaptive_split_invariants(spark):
     rnd = random.Random(3)
     rows = [(k, rnd.gauss(0, 0.3), rnd.gauss(0, 1.0)) for k in range(3000)]
