@@ -26,6 +26,7 @@ from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histog
 from skygrid.plans import jobs
 from skygrid.plans.text import document_lines
 from skygrid.session import fresh_dir
+from skygrid.operators.regions import region_pairs, write_regions
 from skygrid.sources.catalogue import (read_checked_sources, read_lines, read_sources, sky, source_lines, table,
                                        write_source_files)
 from skygrid.sources.sinks import (input_size, min_cells_for_input, min_cells_from_size, read_by_cell,
@@ -84,10 +85,10 @@ def _sink_by_cell(spark, d):
                  F.max(DECL).alias("max_decl")))
 
 
-def _written_back(spark, rows, keys):
+def _written_back(spark, rows, keys, within=()):
     path = fresh_dir(spark, "regions")
-    write_by_cell(rows, path, keys=keys)
-    return (read_by_cell(spark, path, keys=keys).groupBy(*keys)
+    write_by_cell(rows, path, keys=keys, within=within, arranged=bool(within))
+    return (read_by_cell(spark, path, keys=keys).groupBy(*keys, *within)
             .agg(F.count(F.lit(1)).alias("n_rows"), F.min(SOURCE_ID).alias("min_source_id"),
                  F.max(SOURCE_ID).alias("max_source_id"), F.min(RA).alias("min_ra"), F.max(DECL).alias("max_decl")))
 
@@ -97,9 +98,15 @@ def _sink_by_stripe(spark, d):
 
 
 def _sink_by_capped_cell(spark, d):
-    keys = ("cell_i", "cell_j", "segment")
-    rows = jobs.capped_overlap(sky(spark, d), CAP).select(SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, *keys)
-    return _written_back(spark, rows, keys)
+    rows = jobs.capped_overlap(sky(spark, d), CAP).select(
+        SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment")
+    return _written_back(spark, rows, ("cell_i", "cell_j"), within=("segment",))
+
+
+def _region_pairs(spark, d):
+    """Pairs from regions that were written, joined bucket by bucket."""
+    pts, grid = jobs.overlap_grid(sky(spark, d))
+    return region_pairs(spark, write_regions(pts, grid, fresh_dir(spark, "regions")), EPS)
 
 
 def _source_rejects(spark, d):
@@ -180,6 +187,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_rejects": _source_rejects,
         "extent_records": _extent_records,
         "neighbour_pairs": lambda s, d: jobs.pairs_planar(sky(s, d), EPS),
+        "region_pairs": _region_pairs,
         "neighbour_pairs_sphere": lambda s, d: jobs.pairs_sphere(sky(s, d), EPS),
         "grid_metadata": lambda s, d: jobs.grid_metadata(sky(s, d), CAP),
         "min_cells": _min_cells,
@@ -307,6 +315,16 @@ def _catalogue_bytes() -> str:
          || repeat(',NULL', 97) AS line FROM sky) s)"""
 
 
+def _pairs(eps: str) -> str:
+    """All pairs closer than eps, by Decl zones."""
+    return f"""WITH {_SKY}, {_WRAPPED},
+b AS (SELECT *, CAST(floor(decl / {eps}) AS BIGINT) AS zb FROM wrapped)
+SELECT p."sourceId" AS id_a, q."sourceId" AS id_b,
+       sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) AS separation
+FROM b p JOIN b q ON q.zb BETWEEN p.zb - 1 AND p.zb + 1 AND p."sourceId" < q."sourceId"
+WHERE sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) < {eps}"""
+
+
 def core_oracle_sql() -> dict[str, str]:
     n = f"CAST({_N} AS DOUBLE)"
     hist = """SELECT cell_i, cell_j, CAST(cell_i AS VARCHAR) || '.' || CAST(cell_j AS VARCHAR) AS cell,
@@ -385,12 +403,8 @@ SELECT CAST("objectId" AS VARCHAR) || ',' || CAST(n AS VARCHAR) || ',' || last_s
         "sink_by_cell": f"""WITH {_SKY}, {_zone('sky')}, {_excl('sky')}
 SELECT cell_i, cell_j, count(*) AS n_rows, min("sourceId") AS min_source_id, max("sourceId") AS max_source_id,
        min(ra) AS min_ra, max(decl) AS max_decl FROM excl GROUP BY cell_i, cell_j""",
-        "neighbour_pairs": f"""WITH {_SKY}, {_WRAPPED},
-b AS (SELECT *, CAST(floor(decl / {eps}) AS BIGINT) AS zb FROM wrapped)
-SELECT p."sourceId" AS id_a, q."sourceId" AS id_b,
-       sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) AS separation
-FROM b p JOIN b q ON q.zb BETWEEN p.zb - 1 AND p.zb + 1 AND p."sourceId" < q."sourceId"
-WHERE sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) < {eps}""",
+        "neighbour_pairs": _pairs(eps),
+        "region_pairs": _pairs(eps),
         "neighbour_pairs_sphere": f"""WITH {_SKY},
 b AS (SELECT *, CAST(floor(decl / {eps}) AS BIGINT) AS zb FROM sky)
 SELECT p."sourceId" AS id_a, q."sourceId" AS id_b

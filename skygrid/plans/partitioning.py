@@ -3,8 +3,8 @@
 ``run_partitioning`` scans a Source catalogue, derives the grid from the
 bounding box, assigns every observation by the chosen scheme -- exclusive
 grid, overlapping grid with a per-cell cap, RA stripes, or quad-tree leaves --
-writes the rows below ``output/data`` with one directory per region, writes
-the region table to ``output/grid`` and returns the histogram computed from
+writes the rows below ``output/data`` with one directory per region (the
+segments of a capped cell are sorted runs inside its directory), writes the region table to ``output/grid`` and returns the histogram computed from
 what was written.  Rows without a position fail the run; with
 ``on_bad="report"`` they go to ``output/rejects`` with a reason instead, and
 their number is returned.
@@ -62,7 +62,7 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str, mod
     if min_cells is None and mode != "stripe":
         min_cells = min_cells_for_input(spark, input_path)
 
-    grid, keys = None, ("cell_i", "cell_j")
+    grid, keys, within = None, ("cell_i", "cell_j"), ()
     if mode == "stripe":
         keys = ("stripe",)
         rows = assign_stripes(sources).select(SOURCE_ID, RA, DECL, *keys)
@@ -72,20 +72,20 @@ def run_partitioning(spark: SparkSession, input_path: str, output_path: str, mod
         if mode == "exclusive":
             rows = assign_exclusive(pts, grid)
         elif mode == "overlap":
-            keys = ("cell_i", "cell_j", "segment")
+            within = ("segment",)
             rows = capacity_split(assign_overlap(pts, grid, halo), cap)
         else:
             keys = LEAF_KEYS
             rows = adaptive_split(pts, grid, cap).drop("leaf")
         ra = RA if mode == "exclusive" else unwrap_ra(RA).alias(RA)
-        rows = rows.select(SOURCE_ID, ra, DECL, *keys)
-    write_by_cell(rows, data_path, keys=keys)
+        rows = rows.select(SOURCE_ID, ra, DECL, *keys, *within)
+    write_by_cell(rows, data_path, keys=keys, within=within, arranged=bool(within))
     written = read_by_cell(spark, data_path, keys=keys)
 
     # The region table's counts come from what was written (partition columns
     # only) rather than from another pass over the input.
     if mode in ("exclusive", "overlap"):
-        histogram = cell_histogram(written, keys)
+        histogram = cell_histogram(written, [*keys, *within])
         members = written.groupBy("cell_i", "cell_j").agg(F.count(F.lit(1)).alias("members"))
         regions = (grid_cells(spark, grid).join(members, ["cell_i", "cell_j"], "left")
                    .withColumn("members", F.coalesce(F.col("members"), F.lit(0)))

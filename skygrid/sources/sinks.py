@@ -13,7 +13,8 @@ def write_text(lines: DataFrame, path: str, col: str = "value") -> None:
     lines.select(F.col(col).cast("string").alias("value")).write.mode("errorifexists").text(path)
 
 
-def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"), fmt: str = "parquet") -> None:
+def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"), fmt: str = "parquet",
+                  within=(), arranged: bool = False) -> None:
     """One output directory per cell (``cell_i=<i>/cell_j=<j>``), or per other keys.
 
     Rows are exchanged on the keys so each cell is written as few files.  The
@@ -23,9 +24,22 @@ def write_by_cell(assigned: DataFrame, path: str, keys=("cell_i", "cell_j"), fmt
     ``1.10`` merge that a single text key suffers when partition values are
     type-inferred.  For ``fmt='text'`` the frame must hold exactly one non-key
     string column.
+
+    ``within`` names columns by which the rows of a cell are sorted, such as
+    the segment of a capped cell: the number of directories stays that of the
+    cells, and a filter on such a column skips files and row groups by their
+    statistics.  Tasks then take ranges of (keys, within).  ``arranged`` rows,
+    as :func:`skygrid.operators.grid.capacity_split` returns them, lie in
+    such ranges already and are written without an exchange.
     """
-    keys = list(keys)
-    writer = assigned.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys)
+    keys, order = list(keys), [*keys, *within]
+    if arranged:
+        assigned = assigned.sortWithinPartitions(*order)
+    elif within:
+        assigned = assigned.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:
+        assigned = assigned.hint("rebalance", *keys)
+    writer = assigned.write.mode("errorifexists").partitionBy(*keys)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "text":

@@ -126,8 +126,8 @@ def start_capped_partitioning(stream: DataFrame, grid: Grid, output_dir: str, ch
             rows = (ranked.withColumn("_rank", F.coalesce(F.col("_before"), F.lit(0)) + F.col("rank"))
                     .withColumn("segment", F.expr(f"CAST((_rank - 1) div {int(cap)} AS INT)"))
                     .select(SOURCE_ID, unwrap_ra(RA).alias(RA), DECL, "cell_i", "cell_j", "segment"))
-            (rows.hint("rebalance", "cell_i", "cell_j", "segment").write.mode("overwrite")
-             .partitionBy("cell_i", "cell_j", "segment").parquet(f"{root}/data/batch={batch_id}"))
+            (rows.sortWithinPartitions("cell_i", "cell_j", "segment").write.mode("overwrite")     # ranked: in ranges
+             .partitionBy("cell_i", "cell_j").parquet(f"{root}/data/batch={batch_id}"))
             _write_outside(batch, grid, halo, root, batch_id)
             total = F.coalesce(F.col("n_rows"), F.lit(0)) + F.coalesce(F.col("_new"), F.lit(0))
             (prev.join(batch_counts, ["cell_i", "cell_j"], "full").select("cell_i", "cell_j", total.alias("n_rows"))

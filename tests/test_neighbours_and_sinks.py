@@ -2,13 +2,14 @@
 
 import math
 import random
+import re
 
 import pytest
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from skygrid.functions.cells import Grid
+from skygrid.functions.cells import Grid, make_grid
 from skygrid.operators.grid import assign_exclusive
 from skygrid.operators.neighbours import neighbour_pairs, neighbour_pairs_sphere
 from skygrid.operators.summary import zone_of
@@ -80,6 +81,48 @@ def test_sink_by_cell_counts_equal_assignment(spark):
     assert sorted(back.collect()) == sorted(want.collect())
 
 
+def test_capped_cells_are_sorted_runs_in_one_directory(spark):
+    """Directories are bounded by the grid, and a segment is found by file statistics."""
+    from skygrid.operators.grid import capacity_split
+    from skygrid.operators.grid import assign_overlap
+    pts, grid = jobs.overlap_grid(sky(spark, SF_SMALL))
+    rows = capacity_split(assign_overlap(pts, grid, 0.1), cap=5).select("sourceId", "ra", "decl", "cell_i", "cell_j", "segment")
+    want = sorted(map(tuple, rows.collect()))
+    for arranged in (True, False):
+        path = fresh_dir(spark, "capped")
+        write_by_cell(rows, path, within=("segment",), arranged=arranged)
+        back = read_by_cell(spark, path)
+        assert sorted(map(tuple, back.select("sourceId", "ra", "decl", "cell_i", "cell_j", "segment").collect())) == want
+        cells = {(i, j) for _, _, _, i, j, _ in want}
+        files = [f for f in back.inputFiles()]
+        assert len({f.rsplit("/", 1)[0] for f in files}) == len(cells)
+        assert len(files) <= len(cells) + 2 * 8
+        for f in files:     # each file is sorted by segment
+            segs = [r.segment for r in spark.read.parquet(f).select("segment").collect()]
+            assert segs == sorted(segs)
+        plan = back.where("cell_i = 1 AND segment = 3")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PushedFilters: \[.*EqualTo\(segment,3\)\]", plan) and "PartitionFilters" in plan
+
+
+@pytest.mark.parametrize("eps,max_rows", [(0.02, 10**6), (0.1, 40), (0.1, 10**6)])
+def test_region_pairs_equal_neighbour_pairs_without_an_exchange(spark, eps, max_rows):
+    from skygrid.operators.regions import region_pairs, write_regions
+    rnd = random.Random(7)
+    pts = [(rnd.choice([-0.5, 0.3]) + rnd.gauss(0, 0.2), rnd.uniform(-1, 1)) for _ in range(900)]
+    pts += [(0.1 * k, 0.05 * k) for k in range(20)] + [(0.0, 0.0)] * 6         # exact multiples of eps, one position
+    df = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pts)], "sourceId long, ra double, decl double")
+    grid = make_grid(zone_of(df), 40)
+    regions = write_regions(df, grid, fresh_dir(spark, "regions"), halo=0.1, buckets=5, max_rows=max_rows)
+    out = region_pairs(spark, regions, eps)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, neighbour_pairs(df, eps).collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "SelectedBucketsCount: 5 out of 5" in plan
+    other = spark.newSession()      # a session that has never seen the table
+    assert region_pairs(other, regions, eps).count() == out.count()
+    with pytest.raises(ValueError, match="halo"):
+        region_pairs(spark, regions, 0.2)
+
+
 def test_text_sink_by_cell(spark):
     df = spark.createDataFrame([(0, 1, "1.5,2.5"), (0, 1, "3.0,4.0"), (2, 0, "0.0,0.0")],
                                "cell_i int, cell_j int, value string")
