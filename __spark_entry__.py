@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import BLOCK_BYTES, make_grid
 from skygrid.functions.coords import format_record, unwrap_ra
+from skygrid.functions.htm import CORNERS, OCTANTS
 from skygrid.operators.summary import (zone_of, bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
 from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram, grid_cells
 from skygrid.plans import jobs
+from skygrid.plans.partitioning import region_lookup, run_partitioning
 from skygrid.plans.text import document_lines
 from skygrid.session import fresh_dir
 from skygrid.operators.regions import region_pairs, write_regions
@@ -40,6 +42,8 @@ CAP = 100            # per-cell capacity for the capped-partition queries
 ADAPTIVE_CAP = 100   # leaf capacity of the quad-tree split
 SIZED_BLOCK = 1 << 16  # bytes per cell of the grid sized from the input
 EPS = 0.02           # neighbour distance, degrees
+HTM_LEVEL = 4        # triangles of about 6 degrees
+BOX = (359.2, 0.9, -3.0, 2.5)   # RA from, to (across 0), Decl from, to
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -103,6 +107,48 @@ def _sink_by_capped_cell(spark, d):
     return _written_back(spark, rows, ("cell_i", "cell_j"), within=("segment",))
 
 
+def _source_errors(spark, d):
+    """A catalogue with malformed, missing, surplus and cut fields: the verdicts of every row, by its line."""
+    path, e = fresh_dir(spark, "dirty"), F.col(SOURCE_ID)
+
+    def field(c, bad):
+        return F.when(bad, F.concat(F.lit("x"), F.col(c).cast("string"))).otherwise(F.col(c).cast("string")).alias(c)
+    dirty = sky(spark, d).select(
+        F.when(e % 11 == 4, "NULL").otherwise(field(SOURCE_ID, e % 11 == 2)).alias(SOURCE_ID),
+        field(OBJECT_ID, e % 7 == 3), field(RA, e % 13 == 5), F.col(DECL).cast("string"), e.alias("line"))
+    lines = source_lines(dirty, ["line"]).select(
+        F.when(F.col("line") % 17 == 1, F.concat("value", F.lit(",surplus")))
+        .when(F.col("line") % 17 == 2, F.substring_index("value", ",", 20)).otherwise(F.col("value")).alias("value"))
+    write_text(lines, path)
+    checked = read_checked_sources(spark, path)
+    said = F.concat(F.col("error.field"), F.lit(" "), F.col("error.reason"))
+    return (checked.select(F.col(DECL).alias(DECL), F.explode_outer("errors").alias("error"))
+            .groupBy(F.coalesce(said, F.lit("good")).alias("verdict"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min(DECL).alias("min_decl"), F.max(DECL).alias("max_decl")))
+
+
+def _count_good_objects(spark, d):
+    """Observations per object from a catalogue with bad lines: what is counted, and what is set aside."""
+    path, e = fresh_dir(spark, "dirty"), F.col(SOURCE_ID)
+    dirty = sky(spark, d).select(
+        SOURCE_ID, F.when(e % 9 == 4, F.concat(F.lit("x"), F.col(OBJECT_ID).cast("string")))
+        .otherwise(F.col(OBJECT_ID).cast("string")).alias(OBJECT_ID), RA, DECL)
+    write_text(source_lines(dirty), path)
+    checked = read_checked_sources(spark, path)
+    good = count_by_object(checked.where(F.col("reject").isNull()))
+    aside = checked.where(F.col("reject").isNotNull()).groupBy(F.lit(None).cast("bigint").alias(OBJECT_ID)).agg(
+        F.count(F.lit(1)).alias("n_sources"))
+    return good.unionByName(aside)
+
+
+def _region_lookup(spark, d):
+    """A box across RA 0, from the directories of a written overlapping grid."""
+    path = fresh_dir(spark, "catalogue")
+    write_source_files(sky(spark, d), path)
+    res = run_partitioning(spark, path, fresh_dir(spark, "grid"), mode="overlap", cap=CAP)
+    return region_lookup(spark, res, *BOX)
+
+
 def _region_pairs(spark, d):
     """Pairs from regions that were written, joined bucket by bucket."""
     pts, grid = jobs.overlap_grid(sky(spark, d))
@@ -194,6 +240,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grid_from_size": _grid_from_size,
         "adaptive_split": lambda s, d: jobs.adaptive_assign(sky(s, d), ADAPTIVE_CAP),
         "adaptive_cells": lambda s, d: jobs.adaptive_cells(sky(s, d), ADAPTIVE_CAP),
+        "htm_assign": lambda s, d: jobs.htm_assign(sky(s, d), HTM_LEVEL),
+        "region_lookup": _region_lookup,
+        "source_errors": _source_errors,
+        "count_good_objects": _count_good_objects,
     }
 
 
@@ -325,6 +375,38 @@ FROM b p JOIN b q ON q.zb BETWEEN p.zb - 1 AND p.zb + 1 AND p."sourceId" < q."so
 WHERE sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) < {eps}"""
 
 
+def _htm_sql(level: int) -> str:
+    """Every triangle of the level against every point; the first that holds it."""
+    corners, octants = CORNERS, OCTANTS
+    first = " UNION ALL ".join(
+        "SELECT CAST({} AS BIGINT) AS id, ".format(8 + o) + ", ".join(
+            f"CAST({corners[t[k]][a]} AS DOUBLE) AS {'uvw'[k]}{'xyz'[a]}" for k in range(3) for a in range(3))
+        for o, t in enumerate(octants))
+
+    def middle(p: str, q: str) -> str:
+        n = " + ".join(f"({p}{a} + {q}{a}) * ({p}{a} + {q}{a})" for a in "xyz")
+        return ", ".join(f"({p}{a} + {q}{a}) * pow({n}, CAST(-0.5 AS DOUBLE)) AS {{}}{a}" for a in "xyz")
+    mids = ", ".join([middle("v", "w").replace("{}", "m1"), middle("u", "w").replace("{}", "m2"),
+                      middle("u", "v").replace("{}", "m3")])
+    levels = [f"t0 AS ({first})"]
+    for k in range(level):
+        kids = " UNION ALL ".join(
+            f"SELECT id * 4 + {n}, " + ", ".join(f"{c}{a} AS {'uvw'[i]}{a}" for i, c in enumerate(corner) for a in "xyz")
+            + f" FROM m{k}" for n, corner in enumerate(
+                (("u", "m3", "m2"), ("v", "m1", "m3"), ("w", "m2", "m1"), ("m1", "m2", "m3"))))
+        kids = kids.replace("id * 4 + 0,", "id * 4 + 0 AS id,")
+        levels += [f"m{k} AS (SELECT *, {mids} FROM t{k})", f"t{k + 1} AS MATERIALIZED ({kids})"]
+
+    def side(a: str, b: str) -> str:
+        return (f"({a}y * {b}z - {a}z * {b}y) * px + ({a}z * {b}x - {a}x * {b}z) * py "
+                f"+ ({a}x * {b}y - {a}y * {b}x) * pz >= 0")
+    return f"""WITH {_SKY}, {', '.join(levels)},
+p AS MATERIALIZED (SELECT "sourceId", cos(radians(decl)) * cos(radians(ra)) AS px,
+  cos(radians(decl)) * sin(radians(ra)) AS py, sin(radians(decl)) AS pz FROM sky)
+SELECT "sourceId", min(id) AS htm_id FROM p JOIN t{level} t
+  ON {side('u', 'v')} AND {side('v', 'w')} AND {side('w', 'u')} GROUP BY "sourceId" """
+
+
 def core_oracle_sql() -> dict[str, str]:
     n = f"CAST({_N} AS DOUBLE)"
     hist = """SELECT cell_i, cell_j, CAST(cell_i AS VARCHAR) || '.' || CAST(cell_j AS VARCHAR) AS cell,
@@ -444,6 +526,22 @@ SELECT stripe, count(*) AS n_rows, min("sourceId") AS min_source_id, max("source
 SELECT cell_i, cell_j, segment, count(*) AS n_rows, min("sourceId") AS min_source_id, max("sourceId") AS max_source_id,
        min(CASE WHEN ra < CAST(0 AS DOUBLE) THEN ra + CAST(360 AS DOUBLE) ELSE ra END) AS min_ra, max(decl) AS max_decl
 FROM capped GROUP BY cell_i, cell_j, segment""",
+        "htm_assign": _htm_sql(HTM_LEVEL),
+        "region_lookup": f"""WITH {_SKY}
+SELECT "sourceId", ra, decl FROM sky WHERE (ra >= CAST({BOX[0]} AS DOUBLE) OR ra <= CAST({BOX[1]} AS DOUBLE))
+AND decl BETWEEN CAST({BOX[2]} AS DOUBLE) AND CAST({BOX[3]} AS DOUBLE)""",
+        "source_errors": f"""WITH {_SKY},
+v AS (SELECT *, "sourceId" % 17 = 2 AS cut FROM sky),
+e AS (SELECT decl, list_filter([CASE WHEN "sourceId" % 13 = 5 THEN 'ra malformed' END,
+    CASE WHEN "sourceId" % 11 = 4 THEN 'sourceId missing' WHEN "sourceId" % 11 = 2 THEN 'sourceId malformed' END,
+    CASE WHEN "sourceId" % 7 = 3 AND "objectId" IS NOT NULL THEN 'objectId malformed' END,
+    CASE WHEN "sourceId" % 17 = 1 THEN 'line long' WHEN cut THEN 'line short' END], lambda x: x IS NOT NULL) AS said FROM v)
+SELECT verdict, count(*) AS n_rows, min(decl) AS min_decl, max(decl) AS max_decl FROM (
+  SELECT decl, unnest(CASE WHEN len(said) = 0 THEN ['good'] ELSE said END) AS verdict FROM e) GROUP BY verdict""",
+        "count_good_objects": f"""WITH {_SKY},
+v AS (SELECT *, "sourceId" % 9 = 4 AND "objectId" IS NOT NULL AS bad FROM sky)
+SELECT CASE WHEN NOT bad THEN "objectId" END AS "objectId", count(*) AS n_sources FROM v
+WHERE bad OR "objectId" IS NOT NULL GROUP BY CASE WHEN NOT bad THEN "objectId" END""",
         "source_rejects": f"""WITH {_SKY},
 v AS (SELECT *, CASE WHEN "sourceId" % 10 = 3 THEN 'RA malformed' WHEN "sourceId" % 10 = 7 THEN 'RA missing'
                      WHEN "sourceId" % 10 = 5 THEN 'Decl not finite' END AS reject FROM sky)

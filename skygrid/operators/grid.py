@@ -37,6 +37,30 @@ def grid_cells(spark: SparkSession, grid: Grid) -> DataFrame:
                         b["decl_lo"].alias("decl_lo"), b["decl_hi"].alias("decl_hi"))
 
 
+def exclusive_cells(spark: SparkSession, grid: Grid) -> DataFrame:
+    """The cells of the exclusive assignment and their boxes: 1 to n, and 0 for the minimum edges.
+
+    Cell ``i`` holds ``(lo, hi]`` of its axis; cell 0 is the edge itself, and
+    on the minimum RA edge (``i`` = 0) ``j`` is 0 for any Decl.
+    """
+    z, side = grid.zone, grid.n + 1
+    ids = spark.range(side * side)
+    cells = ids.select((F.col("id") / F.lit(side)).cast("int").alias("cell_i"),
+                       (F.col("id") % F.lit(side)).cast("int").alias("cell_j")).where("cell_i > 0 OR cell_j = 0")
+    b = cell_bounds(F.col("cell_i") - 1, F.col("cell_j") - 1, grid)
+    edge_i, edge_j = F.col("cell_i") == 0, F.col("cell_j") == 0
+
+    def last(k: str, computed: Column, top: float) -> Column:
+        return F.when(F.col(k) == grid.n, F.greatest(computed, F.lit(top))).otherwise(computed)
+    return cells.select(
+        "cell_i", "cell_j", cell_name("cell_i", "cell_j").alias("cell"),
+        F.when(edge_i, F.lit(z.min_ra)).otherwise(b["ra_lo"]).alias("ra_lo"),
+        F.when(edge_i, F.lit(z.min_ra)).otherwise(last("cell_i", b["ra_hi"], z.max_ra)).alias("ra_hi"),
+        F.when(edge_j, F.lit(z.min_decl)).otherwise(b["decl_lo"]).alias("decl_lo"),
+        F.when(edge_i, F.lit(z.max_decl)).when(edge_j, F.lit(z.min_decl))
+        .otherwise(last("cell_j", b["decl_hi"], z.max_decl)).alias("decl_hi"))
+
+
 def assign_exclusive(positions: DataFrame, grid: Grid, ra: str = RA, decl: str = DECL) -> DataFrame:
     """Adds ``cell_i``, ``cell_j``, ``cell``: one cell per row (narrow)."""
     z = grid.zone

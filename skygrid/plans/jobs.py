@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.cells import DEFAULT_CELL_CAP, DEFAULT_HALO, make_grid
 from skygrid.functions.coords import format_record, unwrap_ra, wrap_ra
+from skygrid.functions.htm import with_htm
 from skygrid.operators import grid as grid_ops
 from skygrid.operators.adaptive import adaptive_leaves, adaptive_split
 from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_stripes,
                                     capacity_split, cell_histogram, grid_cells)
 from skygrid.operators.neighbours import neighbour_pairs, neighbour_pairs_sphere
+from skygrid.operators.positions import require_positions
 from skygrid.operators.summary import zone_of
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
@@ -121,6 +123,11 @@ def adaptive_cells(sources: DataFrame, cap: int, min_cells: int = MIN_CELLS) ->
     return adaptive_leaves(pts, grid, cap)
 
 
+def htm_assign(sources: DataFrame, level: int) -> DataFrame:
+    """The triangle of the sphere that holds each position."""
+    return with_htm(require_positions(sources.select(SOURCE_ID, RA, DECL)), level, RA, DECL).select(SOURCE_ID, "htm_id")
+
+
 def pairs_planar(sources: DataFrame, eps: float) -> DataFrame:
     return neighbour_pairs(wrapped(sources), eps)
 

@@ -12,6 +12,7 @@ from skygrid.sources.schema import DECL, OBJECT_ID, RA, SOURCE_ID, OBJECT_SCHEMA
 # The catalogue text format (headerless, comma separated, no
 # quoting, fields trimmed, the literal NULL for missing values).
 DELIMITER = ","
+_BLANKS = " \t\r\n\f\v"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -49,29 +50,57 @@ def parsed_positions(raw: DataFrame) -> DataFrame:
     return raw.select(*[number(c) if c in (RA, DECL) else F.col(c) for c in raw.columns])
 
 
-def read_sources(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+def read_sources(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Source catalogue text files with the 107-column schema.
 
     Column pruning reaches the CSV parser, so a 4-column projection parses
-    only those fields.  Short rows are padded with nulls (PERMISSIVE).  RA and
-    Decl are parsed strictly: text that is no number fails when it is read.
+    only those fields.  A typed field that is read and is no value of its type
+    fails, it never becomes a silent null; a short line fails where the whole
+    line is read.  RA and Decl are parsed strictly in every mode.
     """
     return parsed_positions(_csv_reader(spark, text_positions(SOURCE_SCHEMA), mode).csv(path))
 
 
-def read_checked_sources(spark: SparkSession, path: str) -> DataFrame:
-    """Source rows with a ``reject`` column: null, or why the row has no position.
+def read_checked_sources(spark: SparkSession, path: str, fields=(SOURCE_ID, OBJECT_ID, RA, DECL),
+                         whole_lines: bool = False) -> DataFrame:
+    """Source rows with a verdict per field; nothing fails and no line is dropped (blank ones aside).
 
-    ``ra_text`` and ``decl_text`` keep what the file says; RA and Decl are null
-    where they can't be parsed.  Nothing fails and nothing is dropped.
+    The file is read as lines.  Columns: ``fields``, null where their text is
+    no value of their type; ``ra_text`` and ``decl_text``, what the file says;
+    ``errors``, an array of ``(field, reason)`` for every field asked for that
+    is ``malformed``, ``missing`` though required, or ``not finite`` (RA and
+    Decl), and for the ``line`` where it is ``short`` or ``long``; and
+    ``reject``, the first error that makes the row unusable -- positions
+    first, then the other fields, and short or long lines if ``whole_lines``
+    (surplus fields are ignored otherwise, and missing ones count only where
+    they are asked for).
     """
     from skygrid.operators.positions import reject_reason
-    raw = _csv_reader(spark, text_positions(SOURCE_SCHEMA), "PERMISSIVE").csv(path)
-    rows = raw.select(*[F.col(c).alias(f"{c}_text") if c in (RA, DECL) else F.col(c) for c in raw.columns])
-    rows = (rows.withColumn(RA, F.col(f"{RA}_text").try_cast("double"))
-            .withColumn(DECL, F.col(f"{DECL}_text").try_cast("double")))
-    return rows.withColumn("reject", F.coalesce(reject_reason(f"{RA}_text", RA, "RA"),
-                                                reject_reason(f"{DECL}_text", DECL, "Decl")))
+    names = SOURCE_SCHEMA.fieldNames()
+    tokens = spark.read.text(path).where(F.btrim("value", F.lit(_BLANKS)) != "").select(
+        F.split("value", DELIMITER, -1).alias("token")).withColumn("n_fields", F.size("token"))
+
+    def text(c: str) -> Column:
+        token = F.btrim(F.get("token", F.lit(names.index(c))), F.lit(_BLANKS))
+        return F.when(token != NULL_TOKEN, token)
+    raw = tokens.select("n_fields", *[text(c).alias(f"{c}_text") for c in fields])
+    typed = raw.select("*", *[F.col(f"{c}_text").try_cast(SOURCE_SCHEMA[c].dataType).alias(c) for c in fields])
+
+    def reason(c: str) -> Column:
+        if c in (RA, DECL):
+            return reject_reason(f"{c}_text", c, "").substr(F.lit(2), F.lit(20))
+        missing = F.lit("missing") if SOURCE_SCHEMA[c].metadata["required"] else F.lit(None).cast("string")
+        return F.when(F.col(f"{c}_text").isNull(), missing).when(F.col(c).isNull(), F.lit("malformed"))
+    found = {c: reason(c) for c in fields} | {
+        "line": F.when(F.col("n_fields") < len(names), "short").when(F.col("n_fields") > len(names), "long")}
+    order = [c for c in (RA, DECL) if c in fields] + [c for c in fields if c not in (RA, DECL)]
+    none = F.array().cast("array<struct<field:string,reason:string>>")
+    errors = F.concat(*[F.when(found[c].isNotNull(), F.array(F.struct(F.lit(c).alias("field"), found[c].alias("reason"))))
+                        .otherwise(none) for c in [*order, "line"]])
+    label = {RA: "RA", DECL: "Decl"}
+    reject = F.coalesce(*[F.concat(F.lit(label.get(c, c) + " "), found[c]) for c in order + ["line"] * whole_lines])
+    texts = [f"{c}_text" for c in (RA, DECL) if c in fields]
+    return typed.select(*fields, *texts, errors.alias("errors"), reject.alias("reject"))
 
 
 def read_objects(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
@@ -110,8 +139,8 @@ def sky(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sky_from_events(table(spark, sf_dir, "events"))
 
 
-def source_lines(sources: DataFrame) -> DataFrame:
-    """Render rows in the catalogue text layout (``value`` column).
+def source_lines(sources: DataFrame, keep=()) -> DataFrame:
+    """Render rows in the catalogue text layout (``value`` column, and the columns ``keep``).
 
     Every Source column is written in DDL order; columns the frame lacks are
     written as the null token.  Doubles use Java's shortest round-trip text,
@@ -124,7 +153,7 @@ def source_lines(sources: DataFrame) -> DataFrame:
             parts.append(F.coalesce(F.col(field.name).cast("string"), F.lit(NULL_TOKEN)))
         else:
             parts.append(F.lit(NULL_TOKEN))
-    return sources.select(F.concat_ws(DELIMITER, *parts).alias("value"))
+    return sources.select(F.concat_ws(DELIMITER, *parts).alias("value"), *keep)
 
 
 def write_source_files(sources: DataFrame, path: str) -> None:

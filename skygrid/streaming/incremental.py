@@ -29,7 +29,8 @@ def read_source_stream(spark: SparkSession, input_dir: str, max_files_per_trigge
     reader = (spark.readStream.schema(text_positions(SOURCE_SCHEMA))
               .option("sep", DELIMITER).option("header", False).option("quote", "")
               .option("nullValue", NULL_TOKEN)
-              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
+              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+              .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return parsed_positions(reader.csv(input_dir))

@@ -129,3 +129,100 @@ def test_latest_source_text_order_edge_ids(spark):
     df = spark.createDataFrame(rows, "objectId long, sourceId long, ra double, decl double")
     got = {r.objectId: r.last_source_id for r in object_extent(df).collect()}
     assert got == {g: max(str(v) for v in vs) for g, vs in groups.items()}
+
+
+def _line(**values):
+    from skygrid.sources.schema import SOURCE_SCHEMA, position
+    fields = ["NULL"] * len(SOURCE_SCHEMA)
+    for name, value in values.items():
+        fields[position(SOURCE_SCHEMA, name)] = str(value)
+    return ",".join(fields)
+
+
+def test_no_malformed_field_is_lost(spark, tmp_path):
+    """A malformed id neither vanishes from a count nor becomes a silent null."""
+    from skygrid.sources.catalogue import read_checked_sources
+    p = tmp_path / "ids.csv"
+    p.write_text("\n".join([_line(sourceId=1, objectId="x12", ra=1.0, decl=1.0), _line(sourceId="zz", objectId=5, ra=1.0, decl=1.0),
+                            _line(sourceId=3, objectId=5, ra=1.0, decl=1.0)]) + "\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        count_by_object(read_sources(spark, str(p))).collect()
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        object_extent(read_sources(spark, str(p))).collect()
+    checked = {r.reject: r for r in read_checked_sources(spark, str(p)).collect()}
+    assert set(checked) == {"objectId malformed", "sourceId malformed", None}
+    assert [tuple(e) for e in checked["objectId malformed"].errors] == [("objectId", "malformed")]
+    good = read_checked_sources(spark, str(p)).where("reject IS NULL")
+    assert [tuple(r) for r in count_by_object(good).collect()] == [(5, 1)]
+
+
+def test_every_line_has_a_verdict(spark, tmp_path):
+    from skygrid.sources.catalogue import read_checked_sources
+    ok = dict(sourceId=1, objectId=2, ra=1.5, decl=-2.5)
+    cases = [(_line(**ok), [], None), (_line(**{**ok, "objectId": "NULL"}), [], None),
+             (" 7 ,NULL,NULL, 8\t,NULL,NULL, 1e1 ,NULL,NULL,-1", [("line", "short")], None),
+             ("7,NULL,NULL,8,NULL,NULL,1", [("decl", "missing"), ("line", "short")], "Decl missing"),
+             (_line(**ok) + ",more", [("line", "long")], None),
+             (_line(**{**ok, "ra": "NaN", "decl": "12x", "sourceId": "9e3", "objectId": ""}),
+              [("ra", "not finite"), ("decl", "malformed"), ("sourceId", "malformed"), ("objectId", "malformed")], "RA not finite"),
+             (_line(objectId=1, ra=1, decl="Infinity"), [("decl", "not finite"), ("sourceId", "missing")], "Decl not finite"),
+             (_line(**{**ok, "sourceId": 2 ** 63}), [("sourceId", "malformed")], "sourceId malformed"),
+             (",,,", [("ra", "missing"), ("decl", "missing"), ("sourceId", "malformed"), ("objectId", "malformed"),
+                      ("line", "short")], "RA missing")]
+    p = tmp_path / "lines.csv"
+    for line, errors, reject in cases:
+        p.write_text(f"\n  \n{line}\n\n")
+        [r] = read_checked_sources(spark, str(p)).collect()
+        assert ([tuple(e) for e in r.errors], r.reject) == (errors, reject), line
+    p.write_text("\n".join(c[0] for c in cases))
+    strict = read_checked_sources(spark, str(p), whole_lines=True)
+    assert strict.count() == len(cases)
+    assert strict.where("reject IS NULL").count() == 2
+    assert strict.where("reject = 'line long'").count() == 1
+    wide = read_checked_sources(spark, str(p), ("sourceId", "psfFlux", "ra", "decl")) if "psfFlux" in read_sources(
+        spark, str(p)).columns else read_checked_sources(spark, str(p), ("sourceId", "htmId20", "ra", "decl"))
+    assert wide.columns[1] in ("psfFlux", "htmId20")
+
+
+def test_triangles_of_the_sphere(spark):
+    """Every position, the poles and RA 0 and 360 included, lies in exactly one triangle of each level."""
+    import math
+    import random
+    from skygrid.functions.htm import CORNERS, OCTANTS, ancestor, with_htm
+    rnd = random.Random(1)
+    pts = [(rnd.uniform(0, 360), math.degrees(math.asin(rnd.uniform(-1, 1)))) for _ in range(300)]
+    pts += [(ra, decl) for ra in (0.0, 90.0, 180.0, 270.0, 360.0, -45.0, 123.4) for decl in (-90.0, -45.0, 0.0, 45.0, 90.0)]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pts)] + [(-1, None, 1.0), (-2, 1.0, float("nan"))],
+                               "k long, a double, d double").withColumn("row", F.lit("kept")).withColumn("htm", F.lit("kept"))
+
+    def triangles(level):
+        found = {8 + o: tuple(tuple(map(float, CORNERS[c])) for c in t) for o, t in enumerate(OCTANTS)}
+
+        def mid(p, q):
+            s = [x + y for x, y in zip(p, q, strict=True)]
+            n = math.sqrt(sum(x * x for x in s))
+            return tuple(x / n for x in s)
+        for _ in range(level):
+            found = {i * 4 + n: c for i, (u, v, w) in found.items() for a, b, m in [(mid(v, w), mid(u, w), mid(u, v))]
+                     for n, c in enumerate([(u, m, b), (v, a, m), (w, b, a), (a, b, m)])}
+        return found
+
+    def depth(p, t):
+        u, v, w = t
+        return min((a[1] * b[2] - a[2] * b[1]) * p[0] + (a[2] * b[0] - a[0] * b[2]) * p[1]
+                   + (a[0] * b[1] - a[1] * b[0]) * p[2] for a, b in ((u, v), (v, w), (w, u)))
+    for level in (0, 1, 3):
+        out = with_htm(df, level, "a", "d").collect()
+        assert len(out) == len(df.collect()) and all(r.row == "kept" and r.htm == "kept" for r in out)
+        ids, every = {r.k: r.htm_id for r in out}, triangles(level)
+        assert ids.pop(-1) is None and ids.pop(-2) is None
+        for k, (ra, decl) in enumerate(pts):
+            a, d = math.radians(ra), math.radians(decl)
+            p = (math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d))
+            assert depth(p, every[ids[k]]) >= -1e-12, (ra, decl)
+            if k < 300:     # inside: no other triangle holds it
+                assert [i for i, t in every.items() if depth(p, t) >= 0] == [ids[k]]
+    deep = with_htm(with_htm(df, 7, "a", "d", "deep"), 3, "a", "d")
+    assert deep.where(ancestor(F.col("deep"), 3, 7) != F.col("htm_id")).count() == 0
+    with pytest.raises(ValueError):
+        with_htm(df, 11, "a", "d")

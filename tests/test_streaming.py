@@ -51,7 +51,13 @@ def test_run_partitioning_exclusive_and_overlap(spark, sources):
     res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog"), min_cells=4)
     got = sorted((r.cell_i, r.cell_j, r.n_rows) for r in res.histogram.collect())
     assert got == [(0, 0, 1), (1, 0, 1), (1, 1, 15), (1, 2, 14), (2, 1, 2), (2, 2, 23)]
-    assert spark.read.json(res.grid_path).count() == 4
+    # The grid file numbers cells as the directories do: 1 to n, and 0 for the minimum edges.
+    stored = {(r.cell_i, r.cell_j): r for r in spark.read.json(res.grid_path).collect()}
+    assert len(stored) == 2 * 3 + 1 and res.n_rows == 56
+    assert {k: r.members for k, r in stored.items() if r.members} == {(i, j): n for i, j, n in got}
+    for r in read_by_cell(spark, res.data_path).collect():
+        box = stored[(r.cell_i, r.cell_j)]
+        assert box.ra_lo <= r.ra <= box.ra_hi and box.decl_lo <= r.decl <= box.decl_hi
     res = run_partitioning(spark, SOURCE_SAMPLE, fresh_dir(spark, "prog2"), mode="overlap",
                            min_cells=9, cap=10)
     hist = {r.cell: r.n_rows for r in res.histogram.collect()}
@@ -153,7 +159,7 @@ def test_run_partitioning_stripes_and_leaves(spark, sources):
     assert spark.read.json(res.grid_path).count() == len(rows)
 
 
-@pytest.mark.parametrize("mode", ["exclusive", "overlap", "stripe", "adaptive"])
+@pytest.mark.parametrize("mode", ["exclusive", "overlap", "stripe", "adaptive", "htm"])
 def test_run_partitioning_bad_lines(spark, tmp_path, mode):
     from skygrid.plans.partitioning import run_partitioning
     f = tmp_path / "dirty.csv"
@@ -165,3 +171,83 @@ def test_run_partitioning_bad_lines(spark, tmp_path, mode):
     assert res.n_rejects == 3 and {r.sourceId for r in back} == {1, 5}
     assert sorted(map(tuple, spark.read.parquet(res.rejects_path).select("sourceId", "reject").collect())) == [
         (2, "RA malformed"), (3, "RA not finite"), (4, "RA missing")]
+
+
+@pytest.mark.parametrize("mode", ["exclusive", "overlap", "stripe", "adaptive", "htm"])
+def test_the_program_reads_its_input_once(spark, tmp_path, monkeypatch, mode):
+    from skygrid.plans import partitioning
+    f = tmp_path / "in.csv"
+    f.write_text(_lines([(k, 0.1 * k, 0.05 * k) for k in range(40)]))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        seen.add(1)
+        return v
+    read = partitioning.read_checked_sources
+    monkeypatch.setattr(partitioning, "read_checked_sources", lambda *a: read(*a).withColumn(
+        "ra", counted.asNondeterministic()("ra")))
+    res = partitioning.run_partitioning(spark, str(f), fresh_dir(spark, "once"), mode=mode, min_cells=4, cap=7)
+    assert seen.value == 40 == res.n_rows
+    assert res.histogram.selectExpr("sum(n_rows)").first()[0] >= 40
+
+
+def test_partition_on_the_sphere(spark, tmp_path):
+    from skygrid.plans.partitioning import run_partitioning
+    f = tmp_path / "in.csv"
+    points = [(k, 360.0 * k / 50, 90.0 - 180.0 * k / 49) for k in range(50)]
+    f.write_text(_lines(points))
+    res = run_partitioning(spark, str(f), fresh_dir(spark, "htm"), mode="htm", htm_level=2)
+    back = read_by_cell(spark, res.data_path, keys=("htm_id",)).collect()
+    assert sorted((r.sourceId, r.ra, r.decl) for r in back) == points
+    assert all(128 <= r.htm_id < 256 for r in back)
+    assert {(r.htm_id, r.n_rows) for r in spark.read.json(res.grid_path).collect()} == {
+        (i, sum(r.htm_id == i for r in back)) for i in {r.htm_id for r in back}}
+
+
+@pytest.mark.parametrize("mode,box", [("exclusive", (1.0, 2.2, 0.5, 1.1)), ("exclusive", (0.0, 0.3, -9.0, 9.0)),
+                                      ("exclusive", (359.0, 0.4, -1.0, 0.2)), ("overlap", (359.0, 0.4, -1.0, 0.2)),
+                                      ("overlap", (0.5, 0.5, -9.0, 9.0)), ("overlap", (5.0, 6.0, 0.0, 1.0))])
+def test_region_lookup_reads_only_directories_that_meet_the_box(spark, tmp_path, mode, box):
+    import random
+    from skygrid.plans.partitioning import region_lookup, run_partitioning
+    rnd = random.Random(3)
+    points = [(k, round(rnd.uniform(-1.5, 3.0), 3) % 360.0, round(rnd.uniform(-1, 2), 3)) for k in range(600)]
+    points += [(1000 + k, x, y) for k, (x, y) in enumerate([(0.0, -1.5), (0.5, 0.2), (358.5, 2.0), (3.0, 2.0), (0.5, -1.5)])]
+    f = tmp_path / "in.csv"
+    f.write_text(_lines(points))
+    res = run_partitioning(spark, str(f), fresh_dir(spark, "lookup"), mode=mode, min_cells=49, cap=5, halo=0.05)
+    a, b, c, d = box
+    want = sorted(p for p in points if (a <= p[1] <= b if a <= b else p[1] >= a or p[1] <= b) and c <= p[2] <= d)
+    out = region_lookup(spark, res, *box)
+    assert sorted(map(tuple, out.collect())) == want
+    assert "dynamicpruningexpression" in out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = region_lookup(spark, res, *box)
+        again.collect()
+        leaves = again._jdf.queryExecution().executedPlan().collectLeaves()
+        read = [leaves.apply(k) for k in range(leaves.size())]
+        partitions = max(int(s.metrics().apply("numPartitions").value()) for s in read
+                         if "FileScan parquet" in s.toString())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spans = [(a, b)] if a <= b else [(a, 360.0), (-360.0, b)]
+    if mode == "overlap":
+        spans = [tuple(x - 360.0 if x > 180.0 else x for x in (a, b))]
+    stored = spark.read.json(res.grid_path).where("members > 0").collect()
+    meeting = [r for r in stored
+               if r.decl_lo <= d + 1e-9 and r.decl_hi >= c - 1e-9
+               and any(r.ra_lo <= y + 1e-9 and r.ra_hi >= x - 1e-9 for x, y in spans)]
+    # Pruned by each of the two keys: the directories of the meeting rows and columns.
+    crossed = [r for r in stored if r.cell_i in {m.cell_i for m in meeting} and r.cell_j in {m.cell_j for m in meeting}]
+    assert len(meeting) <= partitions == len(crossed) <= len(meeting) + 1 < len(stored)
+
+
+def test_lookup_needs_a_grid(spark, tmp_path):
+    from skygrid.plans.partitioning import region_lookup, run_partitioning
+    f = tmp_path / "in.csv"
+    f.write_text(_lines([(1, 1.0, 1.0)]))
+    res = run_partitioning(spark, str(f), fresh_dir(spark, "stripe"), mode="stripe")
+    with pytest.raises(ValueError, match="grid"):
+        region_lookup(spark, res, 0, 1, 0, 1)
