@@ -23,6 +23,8 @@ from skygrid.functions.coords import format_record, unwrap_ra
 from skygrid.functions.htm import CORNERS, OCTANTS
 from skygrid.operators.summary import (zone_of, bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
+from skygrid.operators.loads import merged_loads, write_load
+from skygrid.operators.tiles import tile_table
 from skygrid.operators.grid import assign_exclusive, assign_stripes, cell_histogram, grid_cells
 from skygrid.plans import jobs
 from skygrid.plans.partitioning import region_lookup, run_partitioning
@@ -141,6 +143,14 @@ def _count_good_objects(spark, d):
     return good.unionByName(aside)
 
 
+def _merged_loads(spark, d):
+    """Three loads, the second written twice, merged from their summaries."""
+    path, load = fresh_dir(spark, "loads"), F.pmod(F.col(SOURCE_ID), F.lit(3))
+    for k in (0, 1, 2, 1):
+        write_load(sky(spark, d).where(load == k), path, f"night-{k}")
+    return merged_loads(spark, path)
+
+
 def _region_lookup(spark, d):
     """A box across RA 0, from the directories of a written overlapping grid."""
     path = fresh_dir(spark, "catalogue")
@@ -242,6 +252,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "adaptive_cells": lambda s, d: jobs.adaptive_cells(sky(s, d), ADAPTIVE_CAP),
         "htm_assign": lambda s, d: jobs.htm_assign(sky(s, d), HTM_LEVEL),
         "region_lookup": _region_lookup,
+        "kd_assign": lambda s, d: jobs.kd_assign(sky(s, d)).select(SOURCE_ID, "slab", "tile"),
+        "kd_cells": lambda s, d: tile_table(jobs.kd_assign(sky(s, d))),
+        "merged_loads": _merged_loads,
         "source_errors": _source_errors,
         "count_good_objects": _count_good_objects,
     }
@@ -375,6 +388,17 @@ FROM b p JOIN b q ON q.zb BETWEEN p.zb - 1 AND p.zb + 1 AND p."sourceId" < q."so
 WHERE sqrt((q.ra - p.ra) * (q.ra - p.ra) + (q.decl - p.decl) * (q.decl - p.decl)) < {eps}"""
 
 
+def _tiles(cells: int) -> str:
+    """Equal-load cells by plain row numbers."""
+    import math
+    slabs = math.ceil(math.sqrt(cells))
+    tiles = math.ceil(cells / slabs)
+    return f"""s AS (SELECT *, CAST((row_number() OVER (ORDER BY ra, decl, "sourceId") - 1) * {slabs}
+  // count(*) OVER () AS INTEGER) AS slab FROM wrapped),
+tiled AS (SELECT "sourceId", ra, decl, slab, CAST((row_number() OVER (PARTITION BY slab ORDER BY decl, ra, "sourceId") - 1) * {tiles}
+  // count(*) OVER (PARTITION BY slab) AS INTEGER) AS tile FROM s)"""
+
+
 def _htm_sql(level: int) -> str:
     """Every triangle of the level against every point; the first that holds it."""
     corners, octants = CORNERS, OCTANTS
@@ -527,6 +551,14 @@ SELECT cell_i, cell_j, segment, count(*) AS n_rows, min("sourceId") AS min_sourc
        min(CASE WHEN ra < CAST(0 AS DOUBLE) THEN ra + CAST(360 AS DOUBLE) ELSE ra END) AS min_ra, max(decl) AS max_decl
 FROM capped GROUP BY cell_i, cell_j, segment""",
         "htm_assign": _htm_sql(HTM_LEVEL),
+        "kd_assign": f"""WITH {_SKY}, {_WRAPPED}, {_tiles(jobs.MIN_CELLS)} SELECT "sourceId", slab, tile FROM tiled""",
+        "kd_cells": f"""WITH {_SKY}, {_WRAPPED}, {_tiles(jobs.MIN_CELLS)}
+SELECT slab, tile, min(ra) AS ra_lo, max(ra) AS ra_hi, min(decl) AS decl_lo, max(decl) AS decl_hi, count(*) AS n_rows
+FROM tiled GROUP BY slab, tile""",
+        "merged_loads": f"""WITH {_SKY}
+SELECT "objectId", count(*) AS n_sources, max(CAST("sourceId" AS VARCHAR)) AS last_source_id,
+       min(ra) AS min_ra, max(ra) AS max_ra, min(decl) AS min_decl, max(decl) AS max_decl
+FROM sky WHERE "objectId" IS NOT NULL GROUP BY "objectId" """,
         "region_lookup": f"""WITH {_SKY}
 SELECT "sourceId", ra, decl FROM sky WHERE (ra >= CAST({BOX[0]} AS DOUBLE) OR ra <= CAST({BOX[1]} AS DOUBLE))
 AND decl BETWEEN CAST({BOX[2]} AS DOUBLE) AND CAST({BOX[3]} AS DOUBLE)""",

@@ -91,6 +91,19 @@ def object_extent(sources: DataFrame, key: str = OBJECT_ID, source_id: str = SOU
                       "min_ra", "max_ra", "min_decl", "max_decl")
 
 
+def merge_extents(extents: DataFrame, key: str = OBJECT_ID) -> DataFrame:
+    """One :func:`object_extent` from several of disjoint rows: counts add up, extents and latest ids are compared.
+
+    The result has the same columns, so it can be merged again.
+    """
+    latest_aggs, latest = _latest_text_aggregates()
+    rows = _with_text_order_columns(extents.withColumn("_last", F.col("last_source_id").cast("bigint")), "_last")
+    merged = rows.groupBy(key).agg(
+        F.sum("n_sources").alias("n_sources"), *latest_aggs, F.min("min_ra").alias("min_ra"),
+        F.max("max_ra").alias("max_ra"), F.min("min_decl").alias("min_decl"), F.max("max_decl").alias("max_decl"))
+    return merged.select(key, "n_sources", latest.alias("last_source_id"), "min_ra", "max_ra", "min_decl", "max_decl")
+
+
 def bounding_zone(positions: DataFrame, ra: str = RA, decl: str = DECL) -> DataFrame:
     """One row: the RA/Decl bounding box of every row (object or not)."""
     return positions.agg(F.min(ra).alias("min_ra"), F.max(ra).alias("max_ra"),

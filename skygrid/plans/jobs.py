@@ -23,6 +23,7 @@ from skygrid.operators.grid import (assign_exclusive, assign_overlap, assign_str
 from skygrid.operators.neighbours import neighbour_pairs, neighbour_pairs_sphere
 from skygrid.operators.positions import require_positions
 from skygrid.operators.summary import zone_of
+from skygrid.operators.tiles import assign_tiles
 from skygrid.sources.schema import DECL, RA, SOURCE_ID
 
 # Fixed values of the reference runs: 40 minimum cells (a 7 x 7 grid).
@@ -128,6 +129,11 @@ def htm_assign(sources: DataFrame, level: int) -> DataFrame:
     return with_htm(require_positions(sources.select(SOURCE_ID, RA, DECL)), level, RA, DECL).select(SOURCE_ID, "htm_id")
 
 
+def kd_assign(sources: DataFrame, cells: int = MIN_CELLS) -> DataFrame:
+    """The equal-load cell of each observation, on wrapped RA."""
+    return assign_tiles(wrapped(sources), cells)
+
+
 def pairs_planar(sources: DataFrame, eps: float) -> DataFrame:
     return neighbour_pairs(wrapped(sources), eps)
 
