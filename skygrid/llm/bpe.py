@@ -52,7 +52,9 @@ class Vocabulary:
         for token, i in self.ranks.items():
             self.tokens[i] = token
         self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        self.words = [str(i) for i in range(self.size)]
         self.array = pa.array(self.tokens, pa.binary())
+        self.byte_ids = np.array(self.bytes)
         # Every mergeable pair (left << 20 | right) and the token it gives.
         self.merges: dict[int, int] = {}
         for token, i in self.ranks.items():
@@ -60,28 +62,29 @@ class Vocabulary:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     self.merges[a << 20 | b] = i
+        # The same for pairs of single bytes; -1 where nothing merges.
+        self.byte_pairs = np.array([[self.merges.get(a << 20 | b, -1) for b in self.bytes] for a in self.bytes])
 
 
 def replay(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...]]:
     """The ids of every piece: all merges over all pieces, in rank order."""
-    data = b"".join(pieces)
-    symbol = [vocab.bytes[b] for b in data]
-    n = len(symbol)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    start = 0
-    for p in pieces:        # no links between pieces
-        if p:
-            before[start] = -1
-            start += len(p)
-            after[start - 1] = -1
-    where: dict[int, list[int]] = {}      # inverted index: merged token -> positions of its pair
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    n = len(data)
+    symbol = vocab.byte_ids[data].tolist()
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    ends = np.cumsum(lengths)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    after[ends[lengths > 0] - 1] = -1       # no links between pieces
+    before[(ends - lengths)[lengths > 0]] = -1
+    # Inverted index: merged token -> positions of its pair, in order.
+    first = vocab.byte_pairs[data[:-1], data[1:]] if n else np.empty(0, np.int64)
+    at = np.flatnonzero((first >= 0) & (after[:-1] >= 0)) if n else first
+    at = at[np.argsort(first[at], kind="stable")]
+    found, starts = np.unique(first[at], return_index=True)
+    where: dict[int, list[int]] = dict(zip(found.tolist(), map(np.ndarray.tolist, np.split(at, starts[1:])), strict=True)) \
+        if len(found) else {}
+    after, before = after.tolist(), before.tolist()
     merged = vocab.merges.get
-    for i in range(n):
-        j = after[i]
-        if j >= 0:
-            rank = merged(symbol[i] << 20 | symbol[j])
-            if rank is not None:
-                where.setdefault(rank, []).append(i)
     ranks = list(where)
     heapq.heapify(ranks)
     while ranks:
@@ -136,19 +139,34 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocab, self.split = Vocabulary(path), regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.often: set[str] = set()        # pieces met in more than one batch
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """The pieces of every text, all of them known afterwards."""
         pieces = [self.split.findall(t) for t in texts]
         distinct = set().union(*pieces) if pieces else set()
         new = [p for p in distinct if p not in self.known]
+        self.often.update(distinct.difference(new))
         if len(self.known) + len(new) > KEPT_PIECES:
-            self.known = {p: self.known[p] for p in distinct if p in self.known}
+            stay = self.often if len(self.often) < KEPT_PIECES // 2 else distinct
+            self.known = {p: self.known[p] for p in stay if p in self.known}
+            self.often = set()
         for at in range(0, len(new), REPLAY_PIECES):
             some = new[at:at + REPLAY_PIECES]
             self.known.update(zip(some, replay(self.vocab, [p.encode() for p in some]), strict=True))
+        return pieces
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        pieces = self.learn(texts)
         get = self.known.__getitem__
         return [list(chain.from_iterable(map(get, p))) for p in pieces]
 
+    def round_trip(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """Per text: the number of ids, the ids as decimal text, and the bytes they decode to."""
+        words, tokens = self.vocab.words, self.vocab.tokens
+        return [(len(ids), " ".join([words[i] for i in ids]), b"".join([tokens[i] for i in ids]))
+                for ids in self.encode(texts)]
+
     def decode(self, flat: pa.Array) -> pa.Array:
         """The token bytes of ids; null for a null id or one outside the vocabulary."""
         ids = pa.array(flat, pa.int64())
@@ -227,14 +245,12 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, id_cols: list[C
     def run(batch: pa.RecordBatch):
         encoder = _encoder(path, pattern)
         for part in text_slices(batch, n, SLICE_BYTES):
-            ids = encoder.encode([t or "" for t in part.column(n).to_pylist()])
-            flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int64))
-            raw = _joined(encoder.decode(flat), np.concatenate(([0], np.cumsum([len(x) for x in ids]))))
+            rows = encoder.round_trip([t or "" for t in part.column(n).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(n)]
-                + [pa.array([len(x) for x in ids], pa.int64()),
-                   pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
-                   pa.array([hashlib.sha256(r).hexdigest() for r in raw])],
+                + [pa.array([k for k, _, _ in rows], pa.int64()),
+                   pa.array([hashlib.sha256(said.encode()).hexdigest() for _, said, _ in rows], pa.string()),
+                   pa.array([hashlib.sha256(raw).hexdigest() for _, _, raw in rows], pa.string())],
                 names=[*batch.schema.names[:n], "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return map_batches(keyed, run, _ids_schema(keyed, n)

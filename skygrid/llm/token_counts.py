@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from skygrid.llm.common import map_batches, text_slices
 
 SLICE_BYTES = 2 << 20
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 
 # The split pattern of byte-level BPE tokenizer files, and the
 # code points that newer Unicode versions class as letters or numbers but the
@@ -79,7 +79,8 @@ class Tokenizer:
         special = {t["content"]: t for t in spec["added_tokens"] if t["special"]}
         self.ids = {as_bytes(s): i for s, i in spec["model"]["vocab"].items() if s not in special}
         self.token = {i: s for s, i in self.ids.items()}
-        self.stems = {s[:i] for s in self.ids for i in range(1, len(s))}     # what a token goes on from
+        # Tokens by their bytes, and what a token goes on from (-1).
+        self.walk = dict.fromkeys((s[:i] for s in self.ids for i in range(1, len(s))), -1) | self.ids
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for n, (a, b) in enumerate(spec["model"]["merges"]):
             left, right = as_bytes(a), as_bytes(b)
@@ -120,20 +121,17 @@ class Tokenizer:
 
     def prefix_counts(self, piece: bytes) -> list[int]:
         """``count[i]``: the tokens of the first ``i`` bytes of a piece."""
-        ids, fits, stems = self.ids.get, self._fits, self.stems
+        walk, fits = self.walk.get, self._fits
         n = len(piece)
         # Tokens by end, longest first: starts in order, as far as some token goes on.
         ending: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
         for start in range(n):
-            end = start + 1
-            while end <= n:
-                part = piece[start:end]
-                t = ids(part)
-                if t is not None:
-                    ending[end].append((start, t))
-                if part not in stems:
+            for end in range(start + 1, n + 1):
+                t = walk(piece[start:end])
+                if t is None:
                     break
-                end += 1
+                if t >= 0:
+                    ending[end].append((start, t))
         last, count = [-1] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
             for start, t in ending[end]:
@@ -165,17 +163,20 @@ class Counter:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer(path)
         self.known: dict[str, tuple[int, ...]] = {}     # by piece: count at each character border
+        self.totals: dict[str, int] = {}                # and its last entry
 
     def _table(self, piece: str) -> tuple[int, ...]:
         table = self.known.get(piece)
         if table is None:
             if len(self.known) >= KEPT_PIECES:
                 self.known.clear()
+                self.totals.clear()
             count = self.tokenizer.prefix_counts(piece.encode())
             if len(count) > len(piece) + 1:      # keep the borders of characters
                 ends = accumulate((1 + (c > "\x7f") + (c > "\u07ff") + (c > "\uffff") for c in piece), initial=0)
                 count = [count[e] for e in ends]
             table = self.known[piece] = tuple(count)
+            self.totals[piece] = table[-1]
         return table
 
     def _parts(self, text: str):
@@ -195,14 +196,27 @@ class Counter:
         """The tokens of the whole text."""
         return sum(self._counted(text)[1])
 
+    def _plain(self, text: str) -> tuple[list[str], list[int]]:
+        """The pieces of a text without special strings, and their tokens."""
+        pieces = self.tokenizer.pieces(text)
+        try:
+            return pieces, list(map(self.totals.__getitem__, pieces))
+        except KeyError:        # some are new
+            found = {p: self._table(p)[-1] for p in set(pieces)}
+            return pieces, list(map(found.__getitem__, pieces))
+
     def measure(self, text: str, limit: int) -> tuple[int, int]:
         """The tokens of the whole text, and the characters of its longest prefix within ``limit``."""
-        parts, counts = self._counted(text)
+        if self.tokenizer.special.search(text):
+            parts, counts = self._counted(text)
+        else:
+            parts, counts = self._plain(text)
         n = sum(counts)
         if n <= limit:
             return n, len(text)
         passed = next(i for i, c in enumerate(accumulate(counts)) if c > limit)
-        return n, Prefixes(self, text, parts[:passed + 4], counts[:passed + 4]).fit(limit)
+        parts = [p if isinstance(p, tuple) else (p, False) for p in parts[:passed + 4]]
+        return n, Prefixes(self, text, parts, counts[:passed + 4]).fit(limit)
 
     def prefixes(self, text: str) -> Prefixes:
         return Prefixes(self, text, *self._counted(text))
