@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -54,7 +55,6 @@ class Vocabulary:
         self.bytes = [self.ranks[bytes([b])] for b in range(256)]
         self.words = [str(i) for i in range(self.size)]
         self.array = pa.array(self.tokens, pa.binary())
-        self.byte_ids = np.array(self.bytes)
         # Every mergeable pair (left << 20 | right) and the token it gives.
         self.merges: dict[int, int] = {}
         for token, i in self.ranks.items():
@@ -62,8 +62,15 @@ class Vocabulary:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     self.merges[a << 20 | b] = i
-        # The same for pairs of single bytes; -1 where nothing merges.
-        self.byte_pairs = np.array([[self.merges.get(a << 20 | b, -1) for b in self.bytes] for a in self.bytes])
+
+    @cached_property
+    def byte_ids(self) -> np.ndarray:
+        return np.array(self.bytes)
+
+    @cached_property
+    def byte_pairs(self) -> np.ndarray:
+        """The token that two single bytes merge to; -1 where nothing merges."""
+        return np.array([[self.merges.get(a << 20 | b, -1) for b in self.bytes] for a in self.bytes])
 
 
 def replay(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...]]:
