@@ -20,14 +20,23 @@ PII_KEY = "skygrid-demo-key"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; rejected ones go."""
+    """Documents whose language is identified; rejected ones go.
+
+    Null and empty texts have no language and go; repeated rows are each kept
+    or not; an empty table stays empty; columns may have any name.
+    """
     dictionaries = langid.learn_dictionaries(docs)
-    marked = langid.identify(docs, dictionaries, [F.col(c) for c in docs.columns])
-    return marked.where("accepted").select(docs.columns)
+    marked = langid.identify(docs, dictionaries, [F.struct(*docs.columns).alias("document")])
+    return marked.where("accepted").select("document.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, the one with the smallest id."""
+    """One document of each SimHash group, the one with the smallest id.
+
+    Texts without words form one group, null and empty ones included; of
+    repeated rows one stays; null ids come last; an empty table stays empty;
+    columns may have any name.
+    """
     return simhash.drop_near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
 
 

@@ -300,14 +300,15 @@ def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     The row with the smallest id represents a group (null ids last); among
     repeated rows with that id, one is kept.
     """
-    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "simdocs")
+    numbered = cut_lineage(docs.select(F.struct(*docs.columns).alias("doc"),
+                                       F.monotonically_increasing_id().alias("row")), "simdocs")
+    doc = F.col("doc")
     prints = cut_lineage(with_fingerprints(numbered.select(
-        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
-                 F.col("__row").alias("row")).alias("id"), F.col(text_col).alias("text")),
-        "text", "id", shingle), "simhash")
+        F.struct(doc[id_col].isNull().alias("none"), doc[id_col].alias("id"), F.col("row")).alias("id"),
+        doc[text_col].alias("text")), "text", "id", shingle), "simhash")
     groups = cut_lineage(prints.groupBy("fingerprint").agg(F.min("id").alias("first")), "simgroups")
     found = _components(groups, max_bits, **tree)
     kept = (groups.join(found, "fingerprint", "left")
             .groupBy(F.coalesce("component", "fingerprint").alias("component"))
-            .agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")))
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+            .agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")))
+    return numbered.join(kept, "row", "left_semi").select("doc.*")
