@@ -306,27 +306,30 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text",
     hits = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), 0))
     has = F.coalesce(F.size(hits) > 0, F.lit(False))
     clean = docs.where(~has)
+    # The row travels in one column: its other columns may have any name.
     found = cut_lineage(docs.where(has).select(
-        "*", F.monotonically_increasing_id().alias("__row"), hits.alias("__hits"),
-        F.split(text, PATTERN, -1).alias("__parts")), "pii")
-    atoms = _atoms(found.select(F.col("__row").alias("row"), F.posexplode("__hits").alias("pos", "hit")))
+        F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), hits.alias("hits"),
+        F.split(text, PATTERN, -1).alias("parts")), "pii")
+    atoms = _atoms(found.select("row", F.posexplode("hits").alias("pos", "hit")))
     typed = atoms.where("type IS NOT NULL")
     drawn = surrogates(typed, key)
     written = typed.join(drawn, ["type", "canonical"]).select(
         "row", "pos", "sub", _in_format(F.col("type"), F.col("surface"), F.col("canonical"),
                                         F.col("surrogate")).alias("new"), F.lit(1).alias("n"))
     kept = atoms.where("type IS NULL").select("row", "pos", "sub", F.col("surface").alias("new"), F.lit(0).alias("n"))
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "sub", "new")))
-    rows = (written.unionByName(kept).groupBy("row")
-            .agg(ordered.alias("news"), F.count_distinct(F.when(F.col("n") == 1, F.col("pos"))).alias("__n"))
-            .select(F.col("row").alias("__row"), "news", "__n"))
     # The words of a name mention follow the first with a space.
-    between = F.transform(F.col("news"), lambda x: F.struct(
-        x["pos"].alias("pos"), F.concat(F.when(x["sub"] > 0, " ").otherwise(""), x["new"]).alias("new")))
-    rebuilt = F.array_join(F.transform(F.col("__parts"), lambda part, i: F.concat(
-        part, F.array_join(F.transform(F.filter(between, lambda x: x["pos"] == i), lambda x: x["new"]), ""))), "")
-    changed = found.join(rows, "__row").withColumn(text_col, rebuilt)
+    spoken = written.unionByName(kept).withColumn("new", F.when(F.col("sub") > 0, F.concat(F.lit(" "), "new"))
+                                                  .otherwise(F.col("new")))
+    # What stands before mention ``pos`` is part ``pos`` of the text; so a text is all of these in order.
+    between = found.select("row", F.posexplode("parts").alias("pos", "new")).select(
+        "row", "pos", F.lit(-1).cast(spoken.schema["sub"].dataType).alias("sub"), "new", F.lit(0).alias("n"))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "sub", "new")))
+    rows = spoken.unionByName(between).groupBy("row").agg(
+        F.array_join(ordered["new"], "").alias("rebuilt"),
+        F.count_distinct(F.when(F.col("n") == 1, F.col("pos"))).alias("mentions"))
+    changed = found.select("row", "doc").join(rows, "row").select(
+        *[(F.col("rebuilt") if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns],
+        *([F.col("mentions").alias(count_col)] if count_col else []))
     if count_col:
-        changed = changed.withColumn(count_col, F.col("__n"))
         clean = clean.withColumn(count_col, F.lit(0).cast("long"))
     return clean.unionByName(changed.select(clean.columns))
