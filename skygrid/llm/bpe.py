@@ -8,6 +8,11 @@ at all its positions at once, and every merge updates the index for the two
 touched neighbours only.  A piece's ids are then reused for all its
 occurrences in the task.
 
+Pieces of up to LONGEST bytes, nearly all there are, keep that index as arrays:
+the rank at every position, searched for the lowest of each piece and updated
+for all pieces at once.  As pieces don't touch each other, each meets its merges
+in the same order as by the lists of positions, which longer pieces use.
+
 Cases
 -----
 * null text: like an empty one, no ids, decoded to no bytes;
@@ -35,11 +40,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.llm.common import map_batches, text_slices
+from skygrid.llm.pairs import PairRanks, grid_of, merge_words, width_classes
 
 SLICE_BYTES = 2 << 20
 # Distinct pieces laid out together, and kept encoded between batches.
 REPLAY_PIECES = 50_000
 KEPT_PIECES = 300_000
+LONGEST = 32
 
 
 class Vocabulary:
@@ -72,9 +79,37 @@ class Vocabulary:
         """The token that two single bytes merge to; -1 where nothing merges."""
         return np.array([[self.merges.get(a << 20 | b, -1) for b in self.bytes] for a in self.bytes])
 
+    @cached_property
+    def pair_ranks(self) -> PairRanks:
+        return PairRanks(np.fromiter(self.merges, np.int64, len(self.merges)),
+                         np.fromiter(self.merges.values(), np.int32, len(self.merges)))
+
+    @cached_property
+    def made(self) -> np.ndarray:
+        """The token a merge of some rank gives: the rank itself."""
+        return np.arange(self.size, dtype=np.int32)
+
 
 def replay(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...]]:
     """The ids of every piece: all merges over all pieces, in rank order."""
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    data, starts = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(lengths) - lengths
+    symbols = vocab.byte_ids[data].astype(np.int32)
+    out: list[tuple[int, ...]] = [()] * len(pieces)
+    for width, some in width_classes(lengths, LONGEST):
+        ids, sizes = merge_words(grid_of(symbols, starts[some], lengths[some], width), vocab.pair_ranks, vocab.made)
+        flat, at = ids.tolist(), 0
+        for i, n in zip(some.tolist(), sizes.tolist(), strict=True):
+            out[i] = tuple(flat[at:at + n])
+            at += n
+    long = np.flatnonzero(lengths > LONGEST).tolist()
+    for i, ids in zip(long, replay_listed(vocab, [pieces[i] for i in long]), strict=True):
+        out[i] = ids
+    return out
+
+
+def replay_listed(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    """The same by lists of positions, in time near linear for pieces of any length."""
     data = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(data)
     symbol = vocab.byte_ids[data].tolist()
