@@ -8,7 +8,8 @@ with the last token of the prefix before ``t``, and
     count[prefix] = count[prefix without t] + 1.
 
 The recurrence runs over the bytes of each distinct piece (match of the split
-pattern); a text's table is the running total over its pieces.  The total,
+pattern), for all new pieces of a batch at once; a text's table is the running
+total over its pieces.  The total,
 whether a limit is passed, and where a budget of tokens runs out are read off
 the table; nothing is encoded again.
 
@@ -30,8 +31,10 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
+from functools import cached_property
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -39,9 +42,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.llm.common import map_batches, text_slices
+from skygrid.llm.pairs import NONE, PairRanks, grid_of, width_classes
 
 SLICE_BYTES = 2 << 20
 KEPT_PIECES = 500_000
+LONGEST = 32        # bytes of pieces whose tables are made together
+TABLED_PIECES = 50_000
 
 # The split pattern of byte-level BPE tokenizer files, and the
 # code points that newer Unicode versions class as letters or numbers but the
@@ -144,6 +150,12 @@ class Tokenizer:
                     break
         return count
 
+    @cached_property
+    def columns(self) -> Columns | None:
+        """The tables of many pieces at once; None where a token has several merges."""
+        made = [t for _, t in self.rank.values()]
+        return Columns(self) if len(set(made)) == len(made) else None
+
     def pieces(self, text: str) -> list[str]:
         """The matches of the split pattern in a text without special strings."""
         try:
@@ -154,6 +166,120 @@ class Tokenizer:
         return self.split.findall(text)
 
 
+class Columns:
+    """The recurrence over many pieces at once, on arrays.
+
+    Whether two tokens are the encoding of their bytes is told by undoing their
+    merges, the later first: at no time may the two tokens at the border have had
+    a merge that came before the one undone.
+    """
+
+    def __init__(self, t: Tokenizer):
+        size = max(t.ids.values()) + 1
+        self.rank = np.full(size, -1, np.int32)
+        self.left, self.right = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        pairs, ranks = [], []
+        for (a, b), (n, made) in t.rank.items():
+            self.rank[made], self.left[made], self.right[made] = n, a, b
+            pairs.append(a << 20 | b)
+            ranks.append(n)
+        self.pair_ranks = PairRanks(np.array(pairs, np.int64), np.array(ranks, np.int32))
+        # Tokens that their own bytes encode to.
+        self.own = self.rank >= 0
+        for s, i in t.ids.items():
+            if len(s) == 1:
+                self.own[i] = True
+        merged = np.flatnonzero(self.rank >= 0)
+        a, b = self.left[merged], self.right[merged]
+        fit = self.fits(a, b, self.rank[merged])
+        while True:
+            own = fit & self.own[a] & self.own[b]
+            if (own == self.own[merged]).all():
+                break
+            self.own[merged] = own
+        # Nodes of the tree of tokens; the inner ones, from 0 (the root), have a row of children.
+        inner = {s for s in (key[:-1] for key in t.walk) if s}
+        node = {b"": 0} | {s: i for i, s in enumerate(inner, 1)}
+        for s in t.walk:
+            node.setdefault(s, len(node))
+        self.inner = len(inner) + 1
+        self.child = np.full((self.inner, 256), -1, np.int32)
+        self.token = np.full(len(node), -1, np.int32)
+        for s, i in t.walk.items():
+            self.child[node[s[:-1]], s[-1]] = node[s]
+            self.token[node[s]] = i
+
+    def fits(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
+        """Whether two tokens, each its own encoding, stay apart (until the merge ``limit``)."""
+        ok = np.ones(len(a), bool)
+        at = np.arange(len(a))
+        if limit is None:
+            limit = np.full(len(a), NONE, np.int32)
+        while len(at):
+            apart = self.pair_ranks(a, b) >= limit
+            ok[at[~apart]] = False
+            ra, rb = self.rank[a], self.rank[b]
+            go = apart & ((ra >= 0) | (rb >= 0))
+            at, a, b, ra, rb = at[go], a[go], b[go], ra[go], rb[go]
+            undo_left = ra > rb
+            limit = np.where(undo_left, ra, rb + 1)
+            a, b = np.where(undo_left, self.right[a], a), np.where(undo_left, b, self.left[b])
+        return ok
+
+    def counts(self, grid: np.ndarray) -> np.ndarray:
+        """``count[row, i]``: the tokens of the first ``i`` bytes of each row (-1 after its end)."""
+        n, width = grid.shape
+        # Every token inside a piece: row, start, end.
+        row, start = (x.astype(np.int32) for x in np.nonzero(grid >= 0))
+        node, end = np.zeros(len(row), np.int32), start.copy()
+        found = []
+        while len(row):
+            byte = grid[row, end]
+            node = self.child[node, byte]
+            end = end + 1
+            token = np.where(node >= 0, self.token[node], -1)
+            some = np.flatnonzero(token >= 0)
+            some = some[self.own[token[some]]]
+            found.append((row[some], start[some], end[some], token[some]))
+            on = (node >= 0) & (node < self.inner) & (end < width)
+            on[on] = grid[row[on], end[on]] >= 0
+            row, start, end, node = row[on], start[on], end[on], node[on]
+        row, start, end, token = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((start, row, end))
+        row, start, token = row[order], start[order], token[order]
+        cuts = np.searchsorted(end[order], np.arange(1, width + 2))
+        last, count = np.full((n, width + 1), -1, np.int32), np.zeros((n, width + 1), np.int32)
+        for e in range(1, width + 1):
+            part = slice(cuts[e - 1], cuts[e])
+            r, s, t = row[part], start[part], token[part]
+            before = last[r, s]
+            ok = s == 0
+            inside = np.flatnonzero((s > 0) & (before >= 0))
+            ok[inside] = self.fits(before[inside], t[inside])
+            r, s, t = r[ok], s[ok], t[ok]
+            r, first = np.unique(r, return_index=True)      # the longest token first
+            last[r, e], count[r, e] = t[first], count[r, s[first]] + 1
+        return count
+
+    def tables(self, pieces: list[str]) -> list[tuple[int, ...] | None]:
+        """The counts at the character borders of each piece; None for a piece above LONGEST bytes."""
+        encoded = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        data, starts = np.frombuffer(b"".join(encoded), np.uint8), np.cumsum(lengths) - lengths
+        out: list[tuple[int, ...] | None] = [None] * len(pieces)
+        for width, some in width_classes(lengths, LONGEST):
+            grid = grid_of(data, starts[some], lengths[some], width)
+            border = np.ones((len(some), width + 1), bool)
+            border[:, :width] = (grid >= 0) & ((grid & 0xC0) != 0x80)
+            border[:, width] = False
+            border[np.arange(len(some)), lengths[some]] = True
+            flat, at = self.counts(grid)[border].tolist(), 0
+            for i, k in zip(some.tolist(), border.sum(1).tolist(), strict=True):
+                out[i] = tuple(flat[at:at + k])
+                at += k
+        return out
+
+
 _CONTRACTION = regex.compile(r"'(re|ve|ll)")
 
 
@@ -179,6 +305,23 @@ class Counter:
             self.totals[piece] = table[-1]
         return table
 
+    def learn(self, pieces: set[str]) -> None:
+        """Make the tables of the new ones among some pieces together."""
+        columns = self.tokenizer.columns
+        if columns is None:
+            return
+        new = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(new) > KEPT_PIECES:
+            self.known.clear()
+            self.totals.clear()
+            new = list(pieces)
+        for at in range(0, len(new), TABLED_PIECES):
+            some = new[at:at + TABLED_PIECES]
+            for piece, table in zip(some, columns.tables(some), strict=True):
+                if table is not None:
+                    self.known[piece] = table
+                    self.totals[piece] = table[-1]
+
     def _parts(self, text: str):
         """``(piece, is a special string)`` in order."""
         at = 0
@@ -196,21 +339,30 @@ class Counter:
         """The tokens of the whole text."""
         return sum(self._counted(text)[1])
 
-    def _plain(self, text: str) -> tuple[list[str], list[int]]:
-        """The pieces of a text without special strings, and their tokens."""
-        pieces = self.tokenizer.pieces(text)
+    def _plain(self, pieces: list[str]) -> list[int]:
+        """The tokens of each piece."""
         try:
-            return pieces, list(map(self.totals.__getitem__, pieces))
+            return list(map(self.totals.__getitem__, pieces))
         except KeyError:        # some are new
             found = {p: self._table(p)[-1] for p in set(pieces)}
-            return pieces, list(map(found.__getitem__, pieces))
+            return list(map(found.__getitem__, pieces))
+
+    def measure_all(self, texts: list[str], limit: int) -> list[tuple[int, int]]:
+        """``measure`` of many texts, whose new pieces are tabled together."""
+        special = self.tokenizer.special.search
+        pieces = [None if special(t) else self.tokenizer.pieces(t) for t in texts]
+        self.learn(set().union(*(p for p in pieces if p)))
+        return [self.measure(t, limit, p) for t, p in zip(texts, pieces, strict=True)]
+
+    def measure(self, text: str, limit: int, pieces: list[str] | None = None) -> tuple[int, int]:
+        """The tokens of the whole text, and the characters of its longest prefix within ``limit``.
 
-    def measure(self, text: str, limit: int) -> tuple[int, int]:
-        """The tokens of the whole text, and the characters of its longest prefix within ``limit``."""
-        if self.tokenizer.special.search(text):
+        ``pieces`` are those of a text without special strings, where they are known.
+        """
+        if pieces is None:
             parts, counts = self._counted(text)
         else:
-            parts, counts = self._plain(text)
+            parts, counts = pieces, self._plain(pieces)
         n = sum(counts)
         if n <= limit:
             return n, len(text)
@@ -291,7 +443,7 @@ def token_counts(docs: DataFrame, path: str, id_cols: list[Column], text_col: st
         c = counter(path)
         for part in text_slices(batch, n, SLICE_BYTES):
             texts = [t or "" for t in part.column(n).to_pylist()]
-            measured = [c.measure(t, limit) for t in texts]
+            measured = c.measure_all(texts, limit)
             totals, fit = [m for m, _ in measured], [f for _, f in measured]
             sizes = pc.binary_length(part.column(n)).fill_null(0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -293,3 +293,41 @@ def test_windows_cover_all_words_and_cut_long_ones():
     covered = {int(w) for w in windows[owner == 2].ravel() if w >= 0}
     assert len(covered) == 40 and (windows[0] == -1).all()
     assert sorted(words.length[windows[owner == 3][0][:3]].tolist()) == [12, 24, 24]
+
+
+def test_words_merged_together_equal_lists_of_positions():
+    vocab = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rnd = random.Random(5)
+    bits = [b"a", b"the", b"ing", b" ", b"\xc3\xa9", b"\xff", b"aaaa", b"\n", b"1", b"ll"]
+    words = [b"".join(rnd.choice(bits) for _ in range(rnd.randint(0, 20))) for _ in range(3000)]
+    words += [b"", b"", b" " * 32, b" " * 33, b"a" * 5000]
+    assert bpe.replay(vocab, words) == bpe.replay_listed(vocab, words)
+    assert bpe.replay(vocab, []) == []
+
+
+def test_prefix_tables_made_together_equal_single_ones():
+    c = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = random.Random(6)
+    bits = ["a", "the", "ing", " ", "é", "日本", "😀", "aaaa", "\n", "1", "'s", "Ж"]
+    pieces = list({"".join(rnd.choice(bits) for _ in range(rnd.randint(1, 12))) for _ in range(3000)})
+    for piece, table in zip(pieces, c.tokenizer.columns.tables(pieces)):
+        counts = c.tokenizer.prefix_counts(piece.encode())
+        ends = [len(piece[:i].encode()) for i in range(len(piece) + 1)]
+        assert (table is None) == (len(piece.encode()) > token_counts.LONGEST)
+        assert table is None or list(table) == [counts[e] for e in ends]
+    assert c.tokenizer.columns.tables([]) == []
+
+
+def test_tokens_apart_by_undoing_merges_equal_encoding():
+    t = token_counts.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd, ids = random.Random(7), sorted(t.token)
+    a, b = (rnd.choices(ids, k=4000) for _ in range(2))
+    apart = t.columns.fits(np.array(a), np.array(b))
+    assert [t.fits(x, y) for x, y in zip(a, b)] == apart.tolist() and not apart.all()
+
+
+def test_texts_measured_together_or_alone():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["", "a" * 400 + " b", "<|endoftext|>x<|endoftext|>", " \n\n  é" * 50, *_texts(60, 8)] * 2
+    alone, together = token_counts.Counter(path), token_counts.Counter(path)
+    assert together.measure_all(texts, 20) == [alone.measure(t, 20) for t in texts]
