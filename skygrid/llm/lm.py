@@ -223,11 +223,21 @@ def learn(texts: DataFrame, text_col: str = "text") -> mixing.Model:
     return model
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit word for each word, every bit of it depending on all of the other's."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class _Words:
-    """64-bit hashes of the words of many texts at once."""
+    """64-bit hashes of the words of many texts at once.
+
+    A byte and its place in the word are mixed into 64 bits, and a word's hash is
+    mixed from their sum: no algebra of its letters makes two words equal.
+    """
 
     def __init__(self):
-        self.power = self.inverse = np.ones(0, np.uint64)
         space = np.zeros(256, bool)
         space[[0x20, *range(0x09, 0x0E)]] = True
         self.space = space
@@ -235,22 +245,19 @@ class _Words:
     def hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """``(hash, text number)`` of every word, in order."""
         data = np.frombuffer(b"\n".join(texts).translate(mixing._LOWER), np.uint8)
-        if len(self.power) <= len(data):
-            for name, base in (("power", _P), ("inverse", pow(_P, -1, 1 << 64))):
-                p = np.full(2 * len(data) + 1, base, np.uint64)
-                p[0] = 1
-                setattr(self, name, np.multiply.accumulate(p))
         word = np.zeros(len(data) + 2, np.int8)
         word[1:-1] = ~self.space[data]
         edges = np.flatnonzero(np.diff(word))
         starts, ends = edges[::2], edges[1::2]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[:len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * self.inverse[starts]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+        letters = np.flatnonzero(word[1:-1])
+        lengths = ends - starts
+        first = np.cumsum(lengths) - lengths
+        place = (np.arange(len(letters)) - np.repeat(first, lengths)).astype(np.uint64)
+        sums = np.zeros(len(letters) + 1, np.uint64)
+        np.cumsum(_mixed((place << np.uint64(8) | data[letters]) * np.uint64(_P) + np.uint64(1)), out=sums[1:])
+        h = _mixed(sums[first + lengths] - sums[first])
         limits = np.cumsum([len(t) + 1 for t in texts])
-        return h ^ (h >> np.uint64(32)), np.searchsorted(limits, starts, side="right")
+        return h, np.searchsorted(limits, starts, side="right")
 
 
 def _chunks(texts: list[bytes], size: int):
