@@ -36,8 +36,8 @@ from skygrid.llm import recurrent
 from skygrid.llm.common import map_batches, text_slices
 from skygrid.llm.decontam import Hasher
 
-# The training sample: about this many whole texts of either label; fewer where
-# they would hold more than about this many characters of a label.
+# The training sample: about this many whole texts of either label.  Where a
+# label's would hold more than about this many characters, fewer of its longest.
 TEXTS_PER_LABEL = 1200
 SAMPLE_CHARS = 12 << 20
 WINDOW, STRIDE = 16, 8
@@ -286,24 +286,49 @@ def train(texts: list[str], labels: np.ndarray, share: float, epochs: int = EPOC
     return net
 
 
+def shares(classes: list[tuple[int, int, int, int]], texts: int, chars: int) -> dict[tuple[int, int], float]:
+    """The share to draw of each ``(label, class)``, from its ``(label, class, rows, characters)``.
+
+    A label's rows have one share, ``texts`` of all of them, as long as they keep
+    within ``chars``.  Else the classes, the smallest demand first, each get what
+    they ask for or an even part of what is left.
+    """
+    out = {}
+    for label in sorted({c[0] for c in classes}):
+        own = [c for c in classes if c[0] == label]
+        even = min(1.0, texts / sum(c[2] for c in own))
+        left = float(chars)
+        for k, (_, at, _, total) in enumerate(sorted(own, key=lambda c: (c[3], c[1]))):
+            given = min(even * total, left / (len(own) - k))
+            out[label, at] = given / total if total else even
+            left -= given
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", texts_per_label: int = TEXTS_PER_LABEL):
     """Train on a bounded, hash-chosen sample of the labelled rows of ``docs``.
 
     The bound is one of rows: a chosen text is learned whole, as its label is
-    the whole text's.
+    the whole text's.  Rows are drawn by classes of length (a power of two
+    characters each), so that very long texts take no short one's place.
     """
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
              .where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label")))
     # Choose by id; the texts themselves are not shuffled.
     known = docs.select(F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).alias("chars")).join(marks, "id")
-    sizes = {r["label"]: (r["n"], r["chars"]) for r in known.groupBy("label").agg(
-        F.count("*").alias("n"), F.sum(F.col("chars").cast("long")).alias("chars")).collect()}
-    counts = {label: n for label, (n, _) in sizes.items()}
+    size = F.ceil(F.log2(F.col("chars") + F.lit(1))).cast("int")
+    classes = known.groupBy("label", size.alias("size")).agg(
+        F.count("*").alias("n"), F.sum(F.col("chars").cast("long")).alias("chars")).collect()    # at most 2 * 32
+    counts: dict[int, int] = {}
+    for r in classes:
+        counts[r["label"]] = counts.get(r["label"], 0) + r["n"]
     if not counts:
         return Constant(0.0)
-    share = {label: min(1.0, texts_per_label / n, SAMPLE_CHARS / max(1, chars)) for label, (n, chars) in sizes.items()}
-    share = F.when(F.col("label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
+    share = F.lit(0.0)
+    for (label, at), p in shares([(r["label"], r["size"], r["n"], r["chars"]) for r in classes],
+                                 texts_per_label, SAMPLE_CHARS).items():
+        share = F.when((F.col("label") == label) & (size == at), p).otherwise(share)
     draw = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(1 << 32)) / float(1 << 32)
     chosen = F.broadcast(known.where(draw < share).select("id", "label").distinct())      # about 2 * texts_per_label rows
     sample = sorted((r["text"], r["label"]) for r in docs.select(

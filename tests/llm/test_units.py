@@ -331,3 +331,31 @@ def test_texts_measured_together_or_alone():
     texts = ["", "a" * 400 + " b", "<|endoftext|>x<|endoftext|>", " \n\n  é" * 50, *_texts(60, 8)] * 2
     alone, together = token_counts.Counter(path), token_counts.Counter(path)
     assert together.measure_all(texts, 20) == [alone.measure(t, 20) for t in texts]
+
+
+def test_words_of_equal_letter_sums_are_counted_apart():
+    word = b"a"
+    for _ in range(10):     # the Thue-Morse word of 1,024 letters, and its complement
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    other = word.translate(bytes.maketrans(b"ab", b"ba"))
+    texts = [word + b" " + other, b"", b"  Ab\tba AB ", other]
+    h, owner = lm._Words().hashes(texts)
+    assert owner.tolist() == [0, 0, 2, 2, 2, 3]
+    assert h[0] != h[1] and h[1] == h[5] and h[2] == h[4] != h[3]
+    assert [len(x) for x in lm._Words().hashes([b""])] == [0, 0]
+    rnd = random.Random(9)
+    words = list({bytes(rnd.choice(b"abc") for _ in range(rnd.randint(1, 9))) for _ in range(20000)})
+    assert len(np.unique(lm._Words().hashes([b" ".join(words)])[0])) == len(words)
+
+
+def test_long_texts_take_no_short_ones_place():
+    mib = 1 << 20
+    # 1,000 short positives beside texts of 12 GiB in all; negatives within the bound.
+    got = toxicity.shares([(1, 10, 1000, 10 ** 6), (1, 30, 12, 12 << 30), (0, 10, 4000, 4 * 10 ** 6)], 1200, 12 * mib)
+    assert got[1, 10] == 1.0 and got[1, 30] * (12 << 30) <= 12 * mib
+    assert got[0, 10] == 0.3
+    assert toxicity.shares([(1, 0, 5, 0)], 1200, 12 * mib) == {(1, 0): 1.0}
+    assert toxicity.shares([], 1200, 12 * mib) == {}
+    many = toxicity.shares([(0, k, 10 ** 6, 10 ** 6 << k) for k in range(30)], 1200, 12 * mib)
+    assert sum(p * (10 ** 6 << k) for (_, k), p in many.items()) <= 12 * mib * 1.001
+    assert max(many.values()) <= 1200 / (30 * 10 ** 6) * 1.001
