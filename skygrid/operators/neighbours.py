@@ -6,8 +6,8 @@ that could hold a partner, so every pair is produced exactly once.  The join
 is a hash/sort-merge join on the block key -- never a nested loop or a cross
 join -- and the exact distance test runs on the candidates only.  A block with
 very many points is a skewed join key; adaptive execution splits such
-partitions (``spark.sql.adaptive.skewJoin.enabled``), and blocks above
-``hot_rows`` points are salted explicitly (see :func:`_salted_join`).
+partitions (``spark.sql.adaptive.skewJoin.enabled``), and blocks with more
+than ``pair_budget`` candidate pairs are salted explicitly (see :func:`_salted_join`).
 """
 
 from __future__ import annotations
