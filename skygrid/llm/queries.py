@@ -36,8 +36,7 @@ def op3_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = fold("doc_id", 7) == 2
-    return lm.score(docs, lm.learn(docs.where(~held_out)), held_out)
+    return lm.learn_and_score(docs, fold("doc_id", 7) == 2)
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

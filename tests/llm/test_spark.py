@@ -353,3 +353,28 @@ def test_nothing_outside_imports_the_subpackage():
             for f in files:
                 if f.endswith(".py"):
                     assert "skygrid.llm" not in open(os.path.join(folder, f)).read()
+
+
+def test_lm_in_many_parts_and_with_one_reading(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_BYTES", 300)
+    rnd = np.random.default_rng(6)
+    texts = [" ".join(rnd.choice(["ab", "cd", "The", "of", "xyz"], 30)) for _ in range(40)] + [None, "", "same", "same"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = F.col("doc_id") % 5 == 1
+    train = [(t or "") for i, t in enumerate(texts) if i % 5 != 1]
+    model = lm.learn(df.where(~held))
+    assert model.parts > 5 and model.learned == sum(len(t) + 1 for t in train)
+    counts = lm.mixing.empty_counts()
+    for t in train:
+        for w, _ in lm.mixing.windows([t.encode()]):
+            counts.add(w, np.ones(len(w), np.int64))
+    whole = lm.mixing.Model.frozen(model.weights, model.map, [counts])
+    apart = {r.doc_id: r for r in lm.score(df, model, held).collect()}
+    # The same parts for both, so that both learn the same weights.
+    monkeypatch.setattr(lm, "_parts_for", lambda *_: model.parts)
+    together = {r.doc_id: r for r in lm.learn_and_score(df, held).collect()}
+    assert sorted(apart) == sorted(together) == list(range(len(texts)))
+    for i, t in enumerate(texts):
+        bits = sum(whole.bits(w).sum() for w, _ in lm.mixing.windows([(t or "").encode()]))
+        assert apart[i].score == pytest.approx(-bits * np.log10(2.0), rel=1e-5)
+        assert apart[i].asDict() == pytest.approx(together[i].asDict(), rel=1e-9)
