@@ -44,6 +44,7 @@ FOLDS = 4
 PART_BYTES = 16 << 20         # bytes of text for each part of the windows
 SLICE_BYTES = 16 << 20
 CHUNK = 3 << 20
+HELD_WINDOWS = 6 << 20        # windows of a slice that are sorted together
 SUM_GROUPS = 16               # rows of learned weights that reach the driver
 WINDOWS, WORDS, TEXTS = 0, 1, 2
 _P = 0xD1342543DE82EF95
@@ -173,14 +174,38 @@ def _chunks(texts: list[bytes], size: int):
         yield start, len(texts)
 
 
+def _runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of some arrays, in order, and how often each is there."""
+    keys = np.concatenate(keys)
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[first], np.diff(first, append=len(keys)).astype(np.uint32)
+
+
 def _slice_windows(texts: list[bytes], fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct windows of a slice, in order, and how often each stands in each fold."""
-    held = [(np.zeros(0, np.uint64), np.zeros((FOLDS, 0), np.uint32))]
+    held, keys, size = [(np.zeros(0, np.uint64), np.zeros(0, np.uint32))], [], 0
+    fold = fold.astype(np.uint8)
     for packed, owner in mixing.windows(texts, CHUNK):
-        values, index = mixing.distinct(packed)
-        n = np.bincount(fold[owner] * len(values) + index, minlength=(FOLDS + 1) * len(values))
-        held.append((values, n.reshape(FOLDS + 1, -1)[:FOLDS].astype(np.uint32)))
-    return _merged(held)
+        # A window leaves 8 bits of a word free: its fold travels there.
+        packed <<= np.uint64(8)
+        packed |= fold[owner]
+        keys.append(packed)
+        size += len(packed)
+        if size >= HELD_WINDOWS:
+            held.append(_runs(keys))
+            keys, size = [], 0
+            if sum(len(v) for v, _ in held) >= HELD_WINDOWS:
+                held = [_merged(held)]
+    if keys:
+        held.append(_runs(keys))
+    keys, n = _merged(held) if len(held) > 2 else held[-1]
+    fold = (keys & np.uint64(255)).astype(np.intp)
+    keys >>= np.uint64(8)
+    new = np.diff(keys, prepend=~keys[:1]) != 0
+    counts = np.zeros((FOLDS + 1, np.count_nonzero(new)), np.uint32)
+    counts[fold, np.cumsum(new) - 1] = n
+    return keys[new], counts[:FOLDS]
 
 
 def _slice_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -439,8 +464,7 @@ def _scored(rows: DataFrame, model: mixing.Model, id_col: str) -> DataFrame:
         data, at = zstandard.ZstdDecompressor().decompress(left["data"][0].as_py()), np.cumsum(sizes).tolist()
         texts = [data[e - n:e] for e, n in zip(at, sizes.tolist(), strict=True)]
         n = len(texts)
-        held = [mixing.distinct(packed)[0] for packed, _ in mixing.windows(texts, CHUNK)]
-        values = np.unique(np.concatenate(held))
+        values, _ = _slice_windows(texts, np.zeros(n, np.uint8))
         cost = np.empty(len(values), np.float32)
         cost[_dealt(values, parts)[0]] = np.concatenate([_from_rounded(b) for b in found[WINDOWS]["found"].to_pylist()])
         bits = np.zeros(n)
