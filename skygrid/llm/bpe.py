@@ -30,7 +30,6 @@ import base64
 import hashlib
 import heapq
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +38,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import map_batches, text_slices
+from skygrid.llm.common import map_batches, row_slices, text_slices
 from skygrid.llm.pairs import PairRanks, grid_of, merge_words, width_classes
 
 SLICE_BYTES = 2 << 20
+SLICE_IDS = 1 << 18           # ids decoded together
 # Distinct pieces laid out together, and kept encoded between batches.
 REPLAY_PIECES = 50_000
 KEPT_PIECES = 300_000
+GRID_PLACES = 1 << 17         # bytes of pieces merged together
 LONGEST = 32
 
 
@@ -60,15 +61,27 @@ class Vocabulary:
         for token, i in self.ranks.items():
             self.tokens[i] = token
         self.bytes = [self.ranks[bytes([b])] for b in range(256)]
-        self.words = [str(i) for i in range(self.size)]
-        self.array = pa.array(self.tokens, pa.binary())
-        # Every mergeable pair (left << 20 | right) and the token it gives.
-        self.merges: dict[int, int] = {}
+
+    # A worker that only encodes or only decodes makes only the tables it uses.
+
+    @cached_property
+    def words(self) -> list[str]:
+        return [str(i) for i in range(self.size)]
+
+    @cached_property
+    def array(self) -> pa.Array:
+        return pa.array(self.tokens, pa.binary())
+
+    @cached_property
+    def merges(self) -> dict[int, int]:
+        """Every mergeable pair (left << 20 | right) and the token it gives."""
+        pairs = {}
         for token, i in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    self.merges[a << 20 | b] = i
+                    pairs[a << 20 | b] = i
+        return pairs
 
     @cached_property
     def byte_ids(self) -> np.ndarray:
@@ -92,19 +105,26 @@ class Vocabulary:
 
 def replay(vocab: Vocabulary, pieces: list[bytes]) -> list[tuple[int, ...]]:
     """The ids of every piece: all merges over all pieces, in rank order."""
+    return [tuple(np.frombuffer(ids, np.int32).tolist()) for ids in replay_packed(vocab, pieces)]
+
+
+def replay_packed(vocab: Vocabulary, pieces: list[bytes]) -> list[bytes]:
+    """The same, a piece's ids as 32-bit numbers in one string."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     data, starts = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(lengths) - lengths
     symbols = vocab.byte_ids[data].astype(np.int32)
-    out: list[tuple[int, ...]] = [()] * len(pieces)
-    for width, some in width_classes(lengths, LONGEST):
-        ids, sizes = merge_words(grid_of(symbols, starts[some], lengths[some], width), vocab.pair_ranks, vocab.made)
-        flat, at = ids.tolist(), 0
-        for i, n in zip(some.tolist(), sizes.tolist(), strict=True):
-            out[i] = tuple(flat[at:at + n])
-            at += n
+    out = [b""] * len(pieces)
+    for width, whole in width_classes(lengths, LONGEST):
+        rows = GRID_PLACES // width
+        for some in (whole[i:i + rows] for i in range(0, len(whole), rows)):
+            ids, sizes = merge_words(grid_of(symbols, starts[some], lengths[some], width), vocab.pair_ranks, vocab.made)
+            flat, at = ids.astype(np.int32).tobytes(), 0
+            for i, n in zip(some.tolist(), (4 * sizes).tolist(), strict=True):
+                out[i] = flat[at:at + n]
+                at += n
     long = np.flatnonzero(lengths > LONGEST).tolist()
     for i, ids in zip(long, replay_listed(vocab, [pieces[i] for i in long]), strict=True):
-        out[i] = ids
+        out[i] = np.array(ids, np.int32).tobytes()
     return out
 
 
@@ -180,7 +200,7 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.vocab, self.split = Vocabulary(path), regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}   # ids as 32-bit numbers: a third of the memory of tuples
         self.often: set[str] = set()        # pieces met in more than one batch
 
     def learn(self, texts: list[str]) -> list[list[str]]:
@@ -195,13 +215,17 @@ class Encoder:
             self.often = set()
         for at in range(0, len(new), REPLAY_PIECES):
             some = new[at:at + REPLAY_PIECES]
-            self.known.update(zip(some, replay(self.vocab, [p.encode() for p in some]), strict=True))
+            self.known.update(zip(some, replay_packed(self.vocab, [p.encode() for p in some]), strict=True))
         return pieces
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as 32-bit numbers in one string."""
         pieces = self.learn(texts)
         get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, p))) for p in pieces]
+        return [b"".join(map(get, p)) for p in pieces]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, np.int32).tolist() for ids in self.encode_packed(texts)]
 
     def round_trip(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """Per text: the number of ids, the ids as decimal text, and the bytes they decode to."""
@@ -248,9 +272,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_cols: list[Column], text
     def run(batch: pa.RecordBatch):
         encoder = _encoder(path, pattern)
         for part in text_slices(batch, n, SLICE_BYTES):
-            ids = encoder.encode([t or "" for t in part.column(n).to_pylist()])
+            ids = encoder.encode_packed([t or "" for t in part.column(n).to_pylist()])
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column(i) for i in range(n)] + [pa.array(ids, pa.list_(pa.int32()))],
+                [part.column(i) for i in range(n)] + [pa.ListArray.from_arrays(pa.array(ends), flat)],
                 names=[*batch.schema.names[:n], "ids"])
 
     return map_batches(keyed, run, _ids_schema(keyed, n) + ", ids array<int>")
@@ -262,14 +288,16 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_cols: list[Column], i
     n = len(id_cols)
 
     def run(batch: pa.RecordBatch):
-        column = batch.column(n)
-        tokens = _encoder(path, pattern).decode(column.flatten())
-        sizes = np.asarray(pc.list_value_length(column).fill_null(0))
-        rows = _joined(tokens, np.concatenate(([0], np.cumsum(sizes))))
-        null = column.is_null().to_pylist()
-        out = pa.array([None if gone else r for gone, r in zip(null, rows, strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(n)] + [out],
-                                         names=[*batch.schema.names[:n], "bytes"])
+        lengths = pc.list_value_length(batch.column(n)).fill_null(0).to_pylist()
+        for part in row_slices(batch, lengths, SLICE_IDS):
+            column = part.column(n)
+            tokens = _encoder(path, pattern).decode(column.flatten())
+            sizes = np.asarray(pc.list_value_length(column).fill_null(0))
+            rows = _joined(tokens, np.concatenate(([0], np.cumsum(sizes))))
+            null = column.is_null().to_pylist()
+            out = pa.array([None if gone else r for gone, r in zip(null, rows, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(i) for i in range(n)] + [out],
+                                             names=[*batch.schema.names[:n], "bytes"])
 
     return map_batches(keyed, run, _ids_schema(keyed, n) + ", bytes binary")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skygrid.session import cut_lineage, fresh_dir
 
-__all__ = ["bound_batches", "cut_lineage", "fresh_dir", "fold", "map_batches", "table", "text_slices"]
+__all__ = ["bound_batches", "cut_lineage", "fresh_dir", "fold", "map_batches", "row_slices", "table", "text_slices"]
 
 # Bytes of an Arrow batch handed to Python: with whole documents in a row, the
 # default of 64 MB costs several times as much in the JVM and the worker.
@@ -50,11 +50,14 @@ def text_slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[
     A row is never cut: a single text longer than ``max_bytes`` is a range of
     its own.
     """
+    return row_slices(batch, [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()], max_bytes)
+
+
+def row_slices(batch: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into row ranges of about ``most`` by the rows' ``sizes``; a larger row is a range of its own."""
     start, held = 0, 0
-    sizes = pc.binary_length(batch.column(column)).to_pylist()
     for i, n in enumerate(sizes):
-        n = n or 0
-        if held and held + n > max_bytes:
+        if held and held + n > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n

@@ -1,6 +1,7 @@
 """The operators' local parts against the tokenizer libraries and brute force."""
 
 import random
+import sys
 import unicodedata
 
 import numpy as np
@@ -305,6 +306,30 @@ def test_words_merged_together_equal_lists_of_positions():
     assert bpe.replay(vocab, []) == []
 
 
+def test_known_pieces_and_tables_stay_small():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    e = bpe.Encoder(path, public_tokenizers.PATTERN)
+    texts = _texts(400, 8)
+    ids = e.encode(texts)
+    n = sum(map(len, bpe.replay(e.vocab, [piece.encode() for piece in e.known])))
+    assert sum(map(sys.getsizeof, e.known.values())) <= 36 * len(e.known) + 4 * n
+    assert [np.frombuffer(x, np.int32).tolist() for x in e.encode_packed(texts)] == ids
+    # A worker that decodes makes no tables of merges.
+    import pyarrow as pa
+    d = bpe.Encoder(path, public_tokenizers.PATTERN)
+    d.decode(pa.array([1, 2, 3], pa.int64()))
+    assert not {"merges", "pair_ranks", "words", "byte_pairs"} & set(vars(d.vocab))
+
+
+def test_rows_are_cut_by_their_sizes():
+    import pyarrow as pa
+    from skygrid.llm.common import row_slices
+    batch = pa.record_batch([pa.array(range(7))], ["i"])
+    parts = [p.column(0).to_pylist() for p in row_slices(batch, [1, 2, 9, 0, 3, 1, 1], 3)]
+    assert parts == [[0, 1], [2], [3, 4], [5, 6]]
+    assert list(row_slices(batch.slice(0, 0), [], 3)) == []
+
+
 def test_prefix_tables_made_together_equal_single_ones():
     c = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"))
     rnd = random.Random(6)
