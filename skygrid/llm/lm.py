@@ -208,6 +208,36 @@ def _slice_windows(texts: list[bytes], fold: np.ndarray) -> tuple[np.ndarray, np
     return keys[new], counts[:FOLDS]
 
 
+def _window_costs(texts: list[bytes], cost_of) -> np.ndarray:
+    """For each text the sum of its windows' costs; ``cost_of(distinct windows in order)`` gives theirs.
+
+    The windows are read once: of each chunk its distinct windows are kept, and
+    the place of every window among them.  Texts of more than two slices' bytes,
+    one long text for instance, are read twice, in memory for a chunk.
+    """
+    n = len(texts)
+    bits = np.zeros(n)
+    if sum(map(len, texts)) + n > 2 * SLICE_BYTES:
+        values, _ = _slice_windows(texts, np.zeros(n, np.uint8))
+        cost = cost_of(values)
+        for packed, owner in mixing.windows(texts, CHUNK):
+            some, index = mixing.distinct(packed)
+            bits += np.bincount(owner, cost[np.searchsorted(values, some)][index], n)
+        return bits
+    held, chunks = [np.zeros(0, np.uint64)], []
+    for packed, owner in mixing.windows(texts, CHUNK):
+        some, index = mixing.distinct(packed)
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        chunks.append((index, owner[first], np.diff(first, append=len(owner))))
+        held.append(some)
+    values, back = np.unique(np.concatenate(held), return_inverse=True)
+    cost, at = cost_of(values)[back], 0
+    for (index, owner, often), some in zip(chunks, held[1:], strict=True):
+        bits += np.bincount(np.repeat(owner, often), cost[at:at + len(some)][index], n)
+        at += len(some)
+    return bits
+
+
 def _slice_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(distinct hashes in order, index of each word among them, text number of each word)``."""
     hasher, hashes, owners = _Words(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -464,13 +494,12 @@ def _scored(rows: DataFrame, model: mixing.Model, id_col: str) -> DataFrame:
         data, at = zstandard.ZstdDecompressor().decompress(left["data"][0].as_py()), np.cumsum(sizes).tolist()
         texts = [data[e - n:e] for e, n in zip(at, sizes.tolist(), strict=True)]
         n = len(texts)
-        values, _ = _slice_windows(texts, np.zeros(n, np.uint8))
-        cost = np.empty(len(values), np.float32)
-        cost[_dealt(values, parts)[0]] = np.concatenate([_from_rounded(b) for b in found[WINDOWS]["found"].to_pylist()])
-        bits = np.zeros(n)
-        for packed, owner in mixing.windows(texts, CHUNK):
-            some, index = mixing.distinct(packed)
-            bits += np.bincount(owner, cost[np.searchsorted(values, some)][index], n)
+
+        def cost_of(values):
+            cost = np.empty(len(values), np.float32)
+            cost[_dealt(values, parts)[0]] = np.concatenate([_from_rounded(b) for b in found[WINDOWS]["found"].to_pylist()])
+            return cost
+        bits = _window_costs(texts, cost_of)
         _, index, owners = _slice_words(texts)
         known = np.concatenate([np.zeros(0), *[_from_planes(b, k) for k, b in zip(
             found[WORDS]["n"].to_pylist(), found[WORDS]["found"].to_pylist(), strict=True)]])

@@ -264,6 +264,25 @@ def test_merged_windows():
     assert np.array_equal(back, values) and np.array_equal(m, n)
 
 
+@pytest.mark.parametrize("slice_bytes, readings", [(1 << 20, 1), (50, 2)])
+def test_scoring_reads_the_windows_of_a_slice_once(monkeypatch, slice_bytes, readings):
+    calls = []
+
+    def counted(*args):
+        calls.append(1)
+        return read(*args)
+    read = mixing.windows
+    monkeypatch.setattr(mixing, "windows", counted)
+    monkeypatch.setattr(lm, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(lm, "CHUNK", 64)
+    texts = [t.encode() for t in _texts(30, 9)] + [b"", b"ab" * 90]
+    got = lm._window_costs(texts, lambda values: (values % np.uint64(1009)).astype(np.float32))
+    assert len(calls) == readings
+    want = [sum(int(w) % 1009 for p, _ in read([t]) for w in p) for t in texts]
+    assert got.tolist() == want
+    assert lm._window_costs([], lambda values: values.astype(np.float32)).tolist() == []
+
+
 def test_recurrent_gradients():
     rng = np.random.default_rng(9)
     p = {k: v.astype(np.float64) for k, v in recurrent.init_layer(rng, 3, 2, 2).items()}
