@@ -77,13 +77,19 @@ def read_checked_sources(spark: SparkSession, path: str, fields=(SOURCE_ID, OBJE
     """
     from skygrid.operators.positions import reject_reason
     names = SOURCE_SCHEMA.fieldNames()
-    tokens = spark.read.text(path).where(F.btrim("value", F.lit(_BLANKS)) != "").select(
-        F.split("value", DELIMITER, -1).alias("token")).withColumn("n_fields", F.size("token"))
+    # A line is split once, as far as the last field asked for.  The fields come
+    # out of a generator, since a filter on a verdict would otherwise be pushed
+    # below the split, which then runs for every mention of a field in it.
+    lines = spark.read.text(path).where(F.btrim("value", F.lit(_BLANKS)) != "")
+    last = max((names.index(c) for c in fields), default=0)
+    tokens = lines.select(
+        (F.length("value") - F.length(F.replace("value", F.lit(DELIMITER), F.lit(""))) + 1).alias("n_fields"),
+        F.split("value", DELIMITER, last + 2).alias("token"))
 
     def text(c: str) -> Column:
         token = F.btrim(F.get("token", F.lit(names.index(c))), F.lit(_BLANKS))
         return F.when(token != NULL_TOKEN, token)
-    raw = tokens.select("n_fields", *[text(c).alias(f"{c}_text") for c in fields])
+    raw = tokens.select("n_fields", F.inline(F.array(F.struct(*[text(c).alias(f"{c}_text") for c in fields]))))
     typed = raw.select("*", *[F.col(f"{c}_text").try_cast(SOURCE_SCHEMA[c].dataType).alias(c) for c in fields])
 
     def reason(c: str) -> Column:

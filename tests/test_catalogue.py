@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from conftest import OBJECT_SAMPLE, SOURCE_SAMPLE
 from skygrid.operators.summary import (bounding_zone, bounding_zone_wrapped, count_by_object,
                                        count_lines_containing, object_extent, zone_description)
-from skygrid.sources.catalogue import (read_lines, read_objects, read_sources, source_lines,
+from skygrid.sources.catalogue import (read_checked_sources, read_lines, read_objects, read_sources, source_lines,
                                        write_source_files)
-from skygrid.sources.schema import OBJECT_SCHEMA, position, SOURCE_SCHEMA
+from skygrid.sources.schema import OBJECT_ID, OBJECT_SCHEMA, position, SOURCE_ID, SOURCE_SCHEMA
 from skygrid.session import fresh_dir
 
 
@@ -226,3 +226,21 @@ def test_triangles_of_the_sphere(spark):
     assert deep.where(ancestor(F.col("deep"), 3, 7) != F.col("htm_id")).count() == 0
     with pytest.raises(ValueError):
         with_htm(df, 11, "a", "d")
+
+
+def test_checked_lines_are_split_once(spark, tmp_path):
+    """A filter on the verdict must not be pushed below the split of the line."""
+    path = str(tmp_path / "lines")
+    n = len(SOURCE_SCHEMA)
+    rows = [["1", "NULL", "2", "7", "NULL", "3", "1.5", "NULL", "0.1", "-2.5"] + ["NULL"] * (n - 10),
+            ["2", "NULL", "2", "x7", "NULL", "3", "1.5", "NULL", "0.1", "-2.5"] + ["NULL"] * (n - 9),
+            ["3", "NULL", "2", "7", "NULL", "3", "abc"]]
+    spark.createDataFrame([(",".join(r),) for r in rows], "value string").coalesce(1).write.text(path)
+    checked = read_checked_sources(spark, path)
+    got = {r[SOURCE_ID]: (r[OBJECT_ID], r["reject"], [(e.field, e.reason) for e in r["errors"]]) for r in checked.collect()}
+    assert got == {1: (7, None, []), 2: (None, "objectId malformed", [("objectId", "malformed"), ("line", "long")]),
+                   3: (7, "RA malformed", [("ra", "malformed"), ("decl", "missing"), ("line", "short")])}
+    good = checked.where(F.col("reject").isNull()).select(OBJECT_ID)
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1, plan
+    assert [r[0] for r in good.collect()] == [7]
