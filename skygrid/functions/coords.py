@@ -51,16 +51,18 @@ def zone_text(min_ra, max_ra, min_decl, max_decl) -> Column:
                            _c(min_ra), _c(max_ra), _c(min_decl), _c(max_decl))
 
 
-def haversine_term(ra1, decl1, ra2, decl2) -> Column:
+def haversine_term(ra1, decl1, ra2, decl2, cos1=None, cos2=None) -> Column:
     """``hav(angular separation)`` of two positions given in degrees.
 
     Comparing this term with :func:`haversine_threshold` avoids an ``asin``
-    per pair; the comparison is monotone in the separation.
+    per pair; the comparison is monotone in the separation.  Columns that hold
+    the cosines of both Decl already may be given.
     """
     r1, d1, r2, d2 = (F.radians(_c(c)) for c in (ra1, decl1, ra2, decl2))
     s_dec = F.sin((d2 - d1) / F.lit(2.0))
     s_ra = F.sin((r2 - r1) / F.lit(2.0))
-    return s_dec * s_dec + F.cos(d1) * F.cos(d2) * s_ra * s_ra
+    c1, c2 = (F.cos(d) if c is None else _c(c) for c, d in ((cos1, d1), (cos2, d2)))
+    return s_dec * s_dec + c1 * c2 * s_ra * s_ra
 
 
 def haversine_threshold(eps_deg: float) -> float:

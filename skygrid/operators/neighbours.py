@@ -25,6 +25,8 @@ from skygrid.sources.schema import DECL, RA, SOURCE_ID
 # Block sides are widened by this relative margin so rounding in ``x / side``
 # can never separate two points closer than eps by more than one block.
 _SLACK = 1.0 + 1e-9
+# More than rounding takes from a difference of two coordinates, degrees.
+_ROUNDING = 1e-12
 
 # Planar half neighbourhood: for any block offset D other than (0, 0),
 # exactly one of D and -D is listed.
@@ -180,7 +182,8 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     nb0, b0, nb1, b1 = F.col("_nb0"), F.col("_b0"), F.col("_nb1"), F.col("_b1")
     near = lambda gap, bound: gap < bound * F.lit(_SLACK)
     # Base rows: the point's own zone pair (z, z+1), block in that pair's width.
-    base = pts.select("_id", "_ra", "_dec", F.col("_z").alias("_zp"), b0.alias("_b"))
+    base = pts.select("_id", "_ra", "_dec", F.cos(F.radians("_dec")).alias("_cos"), F.col("_z").alias("_zp"),
+                      b0.alias("_b"), (F.col("_a0") * F.lit(_SLACK) + F.lit(_ROUNDING)).alias("_alpha"))
     # Probes, all from one expansion of the point.  Same zone: its own block
     # always, the block to the left when the point is within alpha of that
     # edge.  Zone below, only within eps of this zone's lower edge: own block,
@@ -196,12 +199,19 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
             (F.col("_z") - 1, b1, False, low),
             (F.col("_z") - 1, F.pmod(b1 - 1, nb1), False, low & (nb1 > 1) & near(F.col("_gl1"), F.col("_a1"))),
             (F.col("_z") - 1, F.pmod(b1 + 1, nb1), False, low & (nb1 > 1) & near(F.col("_gr1"), F.col("_a1"))))])
-    probe = (pts.select("_id", "_ra", "_dec", F.explode(probes).alias("_o")).where(F.col("_o.ok"))
+    probe = (pts.select("_id", "_ra", "_dec", F.cos(F.radians("_dec")).alias("_cos"), F.explode(probes).alias("_o"))
+             .where(F.col("_o.ok"))
              .select(F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
+                     F.col("_cos").alias("_cos2"),
                      F.col("_o.zp").alias("_zp"), F.col("_o.b").alias("_b"), F.col("_o.d0").alias("_d0")))
     # Within one block of one zone each pair meets twice: keep one orientation.
-    h = haversine_term("_ra", "_dec", "_ra2", "_dec2")
+    # Most candidates are too far apart in one coordinate alone: those are left
+    # out by a comparison, and the distance is computed for the others only.
+    h = haversine_term("_ra", "_dec", "_ra2", "_dec2", "_cos", "_cos2")
+    gap = F.abs(F.col("_ra2") - F.col("_ra"))
     return (_salted_join(base, probe, ["_zp", "_b"], "_id", "_id2", pair_budget)
             .where((~F.col("_d0") | (F.col("_id") < F.col("_id2")))
+                   & (F.abs(F.col("_dec2") - F.col("_dec")) <= F.lit(eps * _SLACK + _ROUNDING))
+                   & ((gap <= F.col("_alpha")) | (gap >= F.lit(360.0) - F.col("_alpha")))
                    & (h < F.lit(haversine_threshold(eps))))
             .select(*_pair_columns("_id", "_id2")))

@@ -16,6 +16,7 @@ from skygrid.operators.summary import zone_of
 from skygrid.plans import jobs
 from skygrid.session import fresh_dir
 from skygrid.sources.catalogue import read_lines, sky, write_source_files
+from skygrid.sources.schema import DECL, RA, SOURCE_ID
 from skygrid.sources.sinks import input_size, min_cells_from_size, read_by_cell, write_by_cell
 
 
@@ -201,3 +202,14 @@ def test_sink_by_stripe_reads_back(spark):
     write_by_cell(rows, path, keys=("stripe",))
     back = read_by_cell(spark, path, keys=("stripe",))
     assert sorted(back.groupBy("stripe").count().collect()) == sorted(rows.groupBy("stripe").count().collect())
+
+
+def test_sphere_pairs_compare_coordinates_before_distances(spark):
+    """Distances are computed for candidates close in both coordinates only, with each row's cosine made once."""
+    rows = [(1, 359.99, 0.0), (2, 0.005, 0.0), (3, 0.005, 0.0199), (4, 10.0, 89.9999), (5, 190.0, 89.9999),
+            (6, 40.0, -60.0), (7, 40.0399, -60.0), (8, 40.0, -60.0), (9, 40.0401, -60.0)]
+    pairs = neighbour_pairs_sphere(spark.createDataFrame(rows, f"{SOURCE_ID} long, {RA} double, {DECL} double"), 0.02)
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2), (2, 3), (4, 5), (6, 7), (6, 8), (7, 8), (7, 9)}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "COS(" not in join.upper() and "abs(" in join and join.index("abs(") < join.upper().index("SIN("), join
