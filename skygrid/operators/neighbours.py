@@ -27,6 +27,8 @@ from skygrid.sources.schema import DECL, RA, SOURCE_ID
 _SLACK = 1.0 + 1e-9
 # More than rounding takes from a difference of two coordinates, degrees.
 _ROUNDING = 1e-12
+# Degrees below which blocks of the sphere get no smaller: their number stays within 64 bits.
+_FINEST = 1e-6
 
 # Planar half neighbourhood: for any block offset D other than (0, 0),
 # exactly one of D and -D is listed.
@@ -51,6 +53,8 @@ def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], base_id: st
     Every (base, probe) pair still meets exactly once, and the work of one
     key, wherever the points are, is bounded.  The join is an ordinary one on
     (keys, salts), so adaptive execution sizes it and splits what skew is left.
+    It is a merge join at any size: the work is that of the pairs, and a
+    broadcast would leave it to as few tasks as the input has splits.
     """
     pairs = cut_lineage(
         base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nbase"))
@@ -62,7 +66,7 @@ def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], base_id: st
         pairs = pairs.where(F.col("_nbase").cast("double") * F.col("_nprobe") > pair_budget)
         n_hot = pairs.count()
     if n_hot == 0:
-        return base.join(probe, keys)
+        return base.join(probe.hint("merge"), keys)
     # Sub-blocks about as many rows high as wide.
     side = F.lit(float(pair_budget) ** 0.5)
     hot = F.broadcast(pairs.select(*keys, F.ceil(F.col("_nbase") / side).cast("int").alias("_sb"),
@@ -75,7 +79,7 @@ def _salted_join(base: DataFrame, probe: DataFrame, keys: list[str], base_id: st
                 .withColumn(spread, F.explode(F.sequence(F.lit(0), other_n - 1))).drop("_sb", "_sp"))
 
     return (salted(base, base_id, "_sb", "_sp", "_u", "_v")
-            .join(salted(probe, probe_id, "_sp", "_sb", "_v", "_u"), [*keys, "_u", "_v"]).drop("_u", "_v"))
+            .join(salted(probe, probe_id, "_sp", "_sb", "_v", "_u").hint("merge"), [*keys, "_u", "_v"]).drop("_u", "_v"))
 
 
 def _pair_columns(a: str, b: str) -> list[Column]:
@@ -155,11 +159,13 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     """
     if eps <= 0:
         raise ValueError("eps must be positive")
-    # Zones two eps tall and RA blocks at least two alphas wide: a point is
-    # probed into the zone below / a side block only when it lies within
-    # eps of the zone's lower edge / within alpha of that block edge (lower
-    # bounds on the separation from any partner there).
-    height = 2.0 * eps * _SLACK
+    # Zones eps tall and RA blocks at least alpha wide: a partner lies in the
+    # point's own block or one next to it.  Pairs grow faster than rows, so
+    # blocks are no larger: twice the side would test twice the candidates.
+    # A point is probed into a block at a corner only when it lies close
+    # enough to it (a lower bound on the separation from any partner there).
+    reach = max(eps, _FINEST)
+    height = reach * _SLACK
     ra_u = F.when(F.col(ra) < 0, F.col(ra) + F.lit(360.0)).otherwise(F.col(ra))
     pts = require_positions(points, ra, decl).select(F.col(id_col).alias("_id"), ra_u.alias("_ra"), F.col(decl).alias("_dec"),
                         F.floor((F.col(decl) + F.lit(90.0)) / F.lit(height)).alias("_z"))
@@ -167,9 +173,9 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     def with_blocks(df: DataFrame, zone_col: Column, tag: str) -> DataFrame:
         # Per zone pair: alpha, block count, block, and gaps to the block's
         # left/right edges -- computed once per row in a projection.
-        alpha = _zone_alpha(zone_col, height, eps)
+        alpha = _zone_alpha(zone_col, height, reach)
         df = df.withColumn(f"_a{tag}", alpha)
-        nb = F.floor(F.lit(360.0) / (F.col(f"_a{tag}") * F.lit(2.0 * _SLACK))).cast("bigint")
+        nb = F.floor(F.lit(360.0) / (F.col(f"_a{tag}") * F.lit(_SLACK))).cast("bigint")
         df = df.withColumn(f"_nb{tag}", F.when(nb < 3, F.lit(1).cast("bigint")).otherwise(nb))
         width = F.lit(360.0) / F.col(f"_nb{tag}").cast("double")
         df = df.withColumn(f"_k{tag}", F.floor(F.col("_ra") / width))
@@ -181,37 +187,56 @@ def neighbour_pairs_sphere(points: DataFrame, eps: float, id_col: str = SOURCE_I
     pts = with_blocks(pts, F.col("_z") - 1, "1")
     nb0, b0, nb1, b1 = F.col("_nb0"), F.col("_b0"), F.col("_nb1"), F.col("_b1")
     near = lambda gap, bound: gap < bound * F.lit(_SLACK)
+    # Zone and block in one number: rows are sorted by it alone, in linear time.
+    block_key = lambda zone, b: zone * F.lit(math.ceil(360.0 / reach) + 1) + b
+    threshold, square = haversine_threshold(eps), lambda c: c * c
+    # 4 hav in squared degrees: a pair below ``sure`` is close, since a sine is at
+    # most its angle; one above ``_far`` of its zone pair is not, since the sine of
+    # half an angle x is at least x/2 * sqrt(1 - x * x / 12).  Only pairs
+    # between the two need the sines themselves.
+    sure = 4.0 * threshold * math.degrees(1.0) ** 2
+    margin = 1e-9 + 4.0 * _ROUNDING / eps   # of rounding, relative
+    widest = F.radians(F.greatest(F.col("_a0"), F.lit(eps)))
+    far = F.when(widest < F.lit(1.0), F.lit(sure * (1.0 + margin)) / (F.lit(1.0) - square(widest) / F.lit(12.0))).otherwise(
+        F.lit(math.inf))
     # Base rows: the point's own zone pair (z, z+1), block in that pair's width.
-    base = pts.select("_id", "_ra", "_dec", F.cos(F.radians("_dec")).alias("_cos"), F.col("_z").alias("_zp"),
-                      b0.alias("_b"), (F.col("_a0") * F.lit(_SLACK) + F.lit(_ROUNDING)).alias("_alpha"))
+    base = pts.select("_id", "_ra", "_dec", F.cos(F.radians("_dec")).alias("_cos"),
+                      block_key(F.col("_z"), b0).alias("_k"), (F.col("_a0") * F.lit(_SLACK) + F.lit(_ROUNDING)).alias("_alpha"),
+                      far.alias("_far"))
     # Probes, all from one expansion of the point.  Same zone: its own block
     # always, the block to the left when the point is within alpha of that
     # edge.  Zone below, only within eps of this zone's lower edge: own block,
-    # and the side blocks within alpha.  With one RA block the side blocks are
-    # the block itself; with three or more the candidates are distinct.
+    # and a side block when the point lies in the ellipse of eps and alpha
+    # around their corner.  With one RA block the side blocks are the block
+    # itself; with three or more the candidates are distinct.
     to_lower = F.col("_dec") - (F.col("_z") * F.lit(height) - F.lit(90.0))
-    low = near(to_lower, F.lit(eps))
+    low = near(to_lower, F.lit(reach))
+    corner = lambda gap: near(square(to_lower / F.lit(reach)) + square(gap / F.col("_a1")), F.lit(1.0 + margin))
     probes = F.array(*[
-        F.struct(zone.alias("zp"), b.alias("b"), F.lit(own).alias("d0"), ok.alias("ok"))
+        F.struct(block_key(zone, b).alias("k"), F.lit(own).alias("d0"), ok.alias("ok"))
         for zone, b, own, ok in (
             (F.col("_z"), b0, True, F.lit(True)),
             (F.col("_z"), F.pmod(b0 - 1, nb0), False, (nb0 > 1) & near(F.col("_gl0"), F.col("_a0"))),
             (F.col("_z") - 1, b1, False, low),
-            (F.col("_z") - 1, F.pmod(b1 - 1, nb1), False, low & (nb1 > 1) & near(F.col("_gl1"), F.col("_a1"))),
-            (F.col("_z") - 1, F.pmod(b1 + 1, nb1), False, low & (nb1 > 1) & near(F.col("_gr1"), F.col("_a1"))))])
+            (F.col("_z") - 1, F.pmod(b1 - 1, nb1), False, low & (nb1 > 1) & corner(F.col("_gl1"))),
+            (F.col("_z") - 1, F.pmod(b1 + 1, nb1), False, low & (nb1 > 1) & corner(F.col("_gr1"))))])
     probe = (pts.select("_id", "_ra", "_dec", F.cos(F.radians("_dec")).alias("_cos"), F.explode(probes).alias("_o"))
              .where(F.col("_o.ok"))
              .select(F.col("_id").alias("_id2"), F.col("_ra").alias("_ra2"), F.col("_dec").alias("_dec2"),
                      F.col("_cos").alias("_cos2"),
-                     F.col("_o.zp").alias("_zp"), F.col("_o.b").alias("_b"), F.col("_o.d0").alias("_d0")))
+                     F.col("_o.k").alias("_k"), F.col("_o.d0").alias("_d0")))
     # Within one block of one zone each pair meets twice: keep one orientation.
-    # Most candidates are too far apart in one coordinate alone: those are left
-    # out by a comparison, and the distance is computed for the others only.
+    # Candidates too far apart in one coordinate alone are left out by a
+    # comparison first, then those clearly close or far by squares.
     h = haversine_term("_ra", "_dec", "_ra2", "_dec2", "_cos", "_cos2")
     gap = F.abs(F.col("_ra2") - F.col("_ra"))
-    return (_salted_join(base, probe, ["_zp", "_b"], "_id", "_id2", pair_budget)
-            .where((~F.col("_d0") | (F.col("_id") < F.col("_id2")))
-                   & (F.abs(F.col("_dec2") - F.col("_dec")) <= F.lit(eps * _SLACK + _ROUNDING))
+    flat = (square(F.col("_dec2") - F.col("_dec"))
+            + F.col("_cos") * F.col("_cos2") * square(F.least(gap, F.lit(360.0) - gap)))
+    beyond = gap > F.lit(360.0) + F.col("_alpha")   # RA of more than a turn
+    return (_salted_join(base, probe, ["_k"], "_id", "_id2", pair_budget)
+            .where((F.abs(F.col("_dec2") - F.col("_dec")) <= F.lit(eps * _SLACK + _ROUNDING))
                    & ((gap <= F.col("_alpha")) | (gap >= F.lit(360.0) - F.col("_alpha")))
-                   & (h < F.lit(haversine_threshold(eps))))
+                   & ((flat < F.lit(sure * (1.0 - margin)))
+                      | (((flat < F.col("_far")) | beyond) & (h < F.lit(threshold))))
+                   & (~F.col("_d0") | (F.col("_id") < F.col("_id2"))))
             .select(*_pair_columns("_id", "_id2")))

@@ -213,3 +213,40 @@ def test_sphere_pairs_compare_coordinates_before_distances(spark):
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join Inner" in line)
     assert "COS(" not in join.upper() and "abs(" in join and join.index("abs(") < join.upper().index("SIN("), join
+
+
+def test_sphere_pairs_meet_by_one_number_in_small_blocks(spark):
+    """Zone and block are one sort key of a merge join; a block is no more than about eps wide."""
+    eps = 0.02
+    pts = _points(1500, 31)
+    pairs = neighbour_pairs_sphere(spark.createDataFrame(pts, f"{SOURCE_ID} long, {RA} double, {DECL} double"), eps)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_k#" in plan and "BroadcastHashJoin" not in plan, plan
+    assert {tuple(r) for r in pairs.collect()} == {(a[0], b[0]) for i, a in enumerate(pts) for b in pts[i + 1:]
+                                                   if _sep(a, b) < eps}
+    # A dense grid: pairs that meet in a block, against those that are close (blocks of twice the side: above 5).
+    grid = [(k, 10.0 + (k % 60) * eps / 10, (k // 60) * eps / 10) for k in range(3600)]
+    joined = neighbour_pairs_sphere(spark.createDataFrame(grid, f"{SOURCE_ID} long, {RA} double, {DECL} double"), eps)
+    optimized = joined._jdf.queryExecution().optimizedPlan()
+    while "Join" not in optimized.nodeName():
+        optimized = optimized.children().apply(0)
+    sides = [spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, optimized.children().apply(i))
+             for i in (0, 1)]
+    counts = []
+    for side in sides:
+        at = list(side.columns()).index("_k")
+        counts.append({})
+        for r in side.collect():
+            counts[-1][r.get(at)] = counts[-1].get(r.get(at), 0) + 1
+    candidates = sum(n * counts[1].get(k, 0) for k, n in counts[0].items())
+    assert candidates < 4 * joined.count()
+
+
+def test_sphere_pairs_of_tiny_eps_and_of_more_than_a_turn(spark):
+    rows = [(k, 1e-9 * k, 0.0) for k in range(20)]
+    df = spark.createDataFrame(rows, f"{SOURCE_ID} long, {RA} double, {DECL} double")
+    assert {tuple(r) for r in neighbour_pairs_sphere(df, 2.5e-9).collect()} == {
+        (a, b) for a in range(20) for b in range(a + 1, min(a + 3, 20))}
+    turned = [(1, 365.0, 0.0), (2, 5.005, 0.001), (3, 725.0, 0.0), (4, -355.0, 0.0), (5, 5.0301, 0.0), (6, 185.0, 0.0)]
+    df = spark.createDataFrame(turned, f"{SOURCE_ID} long, {RA} double, {DECL} double")
+    assert {tuple(r) for r in neighbour_pairs_sphere(df, 0.02).collect()} == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
