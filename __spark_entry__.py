@@ -136,11 +136,11 @@ def _count_good_objects(spark, d):
         SOURCE_ID, F.when(e % 9 == 4, F.concat(F.lit("x"), F.col(OBJECT_ID).cast("string")))
         .otherwise(F.col(OBJECT_ID).cast("string")).alias(OBJECT_ID), RA, DECL)
     write_text(source_lines(dirty), path)
-    checked = read_checked_sources(spark, path)
-    good = count_by_object(checked.where(F.col("reject").isNull()))
-    aside = checked.where(F.col("reject").isNotNull()).groupBy(F.lit(None).cast("bigint").alias(OBJECT_ID)).agg(
-        F.count(F.lit(1)).alias("n_sources"))
-    return good.unionByName(aside)
+    # The lines are read once for both: what is set aside counts under a key without an object.
+    aside = F.struct(F.lit(None).cast("bigint").alias(OBJECT_ID))
+    counted = read_checked_sources(spark, path).select(
+        F.when(F.col("reject").isNotNull(), aside).when(F.col(OBJECT_ID).isNotNull(), F.struct(OBJECT_ID)).alias("counted"))
+    return count_by_object(counted, "counted").select(f"counted.{OBJECT_ID}", "n_sources")
 
 
 def _merged_loads(spark, d):

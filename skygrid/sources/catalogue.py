@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,7 +82,8 @@ def read_checked_sources(spark: SparkSession, path: str, fields=(SOURCE_ID, OBJE
     # A line is split once, as far as the last field asked for.  The fields come
     # out of a generator, since a filter on a verdict would otherwise be pushed
     # below the split, which then runs for every mention of a field in it.
-    lines = spark.read.text(path).where(F.btrim("value", F.lit(_BLANKS)) != "")
+    # A line is blank if nothing is left behind its leading blanks: the rest of it need not be looked at.
+    lines = spark.read.text(path).where(F.ltrim("value", F.lit(_BLANKS)) != "")
     last = max((names.index(c) for c in fields), default=0)
     tokens = lines.select(
         (F.length("value") - F.length(F.replace("value", F.lit(DELIMITER), F.lit(""))) + 1).alias("n_fields"),
@@ -153,12 +156,13 @@ def source_lines(sources: DataFrame, keep=()) -> DataFrame:
     so reading the lines back gives the identical values.
     """
     present = set(sources.columns)
+    # Neighbouring columns that the frame lacks are one literal: most of a line is made once, not per row.
     parts: list[Column] = []
-    for field in SOURCE_SCHEMA.fields:
-        if field.name in present:
-            parts.append(F.coalesce(F.col(field.name).cast("string"), F.lit(NULL_TOKEN)))
+    for here, fields in groupby(SOURCE_SCHEMA.fieldNames(), present.__contains__):
+        if here:
+            parts += [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in fields]
         else:
-            parts.append(F.lit(NULL_TOKEN))
+            parts.append(F.lit(DELIMITER.join(NULL_TOKEN for _ in fields)))
     return sources.select(F.concat_ws(DELIMITER, *parts).alias("value"), *keep)
 
 

@@ -244,3 +244,22 @@ def test_checked_lines_are_split_once(spark, tmp_path):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1, plan
     assert [r[0] for r in good.collect()] == [7]
+
+
+def test_good_and_bad_lines_are_counted_in_one_scan(spark, tmp_path):
+    """The written lines are read once; runs of columns that the frame lacks are one literal; blank lines stay out."""
+    import __spark_entry__ as E
+    rows = [(1, 7, "view"), (2, 7, "view"), (3, 8, "error"), (4, 8, "view"), (13, 7, "view"), (22, 9, "error"), (5, 8, "view")]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    out = E.queries()["count_good_objects"](spark, str(tmp_path))
+    assert out.dtypes == [(OBJECT_ID, "bigint"), ("n_sources", "bigint")]
+    assert {tuple(r) for r in out.collect()} == {(7, 2), (8, 1), (None, 2)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] text") == 1 and "Union" not in plan, plan
+    lines = source_lines(spark.range(1).select(F.col("id").alias(SOURCE_ID)))
+    assert lines.first().value == "0" + ",NULL" * (len(SOURCE_SCHEMA) - 1)
+    assert lines._jdf.queryExecution().analyzed().toString().count("NULL,NULL") > 0
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([(v,) for v in ("", " \t ", "  1,NULL,2,7", "\f\v", " x")], "value string").write.text(path)
+    assert {r[SOURCE_ID] for r in read_checked_sources(spark, path).collect()} == {1, None}
+    assert read_checked_sources(spark, path).count() == 2
